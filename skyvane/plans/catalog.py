@@ -224,3 +224,186 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.select("event_id", "asset_id", r6("timestamp").alias("timestamp"), "sensor",
                          r6("prediction").alias("prediction"), "message",
                          n_keys.alias("n_payload_keys"))
+
+
+# --------------------------------------------------------------------------
+# Ordered operators (WIN1-WIN13, AGG6, STA9)
+# --------------------------------------------------------------------------
+from ..operators import ordered as W  # noqa: E402
+
+
+def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.with_bucket(T.readings(spark, sf_dir))
+
+
+@register("moving_avg", O.with_readings(f"""
+SELECT event_id,
+       round(avg(value) OVER (PARTITION BY asset_id, sensor ORDER BY ts, event_id
+                              ROWS BETWEEN 1 PRECEDING AND CURRENT ROW), 6) AS ma2,
+       round(avg(value) OVER (PARTITION BY asset_id, sensor ORDER BY ts, event_id
+                              ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS ma3
+FROM readings"""))
+def moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN5: 2- and 3-reading simple moving averages."""
+    out = W.bounded(_seq(spark, sf_dir), 2, lambda w: {
+        "ma2": W.moving_average("value", w, 2), "ma3": W.moving_average("value", w, 3)})
+    return out.select("event_id", r6("ma2").alias("ma2"), r6("ma3").alias("ma3"))
+
+
+def _smoothing_sql() -> str:
+    lag = lambda i: f"lag(value, {i}) OVER (PARTITION BY asset_id, sensor ORDER BY ts, event_id)"
+    d = O.dbl
+    ws = [0.4, 0.3, 0.2, 0.1]
+    num = " + ".join(f"coalesce(l{i} * {d(w)}, 0.0)" for i, w in enumerate(ws, 1))
+    den = " + ".join(f"coalesce(CASE WHEN l{i} IS NOT NULL THEN {d(w)} END, 0.0)"
+                     for i, w in enumerate(ws, 1))
+    inertia = (f"CASE WHEN l1 IS NULL THEN value ELSE "
+               f"{O.rha(f'value * {d(1 - 0.85)} + (({num}) / ({den})) * {d(0.85)}', 2)} END")
+    grow = ["CASE WHEN least(rn, 6) = 1 THEN value"]
+    for L, wts in sorted(W.GROWING_WEIGHTS.items()):
+        terms = " + ".join(f"{'value' if L - 1 - j == 0 else f'l{L - 1 - j}'} * {d(wt)}"
+                           for j, wt in enumerate(wts))
+        grow.append(f"WHEN least(rn, 6) = {L} THEN {O.rha(f'({terms}) / {d(sum(wts))}', 3)}")
+    grow = " ".join(grow) + " END"
+
+    def three(two, thr):
+        return (f"CASE WHEN l1 IS NULL THEN value "
+                f"WHEN l2 IS NULL THEN {O.rha(f'l1 * {d(two[0])} + value * {d(two[1])}', 2)} "
+                f"ELSE {O.rha(f'l2 * {d(thr[0])} + l1 * {d(thr[1])} + value * {d(thr[2])}', 2)} END")
+    pressure = (f"CASE WHEN l1 IS NULL THEN value WHEN phase = 'takeoff' THEN "
+                f"(CASE WHEN value < l1 THEN {O.rha(f'l1 * {d(0.7)} + value * {d(0.3)}', 2)} "
+                f"ELSE {O.rha(f'l1 * {d(0.4)} + value * {d(0.6)}', 2)} END) "
+                f"ELSE {three((0.3, 0.7), (0.2, 0.3, 0.5))} END")
+    gradient = three((0.4, 0.6), (0.2, 0.3, 0.5))
+    lags = ", ".join(f"{lag(i)} AS l{i}" for i in range(1, 6))
+    return O.with_readings(f"""
+SELECT event_id, round({inertia}, 6) AS inertia, round({grow}, 6) AS asym_smooth,
+       round({pressure}, 6) AS pressure_smooth, round({gradient}, 6) AS gradient_smooth
+FROM seq""", f"""seq AS (
+  SELECT *, {lags},
+         row_number() OVER (PARTITION BY asset_id, sensor ORDER BY ts, event_id) AS rn
+  FROM readings)""")
+
+
+@register("moving_avg_weighted", _smoothing_sql())
+def moving_avg_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN1-WIN4: thermal inertia, growing-window smoothing, phase-aware
+    pressure smoothing and gradient smoothing."""
+    out = W.bounded(_seq(spark, sf_dir), 5, lambda w: {
+        "inertia": W.thermal_inertia("value", w),
+        "asym_smooth": W.growing_smooth("value", w),
+        "pressure_smooth": W.smooth_pressure("value", w),
+        "gradient_smooth": W.smooth_gradient("value", w)})
+    return out.select("event_id", *[r6(c).alias(c) for c in
+                                    ("inertia", "asym_smooth", "pressure_smooth", "gradient_smooth")])
+
+
+def _gradient_sql() -> str:
+    lim = "CAST(CASE phase " + " ".join(f"WHEN '{p}' THEN {v!r}" for p, v in
+                                       S.FUEL_GRADIENT_LIMITS.items()) + " END AS DOUBLE)"
+    g = "((value - l1) / dmin)"
+    clipped = f"greatest(least({g}, {lim}), -{lim})"
+    return O.with_readings(f"""
+SELECT event_id,
+       round(CASE WHEN l1 IS NULL THEN NULL WHEN dmin <= 0 THEN 0.0
+                  WHEN abs({clipped}) > 0.01 THEN {O.rha(clipped, 2)} ELSE 0.0 END, 6) AS gradient,
+       coalesce(abs(value - l1) > 0.02 * dt, false) AS moving,
+       round(abs(value - l1) / (abs(l1) + 1e-6), 6) AS trend_error
+FROM (SELECT *, dt / 60.0 AS dmin FROM seq)""", f"""seq AS (
+  SELECT *, lag(value) OVER ({O.SEQ}) AS l1,
+         "timestamp" - lag("timestamp") OVER ({O.SEQ}) AS dt
+  FROM readings)""")
+
+
+@register("gradient_per_min", _gradient_sql())
+def gradient_per_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN6 + WIN11 + WIN13: clipped per-minute gradient, moving flag, trend error."""
+    out = W.bounded(_seq(spark, sf_dir), 1, lambda w: {
+        "gradient": W.gradient_per_minute("value", w, S.FUEL_GRADIENT_LIMITS),
+        "moving": W.moving_flag("value", w),
+        "trend_error": W.trend_error("value", w)})
+    return out.select("event_id", r6("gradient").alias("gradient"), "moving",
+                      r6("trend_error").alias("trend_error"))
+
+
+_RUNS_CTE = f"""runs AS (
+  SELECT *, sum(CAST(st AS BIGINT)) OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id,
+         seq - max(CASE WHEN st THEN seq END) OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1
+           AS reading_in_run
+  FROM (SELECT *, lag(phase) OVER ({O.SEQ}) AS prev_phase,
+               coalesce(lag(phase) OVER ({O.SEQ}) <> phase, true) AS st,
+               row_number() OVER ({O.SEQ}) AS seq
+        FROM readings))"""
+
+
+@register("phase_runs", O.with_readings("""
+SELECT event_id, prev_phase, coalesce(prev_phase <> phase, false) AS transition,
+       coalesce(prev_phase = 'cruise' AND phase = 'landing', false) AS cruise_to_landing,
+       run_id, reading_in_run
+FROM runs""", _RUNS_CTE))
+def phase_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN7 + WIN8: phase transitions and the reading counter within each run."""
+    out = W.phase_runs(_seq(spark, sf_dir))
+    return out.select("event_id", "prev_phase", "transition", "cruise_to_landing", "run_id",
+                      "reading_in_run")
+
+
+@register("phase_durations", O.with_readings("""
+SELECT asset_id, sensor, run_id, phase, count(*) AS n_ticks,
+       round(min("timestamp"), 6) AS start_ts, round(max("timestamp"), 6) AS end_ts,
+       round(max("timestamp") - min("timestamp"), 6) AS duration_s
+FROM runs GROUP BY asset_id, sensor, run_id, phase""", _RUNS_CTE))
+def phase_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG6: ticks and duration of each phase run."""
+    d = A.phase_durations(W.phase_runs(_seq(spark, sf_dir)))
+    return d.select("asset_id", "sensor", "run_id", "phase", "n_ticks",
+                    *[r6(c).alias(c) for c in ("start_ts", "end_ts", "duration_s")])
+
+
+@register("plateau_runs", O.with_readings(f"""
+SELECT event_id, seq - brk AS plateau_len, (seq - brk) % 3 AS plateau_count,
+       (seq - brk) > 0 AND (seq - brk) % 3 = 0 AS plateau_flag
+FROM (SELECT *, max(CASE WHEN NOT pl THEN seq END)
+                  OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS brk
+      FROM (SELECT *, coalesce(abs(k - lag(k) OVER ({O.SEQ})) < 0.01, false) AS pl,
+                   row_number() OVER ({O.SEQ}) AS seq FROM readings))"""))
+def plateau_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN9: plateau counter on ``k`` with a flag at every third plateau step."""
+    out = W.plateau_runs(_seq(spark, sf_dir), "k")
+    return out.select("event_id", "plateau_len", "plateau_count", "plateau_flag")
+
+
+@register("change_events", O.with_readings(f"""
+SELECT asset_id, sensor, event_id, previous, value, recent_rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY asset_id, sensor ORDER BY ts DESC, event_id DESC)
+            AS recent_rank
+  FROM (SELECT *, lag(value) OVER ({O.SEQ}) AS previous FROM readings)
+  WHERE abs(value - previous) > 0.1)
+WHERE recent_rank <= 10"""))
+def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN10: value changes above 0.1, the latest 10 per sensor (top-k report)."""
+    out = W.change_events(_seq(spark, sf_dir))
+    return out.select("asset_id", "sensor", "event_id", "previous", "value", "recent_rank")
+
+
+@register("stall_events", O.with_readings(f"""
+SELECT event_id, round(held, 6) AS held_s, coalesce(held > 3600.0, false) AS stalled
+FROM (SELECT *, CASE WHEN c THEN "timestamp" - max(CASE WHEN ent THEN "timestamp" END)
+                     OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS held
+      FROM (SELECT *, c AND coalesce(NOT lag(c) OVER ({O.SEQ}), true) AS ent
+            FROM (SELECT *, coalesce(is_anomaly, false) AS c FROM readings)))"""))
+def stall_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN12: how long the anomaly condition has held; stalled beyond one hour."""
+    out = W.held_condition(_seq(spark, sf_dir), F.col("is_anomaly"), 3600.0)
+    return out.select("event_id", r6("held_s").alias("held_s"), "stalled")
+
+
+@register("hysteresis_latch", O.with_readings(f"""
+SELECT event_id, coalesce(last_value(ev IGNORE NULLS) OVER ({O.SEQ}
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1, false) AS latched
+FROM (SELECT *, CASE WHEN prediction > 2.0 THEN 1 WHEN prediction < 0.5 THEN 0 END AS ev
+      FROM readings)"""))
+def hysteresis_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA9: latch on when the score exceeds 2.0, off when it falls below 0.5."""
+    out = W.hysteresis(_seq(spark, sf_dir), F.col("prediction") > 2.0, F.col("prediction") < 0.5)
+    return out.select("event_id", "latched")

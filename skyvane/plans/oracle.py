@@ -50,3 +50,17 @@ def threshold_case(col: str = "sensor") -> str:
 
 def weight_of(feature: str) -> float:
     return S.all_weights().get(feature, S.DEFAULT_WEIGHT)
+
+
+def rha(expr: str, digits: int) -> str:
+    """SQL twin of :func:`skyvane.operators.ordered.round_half_away`."""
+    p = float(10 ** digits)
+    return f"(sign({expr}) * floor(abs({expr}) * {p!r} + 0.5) / {p!r})"
+
+
+SEQ = "PARTITION BY asset_id, sensor ORDER BY ts, event_id"
+
+
+def dbl(v: float) -> str:
+    """A double literal with the exact bits of the Python float."""
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
