@@ -407,3 +407,200 @@ def hysteresis_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA9: latch on when the score exceeds 2.0, off when it falls below 0.5."""
     out = W.hysteresis(_seq(spark, sf_dir), F.col("prediction") > 2.0, F.col("prediction") < 0.5)
     return out.select("event_id", "latched")
+
+
+# --------------------------------------------------------------------------
+# Sequential folds: model (STA2-STA5) and STA1, STA6-STA8
+# --------------------------------------------------------------------------
+from ..operators import fold as FD  # noqa: E402
+from ..operators import model as M  # noqa: E402
+
+_MK = list(M.MODEL_KEYS)
+_d = O.dbl
+
+
+def _model_sql(seq_sql: str, extra: list[str] | None = None) -> str:
+    feats = list(S.EVENT_FEATURES)
+    wts = S.all_weights()
+    st = {"event_id": "CAST(NULL AS BIGINT)", "kind": "CAST(NULL AS INTEGER)",
+          "score": "CAST(NULL AS DOUBLE)", "anomaly": "CAST(NULL AS BOOLEAN)", "hp": "false"}
+    for f in feats:
+        st[f"m_{f}"] = "CAST(NULL AS DOUBLE)"
+        st[f"p_{f}"] = "CAST(NULL AS DOUBLE)"
+    matched = {f: f"(s.kind = 1 AND f.hp AND s.x_{f} IS NOT NULL AND f.m_{f} IS NOT NULL)"
+               for f in feats}
+    err = {}
+    for f in feats:
+        base = f"(abs(s.x_{f} - f.m_{f}) / (abs(f.m_{f}) + {_d(1e-6)}) * {_d(wts.get(f, 1.0))})"
+        trend = f"({_d(0.5)} * (abs(s.x_{f} - f.p_{f}) / (abs(f.p_{f}) + {_d(1e-6)})))"
+        err[f] = f"(CASE WHEN f.p_{f} IS NULL THEN {base} ELSE {base} + {trend} END)"
+    total = " + ".join(f"(CASE WHEN {matched[f]} THEN {err[f]} ELSE 0.0 END)" for f in feats)
+    cnt = " + ".join(f"CAST({matched[f]} AS INTEGER)" for f in feats)
+    score = f"(CASE WHEN ({cnt}) > 0 THEN least(({total}) / ({cnt}), {_d(10.0)}) ELSE 0.0 END)"
+    learn = f"(s.kind = 1 AND NOT ({score} > s.threshold))"
+    step = {"event_id": "s.event_id", "kind": "s.kind",
+            "score": f"CASE WHEN s.kind = 1 THEN {score} END",
+            "anomaly": f"CASE WHEN s.kind = 1 THEN {score} > s.threshold END",
+            "hp": f"(f.hp OR {learn} OR s.kind = 0)"}
+    for f in feats:
+        step[f"m_{f}"] = (
+            f"CASE WHEN s.kind = 0 AND s.x_{f} IS NOT NULL THEN "
+            f"(CASE WHEN f.m_{f} IS NULL THEN s.x_{f} ELSE {_d(0.8)} * f.m_{f} + {_d(0.2)} * s.x_{f} END) "
+            f"WHEN {learn} AND s.x_{f} IS NOT NULL THEN "
+            f"(CASE WHEN f.m_{f} IS NULL THEN s.x_{f} ELSE {_d(0.2)} * s.x_{f} + {_d(0.8)} * f.m_{f} END) "
+            f"ELSE f.m_{f} END")
+        step[f"p_{f}"] = f"CASE WHEN {matched[f]} THEN s.x_{f} ELSE f.p_{f} END"
+    out = ("SELECT event_id, round(score, 6) AS score, anomaly AS is_anomaly, "
+           + ", ".join(f"round(m_{f}, 6) AS mean_{f}" for f in feats)
+           + " FROM fold WHERE rn > 0 AND kind = 1")
+    return O.recursive_fold(_MK, seq_sql, st, step, out, extra)
+
+
+_READ_SEQ = ("SELECT asset_id, sensor, phase, ts, 1 AS kind, event_id, "
+             f"{O.threshold_case()} AS threshold, value AS x_value, k AS x_k FROM readings")
+
+
+def _numbered(inner: str) -> str:
+    return (f"SELECT *, row_number() OVER (PARTITION BY asset_id, sensor, phase "
+            f"ORDER BY ts, kind, event_id) AS rn FROM ({inner})")
+
+
+def _model_out(scored: DataFrame) -> DataFrame:
+    return scored.filter(F.col("kind") == M.READING).select(
+        "event_id", r6("score").alias("score"), "is_anomaly",
+        *[r6(f"mean_{f}").alias(f"mean_{f}") for f in S.EVENT_FEATURES])
+
+
+@register("gated_scores", _model_sql(_numbered(_READ_SEQ)))
+def gated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA2-STA4: predict -> threshold -> learn-if-normal, per (asset, sensor, phase)."""
+    return _model_out(M.score(M.model_input(T.readings(spark, sf_dir))))
+
+
+def daily_updates(readings: DataFrame, spark: SparkSession) -> DataFrame:
+    """Model updates fed back from daily windows per (asset, sensor, phase):
+    window max of each allowed feature, dropped when the window saw an
+    anomaly (FIL4) or the sensor has no model (FIL5); effective at window end."""
+    win = A.window_rows(readings, "1 day", keys=("asset_id", "sensor", "phase"), time_col="ts")
+    msgs = L.update_messages(win, S.update_feature_table(spark), extra_keys=("asset_id",))
+    msgs = L.known_sensors(L.learnable(msgs), S.sensor_table(spark))
+    eff = F.col("timestamp").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    return msgs.withColumn("effective_ts", eff)
+
+
+def _update_seq_sql() -> str:
+    scalar = ", ".join(f"'{s}'" for s in S.SCALAR_SENSORS)
+    known = ", ".join(f"'{s}'" for s in sorted(S.all_thresholds()))
+    return f"""
+SELECT asset_id, sensor, phase, ts, 0 AS kind, CAST(-1 AS BIGINT) AS event_id,
+       CAST(0.0 AS DOUBLE) AS threshold, x_value, x_k
+FROM (SELECT asset_id, sensor, phase,
+             time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS ts,
+             max(value) AS x_value,
+             CASE WHEN sensor IN ({scalar}) THEN NULL ELSE max(k) END AS x_k,
+             bool_or(is_anomaly) AS an
+      FROM readings GROUP BY asset_id, sensor, phase, time_bucket(INTERVAL '1 day', ts))
+WHERE NOT coalesce(an, false) AND (x_value IS NOT NULL OR x_k IS NOT NULL)
+  AND sensor IN ({known})"""
+
+
+@register("feedback_scores", _model_sql(_numbered(f"{_READ_SEQ} UNION ALL {_update_seq_sql()}")))
+def feedback_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA5: the model with daily window updates blended back in (0.8/0.2)."""
+    r = T.readings(spark, sf_dir)
+    rows = M.model_input(r).unionByName(M.update_input(daily_updates(r, spark)))
+    return _model_out(M.score(rows))
+
+
+_SEQ2 = ("SELECT *, row_number() OVER (PARTITION BY asset_id, sensor ORDER BY ts, event_id) AS rn "
+         "FROM readings")
+
+
+@register("ewma", O.recursive_fold(
+    ["asset_id", "sensor"], _SEQ2,
+    {"event_id": "CAST(NULL AS BIGINT)", "m": "CAST(NULL AS DOUBLE)"},
+    {"event_id": "s.event_id",
+     "m": f"CASE WHEN s.value IS NULL THEN f.m WHEN f.m IS NULL THEN s.value "
+          f"ELSE {_d(0.2)} * s.value + {_d(1 - 0.2)} * f.m END"},
+    "SELECT event_id, round(m, 6) AS ewma FROM fold WHERE rn > 0"))
+def ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA1: plain EWMA (α = 0.2) of each sensor's value, seeded by the first value."""
+    out = FD.sorted_fold(T.readings(spark, sf_dir), ["asset_id", "sensor"], ["ts", "event_id"],
+                         FD.ewma_fold("value", 0.2, passthrough=("event_id",)))
+    return out.select("event_id", r6("ewma").alias("ewma"))
+
+
+def _smooth_step() -> str:
+    keep, mc, lo, hi = 0.7, 0.5, 0.0, 3.0
+    s0 = f"({_d(1 - keep)} * s.prediction + {_d(keep)} * f.prev)"
+    s1 = (f"(CASE WHEN abs({s0} - f.prev) > {_d(mc)} THEN (CASE WHEN {s0} > f.prev "
+          f"THEN f.prev + {_d(mc)} ELSE f.prev - {_d(mc)} END) ELSE {s0} END)")
+    s2 = f"greatest(least({s1}, {_d(hi)}), {_d(lo)})"
+    return f"CASE WHEN s.prediction IS NULL THEN f.prev ELSE {s2} END"
+
+
+@register("smoothed_slew", O.recursive_fold(
+    ["asset_id", "sensor"], _SEQ2,
+    {"event_id": "CAST(NULL AS BIGINT)", "prev": "CAST(0.0 AS DOUBLE)"},
+    {"event_id": "s.event_id", "prev": _smooth_step()},
+    "SELECT event_id, round(prev, 6) AS smoothed FROM fold WHERE rn > 0"))
+def smoothed_slew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA6: exponential smoothing of the score (0.3 new / 0.7 previous output),
+    slew-limited to ±0.5 and clamped to [0, 3]."""
+    fold = FD.smoothing_fold("prediction", keep=0.7, max_change=0.5, lo=0.0, hi=3.0, init=0.0,
+                             passthrough=("event_id",))
+    out = FD.sorted_fold(T.readings(spark, sf_dir), ["asset_id", "sensor"], ["ts", "event_id"], fold)
+    return out.select("event_id", r6("smoothed").alias("smoothed"))
+
+
+def _slew_step(mc: float) -> str:
+    lim = (f"(CASE WHEN abs(s.value - f.prev) > {_d(mc)} THEN (CASE WHEN s.value > f.prev "
+           f"THEN f.prev + {_d(mc)} ELSE f.prev - {_d(mc)} END) ELSE s.value END)")
+    return f"CASE WHEN s.value IS NULL THEN f.prev WHEN f.prev IS NULL THEN s.value ELSE {lim} END"
+
+
+@register("slew_limit", O.recursive_fold(
+    ["asset_id", "sensor"], _SEQ2,
+    {"event_id": "CAST(NULL AS BIGINT)", "prev": "CAST(NULL AS DOUBLE)"},
+    {"event_id": "s.event_id", "prev": _slew_step(20.0)},
+    "SELECT event_id, round(prev, 6) AS limited FROM fold WHERE rn > 0"))
+def slew_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA7: rate-of-change limiter (±20 per reading) against the previous output."""
+    fold = FD.slew_fold("value", 20.0, passthrough=("event_id",))
+    out = FD.sorted_fold(T.readings(spark, sf_dir), ["asset_id", "sensor"], ["ts", "event_id"], fold)
+    return out.select("event_id", r6("limited").alias("limited"))
+
+
+# Per-minute gradient limits used by the violation counter on derived telemetry.
+VIOLATION_LIMITS = {"takeoff": 2.0, "cruise": 1.0, "landing": 1.5}
+
+
+def _violation_sql() -> str:
+    lim = "CAST(CASE s.phase " + " ".join(f"WHEN '{p}' THEN {v!r}" for p, v in
+                                         VIOLATION_LIMITS.items()) + " END AS DOUBLE)"
+    dmin = f'((s."timestamp" - f.prev_t) / {_d(60.0)})'
+    have = f"coalesce(f.prev IS NOT NULL AND {dmin} > 0, false)"
+    grad = f"((s.value - f.prev) / {dmin})"
+    breach = f"({have} AND abs({grad}) > {lim})"
+    out = f"(CASE WHEN {breach} THEN f.prev + (CASE WHEN {grad} > 0 THEN {lim} ELSE -{lim} END) * {dmin} ELSE s.value END)"
+    cnt1 = f"(CASE WHEN {breach} THEN f.cnt + 1 WHEN {have} THEN greatest(0.0, f.cnt - 1) ELSE f.cnt END)"
+    warn = f"({breach} AND {cnt1} >= 3)"
+    return O.recursive_fold(
+        ["asset_id", "sensor"], _SEQ2,
+        {"event_id": "CAST(NULL AS BIGINT)", "prev": "CAST(NULL AS DOUBLE)",
+         "prev_t": "CAST(NULL AS DOUBLE)", "cnt": "CAST(0.0 AS DOUBLE)", "warn": "false"},
+        {"event_id": "s.event_id", "prev": out, "prev_t": 's."timestamp"',
+         "cnt": f"CASE WHEN {warn} THEN 0.0 ELSE {cnt1} END", "warn": warn},
+        "SELECT event_id, round(prev, 6) AS adjusted, round(cnt, 6) AS violations, warn AS warning "
+        "FROM fold WHERE rn > 0")
+
+
+@register("gradient_violations", _violation_sql())
+def gradient_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA8: gradient-violation counter with limited values and a warning at 3."""
+    r = T.readings(spark, sf_dir).withColumn(
+        "limit", F.element_at(S.as_map_literal(VIOLATION_LIMITS), F.col("phase")))
+    fold = FD.violation_fold("value", "timestamp", "limit", 3, passthrough=("event_id",))
+    out = FD.sorted_fold(r, ["asset_id", "sensor"], ["ts", "event_id"], fold)
+    return out.select("event_id", r6("adjusted").alias("adjusted"),
+                      r6("violations").alias("violations"), "warning")

@@ -64,3 +64,25 @@ SEQ = "PARTITION BY asset_id, sensor ORDER BY ts, event_id"
 def dbl(v: float) -> str:
     """A double literal with the exact bits of the Python float."""
     return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def recursive_fold(keys: list[str], seq_sql: str, state: dict[str, str],
+                   step: dict[str, str], out: str, extra_ctes: list[str] | None = None) -> str:
+    """A recursive-CTE fold over ``seq`` rows numbered ``rn`` per key.
+
+    ``state`` gives each state column's initial SQL (typed); ``step`` its new
+    value, written over ``f`` (previous state) and ``s`` (current row).
+    Output: ``out`` selects from ``fold`` (rows with rn > 0 joined to seq as s).
+    """
+    k = ", ".join(keys)
+    init = ", ".join(f"{v} AS {n}" for n, v in state.items())
+    on = " AND ".join(f"s.{c} = f.{c}" for c in keys)
+    nxt = ", ".join(f"{step[n]} AS {n}" for n in state)
+    ctes = [readings_cte(), *(extra_ctes or []), f"seq AS ({seq_sql})"]
+    return f"""WITH RECURSIVE {", ".join(ctes)},
+fold AS (
+  SELECT DISTINCT {k}, CAST(0 AS BIGINT) AS rn, {init} FROM seq
+  UNION ALL
+  SELECT {", ".join("s." + c for c in keys)}, s.rn, {nxt}
+  FROM fold f JOIN seq s ON {on} AND s.rn = f.rn + 1)
+{out}"""
