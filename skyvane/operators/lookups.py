@@ -132,18 +132,18 @@ def acceptance_box(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> Col
 def phase_intervals(spark: SparkSession, points: DataFrame, time_col: str = "ts") -> DataFrame:
     """Phase timeline (phase, start, end) covering the days spanned by ``points``.
 
-    Built from a two-value aggregate (min/max day) and ``sequence``; three rows
-    per day.
+    Built from a two-value aggregate (min/max day), ``sequence`` over the days
+    and an inline array of the phase hours: three rows per day, no join.
     """
     span = points.agg(F.to_date(F.min(time_col)).alias("d0"), F.to_date(F.max(time_col)).alias("d1"))
     days = span.select(F.explode(F.sequence("d0", "d1")).alias("day"))
-    rows = [(name, lo, hi) for name, lo, hi in S.PHASE_HOURS]
-    phases = spark.createDataFrame(rows, "phase string, h0 int, h1 int")
+    hours = F.array(*[F.struct(F.lit(name).alias("phase"), F.lit(lo).alias("h0"),
+                               F.lit(hi).alias("h1")) for name, lo, hi in S.PHASE_HOURS])
     day_ts = F.col("day").cast("timestamp_ntz")
-    return days.crossJoin(F.broadcast(phases)).select(
+    return days.select(day_ts.alias("d"), F.inline(hours)).select(
         "phase",
-        (day_ts + F.make_dt_interval(F.col("h0"))).alias("start"),
-        (day_ts + F.make_dt_interval(F.col("h1"))).alias("end"),
+        (F.col("d") + F.make_dt_interval(F.lit(0), F.col("h0"))).alias("start"),
+        (F.col("d") + F.make_dt_interval(F.lit(0), F.col("h1"))).alias("end"),
     )
 
 
@@ -163,13 +163,15 @@ def range_join(points: DataFrame, intervals: DataFrame, time_col: str = "ts",
         return F.floor(F.timestamp_diff("SECOND", epoch, c) / F.lit(seconds))
 
     iv = intervals.select(
-        "*", F.explode(F.sequence(bucket_of(F.col("start")),
-                                  bucket_of(F.col("end") - F.expr("INTERVAL 1 MICROSECOND"))))
-        .alias("_bucket"))
+        *[F.col(c) for c in intervals.columns],
+        F.explode(F.sequence(bucket_of(F.col("start")),
+                             bucket_of(F.col("end") - F.expr("INTERVAL 1 MICROSECOND"))))
+        .alias("_ib"))
+    iv = iv.select(*[F.col(c).alias(f"_iv_{c}") for c in iv.columns])
     small = intervals.limit(MAX_BROADCAST_INTERVALS + 1).count() <= MAX_BROADCAST_INTERVALS
-    iv = F.broadcast(iv) if small else iv
-    p = points.withColumn("_bucket", bucket_of(F.col(time_col)))
-    cond = ((p["_bucket"] == iv["_bucket"]) & (p[time_col] >= iv["start"])
-            & (p[time_col] < iv["end"]))
-    return p.join(iv.drop(*[c for c in iv.columns if c in p.columns and c != "_bucket"]), cond, how) \
-            .drop("_bucket")
+    p = points.withColumn("_pb", bucket_of(F.col(time_col)))
+    cond = ((F.col("_pb") == F.col("_iv__ib")) & (F.col(time_col) >= F.col("_iv_start"))
+            & (F.col(time_col) < F.col("_iv_end")))
+    joined = p.join(F.broadcast(iv) if small else iv, cond, how)
+    renamed = [F.col(f"_iv_{c}").alias(c) for c in intervals.columns if c not in points.columns]
+    return joined.select(*[F.col(c) for c in points.columns], *renamed)

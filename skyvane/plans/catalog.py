@@ -604,3 +604,305 @@ def gradient_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = FD.sorted_fold(r, ["asset_id", "sensor"], ["ts", "event_id"], fold)
     return out.select("event_id", r6("adjusted").alias("adjusted"),
                       r6("violations").alias("violations"), "warning")
+
+
+# --------------------------------------------------------------------------
+# Update messages, range join, limits, scalar features
+# --------------------------------------------------------------------------
+from ..functions import features as FF  # noqa: E402
+from ..operators import augment as AU  # noqa: E402
+from ..operators import detect as DT  # noqa: E402
+
+
+def _allowed_sql(feature: str) -> str:
+    feats = {**S.WING_UPDATE_FEATURES, **S.event_update_features()}
+    return ", ".join(f"'{s}'" for s, fs in sorted(feats.items()) if feature in fs)
+
+
+@register("update_messages", O.with_readings(f"""
+SELECT * FROM (
+  SELECT {O.fmt_ts("t")} AS "timestamp", sensor, phase, round(coalesce(score, 0.0), 6) AS score,
+         coalesce(is_anomaly, false) AS is_anomaly,
+         CASE WHEN sensor IN ({_allowed_sql("value")}) THEN value END AS f_value,
+         CASE WHEN sensor IN ({_allowed_sql("k")}) THEN k END AS f_k,
+         CAST(CASE WHEN sensor IN ({_allowed_sql("value")}) AND value IS NOT NULL THEN 1 ELSE 0 END
+            + CASE WHEN sensor IN ({_allowed_sql("k")}) AND k IS NOT NULL THEN 1 ELSE 0 END AS INTEGER)
+           AS n_features
+  FROM w) WHERE n_features > 0""", """w AS (
+  SELECT time_bucket(INTERVAL '1 hour', ts) AS t, sensor, phase, max(value) AS value, max(k) AS k,
+         max(prediction) AS score, bool_or(is_anomaly) AS is_anomaly
+  FROM readings GROUP BY ALL)"""))
+def update_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ13 + PRJ14 + JON3 + FIL3: hourly model-update messages per (sensor, phase)."""
+    win = A.window_rows(T.readings(spark, sf_dir), "1 hour", time_col="ts")
+    msgs = L.update_messages(win, S.update_feature_table(spark))
+    return msgs.select("timestamp", "sensor", "phase", r6("score").alias("score"), "is_anomaly",
+                       F.col("features").getItem("value").alias("f_value"),
+                       F.col("features").getItem("k").alias("f_k"),
+                       F.size("features").alias("n_features"))
+
+
+def _intervals_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{n}' AS phase_tag, d + INTERVAL {lo} HOUR AS s, d + INTERVAL {hi} HOUR AS e FROM days"
+        for n, lo, hi in S.PHASE_HOURS)
+    return f"""days AS (SELECT unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE),
+                                             INTERVAL 1 DAY)) AS d FROM readings),
+iv AS ({parts})"""
+
+
+@register("phase_tag_range_join", O.with_readings("""
+SELECT r.event_id, iv.phase_tag, iv.phase_tag = r.phase AS matches
+FROM readings r JOIN iv ON r.ts >= iv.s AND r.ts < iv.e""", _intervals_sql()))
+def phase_tag_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON6: tag each reading with the phase interval containing its time (range join)."""
+    r = T.readings(spark, sf_dir)
+    iv = L.phase_intervals(spark, r).withColumnRenamed("phase", "phase_tag")
+    j = L.range_join(r.select("event_id", "ts", "phase"), iv)
+    return j.select("event_id", "phase_tag", (F.col("phase_tag") == F.col("phase")).alias("matches"))
+
+
+def _limits_sql() -> str:
+    def case(kind: str, feature: str) -> str:
+        rows = [x for x in S.event_phase_limits() + S.WING_PHASE_LIMITS if x[2] == feature]
+        whens = " ".join(f"WHEN sensor = '{s}' AND phase = '{p}' THEN {O.dbl(lo if kind == 'lo' else hi)}"
+                         for s, p, f, lo, hi in rows)
+        return f"(CASE {whens} END)"
+    labels = []
+    for f in S.EVENT_FEATURES:
+        labels.append(f"CASE WHEN {f} < {case('lo', f)} THEN 'LOW_{f.upper()}' END")
+        labels.append(f"CASE WHEN {f} > {case('hi', f)} THEN 'HIGH_{f.upper()}' END")
+    n = " + ".join(f"CASE WHEN ({l}) IS NOT NULL THEN 1 ELSE 0 END" for l in labels)
+    return O.with_readings(f"""
+SELECT event_id, CASE WHEN n > 0 THEN w ELSE '✅' END AS warnings, n AS faults,
+       CASE WHEN n > 0 THEN 'DEGRADED' ELSE 'NORMAL' END AS status
+FROM (SELECT event_id, concat_ws(' ', {", ".join(labels)}) AS w, CAST({n} AS INTEGER) AS n
+      FROM readings)""")
+
+
+@register("phase_limits_check", _limits_sql())
+def phase_limits_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON4 + DET1 + PRJ25 + PRJ26: healthy-range check per phase with warnings and status."""
+    c = L.limits_check(T.readings(spark, sf_dir), S.phase_limit_table(spark))
+    return c.select("event_id", "warnings", "faults", "status")
+
+
+def _features_sql() -> str:
+    d = O.dbl
+    k0 = "coalesce(k, 0.0)"
+    mult = ("CAST(CASE phase " + " ".join(f"WHEN '{p}' THEN {v!r}" for p, v in FF.RMS_MULTIPLIER.items())
+            + f" ELSE {FF.RMS_MULTIPLIER_OTHER!r} END AS DOUBLE)")
+    return O.with_readings(f"""
+SELECT event_id,
+       greatest(0.0, least(value, 100.0)) AS clamped,
+       {O.rha(f"value / {d(7.0)}", 3)} AS rounded,
+       round(sqrt(value * value + {k0} * {k0} + prediction * prediction), 6) AS magnitude,
+       round(sqrt(prediction * prediction + (({k0} / {d(100.0)}) * {mult}) * (({k0} / {d(100.0)}) * {mult})), 6)
+         AS rms_bias,
+       {O.rha(f"value - {k0}", 2)} AS tracking,
+       round(greatest({d(-0.5)}, least({k0} / {d(10.0)} - value / {d(10.0)}, {d(0.5)})), 6) AS overshoot,
+       CAST(greatest(0, floor((("timestamp" + {k0} / {d(10.0)}) - "timestamp") * {d(1000.0)})) AS BIGINT)
+         AS lag_ms,
+       CASE WHEN abs((value - {d(50.0)}) / {d(100.0)}) < {d(0.1)} THEN 'STABLE' ELSE 'CHANGING' END
+         AS stability,
+       CASE WHEN value > 100 THEN 'MOVING' WHEN {k0} < 10 THEN 'LOCKED' ELSE 'HOLDING' END AS motion,
+       coalesce(value BETWEEN 1 AND 100 AND k BETWEEN 5 AND 95, false) AS accepted
+FROM readings""")
+
+
+@register("feature_functions", _features_sql())
+def feature_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ16-PRJ24 + FIL7: clamp, rounding, magnitude, RMS with bias, tracking
+    error, overshoot, remaining lag, stability and motion labels, acceptance box."""
+    r = T.readings(spark, sf_dir)
+    v, k0, p = F.col("value"), F.coalesce(F.col("k"), F.lit(0.0)), F.col("prediction")
+    t = F.col("timestamp")
+    return r.select(
+        "event_id",
+        FF.clamp(v, 0.0, 100.0).alias("clamped"),
+        FF.round_to(v / F.lit(7.0), 3).alias("rounded"),
+        r6(FF.magnitude(v, k0, p)).alias("magnitude"),
+        r6(FF.rms_with_bias(p, k0 / F.lit(100.0), F.col("phase"))).alias("rms_bias"),
+        FF.tracking_error(v, k0).alias("tracking"),
+        r6(FF.overshoot(k0 / F.lit(10.0), v / F.lit(10.0))).alias("overshoot"),
+        FF.remaining_lag_ms(t + k0 / F.lit(10.0), t).alias("lag_ms"),
+        FF.stability_label((v - F.lit(50.0)) / F.lit(100.0)).alias("stability"),
+        FF.motion_label(v > 100, k0 < 10).alias("motion"),
+        L.acceptance_box(r, {"value": (1, 100), "k": (5, 95)}).alias("accepted"),
+    )
+
+
+# --------------------------------------------------------------------------
+# Detectors (DET2-DET8)
+# --------------------------------------------------------------------------
+def _frame(n: int) -> str:
+    return f"{O.SEQ} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+
+
+def _rolling_sql() -> str:
+    lag = lambda c, i: f"lag({c}, {i}) OVER ({O.SEQ})"
+    rises = []
+    for c in ("value", "k"):
+        for i in range(3):
+            cur = lag(c, i) if i else c
+            rises.append(f"({cur} > {lag(c, i + 1)})")
+    together = " AND ".join(rises)
+    return O.with_readings(f"""
+SELECT event_id, round(roll_std, 6) AS roll_std, round(roll_corr, 6) AS roll_corr,
+       round(swing, 6) AS swing, rising_together,
+       cnt >= 5 AND coalesce(roll_std > 35.0, false) AS noisy,
+       cnt >= 5 AND coalesce(roll_corr < 0.2, false) AS decorrelated,
+       cnt >= 5 AND coalesce(swing > 150.0, false) AS oscillating
+FROM (SELECT event_id,
+             stddev_samp(value) OVER ({_frame(5)}) AS roll_std,
+             covar_samp(xv, xk) OVER ({_frame(5)})
+               / nullif(stddev_samp(xv) OVER ({_frame(5)}) * stddev_samp(xk) OVER ({_frame(5)}), 0.0)
+               AS roll_corr,
+             max(value) OVER ({_frame(5)}) - min(value) OVER ({_frame(5)}) AS swing,
+             coalesce({together}, false) AS rising_together,
+             count(value) OVER ({_frame(5)}) AS cnt
+      FROM (SELECT *, CASE WHEN k IS NOT NULL THEN value END AS xv,
+                      CASE WHEN value IS NOT NULL THEN k END AS xk FROM readings))""")
+
+
+@register("rolling_detectors", _rolling_sql())
+def rolling_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DET6-DET8: rolling 5-reading stddev, correlation, swing, co-rising channels."""
+    out = DT.rolling(_seq(spark, sf_dir), "value", "k", 5)
+    return out.select("event_id", r6("roll_std").alias("roll_std"), r6("roll_corr").alias("roll_corr"),
+                      r6("swing").alias("swing"), "rising_together", "noisy", "decorrelated",
+                      "oscillating")
+
+
+def _flip_sql(big: float) -> str:
+    lag = lambda i: f"lag(value, {i}) OVER ({O.SEQ})"
+    d0, d1, d2 = f"(value - {lag(1)})", f"({lag(1)} - {lag(2)})", f"({lag(2)} - {lag(3)})"
+    flip = lambda a, b: (f"coalesce(abs({a}) > {big!r} AND abs({b}) > {big!r} "
+                         f"AND sign({a}) = -sign({b}), false)")
+    return O.with_readings(f"SELECT event_id, {flip(d0, d1)} OR {flip(d0, d2)} AS sign_flip FROM readings")
+
+
+@register("sign_flips", _flip_sql(100.0))
+def sign_flips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DET5: large swings from positive to negative (or back) within 2 steps."""
+    return DT.sign_flips(_seq(spark, sf_dir), "value", 100.0).select("event_id", "sign_flip")
+
+
+@register("frozen_runs", O.with_readings(f"""
+SELECT event_id, seq - brk AS frozen_len, seq - brk >= 3 AS frozen,
+       seq - coalesce(brk2, 0) AS high_len, seq - coalesce(brk2, 0) > 3 AS high
+FROM (SELECT *, max(CASE WHEN NOT still THEN seq END)
+                  OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS brk,
+                max(CASE WHEN NOT c THEN seq END)
+                  OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS brk2
+      FROM (SELECT *, coalesce(abs(k - lag(k) OVER ({O.SEQ})) < 0.01, false)
+                        AND coalesce(value > 5, false) AS still,
+                   coalesce(prediction > 1.0, false) AS c,
+                   row_number() OVER ({O.SEQ}) AS seq
+            FROM readings))"""))
+def frozen_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DET2-DET4: frozen channel (|Δk| < 0.01 while value > 5) for 3+ steps, and a
+    persistently high score (> 1.0 for more than 3 readings)."""
+    out = DT.frozen_runs(_seq(spark, sf_dir), "k", 0.01, F.col("value") > 5, 3)
+    out = DT.persistent(out, F.col("prediction") > 1.0, 3, "high")
+    return out.select("event_id", "frozen_len", "frozen", "high_len", "high")
+
+
+# --------------------------------------------------------------------------
+# Labelled degradation (AUG1-AUG10) and detector evaluation
+# --------------------------------------------------------------------------
+def _curves() -> dict:
+    p = F.col("p")
+    return {"click": AU.ramp(p), "error": AU.power(p), "purchase": AU.sigmoid(p, 8.0, 0.4),
+            "signup": AU.saturating(p, 4.0), "view": AU.root(p) * AU.decay_after(p)}
+
+
+def _curves_sql() -> str:
+    return ("CASE sensor WHEN 'click' THEN p WHEN 'error' THEN pow(p, 1.4) "
+            "WHEN 'purchase' THEN 1.0 / (1.0 + exp(-8.0 * (p - 0.4))) "
+            "WHEN 'signup' THEN 1.0 - exp(-4.0 * p) "
+            "WHEN 'view' THEN sqrt(p) * (CASE WHEN p < 0.8 THEN 1.0 ELSE exp(-5.0 * (p - 0.8)) END) "
+            "ELSE p END")
+
+
+def augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = T.readings(spark, sf_dir)
+    return AU.degrade(r, _curves(), AU.fault_spec(r), "value", "k", "prediction")
+
+
+_AUG_CTES = [
+    """spec AS (SELECT asset_id, sensor, min("timestamp") + 864000.0 AS start, 864000.0 AS duration
+           FROM readings GROUP BY asset_id, sensor)""",
+    """base AS (
+  SELECT r.*, s.start, s.duration, ("timestamp" - s.start) AS elapsed,
+         coalesce("timestamp" - s.start >= 0, false) AS started,
+         CASE WHEN coalesce("timestamp" - s.start >= 0, false)
+              THEN least(("timestamp" - s.start) / s.duration, 1.0) ELSE 0.0 END AS p
+  FROM readings r LEFT JOIN spec s USING (asset_id, sensor))""",
+    """lck AS (SELECT asset_id, sensor, first(k ORDER BY ts, event_id) AS lock_k
+          FROM base WHERE started AND p >= 0.7 GROUP BY asset_id, sensor)""",
+    f"""aug AS (
+  SELECT b.*,
+         value * (1.0 + 0.5 * ({_curves_sql()}))
+           + CASE WHEN started THEN (CASE WHEN elapsed / 86400.0 >= (duration / 86400.0) * 0.5
+                                          THEN 0.5 * (elapsed / 86400.0 - (duration / 86400.0) * 0.5)
+                                          ELSE 0.0 END) ELSE 0.0 END AS x_degraded,
+         CASE WHEN started AND p >= 0.7 THEN l.lock_k ELSE k END AS frozen_degraded,
+         CASE WHEN started THEN prediction * (1.0 - least(greatest((p - 0.7) / 0.1, 0.0), 1.0))
+                                + 1.0 * least(greatest((p - 0.7) / 0.1, 0.0), 1.0)
+              ELSE prediction END AS score_degraded,
+         CASE WHEN NOT started THEN 'healthy' WHEN p < 0.3 THEN 'incipient'
+              WHEN p < 0.7 THEN 'developing' ELSE 'critical' END AS stage,
+         started AND p > 0 AS is_degraded
+  FROM base b LEFT JOIN lck l USING (asset_id, sensor))"""]
+
+
+@register("augment_degradation", O.with_readings("""
+SELECT event_id, round(p, 6) AS p, round(x_degraded, 6) AS x_degraded, frozen_degraded,
+       round(score_degraded, 6) AS score_degraded, stage, is_degraded
+FROM aug""", *_AUG_CTES))
+def augment_degradation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUG1-AUG10: degraded copy of every reading with curve, drift, freeze,
+    blend and stage label."""
+    a = augmented(spark, sf_dir)
+    return a.select("event_id", r6("p").alias("p"), r6("x_degraded").alias("x_degraded"),
+                    "frozen_degraded", r6("score_degraded").alias("score_degraded"), "stage",
+                    "is_degraded")
+
+
+def _eval_sql() -> str:
+    hi = ("(CASE phase " + " ".join(f"WHEN '{p}' THEN {O.dbl(v['value'][1])}"
+                                    for p, v in S.EVENT_PHASE_LIMITS.items()) + " END)")
+    return O.with_readings(f"""
+SELECT sensor,
+       count(*) FILTER (WHERE det AND is_degraded) AS tp,
+       count(*) FILTER (WHERE det AND NOT is_degraded) AS fp,
+       count(*) FILTER (WHERE NOT det AND is_degraded) AS fn,
+       count(*) FILTER (WHERE NOT det AND NOT is_degraded) AS tn,
+       round(CAST(count(*) FILTER (WHERE det AND is_degraded) AS DOUBLE)
+             / nullif(count(*) FILTER (WHERE det), 0), 6) AS "precision",
+       round(CAST(count(*) FILTER (WHERE det AND is_degraded) AS DOUBLE)
+             / nullif(count(*) FILTER (WHERE is_degraded), 0), 6) AS recall
+FROM (SELECT *, coalesce(x_degraded > {hi}, false)
+                 OR coalesce(score_degraded > {O.threshold_case()}, false) AS det FROM aug)
+GROUP BY sensor""", *_AUG_CTES)
+
+
+@register("detector_eval", _eval_sql())
+def detector_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation: range + threshold detectors on degraded data against the
+    degradation labels, per sensor (precision / recall)."""
+    a = augmented(spark, sf_dir)
+    hi = F.element_at(S.as_map_literal({p: v["value"][1] for p, v in S.EVENT_PHASE_LIMITS.items()}),
+                      F.col("phase"))
+    from ..sources.telemetry import threshold_of
+    det = (F.coalesce(F.col("x_degraded") > hi, F.lit(False))
+           | F.coalesce(F.col("score_degraded") > threshold_of(F.col("sensor")), F.lit(False)))
+    a = a.withColumn("det", det)
+    cnt = lambda c: F.count(F.when(c, 1))
+    tp, fp = cnt(F.col("det") & F.col("is_degraded")), cnt(F.col("det") & ~F.col("is_degraded"))
+    fn, tn = cnt(~F.col("det") & F.col("is_degraded")), cnt(~F.col("det") & ~F.col("is_degraded"))
+    out = a.groupBy("sensor").agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"))
+    return out.select("sensor", "tp", "fp", "fn", "tn",
+                      r6(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))).alias("precision"),
+                      r6(F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0))).alias("recall"))
