@@ -906,3 +906,77 @@ def detector_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("sensor", "tp", "fp", "fn", "tn",
                       r6(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0))).alias("precision"),
                       r6(F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0))).alias("recall"))
+
+
+# --------------------------------------------------------------------------
+# Streaming (SRC1, SNK1-SNK7, STR1-STR11) — each runs a real stream with
+# ``availableNow`` over messages Spark derives from the events table.
+# --------------------------------------------------------------------------
+from ..sources import files as FS  # noqa: E402
+from ..streaming import pipeline as P  # noqa: E402
+
+
+def _stream_input(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, str]:
+    paths = P.stream_paths(spark, kind)
+    r = T.readings(spark, sf_dir)
+    r.select(T.envelope_json(r).alias("value")).write.text(paths["input"])
+    return paths
+
+
+@register("stream_window_closed", O.with_readings(f"""
+SELECT {O.fmt_ts("time_bucket(INTERVAL '5 seconds', ts)")} AS "timestamp", sensor, phase,
+       max(value) AS value, max(k) AS k, round(max(prediction), 6) AS score,
+       bool_or(is_anomaly) AS is_anomaly
+FROM readings
+WHERE time_bucket(INTERVAL '5 seconds', ts) + INTERVAL 5 SECOND
+      <= (SELECT max(ts) FROM readings) - INTERVAL 2 SECOND
+GROUP BY ALL"""))
+def stream_window_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1 + STR1-STR3 + STR5 + STR8 + SNK4: file stream -> decode -> 2 s
+    watermark -> 5 s windows -> parquet (append: closed windows only)."""
+    paths = _stream_input(spark, sf_dir, "monitoring")
+    tel, _ = P.decoded(FS.telemetry_stream(spark, "text", paths["input"]))
+    q = P.start_parquet(P.monitoring_rows(tel), paths["out"], f"{paths['ckpt']}/monitoring",
+                        "monitoring", trigger={"availableNow": True})
+    P.run_available([q])
+    out = spark.read.parquet(paths["out"])
+    return out.select(fmt("timestamp").alias("timestamp"), "sensor", "phase", "value", "k",
+                      r6("score").alias("score"), "is_anomaly")
+
+
+@register("stream_scored", _model_sql(_numbered(_READ_SEQ)))
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR6 + STR11 + SNK1 + SNK2: file stream -> decode -> keyed-state model
+    (transformWithStateInPandas) -> foreachBatch fan-out to scored and alert sinks."""
+    paths = _stream_input(spark, sf_dir, "scoring")
+    tel, _ = P.decoded(FS.telemetry_stream(spark, "text", paths["input"]))
+    scored = P.scored_stream(tel)
+    q = (scored.writeStream.queryName("scoring")
+               .option("checkpointLocation", f"{paths['ckpt']}/scoring")
+               .foreachBatch(P.fan_out_writer(paths["out"]))
+               .trigger(availableNow=True).start())
+    P.run_available([q])
+    return _model_out(spark.read.parquet(f"{paths['out']}/scored"))
+
+
+@register("json_log_roundtrip", O.with_readings(
+    "SELECT event_id, sensor, value, k FROM readings"))
+def json_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK7: readings appended as NDJSON per sensor, read back with the sensor
+    restored from the folder name."""
+    path = P.stream_paths(spark, "logs")["out"]
+    r = T.readings(spark, sf_dir)
+    FS.append_logs(r.select("event_id", "sensor", "timestamp", "value", "k"), path)
+    back = FS.read_appended_logs(spark, path, "event_id long, timestamp double, value double, "
+                                              "k double, sensor string")
+    return back.select("event_id", "sensor", "value", "k")
+
+
+@register("udf_scored_alerts", O.with_readings("""
+SELECT event_id, sensor, round(value / 100.0, 6) AS udf_score FROM readings
+WHERE value / 100.0 > 0.8"""))
+def udf_scored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK6 / UDF1 + FIL1: an Arrow-batched user scorer, then the 0.8 cut-off."""
+    scored = P.udf_scorer(T.readings(spark, sf_dir), lambda pdf: pdf["value"] / 100.0, ["value"])
+    return L.global_alerts(scored, 0.8, "udf_score").select(
+        "event_id", "sensor", r6("udf_score").alias("udf_score"))
