@@ -26,10 +26,14 @@ def parse_envelope(df: DataFrame, envelope=S.ENVELOPE, col: str = "json_str",
 
     PERMISSIVE parsing: a malformed line gives a row of NULLs. Declare only the
     envelope fields a job needs; the parser then skips the rest.
+
+    The struct is produced by a one-element ``inline`` generator: a later
+    filter on the parsed fields (the dead-letter split) cannot be pushed below
+    a generator, so each message is parsed once instead of once per use.
     """
-    parsed = F.from_json(F.col(col), envelope).alias("data")
-    cols = [parsed] + ([F.col(col)] if keep_raw else [])
-    return df.select(*cols).select("data.*", *([col] if keep_raw else []))
+    parsed = F.from_json(F.col(col), envelope).alias("_env")
+    gen = F.inline(F.array(F.struct(parsed, *([F.col(col)] if keep_raw else []))))
+    return df.select(gen).select("_env.*", *([col] if keep_raw else []))
 
 
 def payload_map(value: Column) -> Column:
@@ -120,7 +124,10 @@ def decode_stream(records: DataFrame, key_map: dict[str, str] | None = None,
     spec = spec if spec is not None else event_feature_spec()
     key_map = key_map if key_map is not None else S.EVENT_KEY_MAP
     env = parse_envelope(record_text(records), keep_raw=True)
-    m = scalar_payload(F.col("value"), payload_map(F.col("value")))
+    # The payload map is materialised as its own column (parsed once) and then
+    # read by the feature map and every flattened column.
+    env = env.withColumn("_m", scalar_payload(F.col("value"), payload_map(F.col("value"))))
+    m = F.col("_m")
     return env.select(
         "json_str", "event_id", "asset_id",
         normalise_sensor(F.col("sensor")).alias("sensor"),

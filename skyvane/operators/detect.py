@@ -85,8 +85,7 @@ def frozen_runs(df: DataFrame, x: str, eps: float, while_cond: Column | None = N
     b = W.bounded(b, 1, lambda w: {
         "_still": F.coalesce(F.abs(F.col(x) - F.lag(x, 1).over(w)) < eps, F.lit(False))
                   & F.col("_cond")}, keys, order)
-    b = W.sequence_number(b, keys, order)
-    b = W.carry_last(b, F.when(~F.col("_still"), F.col("seq")), "_brk", keys, order)
+    b = W.scan(b, last_pos={"_brk": ~F.col("_still")}, keys=keys, order=order)
     run = F.col("seq") - F.col("_brk")
     return (b.withColumn("frozen_len", run)
              .withColumn("frozen", run >= min_ticks)
@@ -98,8 +97,7 @@ def persistent(df: DataFrame, cond: Column, min_ticks: int, name: str,
     """DET4/DET5/DET7: ``cond`` true for more than ``min_ticks`` consecutive
     readings (e.g. SNR < 19 for > 3 ticks, lag > 800 ms persistently)."""
     b = df.withColumn("_c", F.coalesce(cond, F.lit(False)))
-    b = W.sequence_number(b, keys, order)
-    b = W.carry_last(b, F.when(~F.col("_c"), F.col("seq")), "_brk", keys, order)
+    b = W.scan(b, last_pos={"_brk": ~F.col("_c")}, keys=keys, order=order)
     run = F.col("seq") - F.coalesce(F.col("_brk"), F.lit(0))
     return (b.withColumn(f"{name}_len", run)
              .withColumn(name, run > min_ticks)

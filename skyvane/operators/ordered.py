@@ -9,8 +9,9 @@ key alone. Rows are split into (key, time bucket) partitions and stitched:
   first rows see the same n predecessors as in one long sequence; halo rows
   are dropped after the window pass;
 * unbounded look-back (running sums, "last non-null", islands): a two-level
-  scan. Per-bucket summaries (one row per key and bucket) get a prefix over
-  buckets, which is joined back and combined with the in-bucket running value.
+  :func:`scan`. One window pass gives in-bucket running values; the values at
+  each bucket's last row (one row per key and bucket) get a prefix over the
+  key's buckets, joined back once and combined with the in-bucket value.
 
 Both give exactly the single-sequence result; parallelism is the number of
 (key, bucket) pairs instead of the number of keys.
@@ -44,18 +45,21 @@ def halo_frame(df: DataFrame, n: int, keys: Sequence[str] = KEYS,
     """Rows of ``df`` (``_halo`` false) plus, for each (key, bucket), the last
     ``n`` rows of each of the ``n`` preceding non-empty buckets relabelled to
     it (``_halo`` true). ``df`` must carry :data:`BUCKET`."""
-    buckets = df.select(*keys, BUCKET).distinct().withColumn(
-        "_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(BUCKET)))
+    # Top-n per (key, bucket): Spark applies the limit per partition before
+    # the shuffle, so only <= n rows per bucket and input split move.
     desc = Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c).desc() for c in order])
-    tails = (df.withColumn("_rn", F.row_number().over(desc)).filter(F.col("_rn") <= n)
-               .drop("_rn")
-               .join(buckets, [*keys, BUCKET])
-               .withColumn("_off", F.explode(F.sequence(F.lit(1), F.lit(n))))
-               .withColumn("_rank", F.col("_rank") + F.col("_off"))
-               .drop(BUCKET, "_off")
-               .join(buckets, [*keys, "_rank"])
-               .drop("_rank")
-               .withColumn("_halo", F.lit(True)))
+    tail = df.withColumn("_rn", F.row_number().over(desc)).filter(F.col("_rn") <= n).drop("_rn")
+    # Every non-empty bucket has a tail, so the bucket list comes from the
+    # (small) tails instead of another pass over the data.
+    buckets = tail.select(*keys, BUCKET).distinct().withColumn(
+        "_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(BUCKET)))
+    tails = (tail.join(buckets, [*keys, BUCKET])
+                 .withColumn("_off", F.explode(F.sequence(F.lit(1), F.lit(n))))
+                 .withColumn("_rank", F.col("_rank") + F.col("_off"))
+                 .drop(BUCKET, "_off")
+                 .join(buckets, [*keys, "_rank"])
+                 .drop("_rank")
+                 .withColumn("_halo", F.lit(True)))
     return df.withColumn("_halo", F.lit(False)).unionByName(tails)
 
 
@@ -70,40 +74,50 @@ def bounded(df: DataFrame, n: int, build: Callable[[Window], dict[str, Column]],
             .filter(~F.col("_halo")).drop("_halo")
 
 
-def carry_sum(df: DataFrame, col: Column, name: str, keys: Sequence[str] = KEYS,
-              order: Sequence[str] = ORDER) -> DataFrame:
-    """Running sum of ``col`` over each key's whole sequence (two-level scan)."""
-    w = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_v", col).withColumn("_local", F.sum("_v").over(w))
-    per_bucket = local.groupBy(*keys, BUCKET).agg(F.sum("_v").alias("_tot"))
-    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, BUCKET, F.coalesce(F.sum("_tot").over(wb), F.lit(0))
-                              .alias("_carry"))
-    return (local.join(carry, [*keys, BUCKET], "left")
-                 .withColumn(name, F.col("_local") + F.col("_carry"))
-                 .drop("_v", "_local", "_carry"))
+def scan(df: DataFrame, sums: dict[str, Column] | None = None,
+         lasts: dict[str, Column] | None = None, last_pos: dict[str, Column] | None = None,
+         keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
+    """Two-level scan over each key's whole sequence, in one window pass.
 
+    Adds ``seq`` (global 1-based position) and, per entry:
 
-def carry_last(df: DataFrame, col: Column, name: str, keys: Sequence[str] = KEYS,
-               order: Sequence[str] = ORDER) -> DataFrame:
-    """Last non-null value of ``col`` up to each row over the key's whole
-    sequence (two-level scan)."""
-    w = _w(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_v", col).withColumn("_local", F.last("_v", ignorenulls=True).over(w))
-    ordkey = F.struct(*[F.col(c) for c in order])
-    per_bucket = (local.filter(F.col("_v").isNotNull())
-                       .groupBy(*keys, BUCKET).agg(F.max_by("_v", ordkey).alias("_blast")))
-    # Carry-in of bucket b: the last summary among the key's buckets before b.
-    # Buckets without any non-null value have no summary, so the prefix runs
-    # over the full (small) bucket table.
-    wb = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry_all = (df.select(*keys, BUCKET).distinct()
-                   .join(per_bucket, [*keys, BUCKET], "left")
-                   .select(*keys, BUCKET,
-                           F.last("_blast", ignorenulls=True).over(wb).alias("_carry")))
-    return (local.join(carry_all, [*keys, BUCKET], "left")
-                 .withColumn(name, F.coalesce(F.col("_local"), F.col("_carry")))
-                 .drop("_v", "_local", "_carry"))
+    * ``sums[name]``: running sum of the expression (NULL counts as 0);
+    * ``lasts[name]``: last non-null value of the expression up to the row;
+    * ``last_pos[name]``: ``seq`` of the latest row up to this one where the
+      condition holds (NULL if none).
+
+    In-bucket running values come from one window pass over (key, bucket).
+    The values at each bucket's last row summarise it (one row per key and
+    bucket); a prefix over the key's buckets gives each bucket's carry-in,
+    joined back once on (key, bucket).
+    """
+    sums, lasts, last_pos = sums or {}, lasts or {}, last_pos or {}
+    w = _w(keys, order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = df.withColumn("_lrn", F.row_number().over(w))
+    local = ([F.sum(e).over(run).alias(f"_s_{n}") for n, e in sums.items()]
+             + [F.last(e, ignorenulls=True).over(run).alias(f"_l_{n}") for n, e in lasts.items()]
+             + [F.max(F.when(c, F.col("_lrn"))).over(run).alias(f"_p_{n}")
+                for n, c in last_pos.items()])
+    d = d.select("*", *local)
+    carried = ([f"_s_{n}" for n in sums] + [f"_l_{n}" for n in lasts] + [f"_p_{n}" for n in last_pos])
+    summary = d.groupBy(*keys, BUCKET).agg(
+        F.max("_lrn").alias("_cnt"), *[F.max_by(c, "_lrn").alias(c) for c in carried])
+    prev = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumn("_off", F.coalesce(F.sum("_cnt").over(prev), F.lit(0)))
+    carry = summary.select(
+        *keys, BUCKET, "_off",
+        *[F.coalesce(F.sum(f"_s_{n}").over(prev), F.lit(0)).alias(f"_cs_{n}") for n in sums],
+        *[F.last(f"_l_{n}", ignorenulls=True).over(prev).alias(f"_cl_{n}") for n in lasts],
+        *[F.last(F.col("_off") + F.col(f"_p_{n}"), ignorenulls=True).over(prev).alias(f"_cp_{n}")
+          for n in last_pos])
+    j = d.join(carry, [*keys, BUCKET], "left")
+    out = [(F.col("_off") + F.col("_lrn")).alias("seq")]
+    out += [(F.col(f"_cs_{n}") + F.coalesce(F.col(f"_s_{n}"), F.lit(0))).alias(n) for n in sums]
+    out += [F.coalesce(F.col(f"_l_{n}"), F.col(f"_cl_{n}")).alias(n) for n in lasts]
+    out += [F.coalesce(F.col("_off") + F.col(f"_p_{n}"), F.col(f"_cp_{n}")).alias(n)
+            for n in last_pos]
+    return j.select(*df.columns, *out)
 
 
 # --------------------------------------------------------------------------
@@ -244,12 +258,6 @@ def phase_transition(w: Window, phase: str = "phase") -> dict[str, Column]:
 # --------------------------------------------------------------------------
 # Unbounded look-back operators (islands)
 # --------------------------------------------------------------------------
-def sequence_number(df: DataFrame, keys: Sequence[str] = KEYS,
-                    order: Sequence[str] = ORDER) -> DataFrame:
-    """Global 1-based position of each row in its key's sequence (``seq``)."""
-    return carry_sum(df, F.lit(1), "seq", keys, order)
-
-
 def phase_runs(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
     """WIN7 + WIN8: transitions, run id and the reading number within the
     current phase run (resets to 1 at every phase change)."""
@@ -257,9 +265,8 @@ def phase_runs(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] =
         **phase_transition(w),
         "_start": F.coalesce(F.lag("phase", 1).over(w) != F.col("phase"), F.lit(True))},
         keys, order)
-    b = sequence_number(b, keys, order)
-    b = carry_sum(b, F.col("_start").cast("long"), "run_id", keys, order)
-    b = carry_last(b, F.when(F.col("_start"), F.col("seq")), "_run_seq", keys, order)
+    b = scan(b, sums={"run_id": F.col("_start").cast("long")},
+             last_pos={"_run_seq": F.col("_start")}, keys=keys, order=order)
     return b.withColumn("reading_in_run", F.col("seq") - F.col("_run_seq") + 1) \
             .drop("_start", "_run_seq")
 
@@ -271,8 +278,7 @@ def plateau_runs(df: DataFrame, x: str = "value", eps: float = 0.01, every: int
     b = bounded(df, 1, lambda w: {
         "_plateau": F.coalesce(F.abs(F.col(x) - F.lag(x, 1).over(w)) < eps, F.lit(False))},
         keys, order)
-    b = sequence_number(b, keys, order)
-    b = carry_last(b, F.when(~F.col("_plateau"), F.col("seq")), "_brk", keys, order)
+    b = scan(b, last_pos={"_brk": ~F.col("_plateau")}, keys=keys, order=order)
     run = F.col("seq") - F.col("_brk")
     return (b.withColumn("plateau_len", run)
              .withColumn("plateau_count", run % every)
@@ -289,11 +295,11 @@ def held_condition(df: DataFrame, cond: Column, min_seconds: float,
     b = bounded(d, 1, lambda w: {
         "_enter": F.col("_c") & F.coalesce(~F.lag("_c", 1).over(w), F.lit(True))},
         keys, order)
-    b = carry_last(b, F.when(F.col("_enter"), F.col(time_col)), "_since", keys, order)
+    b = scan(b, lasts={"_since": F.when(F.col("_enter"), F.col(time_col))}, keys=keys, order=order)
     held = F.when(F.col("_c"), F.col(time_col) - F.col("_since"))
     return (b.withColumn("held_s", held)
              .withColumn("stalled", F.coalesce(held > F.lit(min_seconds), F.lit(False)))
-             .drop("_c", "_enter", "_since"))
+             .drop("_c", "_enter", "_since", "seq"))
 
 
 def hysteresis(df: DataFrame, set_cond: Column, reset_cond: Column, name: str = "latched",
@@ -302,8 +308,9 @@ def hysteresis(df: DataFrame, set_cond: Column, reset_cond: Column, name: str =
     (tested only when the set condition is false); off before any event."""
     ev = F.when(F.coalesce(set_cond, F.lit(False)), F.lit(1)) \
           .when(F.coalesce(reset_cond, F.lit(False)), F.lit(0))
-    b = carry_last(df, ev, "_latch", keys, order)
-    return b.withColumn(name, F.coalesce(F.col("_latch") == 1, F.lit(False))).drop("_latch")
+    b = scan(df, lasts={"_latch": ev}, keys=keys, order=order)
+    return b.withColumn(name, F.coalesce(F.col("_latch") == 1, F.lit(False))) \
+            .drop("_latch", "seq")
 
 
 def change_events(df: DataFrame, x: str = "value", min_delta: float = 0.1, keep: int = 10,

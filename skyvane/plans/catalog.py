@@ -232,8 +232,13 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..operators import ordered as W  # noqa: E402
 
 
+# Time grain that splits each (asset, sensor) sequence into independent
+# partitions; results do not depend on it, only parallelism does.
+SEQ_GRAIN = "week"
+
+
 def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.with_bucket(T.readings(spark, sf_dir))
+    return W.with_bucket(T.readings(spark, sf_dir), SEQ_GRAIN)
 
 
 @register("moving_avg", O.with_readings(f"""
