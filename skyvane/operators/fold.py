@@ -41,51 +41,77 @@ class Fold:
     passthrough: Sequence[str] = field(default_factory=tuple)
 
 
+def key_groups(pdf: pd.DataFrame, keys: Sequence[str]):
+    """Group structure of a key-sorted frame: (group id per row, first row of
+    each group, position of each row within its group)."""
+    n = len(pdf)
+    change = np.zeros(n, dtype=bool)
+    change[0] = True
+    for k in keys:
+        kc = pdf[k].to_numpy()
+        change[1:] |= kc[1:] != kc[:-1]
+    gid = np.cumsum(change) - 1
+    starts = np.flatnonzero(change)
+    return gid, starts, np.arange(n) - starts[gid]
+
+
+def fold_frame(pdf: pd.DataFrame, keys: Sequence[str], fold: Fold,
+               init: dict[str, np.ndarray] | None = None):
+    """Fold every key group of a key-sorted frame, vectorised across groups.
+
+    ``init`` gives each group's initial state (arrays of length #groups);
+    by default the fold's initial values. Returns (per-row outputs, final
+    state per group, group start rows).
+    """
+    n = len(pdf)
+    gid, starts, pos = key_groups(pdf, keys)
+    n_groups = len(starts)
+    state = ({f: np.array(init[f], dtype=float, copy=True) for f in fold.state} if init is not None
+             else {f: np.full(n_groups, v, dtype=float) for f, v in fold.state.items()})
+    xs = {c: pdf[c].to_numpy(dtype=float, na_value=np.nan) for c in fold.inputs}
+    outs = {o: np.full(n, np.nan) for o in fold.outputs}
+    by_pos = np.argsort(pos, kind="stable")
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(pos))])
+    for p in range(len(bounds) - 1):
+        rows = by_pos[bounds[p]:bounds[p + 1]]
+        g = gid[rows]
+        new, out = fold.step({f: a[g] for f, a in state.items()},
+                             {c: xs[c][rows] for c in fold.inputs})
+        for f, a in new.items():
+            state[f][g] = a
+        for o, a in out.items():
+            outs[o][rows] = a
+    return outs, state, starts
+
+
+def output_frame(pdf: pd.DataFrame, cols: Sequence[str], fold: Fold, outs: dict) -> pd.DataFrame:
+    res = pdf[list(cols)].copy()
+    for o, t in fold.outputs.items():
+        vals = outs[o]
+        if t == "boolean":
+            res[o] = pd.array(np.where(np.isnan(vals), None, vals == 1.0), dtype="boolean")
+        else:
+            res[o] = vals
+    return res
+
+
 def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold) -> Iterator[pd.DataFrame]:
     carry_key = None
     carry: dict[str, float] | None = None
     for pdf in batches:
-        n = len(pdf)
-        if n == 0:
+        if len(pdf) == 0:
             continue
-        kcols = [pdf[k].to_numpy() for k in keys]
-        change = np.zeros(n, dtype=bool)
-        change[0] = True
-        for kc in kcols:
-            change[1:] |= kc[1:] != kc[:-1]
-        gid = np.cumsum(change) - 1
-        n_groups = int(gid[-1]) + 1
-        starts = np.flatnonzero(change)
-        pos = np.arange(n) - starts[gid]
-        state = {f: np.full(n_groups, v, dtype=float) for f, v in fold.state.items()}
-        first_key = tuple(kc[0] for kc in kcols)
+        first_key = tuple(pdf[k].iloc[0] for k in keys)
+        init = None
         if carry is not None and first_key == carry_key:
-            for f in state:
-                state[f][0] = carry[f]
-        xs = {c: pdf[c].to_numpy(dtype=float, na_value=np.nan) for c in fold.inputs}
-        outs = {o: np.full(n, np.nan) for o in fold.outputs}
-        by_pos = np.argsort(pos, kind="stable")
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(pos))])
-        for p in range(len(bounds) - 1):
-            rows = by_pos[bounds[p]:bounds[p + 1]]
-            g = gid[rows]
-            st = {f: a[g] for f, a in state.items()}
-            x = {c: xs[c][rows] for c in fold.inputs}
-            new, out = fold.step(st, x)
-            for f, a in new.items():
-                state[f][g] = a
-            for o, a in out.items():
-                outs[o][rows] = a
-        carry_key = tuple(kc[-1] for kc in kcols)
+            n_groups = len(key_groups(pdf, keys)[1])
+            init = {f: np.full(n_groups, v, dtype=float) for f, v in fold.state.items()}
+            for f in init:
+                init[f][0] = carry[f]
+        outs, state, _ = fold_frame(pdf, keys, fold, init)
+        carry_key = tuple(pdf[k].iloc[-1] for k in keys)
         carry = {f: float(a[-1]) for f, a in state.items()}
-        res = pdf[[*keys, *fold.passthrough]].copy()
-        for o, t in fold.outputs.items():
-            vals = outs[o]
-            if t == "boolean":
-                res[o] = pd.array(np.where(np.isnan(vals), None, vals == 1.0), dtype="boolean")
-            else:
-                res[o] = vals
-        yield res
+        yield output_frame(pdf, [*keys, *fold.passthrough], fold, outs)
 
 
 def sorted_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold,

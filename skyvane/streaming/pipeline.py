@@ -103,18 +103,17 @@ def update_batch_writer(target: str, allowed: DataFrame, sensors: DataFrame, cap
 
 
 def fan_out_writer(base: str) -> Callable[[DataFrame, int], None]:
-    """SNK1 + SNK2 in one ``foreachBatch``: the scored batch is cached once and
-    written as scored readings and as alerts (flagged rows only)."""
+    """SNK1 + SNK2 in one ``foreachBatch``: the scored batch is written once;
+    the alerts are read back from that written table (durable, so the model
+    never runs twice and a lost executor only re-reads files)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()
-        try:
-            batch.write.mode("overwrite").parquet(f"{base}/scored/batch={epoch_id}")
-            alerts = batch.filter(F.col("kind") == M.READING).filter(F.col("is_anomaly")).select(
-                "event_id", "asset_id", "sensor", "phase", "score",
-                F.concat(F.lit("Anomaly detected in "), F.col("sensor")).alias("message"))
-            alerts.write.mode("overwrite").parquet(f"{base}/alerts/batch={epoch_id}")
-        finally:
-            batch.unpersist()
+        scored_path = f"{base}/scored/batch={epoch_id}"
+        batch.write.mode("overwrite").parquet(scored_path)
+        scored = batch.sparkSession.read.parquet(scored_path)
+        alerts = scored.filter(F.col("kind") == M.READING).filter(F.col("is_anomaly")).select(
+            "event_id", "asset_id", "sensor", "phase", "score",
+            F.concat(F.lit("Anomaly detected in "), F.col("sensor")).alias("message"))
+        alerts.write.mode("overwrite").parquet(f"{base}/alerts/batch={epoch_id}")
     return run
 
 
@@ -125,7 +124,7 @@ def scored_stream(telemetry: DataFrame, updates: DataFrame | None = None,
     rows = M.model_input(telemetry.withColumn("ts", F.col("event_time")), features)
     if updates is not None:
         rows = rows.unionByName(M.update_input(updates, features))
-    return MS.score_stream(rows, features)
+    return MS.score_stream_sharded(rows, features)
 
 
 def udf_scorer(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.Series],
