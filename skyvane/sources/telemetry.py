@@ -23,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Parallelism floor for CPU-heavy per-row stages (JSON encode/decode).
+
+    A scan with fewer partitions than the cluster's default parallelism (a
+    single small file) is round-robined over the cores; a large input already
+    has more partitions than cores, and this is a no-op for it.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def epoch_seconds(ts: Column) -> Column:
     """Epoch seconds (double) of a TIMESTAMP_NTZ, independent of session zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -93,5 +104,5 @@ def envelope_json(r: DataFrame) -> Column:
 
 def envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as a message bus delivers them: ``value`` is UTF-8 bytes."""
-    r = readings(spark, sf_dir)
+    r = spread(readings(spark, sf_dir))
     return r.select(F.encode(envelope_json(r), "UTF-8").alias("value"))
