@@ -985,3 +985,48 @@ def udf_scored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = P.udf_scorer(T.readings(spark, sf_dir), lambda pdf: pdf["value"] / 100.0, ["value"])
     return L.global_alerts(scored, 0.8, "udf_score").select(
         "event_id", "sensor", r6("udf_score").alias("udf_score"))
+
+
+def _wide_stream_sql() -> str:
+    cols = ", ".join(f"max(CASE WHEN sensor = '{s}' THEN {f} END) AS {s}_{f}"
+                     for s in S.EVENT_SENSORS for f in S.EVENT_FEATURES)
+    return O.with_readings(f"""
+SELECT {O.fmt_ts("time_bucket(INTERVAL '1 second', ts)")} AS "timestamp", {cols},
+       round(max(prediction), 6) AS prediction,
+       CAST(CAST(time_bucket(INTERVAL '1 second', ts) AS DATE) AS VARCHAR) AS "date"
+FROM readings
+WHERE time_bucket(INTERVAL '1 second', ts) + INTERVAL 1 SECOND
+      <= (SELECT max(ts) FROM readings) - INTERVAL 2 SECOND
+GROUP BY 1, time_bucket(INTERVAL '1 second', ts)""")
+
+
+@register("stream_training_set", _wide_stream_sql())
+def stream_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1 + STR1-STR3 + SNK4: 1-second wide training rows from the stream,
+    appended to parquet partitioned by date (closed windows only)."""
+    paths = _stream_input(spark, sf_dir, "training")
+    tel, _ = P.decoded(FS.telemetry_stream(spark, "text", paths["input"]))
+    q = P.start_parquet(P.training_rows(tel), paths["out"], f"{paths['ckpt']}/training",
+                        "training", trigger={"availableNow": True}, partition_by=("date",))
+    P.run_available([q])
+    out = spark.read.parquet(paths["out"])
+    return out.select(fmt("timestamp").alias("timestamp"),
+                      *[f"{s}_{f}" for s in S.EVENT_SENSORS for f in S.EVENT_FEATURES],
+                      r6("prediction").alias("prediction"),
+                      F.col("date").cast("string").alias("date"))
+
+
+@register("stream_monitoring_updates", REGISTRY["window_by_sensor_phase"][1])
+def stream_monitoring_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR4 + STR5 + STR6: 5-second windows in update mode (open windows are
+    emitted too) written per batch; the consumer keeps each window's latest
+    version."""
+    paths = _stream_input(spark, sf_dir, "monitoring-updates")
+    tel, _ = P.decoded(FS.telemetry_stream(spark, "text", paths["input"]))
+    q = (P.monitoring_rows(tel).writeStream.outputMode("update")
+           .option("checkpointLocation", f"{paths['ckpt']}/updates")
+           .foreachBatch(P.upsert_writer(paths["out"])).trigger(availableNow=True).start())
+    P.run_available([q])
+    out = P.latest_versions(spark, paths["out"], ["timestamp", "sensor", "phase"])
+    return out.select(fmt("timestamp").alias("timestamp"), "sensor", "phase", "value", "k",
+                      r6("score").alias("score"), "is_anomaly")

@@ -57,3 +57,12 @@ def update_stream(spark: SparkSession, fmt: str = "text", path: str | None = Non
     raw = telemetry_stream(spark, fmt, path, **options)
     return raw.select(F.from_json(F.col("value").cast("string"), S.UPDATE_MESSAGE).alias("u")) \
               .select("u.*")
+
+
+def merge_feeds(*feeds: DataFrame) -> DataFrame:
+    """SET1: per-sensor feeds with different columns merged into one table
+    (missing columns become NULL)."""
+    out = feeds[0]
+    for f in feeds[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

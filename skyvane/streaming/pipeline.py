@@ -154,3 +154,43 @@ def run_available(queries: Sequence[StreamingQuery], timeout_s: float | None = N
 def stream_paths(spark: SparkSession, kind: str) -> dict[str, str]:
     base = scratch_path(spark, kind)
     return {"base": base, "input": f"{base}/input", "out": f"{base}/out", "ckpt": f"{base}/ckpt"}
+
+
+def upsert_writer(base: str) -> Callable[[DataFrame, int], None]:
+    """STR4 consumer side: update mode re-emits changed windows each trigger;
+    each batch is stored under its id so readers can keep the latest version."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/batch={epoch_id}")
+    return run
+
+
+def latest_versions(spark: SparkSession, base: str, keys: Sequence[str]) -> DataFrame:
+    """Latest emitted version of each window key across update-mode batches."""
+    rows = spark.read.parquet(base)
+    cols = [c for c in rows.columns if c != "batch"]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch")).alias("r"))
+    return latest.select("r.*")
+
+
+def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
+                   trigger: dict | None = None, monitoring: str = "5 seconds",
+                   training: str = "1 second", watermark: str = "2 seconds",
+                   update_cap: int | None = None) -> list[StreamingQuery]:
+    """The whole job on one message source (STR9): decode once, then
+    monitoring rows (update mode -> model-update messages), the training set
+    (append -> parquet by date), scored readings with alerts, and dead letters.
+    Every query has its own checkpoint; returns the started queries (wait with
+    ``spark.streams.awaitAnyTermination()`` or :func:`run_available`)."""
+    tel, dead = decoded(records)
+    qs = []
+    mon = monitoring_rows(tel, monitoring, watermark)
+    qs.append(_writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger)
+              .foreachBatch(update_batch_writer(f"{base}/updates", S.update_feature_table(spark),
+                                                S.sensor_table(spark), update_cap)).start())
+    qs.append(start_parquet(training_rows(tel, training, watermark), f"{base}/training",
+                            f"{base}/ckpt/training", "training", "append", trigger, ("date",)))
+    qs.append(_writer(scored_stream(tel), "scoring", f"{base}/ckpt/scoring", "append", trigger)
+              .foreachBatch(fan_out_writer(f"{base}/scored")).start())
+    qs.append(start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters",
+                            "append", trigger))
+    return qs

@@ -124,3 +124,29 @@ def test_update_json_is_valid(spark):
     msgs = L.update_messages(A.window_rows(r, "1 hour", time_col="ts"), S.update_feature_table(spark))
     js = [json.loads(x["value"]) for x in L.update_json(msgs).limit(5).collect()]
     assert all(set(j) == {"timestamp", "sensor", "score", "is_anomaly", "phase", "features"} for j in js)
+
+
+def test_full_pipeline_runs_all_queries(spark):
+    base = scratch_path(spark, "pipeline")
+    r = T.readings(spark, SF)
+    r.select(T.envelope_json(r).alias("value")).write.text(f"{base}/in")
+    _write_lines(f"{base}/in", "zz-bad.txt", ["{not json"], time.time())
+    records = FS.telemetry_stream(spark, "text", f"{base}/in")
+    qs = P.start_pipeline(spark, records, f"{base}/out", trigger={"availableNow": True})
+    assert len(qs) == 4
+    P.run_available(qs)
+    assert spark.read.text(f"{base}/out/updates").count() > 0
+    assert spark.read.parquet(f"{base}/out/training").select("date").distinct().count() > 1
+    assert spark.read.parquet(f"{base}/out/scored/scored").count() == r.count()
+    dead = spark.read.parquet(f"{base}/out/dead_letters").collect()
+    assert [d["json_str"] for d in dead] == ["{not json"]
+
+
+def test_merge_feeds_aligns_columns(spark):
+    a = spark.createDataFrame([(1.0, 2.0)], "timestamp double, flap_angle double") \
+             .withColumn("sensor", F.lit("flap"))
+    b = spark.createDataFrame([(1.5, 3.0)], "timestamp double, slat_actual double") \
+             .withColumn("sensor", F.lit("slat"))
+    m = FS.merge_feeds(a, b)
+    assert set(m.columns) == {"timestamp", "flap_angle", "slat_actual", "sensor"}
+    assert m.filter(F.col("sensor") == "slat").first()["flap_angle"] is None
