@@ -196,7 +196,8 @@ SELECT event_id, sensor, round(prediction, 6) AS prediction, {O.threshold_case()
 FROM readings WHERE prediction > {O.threshold_case()}"""))
 def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JON1 + FIL2: per-sensor threshold by broadcast join, strict ``>``."""
-    f = L.with_threshold(T.readings(spark, sf_dir), S.threshold_table(spark))
+    r = T.readings(spark, sf_dir).filter(T.score_prefilter(min(S.all_thresholds().values())))
+    f = L.with_threshold(r, S.threshold_table(spark))
     return f.filter("flagged").select("event_id", "sensor", r6("prediction").alias("prediction"),
                                       "threshold")
 
@@ -205,7 +206,7 @@ def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, sensor, round(prediction, 6) AS prediction FROM readings WHERE prediction > 0.8"""))
 def global_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FIL1: one global cut-off (0.8) on the edge score."""
-    g = L.global_alerts(T.readings(spark, sf_dir), 0.8)
+    g = L.global_alerts(T.readings(spark, sf_dir).filter(T.score_prefilter(0.8)), 0.8)
     return g.select("event_id", "sensor", r6("prediction").alias("prediction"))
 
 
@@ -982,7 +983,8 @@ SELECT event_id, sensor, round(value / 100.0, 6) AS udf_score FROM readings
 WHERE value / 100.0 > 0.8"""))
 def udf_scored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK6 / UDF1 + FIL1: an Arrow-batched user scorer, then the 0.8 cut-off."""
-    scored = P.udf_scorer(T.readings(spark, sf_dir), lambda pdf: pdf["value"] / 100.0, ["value"])
+    r = T.readings(spark, sf_dir).filter(T.score_prefilter(0.8)).select("event_id", "sensor", "value")
+    scored = P.udf_scorer(r, lambda pdf: pdf["value"] / 100.0, ["value"])
     return L.global_alerts(scored, 0.8, "udf_score").select(
         "event_id", "sensor", r6("udf_score").alias("udf_score"))
 

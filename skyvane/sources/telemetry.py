@@ -55,6 +55,20 @@ def threshold_of(sensor: Column) -> Column:
                       F.lit(S.DEFAULT_THRESHOLD))
 
 
+def score_prefilter(cutoff: float) -> Column:
+    """A scan-level predicate implied by ``prediction > cutoff``.
+
+    The edge score is ``value / scale``, a computed column Catalyst cannot push
+    into parquet. ``value > cutoff·scale·(1 − 1e-9)`` is a plain column
+    comparison (pushed, row groups skipped by min/max) and is implied by the
+    score test despite division rounding, so it never drops a qualifying row;
+    the exact test still runs after it.
+    """
+    if cutoff <= 0:
+        return F.lit(True)
+    return F.col("value") > F.lit(cutoff * S.PREDICTION_SCALE * (1 - 1e-9))
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One typed reading per event."""
     prepare(spark)

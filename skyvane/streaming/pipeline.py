@@ -117,6 +117,13 @@ def fan_out_writer(base: str) -> Callable[[DataFrame, int], None]:
     return run
 
 
+def with_effective_ts(updates: DataFrame, window: str) -> DataFrame:
+    """STA5 input: an update message applies at the end of the window it
+    summarises (its ``timestamp`` is the window start, as text)."""
+    return updates.withColumn(
+        "effective_ts", F.to_timestamp("timestamp") + F.expr(f"INTERVAL {window}"))
+
+
 def scored_stream(telemetry: DataFrame, updates: DataFrame | None = None,
                   features: Sequence[str] = S.EVENT_FEATURES) -> DataFrame:
     """STA2-STA5 on a stream: readings (and optional update messages with

@@ -150,3 +150,28 @@ def test_merge_feeds_aligns_columns(spark):
     m = FS.merge_feeds(a, b)
     assert set(m.columns) == {"timestamp", "flap_angle", "slat_actual", "sensor"}
     assert m.filter(F.col("sensor") == "slat").first()["flap_angle"] is None
+
+
+def test_feedback_updates_stream_into_the_model(spark):
+    """STA5 on a stream: update messages (SRC2) unioned with readings feed the
+    keyed model; in one micro-batch this equals the batch feedback fold."""
+    from skyvane.plans import catalog as C
+    from skyvane.operators import lookups as L
+    base = scratch_path(spark, "feedback")
+    r = T.readings(spark, SF)
+    r.select(T.envelope_json(r).alias("value")).write.text(f"{base}/in")
+    ups = C.daily_updates(r, spark).drop("effective_ts")
+    L.update_json(ups).write.text(f"{base}/updates")
+    tel, _ = P.decoded(FS.telemetry_stream(spark, "text", f"{base}/in"))
+    upd = P.with_effective_ts(FS.update_stream(spark, "text", f"{base}/updates"), "1 day")
+    q = (P.scored_stream(tel, upd).writeStream.option("checkpointLocation", f"{base}/ckpt")
+         .foreachBatch(P.fan_out_writer(f"{base}/out")).trigger(availableNow=True).start())
+    P.run_available([q])
+    got = spark.read.parquet(f"{base}/out/scored").filter(F.col("kind") == M.READING)
+    streamed = {x["event_id"]: (round(x["score"], 9), x["is_anomaly"]) for x in got.collect()}
+    rows = M.model_input(r).unionByName(M.update_input(C.daily_updates(r, spark)))
+    batch = {x["event_id"]: (round(x["score"], 9), x["is_anomaly"])
+             for x in M.score(rows).filter(F.col("kind") == M.READING).collect()}
+    assert streamed == batch
+    plain = {x["event_id"]: round(x["score"], 9) for x in M.score(M.model_input(r)).collect()}
+    assert any(plain[k] != v[0] for k, v in batch.items())  # the updates matter
