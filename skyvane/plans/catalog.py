@@ -148,7 +148,7 @@ def _completeness_sql() -> str:
     return O.with_readings(f"""
 SELECT {O.fmt_ts("time_bucket(INTERVAL '1 day', ts)")} AS "timestamp", asset_id,
        count(*) AS n_readings, count(DISTINCT sensor) AS n_sensors,
-       {len(S.EVENT_SENSORS)} AS n_expected,
+       CAST({len(S.EVENT_SENSORS)} AS BIGINT) AS n_expected,
        array_to_string(list_sort(list_filter([{expected}], lambda x: NOT list_contains(list(sensor), x))), ',') AS missing
 FROM readings GROUP BY ALL""")
 
@@ -333,7 +333,8 @@ def gradient_per_min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _RUNS_CTE = f"""runs AS (
-  SELECT *, sum(CAST(st AS BIGINT)) OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id,
+  SELECT *, CAST(sum(CAST(st AS BIGINT)) OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                 AS BIGINT) AS run_id,
          seq - max(CASE WHEN st THEN seq END) OVER ({O.SEQ} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1
            AS reading_in_run
   FROM (SELECT *, lag(phase) OVER ({O.SEQ}) AS prev_phase,
@@ -389,7 +390,8 @@ WHERE recent_rank <= 10"""))
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN10: value changes above 0.1, the latest 10 per sensor (top-k report)."""
     out = W.change_events(_seq(spark, sf_dir))
-    return out.select("asset_id", "sensor", "event_id", "previous", "value", "recent_rank")
+    return out.select("asset_id", "sensor", "event_id", "previous", "value",
+                      F.col("recent_rank").cast("long").alias("recent_rank"))
 
 
 @register("stall_events", O.with_readings(f"""
@@ -819,14 +821,17 @@ def frozen_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 def _curves() -> dict:
     p = F.col("p")
-    return {"click": AU.ramp(p), "error": AU.power(p), "purchase": AU.sigmoid(p, 8.0, 0.4),
-            "signup": AU.saturating(p, 4.0), "view": AU.root(p) * AU.decay_after(p)}
+    k, c = AU.SIGMOID["pressure"]
+    return {"click": AU.ramp(p), "error": AU.power(p), "purchase": AU.sigmoid(p, k, c),
+            "signup": AU.saturating(p, AU.SATURATING["slat"]),
+            "view": AU.root(p) * AU.decay_after(p)}
 
 
 def _curves_sql() -> str:
-    return ("CASE sensor WHEN 'click' THEN p WHEN 'error' THEN pow(p, 1.4) "
-            "WHEN 'purchase' THEN 1.0 / (1.0 + exp(-8.0 * (p - 0.4))) "
-            "WHEN 'signup' THEN 1.0 - exp(-4.0 * p) "
+    k, c = AU.SIGMOID["pressure"]
+    return (f"CASE sensor WHEN 'click' THEN p WHEN 'error' THEN pow(p, {AU.POWER!r}) "
+            f"WHEN 'purchase' THEN 1.0 / (1.0 + exp(-{k!r} * (p - {c!r}))) "
+            f"WHEN 'signup' THEN 1.0 - exp(-{AU.SATURATING['slat']!r} * p) "
             "WHEN 'view' THEN sqrt(p) * (CASE WHEN p < 0.8 THEN 1.0 ELSE exp(-5.0 * (p - 0.8)) END) "
             "ELSE p END")
 

@@ -41,19 +41,27 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+               "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT",
+               "float": "FLOAT", "date": "DATE"}
+
+
 def rows_of_spark(df):
     cols = sorted(df.columns)
+    types = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in df.schema.fields}
     data = [tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()]
-    return cols, data
+    return cols, data, [types[c] for c in cols]
 
 
 def rows_of_duck(con, sql):
     rel = con.sql(sql)
     names = rel.columns
+    types = [str(t) for t in rel.types]
     cols = sorted(names)
     idx = [names.index(c) for c in cols]
     data = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
-    return cols, data
+    return cols, data, [types[i] for i in idx]
 
 
 def compare(spark, sf_dir: str, names=None, verbose=True):
@@ -64,7 +72,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
     for name in (names or list(qs)):
         t0 = time.time()
         try:
-            scols, srows = rows_of_spark(qs[name](spark, sf_dir))
+            scols, srows, stypes = rows_of_spark(qs[name](spark, sf_dir))
         except Exception as e:  # noqa: BLE001
             results[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
             continue
@@ -73,13 +81,17 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             results[name] = f"rows-only {len(srows)} ({ts:.1f}s)"
             continue
         try:
-            dcols, drows = rows_of_duck(con, sqls[name])
+            dcols, drows, dtypes = rows_of_duck(con, sqls[name])
         except Exception as e:  # noqa: BLE001
             results[name] = f"DUCK ERROR {type(e).__name__}: {str(e)[:300]}"
             continue
         if scols != dcols:
             results[name] = f"COLS differ spark={scols} duck={dcols}"
             continue
+        if stypes != dtypes:
+            diff = [(c, a, b) for c, a, b in zip(scols, stypes, dtypes) if a != b]
+            results[name] = f"TYPES differ {diff}"
+            continue
         key = lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r)
         if len(srows) != len(drows):
             results[name] = f"ROWS differ spark={len(srows)} duck={len(drows)}"
