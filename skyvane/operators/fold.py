@@ -95,7 +95,11 @@ def output_frame(pdf: pd.DataFrame, cols: Sequence[str], fold: Fold, outs: dict)
     return res
 
 
-def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold) -> Iterator[pd.DataFrame]:
+def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold,
+         init_cols: dict[str, str] | None = None) -> Iterator[pd.DataFrame]:
+    """Stream key-sorted batches through ``fold``. A key continuing from the
+    previous batch resumes its carried state; a new key starts from the fold's
+    initial state, or from its row's ``init_cols`` (state field -> column)."""
     carry_key = None
     carry: dict[str, float] | None = None
     for pdf in batches:
@@ -103,11 +107,14 @@ def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold) -> It
             continue
         first_key = tuple(pdf[k].iloc[0] for k in keys)
         init = None
-        if carry is not None and first_key == carry_key:
-            n_groups = len(key_groups(pdf, keys)[1])
-            init = {f: np.full(n_groups, v, dtype=float) for f, v in fold.state.items()}
-            for f in init:
-                init[f][0] = carry[f]
+        if init_cols or (carry is not None and first_key == carry_key):
+            starts = key_groups(pdf, keys)[1]
+            init = {f: np.full(len(starts), v, dtype=float) for f, v in fold.state.items()}
+            for f, c in (init_cols or {}).items():
+                init[f] = pdf[c].to_numpy(dtype=float, na_value=np.nan)[starts]
+            if carry is not None and first_key == carry_key:
+                for f in init:
+                    init[f][0] = carry[f]
         outs, state, _ = fold_frame(pdf, keys, fold, init)
         carry_key = tuple(pdf[k].iloc[-1] for k in keys)
         carry = {f: float(a[-1]) for f, a in state.items()}
@@ -115,7 +122,8 @@ def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold) -> It
 
 
 def sorted_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None,
+                init_cols: dict[str, str] | None = None) -> DataFrame:
     """Apply ``fold`` to each key's rows in ``order``; one output row per input row.
 
     Output columns: keys, ``fold.passthrough``, then ``fold.outputs``.
@@ -124,13 +132,14 @@ def sorted_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     out_schema = ", ".join([f"`{c}` {fields[c]}" for c in [*keys, *fold.passthrough]]
                            + [f"`{o}` {t}" for o, t in fold.outputs.items()])
-    cols = list(dict.fromkeys([*keys, *order, *fold.inputs, *fold.passthrough]))
+    cols = list(dict.fromkeys([*keys, *order, *fold.inputs, *fold.passthrough,
+                               *(init_cols or {}).values()]))
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     arranged = (df.select(*cols)
                   .repartition(parts, *keys)
                   .sortWithinPartitions(*keys, *order))
     k = list(keys)
-    return arranged.mapInPandas(lambda it: _run(it, k, fold), out_schema)
+    return arranged.mapInPandas(lambda it: _run(it, k, fold, init_cols), out_schema)
 
 
 # --------------------------------------------------------------------------

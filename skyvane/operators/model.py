@@ -24,10 +24,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .chunked import chunked_fold
 from .fold import Fold, sorted_fold
 
 MODEL_KEYS = ("asset_id", "sensor", "phase")
@@ -108,12 +109,16 @@ def update_input(updates: DataFrame, features: Sequence[str] = S.EVENT_FEATURES)
 
 def score(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
           weights: dict[str, float] | None = None, alpha: float = 0.2,
-          num_partitions: int | None = None) -> DataFrame:
+          num_partitions: int | None = None, chunk: Column | None = None) -> DataFrame:
     """STA2-STA5 over model-input rows (readings, optionally unioned with updates).
 
     Returns one row per input row: keys, event_id, kind, score, is_anomaly and
-    the means after the row.
+    the means after the row. With ``chunk`` (a time bucket of ``ts``), keys
+    too large for one task are folded in parallel chunks, exactly
+    (:func:`skyvane.operators.chunked.chunked_fold`).
     """
     weights = weights if weights is not None else S.all_weights()
-    return sorted_fold(rows, MODEL_KEYS, MODEL_ORDER, model_step(features, weights, alpha),
-                       num_partitions)
+    fold = model_step(features, weights, alpha)
+    if chunk is not None:
+        return chunked_fold(rows, MODEL_KEYS, MODEL_ORDER, fold, chunk)
+    return sorted_fold(rows, MODEL_KEYS, MODEL_ORDER, fold, num_partitions)
