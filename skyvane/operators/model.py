@@ -14,8 +14,9 @@ mean and the last value seen while a mean existed. Each row is either
   absent), the feedback blend (STA5). Updates sort before readings at equal
   time.
 
-Batch runs use :func:`skyvane.operators.fold.sorted_fold`; streams use the
-same step inside ``transformWithStateInPandas``
+Batch runs use :func:`skyvane.operators.fold.sorted_fold`, or for keys too
+large for one task :func:`skyvane.operators.chunked.chunked_fold`; streams
+use the same step inside ``transformWithStateInPandas``
 (:mod:`skyvane.streaming.model_state`).
 """
 
