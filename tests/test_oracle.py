@@ -18,3 +18,12 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
+    assert out.returncode == 0, out.stderr[-2000:]
