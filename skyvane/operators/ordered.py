@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import checkpoint_root
 
 KEYS = ("asset_id", "sensor")
 ORDER = ("ts", "event_id")
@@ -49,16 +50,17 @@ def halo_frame(df: DataFrame, n: int, keys: Sequence[str] = KEYS,
     # the shuffle, so only <= n rows per bucket and input split move.
     desc = Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(c).desc() for c in order])
     tail = df.withColumn("_rn", F.row_number().over(desc)).filter(F.col("_rn") <= n).drop("_rn")
-    # Every non-empty bucket has a tail, so the bucket list comes from the
-    # (small) tails instead of another pass over the data.
-    buckets = tail.select(*keys, BUCKET).distinct().withColumn(
-        "_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(BUCKET)))
-    tails = (tail.join(buckets, [*keys, BUCKET])
-                 .withColumn("_off", F.explode(F.sequence(F.lit(1), F.lit(n))))
-                 .withColumn("_rank", F.col("_rank") + F.col("_off"))
-                 .drop(BUCKET, "_off")
-                 .join(buckets, [*keys, "_rank"])
-                 .drop("_rank")
+    # Each tail row is copied to the next n non-empty buckets of its key. A
+    # bucket has at most n tail rows, so those buckets all appear within the
+    # next n*n + n tail rows: one bounded window over the (small) tails, no
+    # self-join and no second pass over the data.
+    ahead = (Window.partitionBy(*keys).orderBy(BUCKET, *order)
+                   .rowsBetween(1, n * n + n))
+    later = F.filter(F.collect_list(BUCKET).over(ahead), lambda b: b > F.col(BUCKET))
+    targets = F.slice(F.array_sort(F.array_distinct(later)), 1, n)
+    tails = (tail.withColumn("_targets", targets)
+                 .select(*[c for c in tail.columns if c != BUCKET],
+                         F.explode("_targets").alias(BUCKET))
                  .withColumn("_halo", F.lit(True)))
     return df.withColumn("_halo", F.lit(False)).unionByName(tails)
 
@@ -101,6 +103,12 @@ def scan(df: DataFrame, sums: dict[str, Column] | None = None,
                 for n, c in last_pos.items()])
     d = d.select("*", *local)
     carried = ([f"_s_{n}" for n in sums] + [f"_l_{n}" for n in lasts] + [f"_p_{n}" for n in last_pos])
+    # ``d`` feeds both the bucket summary and the join back. A reliable
+    # checkpoint (files under spark.checkpoint.dir) runs the shuffle and the
+    # window once, survives executor loss, and keeps the (key, bucket) hash
+    # partitioning, so neither consumer shuffles the data again.
+    checkpoint_root(d.sparkSession)
+    d = d.checkpoint(eager=True)
     summary = d.groupBy(*keys, BUCKET).agg(
         F.max("_lrn").alias("_cnt"), *[F.max_by(c, "_lrn").alias(c) for c in carried])
     prev = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
