@@ -25,16 +25,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_path
 
 KEYS = ("asset_id", "sensor")
 ORDER = ("ts", "event_id")
 BUCKET = "_bucket"
 
 
-def with_bucket(df: DataFrame, grain: str = "day", time_col: str = "ts") -> DataFrame:
-    """Add the time bucket that splits each key's sequence (``day`` or ``hour``)."""
-    return df.withColumn(BUCKET, F.date_trunc(grain, F.col(time_col)))
+# Keys with more rows than this are split into time buckets; others stay whole.
+SPLIT_ABOVE = 1_000_000
+
+
+def with_bucket(df: DataFrame, grain: str = "hour", time_col: str = "ts",
+                split_above: int | None = SPLIT_ABOVE, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Add the time bucket that splits a key's sequence.
+
+    Only keys with more than ``split_above`` rows are split (by ``grain``);
+    the others get one constant bucket, so they pay no halo and no carry.
+    ``split_above=None`` splits every key (used by tests). The hot-key list
+    comes from one partial aggregate, written as a small table.
+    """
+    fine = F.date_trunc(grain, F.col(time_col))
+    if split_above is None:
+        return df.withColumn(BUCKET, fine)
+    whole = F.date_trunc(grain, F.lit("1970-01-01 00:00:00").cast(df.schema[time_col].dataType))
+    spark = df.sparkSession
+    path = scratch_path(spark, "hot-keys")
+    (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+       .filter(F.col("_rows") > split_above).select(*keys, F.lit(True).alias("_hot"))
+       .write.parquet(path))
+    hot = spark.read.parquet(path)
+    if hot.limit(1).count() == 0:
+        return df.withColumn(BUCKET, whole)
+    return (df.join(hot, list(keys), "left")
+              .withColumn(BUCKET, F.when(F.col("_hot"), fine).otherwise(whole))
+              .drop("_hot"))
 
 
 def _w(keys: Sequence[str], order: Sequence[str]) -> Window:

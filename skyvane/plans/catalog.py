@@ -233,9 +233,9 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..operators import ordered as W  # noqa: E402
 
 
-# Time grain that splits each (asset, sensor) sequence into independent
-# partitions; results do not depend on it, only parallelism does.
-SEQ_GRAIN = "week"
+# Time grain that splits the sequence of a hot (asset, sensor) into
+# independent partitions; results do not depend on it, only parallelism does.
+SEQ_GRAIN = "hour"
 
 
 def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:

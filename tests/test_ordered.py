@@ -35,7 +35,7 @@ def seq(spark):
             rows.append((asset, "click", t, eid, (t - dt.datetime(1970, 1, 1)).total_seconds(),
                          phase, v, k, v / 100, v > 30))
     df = spark.createDataFrame(rows, COLS)
-    return W.with_bucket(df, "hour")
+    return W.with_bucket(df, "hour", split_above=None)
 
 
 def _whole(df):
@@ -105,3 +105,14 @@ def test_no_operator_partitions_by_the_key_alone(spark, seq):
     plan = W.phase_runs(seq)._jdf.queryExecution().executedPlan().toString()
     # every window over the data is partitioned by (asset_id, sensor, _bucket)
     assert "_bucket" in plan
+
+
+def test_adaptive_buckets_split_only_hot_keys(spark, seq):
+    base = seq.drop("_bucket")
+    b = W.with_bucket(base, "hour", split_above=100)
+    per_key = {r["asset_id"]: r["n"] for r in
+               b.groupBy("asset_id").agg(F.countDistinct("_bucket").alias("n")).collect()}
+    assert per_key[1] > 1 and per_key[2] == per_key[3] == per_key[4] == 1
+    got = W.phase_runs(b).select("event_id", "run_id", "reading_in_run")
+    want = W.phase_runs(seq).select("event_id", "run_id", "reading_in_run")
+    _same(got, want)
