@@ -17,6 +17,7 @@ from .. import schema as S
 from ..functions import decode as D
 from ..operators import aggregations as A
 from ..operators import lookups as L
+from ..session import materialize
 from ..sources import telemetry as T
 from . import oracle as O
 
@@ -522,7 +523,9 @@ WHERE NOT coalesce(an, false) AND (x_value IS NOT NULL OR x_k IS NOT NULL)
 def feedback_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA5: the model with daily window updates blended back in (0.8/0.2)."""
     r = T.readings(spark, sf_dir)
-    rows = M.model_input(r).unionByName(M.update_input(daily_updates(r, spark)))
+    # the updates feed both the hot-key pass and the fold: written once
+    ups = materialize(daily_updates(r, spark), "daily-updates")
+    rows = M.model_input(r).unionByName(M.update_input(ups))
     return _model_out(M.score(rows, chunk=fold_chunk()))
 
 

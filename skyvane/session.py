@@ -75,3 +75,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/skyvane/{kind}/{uuid.uuid4().hex}"
+
+
+def materialize(df, kind: str):
+    """Write ``df`` once as a table under the shared checkpoint folder and read
+    it back: cuts the lineage for a result that several later passes consume
+    (and that survives executor loss, unlike a cache)."""
+    path = scratch_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
