@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import prepare, scratch_path
 from .fold import Fold, sorted_fold
 
 CHUNK = "_chunk"
@@ -130,7 +130,7 @@ def chunked_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
     a key (e.g. the hour of the ordering timestamp). Smaller keys are one
     chunk, whose speculative fold is already exact.
     """
-    spark = df.sparkSession
+    spark = prepare(df.sparkSession)
     fields = list(fold.state)
     ckeys = [*keys, CHUNK]
     carry = _dedupe([*fold.passthrough, *order, *fold.inputs])

@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import prepare
+
 StepFn = Callable[[dict, dict], tuple[dict, dict]]
 
 
@@ -128,7 +130,7 @@ def sorted_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
 
     Output columns: keys, ``fold.passthrough``, then ``fold.outputs``.
     """
-    spark = df.sparkSession
+    spark = prepare(df.sparkSession)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     out_schema = ", ".join([f"`{c}` {fields[c]}" for c in [*keys, *fold.passthrough]]
                            + [f"`{o}` {t}" for o, t in fold.outputs.items()])

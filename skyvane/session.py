@@ -18,11 +18,44 @@ _RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``skyvane`` importable in the Python workers (folds, Arrow UDFs,
+    keyed state): zip the package once per application and register it with
+    ``addPyFile``, as ``--py-files`` would on submit."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    # Functions and classes of this package travel by value inside the
+    # pickled UDFs, so workers that do not see the shipped files (e.g. the
+    # driver-side runner of keyed state) need no import of it either.
+    import skyvane
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(skyvane)
+    import tempfile
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="skyvane-pyfiles-"), "skyvane.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library depends on and return ``spark``."""
+    """Apply the runtime settings the library depends on, ship the package to
+    the Python workers, and return ``spark``."""
     for key, value in _RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from .. import schema as S
+from ..session import prepare
 from ..operators import fold as FD
 from ..operators import model as M
 
@@ -93,7 +94,7 @@ def score_stream(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
     Works on a streaming DataFrame (state kept in the state store between
     micro-batches; use the RocksDB provider) and on a batch DataFrame.
     """
-    spark = rows.sparkSession
+    spark = prepare(rows.sparkSession)
     if rows.isStreaming and spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     weights = weights if weights is not None else S.all_weights()
@@ -114,6 +115,7 @@ def score_stream_grouped(rows: DataFrame, features: Sequence[str] = S.EVENT_FEAT
     cheaper when each micro-batch touches many keys."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    prepare(rows.sparkSession)
     weights = weights if weights is not None else S.all_weights()
     fold = M.model_step(list(features), weights, alpha)
     fields = list(fold.state)
@@ -199,7 +201,7 @@ def score_stream_sharded(rows: DataFrame, features: Sequence[str] = S.EVENT_FEAT
                          weights: dict[str, float] | None = None, alpha: float = 0.2,
                          shards: int = 64) -> DataFrame:
     """Keyed model state sharded by (sensor, phase, hash(asset) mod shards)."""
-    spark = rows.sparkSession
+    spark = prepare(rows.sparkSession)
     if rows.isStreaming and spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     weights = weights if weights is not None else S.all_weights()

@@ -20,7 +20,7 @@ from ..functions import decode as D
 from ..operators import aggregations as A
 from ..operators import lookups as L
 from ..operators import model as M
-from ..session import scratch_path
+from ..session import prepare, scratch_path
 from . import model_state as MS
 
 
@@ -138,6 +138,7 @@ def udf_scorer(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.Series],
                inputs: Sequence[str], name: str = "udf_score") -> DataFrame:
     """SNK6 / UDF1: a user scoring function on Arrow batches (``mapInPandas``),
     replacing a per-row call to a model service."""
+    prepare(df.sparkSession)
     cols = list(dict.fromkeys([*df.columns]))
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join([f"`{c}` {types[c]}" for c in cols] + [f"`{name}` double"])

@@ -27,3 +27,22 @@ def test_entry_module_imports_without_a_session():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
                          cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
     assert out.returncode == 0, out.stderr[-2000:]
+
+
+def test_python_backed_queries_run_from_another_directory(tmp_path):
+    """Workers must get the package from the library itself (pickled by value
+    / shipped), not from the working directory."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print(E.queries()['ewma'](spark, '/root/testdata/sf0.001').count())\n" % repo)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         cwd=str(tmp_path), timeout=600)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert out.stdout.strip().splitlines()[-1] == "1000"
