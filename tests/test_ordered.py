@@ -116,3 +116,40 @@ def test_adaptive_buckets_split_only_hot_keys(spark, seq):
     got = W.phase_runs(b).select("event_id", "run_id", "reading_in_run")
     want = W.phase_runs(seq).select("event_id", "run_id", "reading_in_run")
     _same(got, want)
+
+
+def test_random_sequences_match_whole_key_windows(spark):
+    """Property: for random sequences, random bucket cuts and look-back n,
+    the halo window and the two-level scan equal the whole-key window."""
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(st.tuples(st.integers(1, 3), st.integers(0, 40), st.integers(0, 3),
+                                 st.sampled_from(["takeoff", "cruise", "landing"])),
+                       min_size=1, max_size=60)
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows_st, st.integers(1, 4))
+    def check(items, n):
+        t0 = dt.datetime(2024, 1, 1)
+        data = [(a, "click", t0 + dt.timedelta(hours=h, minutes=i), i, float(h * 3600 + i * 60),
+                 ph, float(v), float(v), float(v) / 100, v > 1)
+                for i, (a, h, v, ph) in enumerate(items)]
+        df = W.with_bucket(spark.createDataFrame(data, COLS), "hour", split_above=None)
+        w = _whole(df)
+        build = lambda ww: {"ma": W.moving_average("value", ww, n + 1),
+                            "lagn": F.lag("value", n).over(ww)}
+        got = W.bounded(df, n, build).select("event_id", "ma", "lagn")
+        want = df.select("event_id", *[c.alias(k) for k, c in build(w).items()])
+        _same(got, want)
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        got = W.scan(df, sums={"s": F.col("value")}, last_pos={"p": F.col("value") > 1}) \
+               .select("event_id", "seq", "s", "p")
+        b = df.withColumn("seq", F.row_number().over(w))
+        want = b.select("event_id", F.col("seq").cast("long").alias("seq"),
+                        F.sum("value").over(run).alias("s"),
+                        F.max(F.when(F.col("value") > 1, F.col("seq"))).over(run).cast("long")
+                        .alias("p"))
+        _same(got, want)
+
+    check()
