@@ -33,7 +33,12 @@ def register(name: str, sql: str | None):
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 places as ``std::round(x * 1e6) / 1e6`` (half away from zero
+    on the scaled binary value), which is what the SQL side's ``round`` does;
+    Spark's ``round`` rounds the shortest decimal text instead and differs on
+    exact ties."""
+    from ..operators.ordered import round_half_away
+    return round_half_away(F.col(c) if isinstance(c, str) else c, 6)
 
 
 def fmt(c):
