@@ -194,3 +194,18 @@ def test_alternative_state_operators_agree(spark, variant):
     want = {x["event_id"]: (round(x["score"], 9), x["is_anomaly"])
             for x in M.score(M.model_input(r)).collect()}
     assert got == want
+
+
+def test_streaming_job_entry_point(spark, tmp_path):
+    import subprocess
+    import sys
+    base = scratch_path(spark, "job")
+    r = T.readings(spark, SF)
+    r.select(T.envelope_json(r).alias("value")).write.text(f"{base}/in")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-m", "skyvane.streaming.job", "--source", "text", "--path", f"{base}/in",
+         "--out", f"{base}/out", "--available-now", "--shuffle-partitions", "4"],
+        capture_output=True, text=True, cwd=repo, timeout=900)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert spark.read.parquet(f"{base}/out/scored/scored").count() == r.count()
