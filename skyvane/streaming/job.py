@@ -31,6 +31,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--available-now", action="store_true",
                    help="process what is there, then stop")
     p.add_argument("--shuffle-partitions", type=int, default=None)
+    p.add_argument("--model-shards", type=int, default=64,
+                   help="state shards per (sensor, phase); about fleet size / 5000")
     return p.parse_args(argv)
 
 
@@ -41,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     records = telemetry_stream(spark, args.source, args.path, **options)
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
-    queries = start_pipeline(spark, records, args.out.rstrip("/"), trigger=trigger)
+    queries = start_pipeline(spark, records, args.out.rstrip("/"), trigger=trigger,
+                             model_shards=args.model_shards)
     if args.available_now:
         for q in queries:
             q.awaitTermination()
