@@ -432,6 +432,9 @@ from ..operators import model as M  # noqa: E402
 
 # Sequential folds split keys with more than CH.SPLIT_ABOVE rows into hourly
 # chunks, folded in parallel and stitched exactly.
+SEQ_KEYS, SEQ_ORDER = ["asset_id", "sensor"], ["ts", "event_id"]
+
+
 def fold_chunk():
     return F.date_trunc("hour", F.col("ts"))
 
@@ -547,7 +550,8 @@ _SEQ2 = ("SELECT *, row_number() OVER (PARTITION BY asset_id, sensor ORDER BY ts
     "SELECT event_id, round(m, 6) AS ewma FROM fold WHERE rn > 0"))
 def ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA1: plain EWMA (α = 0.2) of each sensor's value, seeded by the first value."""
-    out = CH.chunked_fold(T.readings(spark, sf_dir), ["asset_id", "sensor"], ["ts", "event_id"], FD.ewma_fold("value", 0.2, passthrough=("event_id",)), fold_chunk())
+    fold = FD.ewma_fold("value", 0.2, passthrough=("event_id",))
+    out = CH.chunked_fold(T.readings(spark, sf_dir), SEQ_KEYS, SEQ_ORDER, fold, fold_chunk())
     return out.select("event_id", r6("ewma").alias("ewma"))
 
 
@@ -570,7 +574,7 @@ def smoothed_slew(spark: SparkSession, sf_dir: str) -> DataFrame:
     slew-limited to ±0.5 and clamped to [0, 3]."""
     fold = FD.smoothing_fold("prediction", keep=0.7, max_change=0.5, lo=0.0, hi=3.0, init=0.0,
                              passthrough=("event_id",))
-    out = CH.chunked_fold(T.readings(spark, sf_dir), ["asset_id", "sensor"], ["ts", "event_id"], fold, fold_chunk())
+    out = CH.chunked_fold(T.readings(spark, sf_dir), SEQ_KEYS, SEQ_ORDER, fold, fold_chunk())
     return out.select("event_id", r6("smoothed").alias("smoothed"))
 
 
@@ -588,7 +592,7 @@ def _slew_step(mc: float) -> str:
 def slew_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA7: rate-of-change limiter (±20 per reading) against the previous output."""
     fold = FD.slew_fold("value", 20.0, passthrough=("event_id",))
-    out = CH.chunked_fold(T.readings(spark, sf_dir), ["asset_id", "sensor"], ["ts", "event_id"], fold, fold_chunk())
+    out = CH.chunked_fold(T.readings(spark, sf_dir), SEQ_KEYS, SEQ_ORDER, fold, fold_chunk())
     return out.select("event_id", r6("limited").alias("limited"))
 
 
@@ -622,7 +626,7 @@ def gradient_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = T.readings(spark, sf_dir).withColumn(
         "limit", F.element_at(S.as_map_literal(VIOLATION_LIMITS), F.col("phase")))
     fold = FD.violation_fold("value", "timestamp", "limit", 3, passthrough=("event_id",))
-    out = CH.chunked_fold(r, ["asset_id", "sensor"], ["ts", "event_id"], fold, fold_chunk())
+    out = CH.chunked_fold(r, SEQ_KEYS, SEQ_ORDER, fold, fold_chunk())
     return out.select("event_id", r6("adjusted").alias("adjusted"),
                       r6("violations").alias("violations"), "warning")
 

@@ -110,9 +110,10 @@ def _state_schema(fields: Sequence[str]) -> str:
 
 def score_stream_grouped(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
                          weights: dict[str, float] | None = None, alpha: float = 0.2) -> DataFrame:
-    """The same keyed model on ``applyInPandasWithState``: state travels with
-    the Arrow batches instead of per-key state-store calls, which is much
-    cheaper when each micro-batch touches many keys."""
+    """The same keyed model on ``applyInPandasWithState`` (state travels with
+    the Arrow batches). Like :func:`score_stream` it pays one Python call per
+    key and micro-batch; measured on 22k keys in one batch it was no faster,
+    so :func:`score_stream_sharded` is the default."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     prepare(rows.sparkSession)
