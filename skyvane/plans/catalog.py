@@ -941,6 +941,7 @@ def detector_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ``availableNow`` over messages Spark derives from the events table.
 # --------------------------------------------------------------------------
 from ..sources import files as FS  # noqa: E402
+from ..streaming import model_state as MS  # noqa: E402
 from ..streaming import pipeline as P  # noqa: E402
 
 
@@ -978,7 +979,9 @@ def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     (transformWithStateInPandas) -> foreachBatch fan-out to scored and alert sinks."""
     paths = _stream_input(spark, sf_dir, "scoring")
     tel, _ = P.decoded(FS.telemetry_stream(spark, "text", paths["input"]))
-    scored = P.scored_stream(tel)
+    # state shards sized to the fleet (one partial aggregate over the table)
+    fleet = T.table(spark, sf_dir, "events").agg(F.count_distinct("user_id")).first()[0]
+    scored = P.scored_stream(tel, shards=MS.fleet_shards(fleet))
     q = (scored.writeStream.queryName("scoring")
                .option("checkpointLocation", f"{paths['ckpt']}/scoring")
                .foreachBatch(P.fan_out_writer(paths["out"]))

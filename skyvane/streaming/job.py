@@ -31,7 +31,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--available-now", action="store_true",
                    help="process what is there, then stop")
     p.add_argument("--shuffle-partitions", type=int, default=None)
-    p.add_argument("--model-shards", type=int, default=64,
+    p.add_argument("--model-shards", type=int, default=8,
                    help="state shards per (sensor, phase); about fleet size / 5000")
     return p.parse_args(argv)
 

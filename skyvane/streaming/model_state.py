@@ -151,6 +151,14 @@ def score_stream_grouped(rows: DataFrame, features: Sequence[str] = S.EVENT_FEAT
 
 
 SHARD_KEYS = ("sensor", "phase", "_shard")
+ASSETS_PER_SHARD = 5000
+
+
+def fleet_shards(n_assets: int, per_shard: int = ASSETS_PER_SHARD) -> int:
+    """Shards per (sensor, phase) for a fleet: each keyed-state call costs a
+    Python round trip, each touched shard rewrites its arrays; ~5,000 assets
+    per shard balances the two."""
+    return max(1, -(-n_assets // per_shard))
 
 
 class ShardProcessor(StatefulProcessor):
@@ -200,7 +208,7 @@ class ShardProcessor(StatefulProcessor):
 
 def score_stream_sharded(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
                          weights: dict[str, float] | None = None, alpha: float = 0.2,
-                         shards: int = 64) -> DataFrame:
+                         shards: int = 8) -> DataFrame:
     """Keyed model state sharded by (sensor, phase, hash(asset) mod shards)."""
     spark = prepare(rows.sparkSession)
     if rows.isStreaming and spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:

@@ -125,7 +125,7 @@ def with_effective_ts(updates: DataFrame, window: str) -> DataFrame:
 
 
 def scored_stream(telemetry: DataFrame, updates: DataFrame | None = None,
-                  features: Sequence[str] = S.EVENT_FEATURES, shards: int = 64) -> DataFrame:
+                  features: Sequence[str] = S.EVENT_FEATURES, shards: int = 8) -> DataFrame:
     """STA2-STA5 on a stream: readings (and optional update messages with
     ``effective_ts``) folded per (asset, sensor, phase) in keyed state.
 
@@ -188,7 +188,7 @@ def latest_versions(spark: SparkSession, base: str, keys: Sequence[str]) -> Data
 def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
                    trigger: dict | None = None, monitoring: str = "5 seconds",
                    training: str = "1 second", watermark: str = "2 seconds",
-                   update_cap: int | None = None, model_shards: int = 64) -> list[StreamingQuery]:
+                   update_cap: int | None = None, model_shards: int = 8) -> list[StreamingQuery]:
     """The whole job on one message source (STR9): decode once, then
     monitoring rows (update mode -> model-update messages), the training set
     (append -> parquet by date), scored readings with alerts, and dead letters.
