@@ -76,6 +76,8 @@ def build_session(master: str | None = None, app: str = "skyvane",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files of DataFrames that are no longer referenced are removed
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         **_RUNTIME_CONF,
     }
