@@ -36,6 +36,11 @@ BUCKET = "_bucket"
 SPLIT_ABOVE = 1_000_000
 
 
+def whole_bucket(dtype) -> Column:
+    """The single bucket of an unsplit key (1970-01-01 00:00, in the bucket type)."""
+    return F.date_trunc("year", F.lit("1970-01-01 00:00:00").cast(dtype))
+
+
 def with_bucket(df: DataFrame, grain: str = "hour", time_col: str = "ts",
                 split_above: int | None = SPLIT_ABOVE, keys: Sequence[str] = KEYS) -> DataFrame:
     """Add the time bucket that splits a key's sequence.
@@ -48,7 +53,7 @@ def with_bucket(df: DataFrame, grain: str = "hour", time_col: str = "ts",
     fine = F.date_trunc(grain, F.col(time_col))
     if split_above is None:
         return df.withColumn(BUCKET, fine)
-    whole = F.date_trunc(grain, F.lit("1970-01-01 00:00:00").cast(df.schema[time_col].dataType))
+    whole = whole_bucket(df.schema[time_col].dataType)
     spark = df.sparkSession
     path = scratch_path(spark, "hot-keys")
     (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -144,7 +149,29 @@ def scan(df: DataFrame, sums: dict[str, Column] | None = None,
         *[F.last(f"_l_{n}", ignorenulls=True).over(prev).alias(f"_cl_{n}") for n in lasts],
         *[F.last(F.col("_off") + F.col(f"_p_{n}"), ignorenulls=True).over(prev).alias(f"_cp_{n}")
           for n in last_pos])
-    j = d.join(carry, [*keys, BUCKET], "left")
+    # Rows of unsplit keys (the whole-key bucket) have no earlier bucket: their
+    # carry is zero/NULL, no join. Only rows of split (hot) keys join the carry
+    # table, which has one row per hot bucket, so AQE can broadcast it by its
+    # measured size. NULL keys join null-safely.
+    extra = [c for c in carry.columns if c not in (*keys, BUCKET)]
+    types = {f.name: f.dataType for f in carry.schema.fields}
+    single = F.col(BUCKET) == whole_bucket(d.schema[BUCKET].dataType)
+    zero = {"_off": F.lit(0)} | {f"_cs_{n}": F.lit(0) for n in sums}
+    ja = d.filter(single).select(
+        *d.columns, *[(zero[c] if c in zero else F.lit(None)).cast(types[c]).alias(c)
+                      for c in extra])
+    ok = ~single
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
+    j1 = d.filter(ok).join(carry, [*keys, BUCKET], "left")
+    c2 = carry.select(*[F.col(k).alias(f"_ck_{k}") for k in (*keys, BUCKET)], *extra)
+    dn = d.filter(~single & ~ok)
+    cond = None
+    for k in (*keys, BUCKET):
+        e = dn[k].eqNullSafe(c2[f"_ck_{k}"])
+        cond = e if cond is None else cond & e
+    j2 = dn.join(c2, cond, "left").drop(*[f"_ck_{k}" for k in (*keys, BUCKET)])
+    j = ja.unionByName(j1.select(*ja.columns)).unionByName(j2.select(*ja.columns))
     out = [(F.col("_off") + F.col("_lrn")).alias("seq")]
     out += [(F.col(f"_cs_{n}") + F.coalesce(F.col(f"_s_{n}"), F.lit(0))).alias(n) for n in sums]
     out += [F.coalesce(F.col(f"_l_{n}"), F.col(f"_cl_{n}")).alias(n) for n in lasts]

@@ -153,3 +153,13 @@ def test_random_sequences_match_whole_key_windows(spark):
         _same(got, want)
 
     check()
+
+
+def test_null_keys_keep_their_sequence(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(None, "click", t0 + dt.timedelta(hours=i), i, float(i), "cruise", float(i % 3),
+             1.0, 0.1, False) for i in range(6)]
+    df = W.with_bucket(spark.createDataFrame(data, COLS), "hour", split_above=None)
+    got = {r["event_id"]: (r["seq"], r["s"]) for r in
+           W.scan(df, sums={"s": F.col("value")}).select("event_id", "seq", "s").collect()}
+    assert got == {i: (i + 1, float(sum(j % 3 for j in range(i + 1)))) for i in range(6)}
