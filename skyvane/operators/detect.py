@@ -76,20 +76,31 @@ def sign_flips(df: DataFrame, x: str, big: float, keys: Sequence[str] = W.KEYS,
 
 
 def frozen_runs(df: DataFrame, x: str, eps: float, while_cond: Column | None = None,
-                min_ticks: int = 3, keys: Sequence[str] = W.KEYS,
-                order: Sequence[str] = W.ORDER) -> DataFrame:
+                min_ticks: int = 3, persistent: dict[str, tuple[Column, int]] | None = None,
+                keys: Sequence[str] = W.KEYS, order: Sequence[str] = W.ORDER) -> DataFrame:
     """DET2-DET5: |Δx| < eps (while ``while_cond`` holds) for ``min_ticks``
-    consecutive steps: ``frozen_len`` and ``frozen``."""
+    consecutive steps: ``frozen_len`` and ``frozen``. ``persistent`` adds, in
+    the same scan, ``<name>_len`` and ``<name>`` for conditions that must hold
+    for more than the given number of readings (see :func:`persistent`)."""
+    persistent = persistent or {}
     cond = F.lit(True) if while_cond is None else F.coalesce(while_cond, F.lit(False))
     b = df.withColumn("_cond", cond)
+    for name, (c, _) in persistent.items():
+        b = b.withColumn(f"_pc_{name}", F.coalesce(c, F.lit(False)))
     b = W.bounded(b, 1, lambda w: {
         "_still": F.coalesce(F.abs(F.col(x) - F.lag(x, 1).over(w)) < eps, F.lit(False))
                   & F.col("_cond")}, keys, order)
-    b = W.scan(b, last_pos={"_brk": ~F.col("_still")}, keys=keys, order=order)
+    breaks = {"_brk": ~F.col("_still"),
+              **{f"_pb_{n}": ~F.col(f"_pc_{n}") for n in persistent}}
+    b = W.scan(b, last_pos=breaks, keys=keys, order=order)
     run = F.col("seq") - F.col("_brk")
-    return (b.withColumn("frozen_len", run)
-             .withColumn("frozen", run >= min_ticks)
-             .drop("_cond", "_still", "_brk", "seq"))
+    b = b.withColumn("frozen_len", run).withColumn("frozen", run >= min_ticks)
+    for name, (_, ticks) in persistent.items():
+        plen = F.col("seq") - F.coalesce(F.col(f"_pb_{name}"), F.lit(0))
+        b = b.withColumn(f"{name}_len", plen).withColumn(name, plen > ticks)
+    drop = ["_cond", "_still", "_brk", "seq", *[f"_pc_{n}" for n in persistent],
+            *[f"_pb_{n}" for n in persistent]]
+    return b.drop(*drop)
 
 
 def persistent(df: DataFrame, cond: Column, min_ticks: int, name: str,

@@ -828,8 +828,8 @@ FROM (SELECT *, max(CASE WHEN NOT still THEN seq END)
 def frozen_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DET2-DET4: frozen channel (|Δk| < 0.01 while value > 5) for 3+ steps, and a
     persistently high score (> 1.0 for more than 3 readings)."""
-    out = DT.frozen_runs(_seq(spark, sf_dir), "k", 0.01, F.col("value") > 5, 3)
-    out = DT.persistent(out, F.col("prediction") > 1.0, 3, "high")
+    out = DT.frozen_runs(_seq(spark, sf_dir), "k", 0.01, F.col("value") > 5, 3,
+                         persistent={"high": (F.col("prediction") > 1.0, 3)})
     return out.select("event_id", "frozen_len", "frozen", "high_len", "high")
 
 
