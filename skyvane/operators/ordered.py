@@ -135,8 +135,8 @@ def scan(df: DataFrame, sums: dict[str, Column] | None = None,
     carried = ([f"_s_{n}" for n in sums] + [f"_l_{n}" for n in lasts] + [f"_p_{n}" for n in last_pos])
     # ``d`` feeds both the bucket summary and the join back. A reliable
     # checkpoint (files under spark.checkpoint.dir) runs the shuffle and the
-    # window once, survives executor loss, and keeps the (key, bucket) hash
-    # partitioning, so neither consumer shuffles the data again.
+    # window once and survives executor loss; below, only rows of split keys
+    # are joined, against a table with one row per hot bucket.
     checkpoint_root(d.sparkSession)
     d = d.checkpoint(eager=True)
     summary = d.groupBy(*keys, BUCKET).agg(
