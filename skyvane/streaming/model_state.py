@@ -14,6 +14,9 @@ Three interchangeable operators:
   a set of parallel arrays. Python calls per batch = touched shards.
 * :func:`score_stream`: one state record per (asset, sensor, phase) key.
 * :func:`score_stream_grouped`: the same on ``applyInPandasWithState``.
+* :func:`score_stream_ordered`: the sharded operator in event-time mode; rows
+  wait in keyed list state until the watermark passes them, so the order is
+  exact across micro-batches.
 
 The per-key variants pay one Python call per key and micro-batch; sharding
 trades that for rewriting a shard's arrays when it is touched, so the shard
