@@ -33,6 +33,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--shuffle-partitions", type=int, default=None)
     p.add_argument("--model-shards", type=int, default=8,
                    help="state shards per (sensor, phase); about fleet size / 5000")
+    p.add_argument("--exact-order-delay", default=None,
+                   help="e.g. '1 minute': score in event order, buffered to the watermark")
     return p.parse_args(argv)
 
 
@@ -44,7 +46,8 @@ def main(argv: list[str] | None = None) -> None:
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
     queries = start_pipeline(spark, records, args.out.rstrip("/"), trigger=trigger,
-                             model_shards=args.model_shards)
+                             model_shards=args.model_shards,
+                             order_delay=args.exact_order_delay)
     if args.available_now:
         for q in queries:
             q.awaitTermination()

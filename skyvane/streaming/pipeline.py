@@ -125,10 +125,14 @@ def with_effective_ts(updates: DataFrame, window: str) -> DataFrame:
 
 
 def scored_stream(telemetry: DataFrame, updates: DataFrame | None = None,
-                  features: Sequence[str] = S.EVENT_FEATURES, shards: int = 8) -> DataFrame:
+                  features: Sequence[str] = S.EVENT_FEATURES, shards: int = 8,
+                  order_delay: str | None = None) -> DataFrame:
     """STA2-STA5 on a stream: readings (and optional update messages with
     ``effective_ts``) folded per (asset, sensor, phase) in keyed state.
 
+    ``order_delay`` (e.g. ``"1 minute"``) buffers rows until the watermark
+    passes them, for an order that does not depend on arrival.
+
     ``shards``: hash shards of the asset id per (sensor, phase). A touched
     shard rewrites its state arrays, so size it to the fleet: about one shard
     per 5,000 assets keeps each shard's state near 200 kB.
@@ -136,6 +140,9 @@ def scored_stream(telemetry: DataFrame, updates: DataFrame | None = None,
     rows = M.model_input(telemetry.withColumn("ts", F.col("event_time")), features)
     if updates is not None:
         rows = rows.unionByName(M.update_input(updates, features))
+    if order_delay:
+        # exact event order across micro-batches, emitted after the delay
+        return MS.score_stream_ordered(rows, order_delay, features, shards=shards)
     return MS.score_stream_sharded(rows, features, shards=shards)
 
 
@@ -188,7 +195,8 @@ def latest_versions(spark: SparkSession, base: str, keys: Sequence[str]) -> Data
 def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
                    trigger: dict | None = None, monitoring: str = "5 seconds",
                    training: str = "1 second", watermark: str = "2 seconds",
-                   update_cap: int | None = None, model_shards: int = 8) -> list[StreamingQuery]:
+                   update_cap: int | None = None, model_shards: int = 8,
+                   order_delay: str | None = None) -> list[StreamingQuery]:
     """The whole job on one message source (STR9): decode once, then
     monitoring rows (update mode -> model-update messages), the training set
     (append -> parquet by date), scored readings with alerts, and dead letters.
@@ -202,7 +210,8 @@ def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
                                                 S.sensor_table(spark), update_cap)).start())
     qs.append(start_parquet(training_rows(tel, training, watermark), f"{base}/training",
                             f"{base}/ckpt/training", "training", "append", trigger, ("date",)))
-    qs.append(_writer(scored_stream(tel, shards=model_shards), "scoring", f"{base}/ckpt/scoring",
+    qs.append(_writer(scored_stream(tel, shards=model_shards, order_delay=order_delay),
+                      "scoring", f"{base}/ckpt/scoring",
                       "append", trigger)
               .foreachBatch(fan_out_writer(f"{base}/scored")).start())
     qs.append(start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters",
