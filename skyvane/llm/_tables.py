@@ -18,8 +18,7 @@ ARROW_ROWS = 512
 def begin(spark: SparkSession) -> SparkSession:
     """Settings of every operator here: the package on the workers, small Arrow batches."""
     prepare(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "") != str(ARROW_ROWS):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
 
@@ -89,7 +88,7 @@ def with_offsets(df: DataFrame, keys: list[str], sums: dict[str, str], kind: str
 
     for name in sums:
         schema = schema.add(name, "long")
-    table = materialize(ranged.mapInArrow(run, schema.add("_range", "int")), kind)
+    table = materialize(ranged.mapInArrow(run, schema.add("_range", "integer")), kind)
     by = [group] if group else []
     totals = table.groupBy("_range", *by).agg(
         *[F.sum(src).alias(f"_t_{name}") for name, src in sums.items()])
