@@ -97,5 +97,6 @@ def with_offsets(df: DataFrame, keys: list[str], sums: dict[str, str], kind: str
         w = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_range", *by, *[
         F.coalesce(F.sum(f"_t_{name}").over(w), F.lit(0)).cast("long").alias(f"_b_{name}") for name in sums])
-    out = table.join(bases, ["_range", *by], "left")
+    # ranges x groups small rows: bounded by the shuffle width
+    out = table.join(F.broadcast(bases), ["_range", *by], "left")
     return out.select(*cols, *[(F.col(name) + F.col(f"_b_{name}")).alias(name) for name in sums])
