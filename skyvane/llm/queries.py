@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from skyvane.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from skyvane.llm.packing import op9_packing
+from skyvane.llm.quality import op2_quality
 from skyvane.llm.sharding import op8_sharding
 from skyvane.llm.token_codes import op6_token_codes
 
 QUERIES = {
+    "op2_quality": (op2_quality, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op6_token_codes": (op6_token_codes, None),
     "op8_sharding": (op8_sharding, None),
