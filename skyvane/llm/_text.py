@@ -106,14 +106,24 @@ def spans(data: np.ndarray, off: np.ndarray, sep: np.ndarray) -> tuple[np.ndarra
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
-def span_hash(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, independent of its place."""
-    up, down = _POWERS.get(len(data) + 1)
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums from which ``hash_at`` reads the hash of any span."""
+    up, _ = _POWERS.get(len(data) + 1)
     c = np.zeros(len(data) + 1, U64)
     np.cumsum(_BYTE[data] * up[:len(data)], out=c[1:])
+    return c
+
+
+def hash_at(c: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span, independent of its place."""
+    _, down = _POWERS.get(len(c))
     return mix((c[e] - c[s]) * down[s] + (e - s).astype(U64))
 
 
+def span_hash(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    return hash_at(prefix_sums(data), s, e)
+
+
 class Words:
     """Hashes of all words of a batch, in order; ``first[d]:first[d+1]`` are document d's."""
 

@@ -7,9 +7,11 @@ from skyvane.llm.packing import op9_packing
 from skyvane.llm.quality import op2_quality
 from skyvane.llm.sharding import op8_sharding
 from skyvane.llm.token_codes import op6_token_codes
+from skyvane.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op2_quality": (op2_quality, None),
+    "op3_toxicity": (op3_toxicity, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op6_token_codes": (op6_token_codes, None),
     "op8_sharding": (op8_sharding, None),
