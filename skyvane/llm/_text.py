@@ -106,6 +106,15 @@ def spans(data: np.ndarray, off: np.ndarray, sep: np.ndarray) -> tuple[np.ndarra
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
+def fold_case(data: np.ndarray) -> np.ndarray:
+    """Lower case for ASCII and the Latin-1 letters (two bytes, C3 80-9E but for the sign C3 97)."""
+    out = LOWER[data]
+    if len(data) > 1:
+        up = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][up] += np.uint8(32)
+    return out
+
+
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Running sums from which ``hash_at`` reads the hash of any span."""
     up, _ = _POWERS.get(len(data) + 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from skyvane.llm.decontaminate import op7_decontaminate
 from skyvane.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from skyvane.llm.packing import op9_packing
 from skyvane.llm.quality import op2_quality
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_toxicity": (op3_toxicity, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op6_token_codes": (op6_token_codes, None),
+    "op7_decontaminate": (op7_decontaminate, None),
     "op8_sharding": (op8_sharding, None),
     "op9_packing": (op9_packing, None),
 }

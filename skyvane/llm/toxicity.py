@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyvane.llm._tables import begin, read
-from skyvane.llm._text import LOWER, NON_WORD, U64, blocks, buffers, doc_groups, hash_at, mix, prefix_sums, spans
+from skyvane.llm._text import NON_WORD, U64, blocks, buffers, doc_groups, fold_case, hash_at, mix, prefix_sums, spans
 from skyvane.llm.quality import fold_of
 from skyvane.session import materialize
 
@@ -63,7 +63,7 @@ def term_cells(data: np.ndarray, off: np.ndarray, keep: np.ndarray | None = None
         table = np.zeros(1 << 20, bool)
         table[(keep & U64((1 << 20) - 1)).astype(np.int64)] = True
     for lo, hi in blocks(data, off, NON_WORD):
-        part = LOWER[data[lo:hi]]
+        part = fold_case(data[lo:hi])
         k0, k1 = np.searchsorted(off, lo, "right"), np.searchsorted(off, hi, "left")
         s, e = spans(part, off[k0:k1] - lo, NON_WORD)
         if not len(s):
