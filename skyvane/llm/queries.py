@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from skyvane.llm.decontaminate import op7_decontaminate
 from skyvane.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from skyvane.llm.html_extract import op1_html_extract
 from skyvane.llm.packing import op9_packing
 from skyvane.llm.quality import op2_quality
 from skyvane.llm.sharding import op8_sharding
@@ -11,6 +12,7 @@ from skyvane.llm.token_codes import op6_token_codes
 from skyvane.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_html_extract": (op1_html_extract, None),
     "op2_quality": (op2_quality, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
