@@ -5,6 +5,7 @@ from __future__ import annotations
 from skyvane.llm.decontaminate import op7_decontaminate
 from skyvane.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from skyvane.llm.html_extract import op1_html_extract
+from skyvane.llm.near_dedup import op5_near_dedup
 from skyvane.llm.packing import op9_packing
 from skyvane.llm.quality import op2_quality
 from skyvane.llm.sharding import op8_sharding
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_quality": (op2_quality, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
+    "op5_near_dedup": (op5_near_dedup, None),
     "op6_token_codes": (op6_token_codes, None),
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_sharding": (op8_sharding, None),
