@@ -9,6 +9,7 @@ from skyvane.llm.near_dedup import op5_near_dedup
 from skyvane.llm.packing import op9_packing
 from skyvane.llm.quality import op2_quality
 from skyvane.llm.sharding import op8_sharding
+from skyvane.llm.substring_dedup import OP10_SQL, op10_substring_dedup
 from skyvane.llm.token_codes import op6_token_codes
 from skyvane.llm.toxicity import op3_toxicity
 
@@ -22,4 +23,5 @@ QUERIES = {
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_sharding": (op8_sharding, None),
     "op9_packing": (op9_packing, None),
+    "op10_substring_dedup": (op10_substring_dedup, OP10_SQL),
 }
