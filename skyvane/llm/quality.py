@@ -241,6 +241,27 @@ def training_rows(feats: DataFrame, labels: DataFrame, label: str = "quality", f
     return feats.join(use, "doc_id").select("doc_id", "cells", "label")
 
 
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from the labelled documents outside the held-out fold; only their texts are read for it."""
+    begin(docs.sparkSession)
+    use = labels.filter(F.col("quality").isin(0, 1) & (fold_of() != 0)).select(
+        "doc_id", F.col("quality").cast("int").alias("label"))
+    cells = F.arrow_udf(cells_of, "binary")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(use, "doc_id").select(
+        "doc_id", cells("text").alias("cells"), "label")
+    return train(materialize(rows, "quality-train"))
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that the model scores at the threshold or above, in their own columns; one pass, no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def good(text: pa.Array) -> pa.Array:
+        import pyarrow.compute as pc
+        return pc.greater_equal(shared.value.score(cells_of(text)), threshold)
+    return docs.filter(F.arrow_udf(good, "boolean")(F.col("text").cast("string")))
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     spark = begin(docs.sparkSession)
