@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +26,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch; empty batches are passed over."""
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            if b.num_rows:
-                yield fn(b)
-    return df.mapInArrow(run, schema)
+#: Rows of a written table of a few numbers that may be broadcast (a few MB).
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast ``df`` only if its counted size allows; else Spark shuffles for the join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def numbered(df: DataFrame, kind: str) -> DataFrame:

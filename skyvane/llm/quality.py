@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, read
+from skyvane.llm._tables import begin, read, small
 from skyvane.llm._text import SPACE, U64, Words, buffers, doc_groups, mix
 from skyvane.session import materialize
 
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     use = labels.filter(F.col("quality").isin(0, 1) & (fold_of() != 0)).select(
         "doc_id", F.col("quality").cast("int").alias("label"))
     cells = F.arrow_udf(cells_of, "binary")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(use, "doc_id").select(
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(small(use), "doc_id").select(
         "doc_id", cells("text").alias("cells"), "label")
     return train(materialize(rows, "quality-train"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, read
+from skyvane.llm._tables import begin, read, small
 from skyvane.llm._text import NON_WORD, U64, blocks, buffers, doc_groups, fold_case, hash_at, mix, prefix_sums, spans
 from skyvane.llm.quality import fold_of
 from skyvane.session import materialize
@@ -342,10 +342,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
-    """(doc_id, text, label); the held-out fold never joins. Labels are read once and are a few bytes a row."""
+    """(doc_id, text, label); the held-out fold never joins. Labels are a few bytes a row:
+    while their number allows, they are sent to the texts."""
     use = labels.filter(F.col(label).isin(0, 1) & (fold_of("doc_id", FOLDS) != HELD)).select(
         "doc_id", F.col(label).cast("int").alias("label"))
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(use, "doc_id")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(small(use), "doc_id")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
