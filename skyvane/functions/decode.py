@@ -90,15 +90,6 @@ def event_feature_spec() -> list[tuple[str, list[str]]]:
     return [(f, keys) for f, keys in S.EVENT_RAW_KEYS.items()]
 
 
-def wing_feature_spec() -> list[tuple[str, list[str]]]:
-    """Flatten spec of the wing feed: every alias of a feature, all sensors."""
-    spec: dict[str, list[str]] = {}
-    for _, feature, raws in S.WING_ALIASES:
-        spec.setdefault(feature, [])
-        spec[feature] += [r for r in raws if r not in spec[feature]]
-    return list(spec.items())
-
-
 def normalise_sensor(sensor: Column) -> Column:
     """Sensor names that mean the same sensor collapse to one name."""
     return F.coalesce(F.element_at(S.as_map_literal(S.WING_SENSOR_NAMES), sensor), sensor)

@@ -37,11 +37,12 @@ MODEL_ORDER = ("ts", "kind", "event_id")
 READING, UPDATE = 1, 0
 
 
-def model_step(features: Sequence[str], weights: dict[str, float], alpha: float = 0.2,
+def model_step(features: Sequence[str], weights: dict[str, float] | None, alpha: float = 0.2,
                cap: float = 10.0, feedback: float = 0.2):
     """The vectorised fold step. State: ``hp`` (phase seen, 0/1), ``m_<f>``,
-    ``p_<f>`` (NaN = absent). Inputs: ``kind``, ``threshold``, ``x_<f>``."""
-    w = [weights.get(f, S.DEFAULT_WEIGHT) for f in features]
+    ``p_<f>`` (NaN = absent). Inputs: ``kind``, ``threshold``, ``x_<f>`` and, without
+    ``weights``, each row's own weights ``w_<f>``."""
+    w = [None if weights is None else weights.get(f, S.DEFAULT_WEIGHT) for f in features]
 
     def step(st, xs):
         kind, thr = xs["kind"], xs["threshold"]
@@ -54,7 +55,7 @@ def model_step(features: Sequence[str], weights: dict[str, float], alpha: float
             v, m, p = xs[f"x_{f}"], st[f"m_{f}"], st[f"p_{f}"]
             matched = is_reading & hp & ~np.isnan(v) & ~np.isnan(m)
             with np.errstate(invalid="ignore", divide="ignore"):
-                err = np.abs(v - m) / (np.abs(m) + 1e-6) * wt
+                err = np.abs(v - m) / (np.abs(m) + 1e-6) * (xs[f"w_{f}"] if wt is None else wt)
                 trend = 0.5 * (np.abs(v - p) / (np.abs(p) + 1e-6))
             err = np.where(np.isnan(p), err, err + trend)
             total = np.where(matched, total + err, total)
@@ -85,7 +86,8 @@ def model_step(features: Sequence[str], weights: dict[str, float], alpha: float
              **{f"p_{f}": np.nan for f in features}}
     outputs = {"score": "double", "is_anomaly": "boolean",
                **{f"mean_{f}": "double" for f in features}}
-    inputs = ["kind", "threshold", *[f"x_{f}" for f in features]]
+    inputs = ["kind", "threshold", *[f"x_{f}" for f in features],
+              *([f"w_{f}" for f in features] if weights is None else [])]
     return Fold(inputs, state, outputs, step, passthrough=("event_id", "kind"))
 
 
@@ -118,7 +120,8 @@ def score(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
     too large for one task are folded in parallel chunks, exactly
     (:func:`skyvane.operators.chunked.chunked_fold`).
     """
-    weights = weights if weights is not None else S.all_weights()
+    if weights is None and f"w_{features[0]}" not in rows.columns:
+        weights = S.all_weights()
     fold = model_step(features, weights, alpha)
     if chunk is not None:
         return chunked_fold(rows, MODEL_KEYS, MODEL_ORDER, fold, chunk)

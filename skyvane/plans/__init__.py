@@ -1,5 +1,6 @@
 """Registered queries (Spark builders with their DuckDB oracles)."""
 
+from . import wing  # noqa: F401 - registers the wing feed's queries
 from .catalog import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -442,9 +442,12 @@ _MK = list(M.MODEL_KEYS)
 _d = O.dbl
 
 
-def _model_sql(seq_sql: str, extra: list[str] | None = None) -> str:
-    feats = list(S.EVENT_FEATURES)
+def _model_sql(seq_sql: str, extra: list[str] | None = None, feats: list[str] | None = None,
+               weight: Callable[[str], str] | None = None, keys: list[str] | None = None,
+               carry: dict[str, str] | None = None, out: str | None = None) -> str:
+    feats = feats or list(S.EVENT_FEATURES)
     wts = S.all_weights()
+    weight = weight or (lambda f: _d(wts.get(f, 1.0)))
     st = {"event_id": "CAST(NULL AS BIGINT)", "kind": "CAST(NULL AS INTEGER)",
           "score": "CAST(NULL AS DOUBLE)", "anomaly": "CAST(NULL AS BOOLEAN)", "hp": "false"}
     for f in feats:
@@ -454,7 +457,7 @@ def _model_sql(seq_sql: str, extra: list[str] | None = None) -> str:
                for f in feats}
     err = {}
     for f in feats:
-        base = f"(abs(s.x_{f} - f.m_{f}) / (abs(f.m_{f}) + {_d(1e-6)}) * {_d(wts.get(f, 1.0))})"
+        base = f"(abs(s.x_{f} - f.m_{f}) / (abs(f.m_{f}) + {_d(1e-6)}) * {weight(f)})"
         trend = f"({_d(0.5)} * (abs(s.x_{f} - f.p_{f}) / (abs(f.p_{f}) + {_d(1e-6)})))"
         err[f] = f"(CASE WHEN f.p_{f} IS NULL THEN {base} ELSE {base} + {trend} END)"
     total = " + ".join(f"(CASE WHEN {matched[f]} THEN {err[f]} ELSE 0.0 END)" for f in feats)
@@ -473,10 +476,12 @@ def _model_sql(seq_sql: str, extra: list[str] | None = None) -> str:
             f"(CASE WHEN f.m_{f} IS NULL THEN s.x_{f} ELSE {_d(0.2)} * s.x_{f} + {_d(0.8)} * f.m_{f} END) "
             f"ELSE f.m_{f} END")
         step[f"p_{f}"] = f"CASE WHEN {matched[f]} THEN s.x_{f} ELSE f.p_{f} END"
-    out = ("SELECT event_id, round(score, 6) AS score, anomaly AS is_anomaly, "
-           + ", ".join(f"round(m_{f}, 6) AS mean_{f}" for f in feats)
-           + " FROM fold WHERE rn > 0 AND kind = 1")
-    return O.recursive_fold(_MK, seq_sql, st, step, out, extra)
+    for name, kind in (carry or {}).items():
+        st[name], step[name] = f"CAST(NULL AS {kind})", f"s.{name}"
+    out = out or ("SELECT event_id, round(score, 6) AS score, anomaly AS is_anomaly, "
+                  + ", ".join(f"round(m_{f}, 6) AS mean_{f}" for f in feats)
+                  + " FROM fold WHERE rn > 0 AND kind = 1")
+    return O.recursive_fold(keys or _MK, seq_sql, st, step, out, extra)
 
 
 _READ_SEQ = ("SELECT asset_id, sensor, phase, ts, 1 AS kind, event_id, "
@@ -678,7 +683,7 @@ iv AS ({parts})"""
 
 @register("phase_tag_range_join", O.with_readings("""
 SELECT r.event_id, iv.phase_tag, iv.phase_tag = r.phase AS matches
-FROM readings r JOIN iv ON r.ts >= iv.s AND r.ts < iv.e""", _intervals_sql()))
+FROM readings r LEFT JOIN iv ON r.ts >= iv.s AND r.ts < iv.e""", _intervals_sql()))
 def phase_tag_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JON6: tag each reading with the phase interval containing its time (range join)."""
     r = T.readings(spark, sf_dir)
@@ -1008,7 +1013,7 @@ SELECT event_id, sensor, round(value / 100.0, 6) AS udf_score FROM readings
 WHERE value / 100.0 > 0.8"""))
 def udf_scored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK6 / UDF1 + FIL1: an Arrow-batched user scorer, then the 0.8 cut-off."""
-    r = T.readings(spark, sf_dir).filter(T.score_prefilter(0.8)).select("event_id", "sensor", "value")
+    r = T.readings(spark, sf_dir).select("event_id", "sensor", "value")
     scored = P.udf_scorer(r, lambda pdf: pdf["value"] / 100.0, ["value"])
     return L.global_alerts(scored, 0.8, "udf_score").select(
         "event_id", "sensor", r6("udf_score").alias("udf_score"))

@@ -66,13 +66,15 @@ WING_THRESHOLDS = {
 }
 DEFAULT_THRESHOLD = 1.0
 
-# Feature weights in the score (features not listed: 1.0).
+# Feature weights in the score (features not listed: 1.0). They
+# belong to the quantity, so they are kept under its clean name, which every raw key leads to.
 WING_WEIGHTS = {
-    "damping_ratio": 3.0,
-    "snr_dB": 2.5,
-    "pressure_gradient_Pa_per_cm": 2.0,
-    "tracking_error_deg": 2.0,
-    "lag_ms": 2.5,
+    "flutter_damping": 3.0,
+    "snr": 2.5,
+    "pressure_gradient": 2.0,
+    "slat_error": 2.0,
+    "spoiler_error": 2.0,
+    "spoiler_lag": 2.5,
     "accel_x": 1.0,
     "accel_y": 1.0,
     "accel_z": 1.0,
@@ -110,23 +112,53 @@ WING_UPDATE_FEATURES = {
     "spar": ["spar_bending"],
 }
 
-# Monitoring-row features of the wing feed, as
+# The training row of the wing feed, as
 # (sensor, feature, raw keys in priority order). Healthy and faulty firmware
 # publish different raw keys for the same quantity; the first non-null wins.
 WING_ALIASES = [
     ("accelerometer", "accel_x", ["accel_x (g)"]),
     ("accelerometer", "accel_y", ["accel_y (g)"]),
     ("accelerometer", "accel_z", ["accel_z (g)"]),
+    ("accelerometer", "accel_freq", ["dominant_freq (Hz)"]),
+    ("accelerometer", "accel_rms", ["rms (g)"]),
     ("wingtip_strain", "strain", ["strain_microstrain"]),
-    ("wingtip_node", "strain", ["strain_microstrain"]),
+    ("wingtip_strain", "strain_temp", ["temperature_C"]),
+    ("wingtip_strain", "snr", ["snr_dB"]),
     ("pressure", "pressure", ["dynamic_pressure_Pa", "dynamic_pressure (Pa)"]),
+    ("pressure", "pressure_gradient", ["pressure_gradient_Pa_per_cm", "pressure_gradient (Pa/cm)"]),
+    ("pressure", "asymmetry", ["asymmetry_index_percent", "asymmetry_index (%)"]),
     ("fueltemp", "fuel_temp", ["temperature_C", "temperature (Degree C)"]),
+    ("fueltemp", "fuel_gradient", ["gradient_C_per_min", "gradient (Degree C/min)"]),
+    ("fueltemp", "fuel_jitter", ["jitter_C", "jitter (Degree C)"]),
     ("flutter", "flutter_freq", ["frequency_Hz", "frequency (Hz)"]),
+    ("flutter", "flutter_amp", ["amplitude_mm", "amplitude (mm)"]),
+    ("flutter", "flutter_damping", ["damping_ratio"]),
     ("flap", "flap_angle", ["flap_angle"]),
+    ("flap", "flap_motor", ["motor_current"]),
+    ("flap", "flap_pressure", ["hydraulic_pressure"]),
+    ("slat", "slat_cmd", ["commanded_angle_deg"]),
     ("slat", "slat_actual", ["actual_angle_deg"]),
+    ("slat", "slat_error", ["tracking_error_deg"]),
+    ("slat", "slat_motor", ["motor_current_A"]),
     ("spoiler", "spoiler_lag", ["lag_ms"]),
     ("spar", "spar_bending", ["bending_moment_Nm"]),
+    ("spar", "spar_shear", ["shear_force_N"]),
+    ("spar", "spar_axial", ["axial_load_N"]),
+    ("wingtip_node", "node_accel", ["acceleration_g"]),
     ("wingtip_node", "node_deflection", ["deflection_cm"]),
+    ("wingtip_node", "node_strain", ["strain_microstrain"]),
+]
+# Readings that only the model uses, beside those of the training row.
+WING_MODEL_ONLY = [
+    ("spoiler", "spoiler_cmd", ["commanded_angle_deg"]),
+    ("spoiler", "spoiler_actual", ["actual_angle_deg"]),
+    ("spoiler", "spoiler_error", ["tracking_error_deg"]),
+    ("spoiler", "spoiler_motor", ["motor_current_A"]),
+]
+# Features of the monitoring row. Both strain sensors share "strain".
+WING_MONITORING = [
+    "accel_x", "accel_y", "accel_z", "strain", "pressure", "fuel_temp",
+    "flutter_freq", "flap_angle", "slat_actual", "spoiler_lag", "spar_bending", "node_deflection",
 ]
 WING_SENSOR_NAMES = {
     "wing_surface_pressure": "pressure",
@@ -204,7 +236,9 @@ def all_thresholds() -> dict[str, float]:
 
 
 def all_weights() -> dict[str, float]:
-    return {**WING_WEIGHTS, **EVENT_WEIGHTS}
+    """Weights under the clean names and under every raw key of the same quantity."""
+    raw = {key: WING_WEIGHTS[f] for _, f, keys in WING_ALIASES + WING_MODEL_ONLY for key in keys if f in WING_WEIGHTS}
+    return {**raw, **WING_WEIGHTS, **EVENT_WEIGHTS}
 
 
 def event_aliases() -> list[tuple[str, str, list[str]]]:
@@ -231,11 +265,6 @@ def threshold_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "sensor string, threshold double")
 
 
-def weight_table(spark: SparkSession) -> DataFrame:
-    rows = sorted(all_weights().items())
-    return spark.createDataFrame(rows, "feature string, weight double")
-
-
 def sensor_table(spark: SparkSession) -> DataFrame:
     """Sensors that have a model (one row per sensor)."""
     return spark.createDataFrame([(s,) for s in sorted(all_thresholds())], "sensor string")
@@ -247,13 +276,6 @@ def update_feature_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "sensor string, feature string")
 
 
-def alias_table(spark: SparkSession) -> DataFrame:
-    rows = [(s, raw, f, i + 1)
-            for s, f, raws in WING_ALIASES + event_aliases()
-            for i, raw in enumerate(raws)]
-    return spark.createDataFrame(rows, "sensor string, raw_key string, feature string, priority int")
-
-
 def phase_limit_table(spark: SparkSession) -> DataFrame:
     rows = WING_PHASE_LIMITS + event_phase_limits()
     return spark.createDataFrame(rows, "sensor string, phase string, feature string, lo double, hi double")

@@ -16,9 +16,12 @@ from __future__ import annotations
 
 import argparse
 
+from ..operators.lookups import learnable
 from ..session import build_session
 from ..sources.files import telemetry_stream
-from .pipeline import start_pipeline
+from ..feeds import WING
+from ..sources.files import update_stream
+from .pipeline import start_feed, start_pipeline, with_effective_ts
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -33,6 +36,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--shuffle-partitions", type=int, default=None)
     p.add_argument("--model-shards", type=int, default=8,
                    help="state shards per (sensor, phase); about fleet size / 5000")
+    p.add_argument("--feed", choices=["wing", "events"], default="wing",
+                   help="what the messages report: the ten wing sensors, or the derived events")
+    p.add_argument("--feedback", default=None, metavar="SOURCE",
+                   help="wing feed: read model-update messages back, from a folder or, with a kafka source, a topic")
+    p.add_argument("--sink", default="text", choices=["text", "kafka"], help="where messages go")
+    p.add_argument("--sink-option", action="append", default=[], help="sink option key=value")
     p.add_argument("--exact-order-delay", default=None,
                    help="e.g. '1 minute': score in event order, buffered to the watermark")
     return p.parse_args(argv)
@@ -45,9 +54,17 @@ def main(argv: list[str] | None = None) -> None:
     records = telemetry_stream(spark, args.source, args.path, **options)
     trigger = ({"availableNow": True} if args.available_now
                else {"processingTime": f"{args.trigger_seconds} seconds"})
-    queries = start_pipeline(spark, records, args.out.rstrip("/"), trigger=trigger,
-                             model_shards=args.model_shards,
-                             order_delay=args.exact_order_delay)
+    common = dict(trigger=trigger, model_shards=args.model_shards, order_delay=args.exact_order_delay)
+    if args.feed == "events":
+        queries = start_pipeline(spark, records, args.out.rstrip("/"), **common)
+    else:
+        updates = None
+        if args.feedback:
+            updates = (update_stream(spark, "kafka", **{**options, "subscribe": args.feedback}) if args.source == "kafka"
+                       else update_stream(spark, "text", args.feedback))
+            updates = with_effective_ts(learnable(updates), "5 seconds")
+        queries = start_feed(spark, records, args.out.rstrip("/"), WING, updates=updates, fmt=args.sink,
+                             **dict(o.split("=", 1) for o in args.sink_option), **common)
     if args.available_now:
         for q in queries:
             q.awaitTermination()

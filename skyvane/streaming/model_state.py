@@ -6,21 +6,19 @@ state grows with the number of keys, never with the number of readings.
 Within a micro-batch a key's rows are folded in (ts, kind, event_id) order
 with the same step the batch fold uses, so batch and stream agree.
 
-Three interchangeable operators:
+Two operators:
 
-* :func:`score_stream_sharded` (default): ``transformWithStateInPandas``
+* :func:`score_stream_sharded`: ``transformWithStateInPandas``
   keyed by (sensor, phase, hash shard of asset). One handler call folds all
   assets of a shard at once, vectorised across assets; the shard's state is
   a set of parallel arrays. Python calls per batch = touched shards.
-* :func:`score_stream`: one state record per (asset, sensor, phase) key.
-* :func:`score_stream_grouped`: the same on ``applyInPandasWithState``.
 * :func:`score_stream_ordered`: the sharded operator in event-time mode; rows
   wait in keyed list state until the watermark passes them, so the order is
   exact across micro-batches.
 
-The per-key variants pay one Python call per key and micro-batch; sharding
-trades that for rewriting a shard's arrays when it is touched, so the shard
-count should keep a shard's state to a few MB.
+Sharding trades a Python call per key for rewriting a shard's arrays when it is
+touched, so the shard count should keep a shard's state to a few MB. Messages
+may name no asset: they are then one key per sensor and phase.
 """
 
 from __future__ import annotations
@@ -42,115 +40,35 @@ from ..operators import model as M
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class ModelProcessor(StatefulProcessor):
-    """Scores readings and applies updates for one (asset, sensor, phase) key."""
-
-    def __init__(self, features: Sequence[str], weights: dict[str, float], alpha: float = 0.2):
-        self.features = list(features)
-        self.fold = M.model_step(self.features, weights, alpha)
-        self.fields = list(self.fold.state)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = StructType([StructField(f, DoubleType(), True) for f in self.fields])
-        self.state = handle.getValueState("model", schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(list(M.MODEL_ORDER), kind="stable").reset_index(drop=True)
-        if self.state.exists():
-            saved = self.state.get()
-            st = {f: np.array([np.nan if saved[i] is None else saved[i]], dtype=float)
-                  for i, f in enumerate(self.fields)}
-        else:
-            st = {f: np.array([v], dtype=float) for f, v in self.fold.state.items()}
-        xs = {c: pdf[c].to_numpy(dtype=float, na_value=np.nan) for c in self.fold.inputs}
-        outs = {o: np.full(len(pdf), np.nan) for o in self.fold.outputs}
-        for i in range(len(pdf)):
-            st, out = self.fold.step(st, {c: xs[c][i:i + 1] for c in xs})
-            for o, a in out.items():
-                outs[o][i] = a[0]
-        self.state.update(tuple(None if np.isnan(st[f][0]) else float(st[f][0])
-                                for f in self.fields))
-        res = pdf[[*M.MODEL_KEYS, "event_id", "kind"]].copy()
-        for o, t in self.fold.outputs.items():
-            if t == "boolean":
-                res[o] = pd.array(np.where(np.isnan(outs[o]), None, outs[o] == 1.0), dtype="boolean")
-            else:
-                res[o] = outs[o]
-        yield res
-
-    def close(self) -> None:
-        pass
+def kept_columns(rows: DataFrame) -> list[str]:
+    """Input columns that the scored rows keep: what alert and scored messages carry."""
+    return [*M.MODEL_KEYS, "event_id", "kind", *[c for c in ("timestamp", "payload") if c in rows.columns]]
 
 
 def output_schema(rows: DataFrame, features: Sequence[str]) -> str:
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    cols = [f"{c} {types[c]}" for c in [*M.MODEL_KEYS, "event_id", "kind"]]
+    cols = [f"{c} {types[c]}" for c in kept_columns(rows)]
     cols += ["score double", "is_anomaly boolean"] + [f"mean_{f} double" for f in features]
     return ", ".join(cols)
 
 
-def score_stream(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
-                 weights: dict[str, float] | None = None, alpha: float = 0.2) -> DataFrame:
-    """Keyed stateful scoring of model-input rows (readings and updates).
+# Stands for "no asset" inside the state; never leaves this module.
+NO_ASSET = -(1 << 63)
 
-    Works on a streaming DataFrame (state kept in the state store between
-    micro-batches; use the RocksDB provider) and on a batch DataFrame.
-    """
-    spark = prepare(rows.sparkSession)
-    if rows.isStreaming and spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    weights = weights if weights is not None else S.all_weights()
-    proc = ModelProcessor(features, weights, alpha)
-    return rows.groupBy(*M.MODEL_KEYS).transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=output_schema(rows, features),
-        outputMode="Append", timeMode="None")
-
-
-def _state_schema(fields: Sequence[str]) -> str:
-    return ", ".join(f"{f} double" for f in fields)
-
-
-def score_stream_grouped(rows: DataFrame, features: Sequence[str] = S.EVENT_FEATURES,
-                         weights: dict[str, float] | None = None, alpha: float = 0.2) -> DataFrame:
-    """The same keyed model on ``applyInPandasWithState`` (state travels with
-    the Arrow batches). Like :func:`score_stream` it pays one Python call per
-    key and micro-batch; measured on 22k keys in one batch it was no faster,
-    so :func:`score_stream_sharded` is the default."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    prepare(rows.sparkSession)
-    weights = weights if weights is not None else S.all_weights()
-    fold = M.model_step(list(features), weights, alpha)
-    fields = list(fold.state)
-    out_schema = output_schema(rows, features)
-
-    def run(key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(list(M.MODEL_ORDER), kind="stable").reset_index(drop=True)
-        if state.exists:
-            saved = state.get
-            st = {f: np.array([np.nan if saved[i] is None else saved[i]], dtype=float)
-                  for i, f in enumerate(fields)}
-        else:
-            st = {f: np.array([v], dtype=float) for f, v in fold.state.items()}
-        xs = {c: pdf[c].to_numpy(dtype=float, na_value=np.nan) for c in fold.inputs}
-        outs = {o: np.full(len(pdf), np.nan) for o in fold.outputs}
-        for i in range(len(pdf)):
-            st, out = fold.step(st, {c: xs[c][i:i + 1] for c in xs})
-            for o, a in out.items():
-                outs[o][i] = a[0]
-        state.update(tuple(None if np.isnan(st[f][0]) else float(st[f][0]) for f in fields))
-        res = pdf[[*M.MODEL_KEYS, "event_id", "kind"]].copy()
-        for o, t in fold.outputs.items():
-            if t == "boolean":
-                res[o] = pd.array(np.where(np.isnan(outs[o]), None, outs[o] == 1.0), dtype="boolean")
-            else:
-                res[o] = outs[o]
-        yield res
-
-    return rows.groupBy(*M.MODEL_KEYS).applyInPandasWithState(
-        run, out_schema, _state_schema(fields), "append", GroupStateTimeout.NoTimeout)
+
+def keyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("asset_id", F.coalesce(F.col("asset_id"), F.lit(NO_ASSET)))
+
+
+def unkeyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("asset_id", F.when(F.col("asset_id") != NO_ASSET, F.col("asset_id")))
+
+
+def row_weights(rows: DataFrame, features: Sequence[str], weights: dict[str, float] | None) -> dict[str, float] | None:
+    """The default weights, unless the rows carry their own (``w_<feature>``)."""
+    if weights is None and f"w_{list(features)[0]}" not in rows.columns:
+        return S.all_weights()
+    return weights
 
 
 SHARD_KEYS = ("sensor", "phase", "_shard")
@@ -167,9 +85,11 @@ def fleet_shards(n_assets: int, per_shard: int = ASSETS_PER_SHARD) -> int:
 class ShardProcessor(StatefulProcessor):
     """Folds every asset of one (sensor, phase, shard) key in a micro-batch."""
 
-    def __init__(self, features: Sequence[str], weights: dict[str, float], alpha: float = 0.2):
+    def __init__(self, features: Sequence[str], weights: dict[str, float] | None, alpha: float = 0.2,
+                 keep: Sequence[str] = (*M.MODEL_KEYS, "event_id", "kind")):
         self.fold = M.model_step(list(features), weights, alpha)
         self.fields = list(self.fold.state)
+        self.keep = list(keep)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = StructType([StructField("assets", ArrayType(LongType()), True)]
@@ -203,7 +123,7 @@ class ShardProcessor(StatefulProcessor):
             stored[f] = np.concatenate([stored[f], final[f][~hit]])
         known = np.concatenate([known, batch_assets[~hit]])
         self.state.update((known.tolist(), *[stored[f].tolist() for f in self.fields]))
-        yield FD.output_frame(pdf, [*M.MODEL_KEYS, "event_id", "kind"], self.fold, outs)
+        yield FD.output_frame(pdf, self.keep, self.fold, outs)
 
     def close(self) -> None:
         pass
@@ -216,11 +136,11 @@ def score_stream_sharded(rows: DataFrame, features: Sequence[str] = S.EVENT_FEAT
     spark = prepare(rows.sparkSession)
     if rows.isStreaming and spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    weights = weights if weights is not None else S.all_weights()
-    sharded = rows.withColumn("_shard", F.pmod(F.xxhash64("asset_id"), F.lit(shards)))
-    return sharded.groupBy(*SHARD_KEYS).transformWithStateInPandas(
-        statefulProcessor=ShardProcessor(features, weights, alpha),
-        outputStructType=output_schema(rows, features), outputMode="Append", timeMode="None")
+    weights = row_weights(rows, features, weights)
+    sharded = keyed(rows).withColumn("_shard", F.pmod(F.xxhash64("asset_id"), F.lit(shards)))
+    return unkeyed(sharded.groupBy(*SHARD_KEYS).transformWithStateInPandas(
+        statefulProcessor=ShardProcessor(features, weights, alpha, kept_columns(rows)),
+        outputStructType=output_schema(rows, features), outputMode="Append", timeMode="None"))
 
 
 class OrderedShardProcessor(ShardProcessor):
@@ -229,8 +149,8 @@ class OrderedShardProcessor(ShardProcessor):
     result no longer depends on how rows are split into micro-batches (rows
     arriving behind the watermark are dropped by the watermark)."""
 
-    def __init__(self, features, weights, alpha, row_schema: StructType):
-        super().__init__(features, weights, alpha)
+    def __init__(self, features, weights, alpha, row_schema: StructType, keep: Sequence[str]):
+        super().__init__(features, weights, alpha, keep)
         self.row_schema = row_schema
         self.cols = [f.name for f in row_schema.fields]
 
@@ -274,12 +194,12 @@ def score_stream_ordered(rows: DataFrame, delay: str = "2 seconds",
     spark = prepare(rows.sparkSession)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    weights = weights if weights is not None else S.all_weights()
-    sharded = (rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    weights = row_weights(rows, features, weights)
+    sharded = (keyed(rows).withColumn("ts", F.col("ts").cast("timestamp"))
                    .withWatermark("ts", delay)
                    .withColumn("_shard", F.pmod(F.xxhash64("asset_id"), F.lit(shards))))
     row_schema = StructType([f for f in sharded.schema.fields if f.name != "_shard"])
-    proc = OrderedShardProcessor(features, weights, alpha, row_schema)
-    return sharded.groupBy(*SHARD_KEYS).transformWithStateInPandas(
+    proc = OrderedShardProcessor(features, weights, alpha, row_schema, kept_columns(rows))
+    return unkeyed(sharded.groupBy(*SHARD_KEYS).transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=output_schema(rows, features),
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime"))

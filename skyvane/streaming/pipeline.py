@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import feeds as FE
 from .. import schema as S
 from ..functions import decode as D
 from ..operators import aggregations as A
@@ -88,24 +89,37 @@ def write_messages(df: DataFrame, target: str, fmt: str = "text", **options: str
         out.write.mode("overwrite").text(target)
 
 
-def update_batch_writer(target: str, allowed: DataFrame, sensors: DataFrame, cap: int | None = None,
+def update_batch_writer(target: str, allowed: DataFrame, sensors: DataFrame,
+                        features: Sequence[str] = S.EVENT_FEATURES,
                         fmt: str = "text", **options: str) -> Callable[[DataFrame, int], None]:
-    """SNK3 (+STR6, PRJ12-14, FIL3, LIM1): per micro-batch, build update
-    messages from the window rows and write them as JSON. ``cap`` reproduces
-    the optional per-batch limit (ordered, so it is deterministic); off by
-    default because it drops groups."""
+    """SNK3 (+STR6, PRJ12-14, FIL3, FIL5): per micro-batch, build update
+    messages from all window rows of sensors that have a model and write them
+    as JSON."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.orderBy("timestamp", "sensor", "phase").limit(cap) if cap else batch
-        msgs = L.update_messages(rows, allowed)
+        msgs = L.update_messages(L.known_sensors(batch, sensors), allowed, features)
         dest = f"{target}/batch={epoch_id}" if fmt != "kafka" else target
         write_messages(msgs, dest, fmt, **options)
     return run
 
 
-def fan_out_writer(base: str) -> Callable[[DataFrame, int], None]:
+def scored_messages(scored: DataFrame) -> DataFrame:
+    """SNK1: the scored envelope of each reading."""
+    return scored.select("timestamp", "sensor", F.col("payload").alias("value"), F.col("score").alias("prediction"),
+                         "is_anomaly", "phase")
+
+
+def alert_rows(scored: DataFrame) -> DataFrame:
+    """SNK2: the alert of each anomalous reading, with its payload text."""
+    return scored.filter("is_anomaly").select(
+        "timestamp", "sensor", F.col("score").alias("prediction"), F.col("payload").alias("value"),
+        F.concat(F.lit("Anomaly detected in "), F.col("sensor")).alias("message"))
+
+
+def fan_out_writer(base: str, fmt: str = "text", **options: str) -> Callable[[DataFrame, int], None]:
     """SNK1 + SNK2 in one ``foreachBatch``: the scored batch is written once;
     the alerts are read back from that written table (durable, so the model
-    never runs twice and a lost executor only re-reads files)."""
+    never runs twice and a lost executor only re-reads files). Rows that carry
+    their payload also go out as JSON messages (a bus with ``fmt="kafka"``)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         scored_path = f"{base}/scored/batch={epoch_id}"
         batch.write.mode("overwrite").parquet(scored_path)
@@ -114,6 +128,10 @@ def fan_out_writer(base: str) -> Callable[[DataFrame, int], None]:
             "event_id", "asset_id", "sensor", "phase", "score",
             F.concat(F.lit("Anomaly detected in "), F.col("sensor")).alias("message"))
         alerts.write.mode("overwrite").parquet(f"{base}/alerts/batch={epoch_id}")
+        if "payload" in scored.columns:
+            readings = scored.filter(F.col("kind") == M.READING)
+            for topic, rows in (("scored_messages", scored_messages(readings)), ("alert_messages", alert_rows(readings))):
+                write_messages(rows, topic if fmt == "kafka" else f"{base}/{topic}/batch={epoch_id}", fmt, **options)
     return run
 
 
@@ -192,13 +210,48 @@ def latest_versions(spark: SparkSession, base: str, keys: Sequence[str]) -> Data
     return latest.select("r.*")
 
 
+def scored_feed(tel: DataFrame, feed: FE.Feed, updates: DataFrame | None = None, shards: int = 8,
+                order_delay: str | None = None) -> DataFrame:
+    """The model over a feed's telemetry: readings and, from ``updates`` (messages with
+    ``effective_ts``), the feedback blend. Scored rows keep their time and payload."""
+    rows = FE.model_rows(tel, feed, extra=("timestamp", "payload"))
+    if updates is not None:
+        rows = rows.unionByName(FE.update_rows(updates, feed), allowMissingColumns=True)
+    if order_delay:
+        return MS.score_stream_ordered(rows, order_delay, feed.slots, shards=shards)
+    return MS.score_stream_sharded(rows, feed.slots, shards=shards)
+
+
+def start_feed(spark: SparkSession, records: DataFrame, base: str, feed: FE.Feed,
+               trigger: dict | None = None, monitoring: str = "5 seconds", training: str = "1 second",
+               watermark: str = "2 seconds", updates: DataFrame | None = None, model_shards: int = 8,
+               order_delay: str | None = None, fmt: str = "text", **options: str) -> list[StreamingQuery]:
+    """The whole job on a feed's messages: monitoring rows and model updates, the training set, scored
+    and alert messages, dead letters. ``updates``: the stream of model-update messages to feed back
+    (:func:`with_effective_ts` of :func:`skyvane.sources.files.update_stream`)."""
+    tel, dead = FE.telemetry(records, feed)
+    allowed = spark.createDataFrame([(s, f) for s, fs in sorted(feed.update_features.items()) for f in fs],
+                                    "sensor string, feature string")
+    sensors = spark.createDataFrame([(s,) for s in sorted(feed.thresholds)], "sensor string")
+    mon = monitoring_rows(FE.monitoring_input(tel, feed), monitoring, watermark, features=feed.monitoring)
+    train = FE.training_row(tel.withWatermark("event_time", watermark), feed, training).withColumn("date", F.to_date("timestamp"))
+    return [
+        _writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger).foreachBatch(
+            update_batch_writer(f"{base}/updates", allowed, sensors, feed.monitoring, fmt, **options)).start(),
+        start_parquet(train, f"{base}/training", f"{base}/ckpt/training", "training", "append", trigger, ("date",)),
+        _writer(scored_feed(tel, feed, updates, model_shards, order_delay), "scoring", f"{base}/ckpt/scoring", "append", trigger)
+        .foreachBatch(fan_out_writer(f"{base}/scored", fmt, **options)).start(),
+        start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters", "append", trigger),
+    ]
+
+
 def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
                    trigger: dict | None = None, monitoring: str = "5 seconds",
                    training: str = "1 second", watermark: str = "2 seconds",
-                   update_cap: int | None = None, model_shards: int = 8,
+                   model_shards: int = 8,
                    order_delay: str | None = None) -> list[StreamingQuery]:
-    """The whole job on one message source (STR9): decode once, then
-    monitoring rows (update mode -> model-update messages), the training set
+    """The whole job on the derived feed's messages (STR9; :func:`start_feed` serves any
+    other feed): monitoring rows (update mode -> model-update messages), the training set
     (append -> parquet by date), scored readings with alerts, and dead letters.
     Every query has its own checkpoint; returns the started queries (wait with
     ``spark.streams.awaitAnyTermination()`` or :func:`run_available`)."""
@@ -207,7 +260,7 @@ def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
     mon = monitoring_rows(tel, monitoring, watermark)
     qs.append(_writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger)
               .foreachBatch(update_batch_writer(f"{base}/updates", S.update_feature_table(spark),
-                                                S.sensor_table(spark), update_cap)).start())
+                                                S.sensor_table(spark))).start())
     qs.append(start_parquet(training_rows(tel, training, watermark), f"{base}/training",
                             f"{base}/ckpt/training", "training", "append", trigger, ("date",)))
     qs.append(_writer(scored_stream(tel, shards=model_shards, order_delay=order_delay),

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from skyvane import schema as S
+from skyvane import feeds as FE
 from skyvane.functions import decode as D
 
 
@@ -68,12 +69,16 @@ def test_wing_payloads_flatten_with_aliases_and_renames(spark):
              json.dumps({"timestamp": 2.0, "sensor": "wing_surface_pressure",
                          "value": {"dynamic_pressure (Pa)": 1100.0}}),
              json.dumps({"timestamp": 3.0, "sensor": "fueltemp", "value": faulty})]
-    out = _decode(spark, lines, key_map=S.WING_KEY_MAP, spec=D.wing_feature_spec()) \
-        .orderBy("timestamp").collect()
-    assert out[0]["fuel_temp"] == -12.5 and out[2]["fuel_temp"] == -3.0
+    lines.append(json.dumps({"timestamp": 4.0, "sensor": "wingtip_strain", "value": {"temperature_C": -20.0, "snr_dB": 31.0}}))
+    records = spark.createDataFrame([(x,) for x in lines], "value string")
+    out = FE.decode(records, FE.WING).orderBy("timestamp").collect()
+    assert out[0]["fuel_temp"] == -12.5 and out[2]["fuel_temp"] == -3.0 and out[2]["fuel_jitter"] == 0.2
     assert out[1]["sensor"] == "pressure" and out[1]["pressure"] == 1100.0
+    # one raw key, two quantities: the sensor decides
+    assert out[3]["strain_temp"] == -20.0 and out[3]["fuel_temp"] is None and out[3]["snr"] == 31.0
     # the edge feature map drops text values and renames known keys
-    assert out[0]["features"] == {"fuel_temp": -12.5, "gradient_C_per_min": 0.1}
+    edge = _decode(spark, lines[:1], key_map=S.WING_KEY_MAP).first()
+    assert edge["features"] == {"fuel_temp": -12.5, "gradient_C_per_min": 0.1}
 
 
 def test_missing_key_is_null(spark):

@@ -177,25 +177,6 @@ def test_feedback_updates_stream_into_the_model(spark):
     assert any(plain[k] != v[0] for k, v in batch.items())  # the updates matter
 
 
-@pytest.mark.parametrize("variant", ["score_stream", "score_stream_grouped"])
-def test_alternative_state_operators_agree(spark, variant):
-    from skyvane.streaming import model_state as MS
-    base = scratch_path(spark, "variants")
-    r = T.readings(spark, SF)
-    r.select(T.envelope_json(r).alias("value")).write.text(f"{base}/in")
-    tel, _ = P.decoded(FS.telemetry_stream(spark, "text", f"{base}/in"))
-    rows = M.model_input(tel.withColumn("ts", F.col("event_time")))
-    scored = getattr(MS, variant)(rows)
-    q = (scored.writeStream.option("checkpointLocation", f"{base}/ckpt")
-         .foreachBatch(P.fan_out_writer(f"{base}/out")).trigger(availableNow=True).start())
-    P.run_available([q])
-    got = {x["event_id"]: (round(x["score"], 9), x["is_anomaly"])
-           for x in spark.read.parquet(f"{base}/out/scored").collect()}
-    want = {x["event_id"]: (round(x["score"], 9), x["is_anomaly"])
-            for x in M.score(M.model_input(r)).collect()}
-    assert got == want
-
-
 def test_streaming_job_entry_point(spark, tmp_path):
     import subprocess
     import sys
@@ -205,7 +186,7 @@ def test_streaming_job_entry_point(spark, tmp_path):
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run(
         [sys.executable, "-m", "skyvane.streaming.job", "--source", "text", "--path", f"{base}/in",
-         "--out", f"{base}/out", "--available-now", "--shuffle-partitions", "4"],
+         "--out", f"{base}/out", "--available-now", "--shuffle-partitions", "4", "--feed", "events"],
         capture_output=True, text=True, cwd=repo, timeout=900)
     assert out.returncode == 0, out.stderr[-3000:]
     assert spark.read.parquet(f"{base}/out/scored/scored").count() == r.count()
