@@ -12,13 +12,16 @@ This splits every large key into time chunks and keeps the result exact:
    speculative state after the same row, bit for bit: from there on the
    speculative rows are exact (same state, same inputs, same steps). The key's
    first chunk is exact as speculated.
-3. *Fall back*: a chunk that has not converged within ``prefix`` rows is
-   re-folded exactly, with the rest of its key, from its true starting state.
+3. *Go on in rounds*: if a chunk has not converged within ``prefix`` rows, all
+   of the key's chunks from there on are speculated again in parallel, now from
+   the true state before that chunk, and resolved again. A round settles at
+   least one chunk of every unresolved key; a locked gate, whose means no
+   longer move, settles in the next one. No task ever folds more than one chunk.
 
 Contractive folds (EWMA means forget their start geometrically; limiters and
 "last value" states reset on the next unclamped row) converge within a few
-hundred rows, so a hot key costs one parallel pass, a small sequential pass
-over chunk prefixes, and no fallback in practice.
+hundred rows. Chunks are cut by a key's own rate, so they hold about
+``CHUNK_ROWS`` rows each whatever that rate is.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import prepare, scratch_path
+from ..session import materialize, prepare
 from .fold import Fold, sorted_fold
 
 CHUNK = "_chunk"
@@ -62,7 +65,8 @@ def _same(a: float, b: float) -> bool:
 def _resolve(batches: Iterator[pd.DataFrame], keys: Sequence[str], order: Sequence[str],
              fold: Fold, prefix: int) -> Iterator[pd.DataFrame]:
     """Pass 2 over rows sorted by (keys, chunk, tag, pos): emits corrections
-    (``_type`` = 'c') for re-run rows and fallbacks (``_type`` = 'f')."""
+    (``_type`` = 'c') for re-run rows and, once per key, the first chunk that
+    stays open with its true starting state (``_type`` = 'f')."""
     fields = list(fold.state)
     outs_t = fold.outputs
     cur_key = None
@@ -77,7 +81,7 @@ def _resolve(batches: Iterator[pd.DataFrame], keys: Sequence[str], order: Sequen
         recs = []
         cols = {c: pdf[c].to_numpy() for c in pdf.columns}
         for i in range(len(pdf)):
-            k = tuple(cols[c][i] for c in keys)
+            k = tuple(None if pd.isna(cols[c][i]) else cols[c][i] for c in keys)
             if k != cur_key:
                 cur_key, true, dead, chunk, first_chunk = k, dict(fold.state), False, None, True
             if dead:
@@ -119,50 +123,97 @@ def _resolve(batches: Iterator[pd.DataFrame], keys: Sequence[str], order: Sequen
 
 # Keys with more rows than this are split into chunks; the rest stay whole.
 SPLIT_ABOVE = 2_000_000
+# Rows of a chunk, by the key's average rate.
+CHUNK_ROWS = 200_000
+
+
+def by_rate(df: DataFrame, hot: DataFrame, keys: Sequence[str], time_col: str, chunk_rows: int) -> DataFrame:
+    """Add the chunk of each row: equal spans of a hot key's time, as many as its
+    rows need; other keys are chunk 0. ``hot`` has the keys, ``_rows``, ``_from`` and ``_to``."""
+    cond = None
+    h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_rows", "_from", "_to")
+    for k in keys:
+        e = df[k].eqNullSafe(h[f"_h_{k}"])
+        cond = e if cond is None else cond & e
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    n = F.ceil(F.col("_rows") / F.lit(chunk_rows))
+    span = F.greatest((F.col("_to") - F.col("_from") + 1) / n, F.lit(1.0))
+    chunk = F.when(F.col("_rows").isNotNull(), F.floor((at - F.col("_from")) / span).cast("long")).otherwise(F.lit(0).cast("long"))
+    return df.join(h, cond, "left").withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
 
 
 def chunked_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold,
-                 chunk: Column, prefix: int = 256, split_above: int = SPLIT_ABOVE) -> DataFrame:
+                 chunk: Column | None = None, prefix: int = 256, split_above: int = SPLIT_ABOVE,
+                 chunk_rows: int = CHUNK_ROWS, rounds: list[int] | None = None) -> DataFrame:
     """Exactly :func:`sorted_fold` (same rows, same outputs), but parallel over
     (key, chunk) for keys with more than ``split_above`` rows.
 
     ``chunk`` is a timestamp bucket that is non-decreasing in ``order`` within
-    a key (e.g. the hour of the ordering timestamp). Smaller keys are one
-    chunk, whose speculative fold is already exact.
+    a key; by default the key's time span (``order[0]``) in equal parts of about
+    ``chunk_rows`` rows. Smaller keys are one chunk, whose speculative fold is
+    already exact. ``rounds`` collects the number of unresolved keys after each round.
     """
-    spark = prepare(df.sparkSession)
+    prepare(df.sparkSession)
+    # hot keys: one partial aggregate; the list has at most rows/split_above entries
+    at = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    hot = materialize(
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_from"), F.max(at).alias("_to"))
+        .filter(F.col("_rows") > split_above), "chunked-hot")
+    if hot.limit(1).count() == 0:
+        return sorted_fold(df, keys, order, fold)
+    pending = by_rate(df, hot, keys, order[0], chunk_rows)
+    if chunk is not None:
+        fine = F.unix_micros(chunk.cast("timestamp"))
+        many = materialize(hot.select(*keys), "chunked-keys")
+        pending = _null_safe(pending.drop(CHUNK), many.withColumn("_hot", F.lit(True)), keys).withColumn(
+            CHUNK, F.when(F.col("_hot"), fine).otherwise(F.lit(0).cast("long"))).drop("_hot")
+    done: list[DataFrame] = []
+    init: dict[str, str] | None = None
+    while True:
+        exact, rest = _round(pending, keys, order, fold, prefix, init)
+        done.append(exact)
+        left = 0 if rest is None else rest.select(*keys).distinct().count()
+        if rounds is not None:
+            rounds.append(left)
+        if not left:
+            break
+        pending, init = rest, {f: f"_init_{f}" for f in fold.state}
+        # slow convergence: look further into the chunks, but never into more than a fiftieth
+        prefix = min(4 * prefix, max(prefix, CHUNK_ROWS // 50))
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on keys where NULL equals NULL; the columns of ``right`` that are not keys are added."""
+    extra = [c for c in right.columns if c not in keys]
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *extra)
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).select(*left.columns, *extra)
+
+
+def _round(pending: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold, prefix: int,
+           init: dict[str, str] | None) -> tuple[DataFrame, DataFrame | None]:
+    """Speculate and resolve all chunks of ``pending``: (exact output rows, input rows
+    of the chunks still open with their keys' true state in ``_init_<field>``)."""
     fields = list(fold.state)
     ckeys = [*keys, CHUNK]
     carry = _dedupe([*fold.passthrough, *order, *fold.inputs])
-    # hot keys: one partial aggregate; the list has at most rows/split_above
-    # entries (AQE picks broadcast or a skew-aware join)
-    hot_path = scratch_path(spark, "chunked-hot")
-    (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-       .filter(F.col("_rows") > split_above).select(*keys, F.lit(True).alias("_hot"))
-       .write.parquet(hot_path))
-    hot = spark.read.parquet(hot_path)
-    if hot.limit(1).count() == 0:
-        return sorted_fold(df, keys, order, fold)
-    d = (df.join(hot, list(keys), "left")
-           .withColumn(CHUNK, F.when(F.col("_hot"), F.unix_micros(chunk.cast("timestamp")))
-                               .otherwise(F.lit(0).cast("long")))
-           .drop("_hot"))
-
-    # 1. speculate, then cut the lineage with a written table
-    path = scratch_path(spark, "chunked-fold")
-    sorted_fold(d, ckeys, order, _speculative(fold, carry)).write.parquet(path)
-    spec = spark.read.parquet(path)
-
-    # 2. resolve chunk starts, per key, over prefixes + one summary per chunk
+    spec = materialize(sorted_fold(pending, ckeys, order, _speculative(fold, carry), init_cols=init), "chunked-fold")
     summary = spec.groupBy(*ckeys).agg(
         F.max("_pos").alias("_len"),
         *[F.max_by(f"_st_{f}", "_pos").alias(f"_fin_{f}") for f in fields])
     # a key's first chunk is exact as speculated: its rows need no re-run
     firsts = summary.groupBy(*keys).agg(F.min(CHUNK).alias("_first"))
-    heads = (spec.filter(F.col("_pos") <= prefix)
-                 .join(firsts, list(keys)).filter(F.col(CHUNK) > F.col("_first"))
-                 .select(*ckeys, *_dedupe([*order, *fold.inputs]), "_pos",
-                         *[f"_st_{f}" for f in fields], F.lit(0).alias("_tag")))
+    heads = (_null_safe(spec.filter(F.col("_pos") <= prefix), firsts, keys, "inner")
+             .filter(F.col(CHUNK) > F.col("_first"))
+             .select(*ckeys, *_dedupe([*order, *fold.inputs]), "_pos",
+                     *[f"_st_{f}" for f in fields], F.lit(0).alias("_tag")))
     p2 = heads.unionByName(summary.withColumn("_tag", F.lit(1)), allowMissingColumns=True)
     types = {f.name: f.dataType.simpleString() for f in spec.schema.fields}
     out_schema = ", ".join(
@@ -170,29 +221,20 @@ def chunked_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
         + [f"`{o}` {t}" for o, t in fold.outputs.items()]
         + [f"`_init_{f}` double" for f in fields])
     k, o_ = list(keys), list(order)
-    resolved = (p2.repartition(*keys).sortWithinPartitions(*keys, CHUNK, "_tag", "_pos")
-                  .mapInPandas(lambda it: _resolve(it, k, o_, fold, prefix), out_schema))
-    rpath = scratch_path(spark, "chunked-resolve")
-    resolved.write.parquet(rpath)
-    resolved = spark.read.parquet(rpath)
-
+    resolved = materialize(
+        p2.repartition(*keys).sortWithinPartitions(*keys, CHUNK, "_tag", "_pos")
+        .mapInPandas(lambda it: _resolve(it, k, o_, fold, prefix), out_schema), "chunked-resolve")
     out_cols = _dedupe([*keys, *fold.passthrough])
     outs = list(fold.outputs)
-    # 3. exact re-fold of unresolved tails (normally empty)
-    fb = resolved.filter(F.col("_type") == "f").select(
-        *keys, F.col(CHUNK).alias("_from"), *[f"_init_{f}" for f in fields])
-    tail = (spec.join(fb, list(keys)).filter(F.col(CHUNK) >= F.col("_from")))
-    redo_fold = Fold(fold.inputs, fold.state, fold.outputs, fold.step,
-                     _dedupe([*fold.passthrough]))
-    redone = sorted_fold(tail, keys, [CHUNK, *order], redo_fold,
-                         init_cols={f: f"_init_{f}" for f in fields})
-
+    opened = resolved.filter(F.col("_type") == "f").select(
+        *keys, F.col(CHUNK).alias("_open"), *[f"_init_{f}" for f in fields])
     corr = resolved.filter(F.col("_type") == "c").select(
-        *keys, *_dedupe(order), *[F.col(o).alias(f"_c_{o}") for o in outs],
-        F.lit(True).alias("_hit"))
-    kept = (spec.join(fb.select(*keys, "_from"), list(keys), "left")
-                .filter(F.col("_from").isNull() | (F.col(CHUNK) < F.col("_from")))
-                .join(corr, _dedupe([*keys, *order]), "left"))
-    fixed = kept.select(*out_cols, *[F.when(F.col("_hit"), F.col(f"_c_{o}"))
-                                     .otherwise(F.col(o)).alias(o) for o in outs])
-    return fixed.unionByName(redone.select(*out_cols, *outs))
+        *keys, *_dedupe(order), *[F.col(o).alias(f"_c_{o}") for o in outs], F.lit(True).alias("_hit"))
+    kept = _null_safe(spec, opened.select(*keys, "_open"), keys).filter(
+        F.col("_open").isNull() | (F.col(CHUNK) < F.col("_open")))
+    kept = _null_safe(kept, corr, _dedupe([*keys, *order]))
+    exact = kept.select(*out_cols, *[F.when(F.col("_hit"), F.col(f"_c_{o}")).otherwise(F.col(o)).alias(o) for o in outs])
+    if opened.limit(1).count() == 0:
+        return exact, None
+    rest = _null_safe(spec.select(*_dedupe([*ckeys, *carry])), opened, keys, "inner").filter(F.col(CHUNK) >= F.col("_open"))
+    return exact, materialize(rest.drop("_open"), "chunked-open")

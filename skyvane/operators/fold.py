@@ -50,13 +50,18 @@ def key_groups(pdf: pd.DataFrame, keys: Sequence[str]):
     change = np.zeros(n, dtype=bool)
     change[0] = True
     for k in keys:
-        kc = pdf[k].to_numpy()
-        change[1:] |= kc[1:] != kc[:-1]
+        kc, null = pdf[k].to_numpy(), pdf[k].isna().to_numpy()
+        # NULL keys equal each other: a NULL arrives as NaN or None
+        change[1:] |= ~((kc[1:] == kc[:-1]) | (null[1:] & null[:-1])).astype(bool)
     gid = np.cumsum(change) - 1
     starts = np.flatnonzero(change)
     return gid, starts, np.arange(n) - starts[gid]
 
 
+def _key_at(pdf: pd.DataFrame, keys: Sequence[str], row: int) -> tuple:
+    return tuple(None if pd.isna(v) else v for v in (pdf[k].iloc[row] for k in keys))
+
+
 def fold_frame(pdf: pd.DataFrame, keys: Sequence[str], fold: Fold,
                init: dict[str, np.ndarray] | None = None):
     """Fold every key group of a key-sorted frame, vectorised across groups.
@@ -107,7 +112,7 @@ def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold,
     for pdf in batches:
         if len(pdf) == 0:
             continue
-        first_key = tuple(pdf[k].iloc[0] for k in keys)
+        first_key = _key_at(pdf, keys, 0)
         init = None
         if init_cols or (carry is not None and first_key == carry_key):
             starts = key_groups(pdf, keys)[1]
@@ -118,7 +123,7 @@ def _run(batches: Iterator[pd.DataFrame], keys: Sequence[str], fold: Fold,
                 for f in init:
                     init[f][0] = carry[f]
         outs, state, _ = fold_frame(pdf, keys, fold, init)
-        carry_key = tuple(pdf[k].iloc[-1] for k in keys)
+        carry_key = _key_at(pdf, keys, -1)
         carry = {f: float(a[-1]) for f, a in state.items()}
         yield output_frame(pdf, [*keys, *fold.passthrough], fold, outs)
 
@@ -130,15 +135,16 @@ def sorted_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
 
     Output columns: keys, ``fold.passthrough``, then ``fold.outputs``.
     """
-    spark = prepare(df.sparkSession)
+    prepare(df.sparkSession)
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     out_schema = ", ".join([f"`{c}` {fields[c]}" for c in [*keys, *fold.passthrough]]
                            + [f"`{o}` {t}" for o, t in fold.outputs.items()])
     cols = list(dict.fromkeys([*keys, *order, *fold.inputs, *fold.passthrough,
                                *(init_cols or {}).values()]))
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # without a fixed count AQE may adapt the partitions to the measured size
+    spread = [num_partitions] if num_partitions else []
     arranged = (df.select(*cols)
-                  .repartition(parts, *keys)
+                  .repartition(*spread, *keys)
                   .sortWithinPartitions(*keys, *order))
     k = list(keys)
     return arranged.mapInPandas(lambda it: _run(it, k, fold, init_cols), out_schema)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import checkpoint_root, scratch_path
+from ..session import materialize, scratch_path
 
 KEYS = ("asset_id", "sensor")
 ORDER = ("ts", "event_id")
@@ -46,7 +46,8 @@ def with_bucket(df: DataFrame, grain: str = "hour", time_col: str = "ts",
     """Add the time bucket that splits a key's sequence.
 
     Only keys with more than ``split_above`` rows are split (by ``grain``);
-    the others get one constant bucket, so they pay no halo and no carry.
+    the others get one constant bucket. When no key is split there is no bucket
+    column at all, and the operators below are plain windows over the key.
     ``split_above=None`` splits every key (used by tests). The hot-key list
     comes from one partial aggregate, written as a small table.
     """
@@ -61,7 +62,7 @@ def with_bucket(df: DataFrame, grain: str = "hour", time_col: str = "ts",
        .write.parquet(path))
     hot = spark.read.parquet(path)
     if hot.limit(1).count() == 0:
-        return df.withColumn(BUCKET, whole)
+        return df
     return (df.join(hot, list(keys), "left")
               .withColumn(BUCKET, F.when(F.col("_hot"), fine).otherwise(whole))
               .drop("_hot"))
@@ -99,6 +100,9 @@ def bounded(df: DataFrame, n: int, build: Callable[[Window], dict[str, Column]],
             keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
     """Add the columns ``build(w)`` returns, where ``w`` orders each key's
     rows and every expression looks back at most ``n`` rows."""
+    if BUCKET not in df.columns:
+        plain = build(Window.partitionBy(*keys).orderBy(*order))
+        return df.select("*", *[c.alias(name) for name, c in plain.items()])
     h = halo_frame(df, n, keys, order)
     w = _w(keys, order)
     cols = build(w)
@@ -124,6 +128,14 @@ def scan(df: DataFrame, sums: dict[str, Column] | None = None,
     joined back once on (key, bucket).
     """
     sums, lasts, last_pos = sums or {}, lasts or {}, last_pos or {}
+    if BUCKET not in df.columns:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        d = df.withColumn("seq", F.row_number().over(w).cast("long"))
+        return d.select(
+            "*", *[F.coalesce(F.sum(e).over(run), F.lit(0)).alias(n) for n, e in sums.items()],
+            *[F.last(e, ignorenulls=True).over(run).alias(n) for n, e in lasts.items()],
+            *[F.max(F.when(c, F.col("seq"))).over(run).alias(n) for n, c in last_pos.items()])
     w = _w(keys, order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = df.withColumn("_lrn", F.row_number().over(w))
@@ -133,12 +145,11 @@ def scan(df: DataFrame, sums: dict[str, Column] | None = None,
                 for n, c in last_pos.items()])
     d = d.select("*", *local)
     carried = ([f"_s_{n}" for n in sums] + [f"_l_{n}" for n in lasts] + [f"_p_{n}" for n in last_pos])
-    # ``d`` feeds both the bucket summary and the join back. A reliable
-    # checkpoint (files under spark.checkpoint.dir) runs the shuffle and the
-    # window once and survives executor loss; below, only rows of split keys
-    # are joined, against a table with one row per hot bucket.
-    checkpoint_root(d.sparkSession)
-    d = d.checkpoint(eager=True)
+    # ``d`` feeds both the bucket summary and the join back. A written table
+    # (under spark.checkpoint.dir) runs the shuffle and the window once and
+    # survives executor loss; its readers prune columns. Below, only rows of
+    # split keys are joined, against a table with one row per hot bucket.
+    d = materialize(d, "scan")
     summary = d.groupBy(*keys, BUCKET).agg(
         F.max("_lrn").alias("_cnt"), *[F.max_by(c, "_lrn").alias(c) for c in carried])
     prev = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

@@ -67,3 +67,25 @@ def test_unsplit_keys_need_no_resolution(spark, rows):
     got = CH.chunked_fold(rows, M.MODEL_KEYS, M.MODEL_ORDER, fold,
                           F.date_trunc("day", F.col("ts")), prefix=8)
     assert _as_dict(got) == _as_dict(want)
+
+
+def test_chunks_by_rate_equal_sequential(spark, rows):
+    fold = M.model_step(list(S.EVENT_FEATURES), S.all_weights())
+    want = FD.sorted_fold(rows, M.MODEL_KEYS, M.MODEL_ORDER, fold)
+    got = CH.chunked_fold(rows, M.MODEL_KEYS, M.MODEL_ORDER, fold, prefix=16, split_above=20, chunk_rows=150)
+    assert _as_dict(got) == _as_dict(want)
+
+
+def test_locked_gate_settles_in_rounds(spark):
+    """A level shift locks the gate: nothing converges in the first round, the next one settles
+    the rest, and no task folds more than a chunk."""
+    t0 = dt.datetime(2024, 1, 1)
+    out = [(None, "click", "cruise", t0 + dt.timedelta(seconds=30 * i), M.READING, i, 0.8,
+            10.0 + (i % 7) * 0.01 if i < 400 else 500.0 + (i % 5), 1.0) for i in range(6000)]
+    df = spark.createDataFrame(out, SCHEMA)
+    fold = M.model_step(list(S.EVENT_FEATURES), S.all_weights())
+    want = FD.sorted_fold(df, M.MODEL_KEYS, M.MODEL_ORDER, fold)
+    rounds = []
+    got = CH.chunked_fold(df, M.MODEL_KEYS, M.MODEL_ORDER, fold, prefix=32, split_above=100, chunk_rows=500, rounds=rounds)
+    assert _as_dict(got) == _as_dict(want)
+    assert 1 < len(rounds) <= 4 and rounds[-1] == 0
