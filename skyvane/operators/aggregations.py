@@ -68,20 +68,18 @@ def health_report(df: DataFrame, unit: Sequence[str] = ("asset_id", "sensor"),
 
 
 def completeness(df: DataFrame, duration: str, expected: Sequence[str] = S.EVENT_SENSORS,
-                 keys: Sequence[str] = ("asset_id",), time_col: str = "event_time",
-                 approximate: bool = False) -> DataFrame:
+                 keys: Sequence[str] = ("asset_id",), time_col: str = "event_time") -> DataFrame:
     """AGG8: readings and distinct sensors per window and key against the
-    expected sensor set; the missing sensors as sorted text.
+    expected sensor set; the missing sensors as sorted text. The distinct count
+    is the size of the collected set, so one shuffle serves both.
     """
-    distinct = (F.approx_count_distinct("sensor") if approximate
-                else F.count_distinct("sensor"))
     out = (df.groupBy(F.window(F.col(time_col), duration).alias("window"), *keys)
              .agg(F.count(F.lit(1)).alias("n_readings"),
-                  distinct.alias("n_sensors"),
                   F.collect_set("sensor").alias("seen")))
     expected_arr = F.array(*[F.lit(s) for s in sorted(expected)])
     return out.select(
-        F.col("window.start").alias("timestamp"), *keys, "n_readings", "n_sensors",
+        F.col("window.start").alias("timestamp"), *keys, "n_readings",
+        F.size("seen").cast("long").alias("n_sensors"),
         F.lit(len(expected)).alias("n_expected"),
         F.concat_ws(",", F.array_sort(F.array_except(expected_arr, F.col("seen")))).alias("missing"),
     )
@@ -103,12 +101,12 @@ def weighted_error(df: DataFrame, baseline: DataFrame, weights: dict[str, float]
     """AGG4 + JON2: mean over matched features of
     ``|v - mean| / (|mean| + 1e-6) * weight``, 0 when no feature matches.
 
-    ``baseline`` has one row per (sensor, phase) and one ``mean_<f>`` column per
-    feature; it is bounded by sensors x phases and broadcast. The average is a
-    row-wise expression, so there is no explode and no shuffle on the readings.
+    ``baseline`` has one row per (sensor, phase) found in the data and one
+    ``mean_<f>`` column per feature; Spark picks the join by its size. The
+    average is a row-wise expression, so there is no explode.
     """
     weights = weights if weights is not None else S.all_weights()
-    joined = df.join(F.broadcast(baseline), ["sensor", "phase"], "left")
+    joined = df.join(baseline, ["sensor", "phase"], "left")
     terms: list[Column] = []
     hits: list[Column] = []
     for f in features:
@@ -125,12 +123,6 @@ def weighted_error(df: DataFrame, baseline: DataFrame, weights: dict[str, float]
 
 
 def phase_baseline(df: DataFrame, features: Sequence[str] = S.EVENT_FEATURES) -> DataFrame:
-    """Per (sensor, phase) feature means: the batch-trained baseline for AGG4.
-
-    Restricted to known sensors and phases, so it has at most
-    len(sensors) x len(phases) rows whatever the data: safe to broadcast.
-    """
-    known = list(S.all_thresholds())
-    return (df.filter(F.col("sensor").isin(*known) & F.col("phase").isin(*S.PHASES))
-              .groupBy("sensor", "phase")
-              .agg(*[F.avg(f).alias(f"mean_{f}") for f in features]))
+    """Per (sensor, phase) feature means of whatever sensors the data has: the
+    batch-trained baseline for AGG4."""
+    return df.groupBy("sensor", "phase").agg(*[F.avg(f).alias(f"mean_{f}") for f in features])

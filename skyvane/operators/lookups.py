@@ -3,8 +3,7 @@
 Lookup tables are bounded by sensors x phases x features and are broadcast;
 the readings side is never shuffled for them. The range join (JON6) buckets
 both sides on a time grain and equi-joins on the bucket, so it never becomes
-a nested-loop join, and it broadcasts the interval side only after its row
-count has been checked.
+a nested-loop join; Spark picks the join by the measured sizes.
 """
 
 from __future__ import annotations
@@ -16,10 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
-# Largest interval table broadcast in a range join; above it, shuffle join.
-MAX_BROADCAST_INTERVALS = 1_000_000
-
-
 def with_threshold(df: DataFrame, thresholds: DataFrame, score: str = "prediction") -> DataFrame:
     """JON1 + FIL2: per-sensor threshold (default 1.0) and the strict ``>`` flag."""
     t = F.broadcast(thresholds.select("sensor", "threshold"))
@@ -148,13 +143,13 @@ def phase_intervals(spark: SparkSession, points: DataFrame, time_col: str = "ts"
 
 
 def range_join(points: DataFrame, intervals: DataFrame, time_col: str = "ts",
-               bucket: str = "1 hour", how: str = "inner") -> DataFrame:
-    """JON6: tag each point with the interval ``start <= t < end``.
+               bucket: str = "1 hour", how: str = "left") -> DataFrame:
+    """JON6: tag each point with the interval ``start <= t < end``; a point
+    outside every interval keeps NULL tags (``how="inner"`` leaves it out).
 
     Both sides get a time bucket; each interval is exploded into the buckets it
     overlaps, and the join is an equi-join on the bucket plus the range test.
-    The interval side is broadcast only when its row count is under
-    ``MAX_BROADCAST_INTERVALS``; otherwise both sides shuffle on the bucket.
+    The exploded side's size decides between broadcast and shuffle at run time.
     """
     seconds = {"1 hour": 3600, "1 day": 86400, "1 minute": 60}[bucket]
 
@@ -168,10 +163,9 @@ def range_join(points: DataFrame, intervals: DataFrame, time_col: str = "ts",
                              bucket_of(F.col("end") - F.expr("INTERVAL 1 MICROSECOND"))))
         .alias("_ib"))
     iv = iv.select(*[F.col(c).alias(f"_iv_{c}") for c in iv.columns])
-    small = intervals.limit(MAX_BROADCAST_INTERVALS + 1).count() <= MAX_BROADCAST_INTERVALS
     p = points.withColumn("_pb", bucket_of(F.col(time_col)))
     cond = ((F.col("_pb") == F.col("_iv__ib")) & (F.col(time_col) >= F.col("_iv_start"))
             & (F.col(time_col) < F.col("_iv_end")))
-    joined = p.join(F.broadcast(iv) if small else iv, cond, how)
+    joined = p.join(iv, cond, how)
     renamed = [F.col(f"_iv_{c}").alias(c) for c in intervals.columns if c not in points.columns]
     return joined.select(*[F.col(c) for c in points.columns], *renamed)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,7 +36,6 @@ def ship_package(spark: SparkSession) -> None:
     import skyvane
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(skyvane)
-    import tempfile
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
@@ -68,7 +69,6 @@ def build_session(master: str | None = None, app: str = "skyvane",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cores = os.cpu_count() or 8
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -78,9 +78,10 @@ def build_session(master: str | None = None, app: str = "skyvane",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # checkpoint files of DataFrames that are no longer referenced are removed
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         **_RUNTIME_CONF,
     }
+    if shuffle_partitions:          # else the cluster's own setting holds
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -91,17 +92,16 @@ def build_session(master: str | None = None, app: str = "skyvane",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset, as in a bare test session, is a folder under the system temp dir
-    chosen and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster names it) or the context's
+    checkpoint folder. Only a ``local`` session that names neither, as in a
+    bare test, gets a folder under the system temp dir; on a cluster that
+    folder would not be shared, so there it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        import tempfile
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="skyvane-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
