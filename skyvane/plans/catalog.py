@@ -560,6 +560,70 @@ def ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", r6("ewma").alias("ewma"))
 
 
+# --------------------------------------------------------------------------
+# The same engines on hot keys: the sensor alone is the key, so five keys hold all
+# rows and every one of them is split (halo, carry and speculative chunks all run).
+# --------------------------------------------------------------------------
+HOT = ("sensor",)
+HOT_ROWS = 100          # split keys above this many rows
+HOT_CHUNK = 250
+
+
+def _hot_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = T.readings(spark, sf_dir).select("event_id", "sensor", "ts", "value", "prediction")
+    return W.with_bucket(r, "day", split_above=HOT_ROWS, keys=HOT)
+
+
+def _by_sensor(name: str) -> str:
+    return REGISTRY[name][1].replace("PARTITION BY asset_id, sensor", "PARTITION BY sensor")
+
+
+@register("hot_moving_avg", _by_sensor("moving_avg"))
+def hot_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN5 over split keys: bucket halos."""
+    out = W.bounded(_hot_seq(spark, sf_dir), 2, lambda w: {
+        "ma2": W.moving_average("value", w, 2), "ma3": W.moving_average("value", w, 3)}, keys=HOT)
+    return out.select("event_id", r6("ma2").alias("ma2"), r6("ma3").alias("ma3"))
+
+
+@register("hot_latch", _by_sensor("hysteresis_latch"))
+def hot_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA9 over split keys: two-level scan with carries."""
+    out = W.hysteresis(_hot_seq(spark, sf_dir), F.col("prediction") > 2.0, F.col("prediction") < 0.5, keys=HOT)
+    return out.select("event_id", "latched")
+
+
+@register("hot_ewma", O.recursive_fold(
+    ["sensor"], "SELECT *, row_number() OVER (PARTITION BY sensor ORDER BY ts, event_id) AS rn FROM readings",
+    {"event_id": "CAST(NULL AS BIGINT)", "m": "CAST(NULL AS DOUBLE)"},
+    {"event_id": "s.event_id",
+     "m": f"CASE WHEN s.value IS NULL THEN f.m WHEN f.m IS NULL THEN s.value "
+          f"ELSE {_d(0.2)} * s.value + {_d(1 - 0.2)} * f.m END"},
+    "SELECT event_id, round(m, 6) AS ewma FROM fold WHERE rn > 0"))
+def hot_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA1 over split keys: speculative chunks, resolved in rounds."""
+    out = CH.chunked_fold(T.readings(spark, sf_dir), list(HOT), SEQ_ORDER, FD.ewma_fold("value", 0.2, passthrough=("event_id",)),
+                          split_above=HOT_ROWS, chunk_rows=HOT_CHUNK)
+    return out.select("event_id", r6("ewma").alias("ewma"))
+
+
+# A shifted level locks the gate of every sensor: from the shift on, most readings are anomalies.
+_SHIFTED = ("CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN value + 5000 ELSE value END")
+
+
+@register("hot_locked_gate", _model_sql(
+    "SELECT *, row_number() OVER (PARTITION BY sensor, phase ORDER BY ts, event_id) AS rn FROM ("
+    f"SELECT sensor, phase, ts, 1 AS kind, event_id, {O.threshold_case()} AS threshold, {_SHIFTED} AS x_value, k AS x_k FROM readings)",
+    keys=["sensor", "phase"]))
+def hot_locked_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA2-STA4 on split keys without asset whose gate locks: rounds of speculation, no one-task refold."""
+    r = T.readings(spark, sf_dir).withColumn("asset_id", F.lit(None).cast("long")).withColumn(
+        "value", F.when(F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"), F.col("value") + 5000).otherwise(F.col("value")))
+    fold = M.model_step(list(S.EVENT_FEATURES), S.all_weights())
+    return _model_out(CH.chunked_fold(M.model_input(r), M.MODEL_KEYS, M.MODEL_ORDER, fold,
+                                      split_above=HOT_ROWS, chunk_rows=HOT_CHUNK))
+
+
 def _smooth_step() -> str:
     keep, mc, lo, hi = 0.7, 0.5, 0.0, 3.0
     s0 = f"({_d(1 - keep)} * s.prediction + {_d(keep)} * f.prev)"
