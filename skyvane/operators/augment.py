@@ -25,6 +25,11 @@ def ramp(p: Column) -> Column:
     return p
 
 
+def clamped_bias(p: Column, elapsed_min: Column, target: float, drift: float, bound: float = 0.5) -> Column:
+    """AUG1 with its drift and clamp: ``target·p`` plus a linear drift with flight time, kept in ±bound."""
+    return F.greatest(F.least(F.lit(target) * p + F.lit(drift) * elapsed_min, F.lit(bound)), F.lit(-bound))
+
+
 def power(p: Column, exponent: float = POWER) -> Column:
     """AUG2: p^1.4."""
     return F.pow(p, F.lit(exponent))

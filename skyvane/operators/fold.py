@@ -192,10 +192,12 @@ def slew_fold(x: str, max_change: float, passthrough: Sequence[str] = ()) -> Fol
 
 
 def violation_fold(x: str, t: str, limit: str, max_violations: int = 3,
-                   passthrough: Sequence[str] = ()) -> Fold:
+                   passthrough: Sequence[str] = (), lo: str | None = None, hi: str | None = None) -> Fold:
     """STA8: per-minute gradient against the previous *output*; a breach
-    limits the value to ``prev ± limit·Δmin`` and counts +1 (warn and reset
-    at ``max_violations``), a normal step counts −1 (floor 0)."""
+    limits the value to ``prev ± limit·Δmin``, clamped to the range in columns
+    ``lo`` and ``hi`` if given, and counts +1 (warn and reset at
+    ``max_violations``), a normal step counts −1 (floor 0). ``gradient`` is
+    the limited gradient on a breach, else the measured one (0 without a predecessor)."""
     def step(st, xs):
         v, ts, lim = xs[x], xs[t], xs[limit]
         prev, pt, cnt = st["prev"], st["prev_t"], st["count"]
@@ -205,12 +207,16 @@ def violation_fold(x: str, t: str, limit: str, max_violations: int = 3,
             grad = (v - prev) / dmin
         breach = have & (np.abs(grad) > lim)
         limited = np.where(grad > 0, lim, -lim)
-        out = np.where(breach, prev + limited * dmin, v)
+        adjusted = prev + limited * dmin
+        if lo is not None:
+            adjusted = np.maximum(np.minimum(adjusted, xs[hi]), xs[lo])
+        out = np.where(breach, adjusted, v)
         cnt1 = np.where(breach, cnt + 1, np.where(have, np.maximum(0.0, cnt - 1), cnt))
         warn = breach & (cnt1 >= max_violations)
         cnt2 = np.where(warn, 0.0, cnt1)
         return ({"prev": out, "prev_t": ts, "count": cnt2},
-                {"adjusted": out, "violations": cnt2, "warning": warn.astype(float)})
-    return Fold([x, t, limit], {"prev": np.nan, "prev_t": np.nan, "count": 0.0},
-                {"adjusted": "double", "violations": "double", "warning": "boolean"},
+                {"adjusted": out, "gradient": np.where(breach, limited, np.where(have, grad, 0.0)),
+                 "violations": cnt2, "warning": warn.astype(float)})
+    return Fold([x, t, limit, *([lo, hi] if lo is not None else [])], {"prev": np.nan, "prev_t": np.nan, "count": 0.0},
+                {"adjusted": "double", "gradient": "double", "violations": "double", "warning": "boolean"},
                 step, passthrough)

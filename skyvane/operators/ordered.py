@@ -237,9 +237,10 @@ GROWING_WEIGHTS = {
 
 
 def growing_smooth(x: str, w: Window, weights: dict[int, list[float]] = GROWING_WEIGHTS,
-                   digits: int = 3) -> Column:
+                   digits: int = 3, ceiling: Column | None = None) -> Column:
     """WIN2: weighted average over a window that grows from 2 to 6 values
-    (current included), the weight vector chosen by its length."""
+    (current included), the weight vector chosen by its length, kept at or below
+    ``ceiling`` (the phase maximum) before rounding."""
     longest = max(weights)
     length = F.least(F.row_number().over(w), F.lit(longest))
     expr = F.when(length == 1, F.col(x))
@@ -247,7 +248,9 @@ def growing_smooth(x: str, w: Window, weights: dict[int, list[float]] = GROWING_
         # ws is oldest-first; the newest value is lag 0
         terms = [(_lag(x, L - 1 - j, w) if L - 1 - j > 0 else F.col(x)) * F.lit(wt)
                  for j, wt in enumerate(ws)]
-        expr = expr.when(length == L, round_half_away(sum(terms[1:], terms[0]) / F.lit(sum(ws)), digits))
+        smoothed = sum(terms[1:], terms[0]) / F.lit(sum(ws))
+        expr = expr.when(length == L, round_half_away(
+            smoothed if ceiling is None else F.least(smoothed, ceiling), digits))
     return expr
 
 

@@ -275,7 +275,8 @@ def _smoothing_sql() -> str:
     for L, wts in sorted(W.GROWING_WEIGHTS.items()):
         terms = " + ".join(f"{'value' if L - 1 - j == 0 else f'l{L - 1 - j}'} * {d(wt)}"
                            for j, wt in enumerate(wts))
-        grow.append(f"WHEN least(rn, 6) = {L} THEN {O.rha(f'({terms}) / {d(sum(wts))}', 3)}")
+        top = "(CASE phase WHEN 'takeoff' THEN 150.0 WHEN 'cruise' THEN 120.0 ELSE 180.0 END)"
+        grow.append(f"WHEN least(rn, 6) = {L} THEN {O.rha(f'least(({terms}) / {d(sum(wts))}, {top})', 3)}")
     grow = " ".join(grow) + " END"
 
     def three(two, thr):
@@ -303,7 +304,8 @@ def moving_avg_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     pressure smoothing and gradient smoothing."""
     out = W.bounded(_seq(spark, sf_dir), 5, lambda w: {
         "inertia": W.thermal_inertia("value", w),
-        "asym_smooth": W.growing_smooth("value", w),
+        "asym_smooth": W.growing_smooth("value", w, ceiling=F.element_at(
+            S.as_map_literal({p: v["value"][1] for p, v in S.EVENT_PHASE_LIMITS.items()}), F.col("phase"))),
         "pressure_smooth": W.smooth_pressure("value", w),
         "gradient_smooth": W.smooth_gradient("value", w)})
     return out.select("event_id", *[r6(c).alias(c) for c in
@@ -676,27 +678,30 @@ def _violation_sql() -> str:
     have = f"coalesce(f.prev IS NOT NULL AND {dmin} > 0, false)"
     grad = f"((s.value - f.prev) / {dmin})"
     breach = f"({have} AND abs({grad}) > {lim})"
-    out = f"(CASE WHEN {breach} THEN f.prev + (CASE WHEN {grad} > 0 THEN {lim} ELSE -{lim} END) * {dmin} ELSE s.value END)"
+    limited = f"(CASE WHEN {grad} > 0 THEN {lim} ELSE -{lim} END)"
+    top = "(CASE s.phase WHEN 'takeoff' THEN 150.0 WHEN 'cruise' THEN 120.0 ELSE 180.0 END)"
+    out = f"(CASE WHEN {breach} THEN greatest(least(f.prev + {limited} * {dmin}, {top}), 0.5) ELSE s.value END)"
     cnt1 = f"(CASE WHEN {breach} THEN f.cnt + 1 WHEN {have} THEN greatest(0.0, f.cnt - 1) ELSE f.cnt END)"
     warn = f"({breach} AND {cnt1} >= 3)"
     return O.recursive_fold(
         ["asset_id", "sensor"], _SEQ2,
         {"event_id": "CAST(NULL AS BIGINT)", "prev": "CAST(NULL AS DOUBLE)",
-         "prev_t": "CAST(NULL AS DOUBLE)", "cnt": "CAST(0.0 AS DOUBLE)", "warn": "false"},
-        {"event_id": "s.event_id", "prev": out, "prev_t": 's."timestamp"',
+         "prev_t": "CAST(NULL AS DOUBLE)", "cnt": "CAST(0.0 AS DOUBLE)", "warn": "false", "grad": "CAST(0.0 AS DOUBLE)"},
+        {"event_id": "s.event_id", "grad": f"CASE WHEN {breach} THEN {limited} WHEN {have} THEN {grad} ELSE 0.0 END", "prev": out, "prev_t": 's."timestamp"',
          "cnt": f"CASE WHEN {warn} THEN 0.0 ELSE {cnt1} END", "warn": warn},
-        "SELECT event_id, round(prev, 6) AS adjusted, round(cnt, 6) AS violations, warn AS warning "
+        "SELECT event_id, round(prev, 6) AS adjusted, round(grad, 6) AS gradient, round(cnt, 6) AS violations, warn AS warning "
         "FROM fold WHERE rn > 0")
 
 
 @register("gradient_violations", _violation_sql())
 def gradient_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA8: gradient-violation counter with limited values and a warning at 3."""
+    """STA8: gradient-violation counter with values limited to the phase range, the limited gradient and a warning at 3."""
+    bound = lambda i: F.element_at(S.as_map_literal({p: v["value"][i] for p, v in S.EVENT_PHASE_LIMITS.items()}), F.col("phase"))
     r = T.readings(spark, sf_dir).withColumn(
-        "limit", F.element_at(S.as_map_literal(VIOLATION_LIMITS), F.col("phase")))
-    fold = FD.violation_fold("value", "timestamp", "limit", 3, passthrough=("event_id",))
+        "limit", F.element_at(S.as_map_literal(VIOLATION_LIMITS), F.col("phase"))).withColumns({"lo": bound(0), "hi": bound(1)})
+    fold = FD.violation_fold("value", "timestamp", "limit", 3, passthrough=("event_id",), lo="lo", hi="hi")
     out = CH.chunked_fold(r, SEQ_KEYS, SEQ_ORDER, fold, fold_chunk())
-    return out.select("event_id", r6("adjusted").alias("adjusted"),
+    return out.select("event_id", r6("adjusted").alias("adjusted"), r6("gradient").alias("gradient"),
                       r6("violations").alias("violations"), "warning")
 
 
@@ -985,6 +990,20 @@ FROM (SELECT *, coalesce(x_degraded > {hi}, false)
 GROUP BY sensor""", *_AUG_CTES)
 
 
+@register("augment_bias", O.with_readings("""
+SELECT event_id, round(greatest(least(0.6 * least(m / 20000.0, 1.0) + 0.00001 * m, 0.5), -0.5), 6) AS bias,
+       round(greatest(least(-0.9 * least(m / 20000.0, 1.0) + 0.00001 * m, 0.5), -0.5), 6) AS falling
+FROM (SELECT event_id, ("timestamp" - min("timestamp") OVER (PARTITION BY asset_id, sensor)) / 60.0 AS m FROM readings)"""))
+def augment_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUG1: bias ramp with drift, clamped to +-0.5; the key's first time is one partial aggregate."""
+    r = T.readings(spark, sf_dir).select("event_id", "asset_id", "sensor", "timestamp")
+    start = r.groupBy("asset_id", "sensor").agg(F.min("timestamp").alias("t0"))
+    m = (F.col("timestamp") - F.col("t0")) / 60.0
+    p = F.least(m / 20000.0, F.lit(1.0))
+    return r.join(start, ["asset_id", "sensor"]).select(
+        "event_id", r6(AU.clamped_bias(p, m, 0.6, 0.00001)).alias("bias"), r6(AU.clamped_bias(p, m, -0.9, 0.00001)).alias("falling"))
+
+
 @register("detector_eval", _eval_sql())
 def detector_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation: range + threshold detectors on degraded data against the
