@@ -124,6 +124,7 @@ def decode_stream(records: DataFrame, key_map: dict[str, str] | None = None,
         normalise_sensor(F.col("sensor")).alias("sensor"),
         "timestamp", event_time(F.col("timestamp")).alias("event_time"),
         "phase", "prediction", "is_anomaly",
+        F.col("value").alias("payload"),
         numeric_features(rename_keys(m, key_map)).alias("features"),
         *flatten(m, spec),
     )

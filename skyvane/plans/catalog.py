@@ -88,7 +88,7 @@ FROM readings""".format(switch=S.FIRMWARE_SWITCH,
 def flatten_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ5 + PRJ9: typed feature columns coalesced over healthy/faulty key names."""
     dec = D.decode_stream(T.envelope_records(spark, sf_dir))
-    m = D.payload_map(F.get_json_object("json_str", "$.value"))
+    m = D.payload_map(F.col("payload"))
     faulty = F.coalesce(F.map_contains_key(m, "value (units)"), F.lit(False))
     return dec.select("event_id", "sensor", "value", "k", faulty.alias("faulty_keys"))
 
@@ -225,7 +225,7 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ15: alert rows (message text and the raw payload JSON)."""
     dec = D.decode_stream(T.envelope_records(spark, sf_dir))
     flagged = L.with_threshold(dec, S.threshold_table(spark))
-    alerts = L.alert_messages(flagged, F.get_json_object("json_str", "$.value"))
+    alerts = L.alert_messages(flagged, F.col("payload"))
     m = D.payload_map(F.col("value"))
     n_keys = F.when(m.isNull(), F.lit(0)).otherwise(F.size(m))
     return alerts.select("event_id", "asset_id", r6("timestamp").alias("timestamp"), "sensor",
