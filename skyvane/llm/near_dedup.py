@@ -11,8 +11,11 @@ No bucket is expanded into all its pairs:
 1. Every class is compared with the smallest class of each of its buckets; the ``STARS`` best
    are confirmed, and connected components are built from the confirmed links.
 2. Only buckets that still hold several components go on. Inside them, classes outside
-   the bucket's largest component are compared with all classes of other components; a large
-   bucket is dealt out in blocks of ``BLOCK`` classes. Every pair that passes is confirmed.
+   the bucket's largest component are compared with all classes of other components by
+   signature; a large bucket is dealt out in blocks of ``BLOCK`` classes. What passes is not sent on
+   pair by pair: classes are placed by their largest bucket, in blocks of ``MEMBERS``; a class asks for
+   each block in which it has a candidate, and is counted there against all full sets at once. One link
+   to each other component it reaches goes out.
 
 So each pair of one bucket is either compared or already in one component: components are
 those of all links between candidates. A pair at similarity 0.75 shares no bucket with
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, numbered, read
+from skyvane.llm._tables import begin, numbered, read, small
 from skyvane.llm._text import U64, Words, buffers, doc_groups, mix, ngram_hash
 from skyvane.session import materialize
 
@@ -43,7 +46,7 @@ PASS = 0.58               # estimated similarity that sends a pair to confirmati
 LINK_NUM, LINK_DEN = 75, 100
 STARS = 3
 BLOCK = 2048
-BROADCAST_ROWS = 500_000
+MEMBERS = 256
 NO_ID = (1 << 63) - 1
 
 _FACTORS = np.random.default_rng(5).integers(1, 1 << 63, HASHES, dtype=np.uint64) * U64(2) + U64(1)
@@ -126,11 +129,6 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         run, "doc_id long, n long, h1 long, h2 long, bands binary, sig binary")
 
 
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a written table only if its counted size allows; else Spark shuffles."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over the edges (a, b). Labels spread along edges and jump
     to their label's label; every round is a durable table, and the driver sees one count."""
@@ -153,9 +151,9 @@ def components(edges: DataFrame) -> DataFrame:
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     pairs = materialize(pairs.select("a", "b"), "pairs")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")).join(_small(pairs), "a")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")).join(small(pairs), "a")
     ends = materialize(pairs.select("b").distinct(), "pair-ends")
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")).join(_small(ends), "b")
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")).join(small(ends), "b")
 
     def linked(x: pa.Array, y: pa.Array) -> pa.Array:
         out = []
@@ -177,8 +175,6 @@ def _six(rows: np.ndarray) -> np.ndarray:
 def _full_sets(docs: DataFrame, need: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(node, shingles): the full set (48-bit hashes, sorted) of each needed class, from its keeper's whole text. Rows
     of the same id with another set are told apart by the set's key."""
-    need = materialize(need, "needed")
-
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             data, off = buffers(b.column(0))
@@ -193,13 +189,18 @@ def _full_sets(docs: DataFrame, need: DataFrame, text: str, doc_id: str) -> Data
                                                  names=["node", "shingles"])
 
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("first_id"), F.col(text).cast("string").alias("text"))
-    found = rows.join(_small(need), "first_id").select("text", "h1", "h2", "node").mapInArrow(run, "node long, shingles binary")
+    found = rows.join(small(need), "first_id").select("text", "h1", "h2", "node").mapInArrow(run, "node long, shingles binary")
     return materialize(found, "shingle-sets").dropDuplicates(["node"])
 
 
+_ASK = "node long, asks array<struct<place:long,part:int>>"
+
+
 def _cross(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, block): compare each group's probes with its targets of other components."""
-    names = ["key", "block", "node", "comp", "n", "probe", "target"]
+    """Rows sorted by (key, block): compare each group's probes with its targets of other components.
+    Gives, per probe, the placed blocks that it must be counted against."""
+    names = ["key", "block", "node", "comp", "n", "probe", "target", "place", "part"]
+    kind = pa.list_(pa.struct([("place", pa.int64()), ("part", pa.int32())]))
 
     def groups():
         """Whole groups, several at a time: (columns, signatures); the last, open one is carried over."""
@@ -217,24 +218,71 @@ def _cross(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held:
             yield held
 
-    for key, block, node, comp, n, probe, target, sig in groups():
+    for key, block, node, comp, n, probe, target, place, part, sig in groups():
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
         cut = np.append(np.flatnonzero(new), len(key))
-        a, b = [], []
+        probes, asks = [], []
         for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
             t = lo + np.flatnonzero(target[lo:hi])
             for p in (lo + np.flatnonzero(probe[lo:hi])).tolist():
-                # two probes meet twice: the smaller one reports
+                # two probes meet twice: the smaller one asks
                 ok = (comp[t] != comp[p]) & (100 * np.minimum(n[t], n[p]) >= 75 * np.maximum(n[t], n[p])) & (
                     ~probe[t] | (node[t] > node[p]))
                 hit = t[ok]
                 hit = hit[estimate(sig[hit], sig[p]) >= PASS]
-                a.append(np.maximum(node[hit], node[p]))
-                b.append(np.minimum(node[hit], node[p]))
-        if a:
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                if len(hit):
+                    probes.append(node[p])
+                    asks.append([{"place": x, "part": y} for x, y in sorted(set(zip(place[hit].tolist(), part[hit].tolist())))])
+        if asks:
+            yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(asks, kind)], names=["node", "asks"])
+
+
+class _Block:
+    """The full sets of a placed block as one inverted list, for counting a set against all of them."""
+
+    def __init__(self, nodes: list[int], comps: list[int], sets: list[np.ndarray]) -> None:
+        self.nodes, self.comps = np.array(nodes), np.array(comps)
+        self.size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        shingle = np.concatenate(sets)
+        o = np.argsort(shingle, kind="stable")
+        self.shingle, self.owner = shingle[o], owner[o]
+
+    def links(self, s: np.ndarray, comp: int) -> list[int]:
+        """Of each other component, the smallest member whose set reaches the threshold with ``s``."""
+        lo, hi = np.searchsorted(self.shingle, s, "left"), np.searchsorted(self.shingle, s, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.nodes))
+        hit = (LINK_DEN * both >= LINK_NUM * (self.size + len(s) - both)) & (self.comps != comp)
+        best: dict[int, int] = {}
+        for c, x in zip(self.comps[hit].tolist(), self.nodes[hit].tolist()):
+            best[c] = min(x, best.get(c, x))
+        return list(best.values())
+
+
+def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (place, part, asking): a block's members come first, then the sets counted against them."""
+    now, nodes, comps, sets, block = None, [], [], [], None
+    for b in it:
+        out = []
+        cols = [b.column(c).to_pylist() for c in ("place", "part", "asking", "node", "comp")]
+        for place, part, asking, node, comp, raw in zip(*cols, b.column("shingles")):
+            if (place, part) != now:
+                now, nodes, comps, sets, block = (place, part), [], [], [], None
+            s = _six(np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 6))
+            if not asking:
+                nodes.append(node)
+                comps.append(comp)
+                sets.append(s)
+                continue
+            if nodes and block is None:
+                block = _Block(nodes, comps, sets)
+            out += [(max(node, x), min(node, x)) for x in (block.links(s, comp) if block else [])]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())],
+                                             names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -261,26 +309,39 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     best = star.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("est", "b")), False), 1, STARS).alias("best"))
     pairs = best.select("a", F.explode("best").alias("p")).select("a", F.col("p.b").alias("b"))
 
-    need = buckets.select("node").distinct().join(classes.select("node", "first_id", "h1", "h2"), "node")
+    need = materialize(buckets.select("node").distinct().join(classes.select("node", "first_id", "h1", "h2"), "node"), "needed")
     sets = _full_sets(docs, need, text, doc_id)
     links = _confirm(pairs, sets)
     comps = components(links)
 
     # What is left: buckets that hold several components.
-    known = materialize(buckets.select("key", "node", "size").join(comps, "node", "left").select(
-        "key", "node", "size", F.coalesce("comp", "node").alias("comp")), "near-known")
+    home = buckets.groupBy("node").agg(F.max(F.struct("size", "key")).alias("m")).select("node", F.col("m.key").alias("place"))
+    members = materialize(home.join(comps, "node", "left").select("node", "place", F.coalesce("comp", "node").alias("comp")),
+                          "near-members")
+    parts = members.groupBy("place").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
+    placed = materialize(members.join(parts, "place").select(
+        "node", "comp", "place", F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int").alias("part")), "near-placed")
+    known = materialize(buckets.select("key", "node", "size").join(placed, "node"), "near-known")
     per = known.groupBy("key", "comp").agg(F.count("*").alias("c"))
     mixed = per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1")
     left = known.join(mixed.select("key", F.col("m.comp").alias("main")), "key").join(sig, "node").select(
-        "key", "node", "comp", "n", "sig", (F.col("comp") != F.col("main")).alias("probe"),
+        "key", "node", "comp", "place", "part", "n", "sig", (F.col("comp") != F.col("main")).alias("probe"),
         F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = left.withColumn("own", own).withColumn(
         "block", F.explode(F.when(F.col("probe"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own")))
     ).withColumn("target", F.col("block") == F.col("own"))
-    more = (dealt.select("key", "block", "node", "comp", "n", "probe", "target", "sig")
-            .repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_cross, "a long, b long").distinct())
-    links2 = _confirm(more, sets)
+    asked = (dealt.select("key", "block", "node", "comp", "n", "probe", "target", "place", "part", "sig")
+             .repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_cross, _ASK)
+             .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("asks"))).alias("asks"))
+             .select("node", F.inline("asks")))
+    asked = materialize(asked.join(placed.select("node", "comp"), "node"), "near-asked")
+    wanted = materialize(asked.select("place", "part").distinct(), "near-wanted")
+    held = sets.join(small(materialize(placed.join(small(wanted), ["place", "part"]), "near-held")), "node").select(
+        "place", "part", F.lit(False).alias("asking"), "node", "comp", "shingles")
+    askers = sets.join(small(asked), "node").select("place", "part", F.lit(True).alias("asking"), "node", "comp", "shingles")
+    links2 = materialize(held.unionByName(askers).repartition("place", "part").sortWithinPartitions("place", "part", "asking")
+                         .mapInArrow(_count, "a long, b long"), "near-links")
     comps = components(links.unionByName(links2))
 
     named = classes.select("node", "h1", "h2", "n", "first_id").join(comps, "node", "left").withColumn(

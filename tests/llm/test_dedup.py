@@ -10,7 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from skyvane.llm import decontaminate, near_dedup, substring_dedup
+from skyvane.llm import _tables, decontaminate, near_dedup, substring_dedup
 from skyvane.llm._text import Words, buffers
 
 from .fixtures import awkward_docs, awkward_texts, empty_docs
@@ -70,7 +70,8 @@ def brute_near(rows):
 def test_near_dedup(spark, monkeypatch, block, stars):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
     monkeypatch.setattr(near_dedup, "STARS", stars)
-    monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", 0 if block == 4 else 500_000)
+    monkeypatch.setattr(near_dedup, "MEMBERS", 256 if block > 4 else 5)
+    monkeypatch.setattr(_tables, "BROADCAST_ROWS", 0 if block == 4 else 500_000)
     rows = [(7 * i % 1009, t) for i, t in enumerate(awkward_texts() + near_texts())]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute_near(rows)
