@@ -17,6 +17,8 @@ _RUNTIME_CONF = {
     # A payload may carry the same key twice after renaming; the later entry
     # wins, like assignment into a Python dict.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Folds are vectorised across the keys of a batch; operators on long texts lower this for themselves.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 
