@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 U64 = np.uint64
 
 # [\x20\x09-\x0D]

@@ -20,7 +20,7 @@ import numpy as np
 
 from skyvane.llm._text import BLOCK, LOWER, SPACE, U64, blocks, mix, span_hash
 
-MEMO = 3_000_000
+MEMO = 500_000
 ODD_SALT = U64(0x5851F42D4C957F2D)
 
 # Byte classes: 0 white space, 1 letter, 2 digit, 3 other.
