@@ -1,16 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Words are lower-cased runs of letters and digits. Spark counts in how many
-documents each three-word gram of the benchmark occurs; of every ``STRIDE``
-consecutive grams of an item the rarest is a seed, so any stretch of an item that is
-copied holds seeds however often the passage itself is copied through the corpus.
-Documents that meet two seeds of an item near each other are aligned with it:
-local alignment of words (match 2, mismatch -1, gap -1) finds paraphrased and edited copies. A
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Words are lower-cased runs of letters and digits. Every three-word gram of an item is a
+seed, whatever its frequency: which grams an edit leaves whole can't be told from
+document counts (an edit lowers the counts of the grams it breaks). The stretch around the seeds
+that a document meets is aligned with the item if it can reach the threshold at all:
+a word that the item lacks costs at least one point and any other wins at most
+``MATCH``, so the best sum of a run of words bounds the alignment, and nothing is lost there.
+Local alignment of words (match 2, mismatch -1, gap -1) finds paraphrased and edited copies. A
 document is contaminated if the score reaches ``THRESHOLD`` of the item's own, or
-that of ``LONG_MATCH`` matched words for long items.
+that of ``LONG_MATCH`` matched words for long items. A copy that has no three
+consecutive words of its item left is not met.
 
 The benchmark's grams are sent to the tasks in shards of about ``SHARD_WORDS`` words;
-a larger benchmark takes several passes over the documents instead of a larger broadcast.
+a larger benchmark takes several passes over the documents instead of a larger broadcast. Seeds met
+are expanded to their items for ``HITS`` at a time.
 
 Defined cases: null and empty texts are clean; items of fewer than ``MIN_WORDS`` words (null
 and empty ones too) can't identify a copy and are not searched for; equal items are
@@ -32,12 +35,12 @@ from skyvane.llm._tables import begin, read
 from skyvane.llm._text import NON_WORD, U64, Words, buffers, doc_groups, fold_case, ngram_hash
 
 GRAM = 3
-STRIDE = 4
 MIN_WORDS = 8
 THRESHOLD = 0.5
 LONG_MATCH = 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 SHARD_WORDS = 2_000_000
+HITS = 1_000_000
 _BITS = U64((1 << 22) - 1)
 
 
@@ -55,29 +58,18 @@ class Items:
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
         self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         self.gram = np.concatenate(grams) if grams else np.zeros(0, U64)
-        self.unique = np.unique(self.gram)
 
 
 class Seeds:
-    """Lookup of the seed grams: a bit table first, then the sorted grams."""
-
-    def __init__(self, items: Items, df: np.ndarray) -> None:
-        """``df``: documents per ``items.unique`` gram. A gram is a seed if it is the rarest, ties
-        included, of some STRIDE consecutive grams of its item."""
-        rare = df[np.searchsorted(items.unique, items.gram)] if len(items.gram) else np.zeros(0, np.int64)
-        chosen = np.zeros(len(rare), bool)
-        first = np.searchsorted(items.item, np.arange(len(items.ids) + 1))
-        for a, b in zip(first[:-1], first[1:]):
-            r = rare[a:b]
-            k = min(STRIDE, len(r))
-            least = np.lib.stride_tricks.sliding_window_view(r, k).min(1)
-            for j in range(k):
-                chosen[a + j:a + j + len(least)] |= r[j:j + len(least)] == least
-        at = np.flatnonzero(chosen)
-        at = at[np.argsort(items.gram[at], kind="stable")]
-        self.gram, self.item, self.place = items.gram[at], items.item[at], items.place[at]
+    """Lookup of the items' grams: a bit table first, then the sorted grams."""
+
+    def __init__(self, items: Items) -> None:
+        o = np.argsort(items.gram, kind="stable")
+        self.gram, self.item, self.place = items.gram[o], items.item[o], items.place[o]
         self.bits = bit_table(self.gram)
         self.ids, self.words = items.ids, items.words
+        self.length = np.array([len(x) for x in items.words], np.int64)
+        self.sorted = [np.unique(x) for x in items.words]
 
 
 def bit_table(grams: np.ndarray) -> np.ndarray:
@@ -119,6 +111,14 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, i
     return best
 
 
+def reach(item: np.ndarray, text: np.ndarray) -> int:
+    """An upper bound of the alignment score of a text with an item's sorted words: the best run of
+    words where those of the item win MATCH and each other word loses a point."""
+    k = np.minimum(np.searchsorted(item, text), len(item) - 1)
+    total = np.concatenate([[0], np.cumsum(np.where(item[k] == text, MATCH, max(MISMATCH, GAP)))])
+    return int((total - np.minimum.accumulate(total)).max())
+
+
 def find(data: np.ndarray, off: np.ndarray, seeds: Seeds) -> list[tuple]:
     """(document, item id, score, matched words, seeds met, first word, end word) of contaminated documents."""
     w = Words(fold_case(data), off, NON_WORD)
@@ -132,70 +132,51 @@ def find(data: np.ndarray, off: np.ndarray, seeds: Seeds) -> list[tuple]:
     doc = np.searchsorted(w.first, at, "right") - 1
     inside = at + GRAM <= w.first[doc + 1]
     at, lo, n, doc = at[inside], lo[inside], n[inside], doc[inside]
-    if not len(at):
-        return []
+    rows: list[tuple] = []
+    a = 0
+    while a < len(at):                                 # whole documents, about HITS at a time
+        total = np.cumsum(n[a:])
+        b = a + max(1, int(np.searchsorted(total, HITS, "right")))
+        if b < len(at):
+            start = int(np.searchsorted(doc, doc[b]))
+            b = start if start > a else int(np.searchsorted(doc, doc[b], "right"))
+        rows += _align(w, seeds, at[a:b], lo[a:b], n[a:b], doc[a:b])
+        a = b
+    return rows
+
+
+def _align(w: Words, seeds: Seeds, at: np.ndarray, lo: np.ndarray, n: np.ndarray, doc: np.ndarray) -> list[tuple]:
+    """Aligned rows of the met grams: places ``at`` of documents ``doc`` and their ``n`` seeds from ``lo``."""
     seed = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
     at, doc = np.repeat(at, n), np.repeat(doc, n)
     item, place = seeds.item[seed], seeds.place[seed]
     o = np.lexsort((at, item, doc))
     at, doc, item, place = at[o], doc[o], item[o], place[o]
-    length = np.array([len(x) for x in seeds.words])[item]
+    length = seeds.length[item]
     new = np.ones(len(at), bool)                       # hits of one document and item that lie near each other
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > 2 * length[1:])
     cut = np.append(np.flatnonzero(new), len(at))
     best: dict[tuple[int, int], tuple] = {}
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        met = len(set(place[a:b].tolist()))
-        if met < 2:
-            continue
         d, i = int(doc[a]), int(item[a])
         words, m = seeds.words[i], len(seeds.words[i])
-        x = max(int(w.first[d]), int(at[a]) - 2 * m)
-        y = min(int(w.first[d + 1]), int(at[b - 1]) + 2 * m + GRAM)
+        least = min(THRESHOLD * MATCH * m, MATCH * LONG_MATCH)
+        x = max(int(w.first[d]), int(at[a]) - 3 * m)   # an alignment takes m words and fewer than 2 m put in
+        y = min(int(w.first[d + 1]), int(at[b - 1]) + 3 * m + GRAM)
+        if reach(seeds.sorted[i], w.hash[x:y]) < least:
+            continue
         score, end, start, hits = smith_waterman(words, w.hash[x:y])
-        if score >= min(THRESHOLD * MATCH * m, MATCH * LONG_MATCH):
+        if score >= least:
             f = x - int(w.first[d])
+            met = len(set(place[a:b].tolist()))
             row = (d, seeds.ids[i], score / (MATCH * m), hits, met, f + start, f + end)
             if (d, i) not in best or row[2] > best[d, i][2]:
                 best[d, i] = row
     return [best[k] for k in sorted(best)]
 
 
-def _frequencies(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each unique gram of the items occurs, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast((items.unique, bit_table(items.unique)))
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, bits = shared.value
-        seen = np.zeros(len(grams), np.int64)
-        for b in it:
-            data, off = buffers(b.column(0))
-            for lo, hi in doc_groups(off):
-                part = off[lo:hi + 1] - off[lo]
-                w = Words(fold_case(data[off[lo]:off[hi]]), part, NON_WORD)
-                g = ngram_hash(w.hash, GRAM)
-                if not len(g):
-                    continue
-                at = np.flatnonzero(bits[(g & _BITS).astype(np.int64)])
-                k = np.minimum(np.searchsorted(grams, g[at]), len(grams) - 1)
-                doc = np.searchsorted(w.first, at, "right") - 1
-                ok = (grams[k] == g[at]) & (at + GRAM <= w.first[doc + 1])
-                cells = np.unique(doc[ok] * len(grams) + k[ok])
-                seen += np.bincount(cells % len(grams), minlength=len(grams))
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], names=["gram", "n"])
-
-    got = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(
-        F.sum("n").alias("n")).toPandas()                    # at most SHARD_WORDS rows
-    df = np.zeros(len(items.unique), np.int64)
-    if len(got):
-        df[got["gram"]] = got["n"]
-    return df
-
-
-def seed_shards(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> list[Seeds]:
+def seed_shards(benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> list[Seeds]:
     """The seed tables, one per shard of the benchmark."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     words = rows.agg(F.sum(F.octet_length("text") / 4)).first()[0] or 0       # four bytes a word at least, nearly always
     shards = max(1, int(-(-words // shard_words)))
@@ -206,7 +187,7 @@ def seed_shards(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD_
         items = Items(part["item_id"].astype(object).where(part["item_id"].notna(), None).tolist(),
                       [t if isinstance(t, str) else None for t in part["text"]])
         if items.ids:
-            out.append(Seeds(items, _frequencies(texts, items)))
+            out.append(Seeds(items))
     return out
 
 
@@ -238,14 +219,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD
 
         return rows.mapInArrow(run, HIT)
 
-    found = [search(s) for s in seed_shards(docs, benchmark, shard_words)]
+    found = [search(s) for s in seed_shards(benchmark, shard_words)]
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], HIT)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The documents without those that hold a copy of an item, all columns kept."""
     spark = begin(docs.sparkSession)
-    for seeds in seed_shards(docs, benchmark, shard_words):
+    for seeds in seed_shards(benchmark, shard_words):
         shared = spark.sparkContext.broadcast(seeds)
 
         def flag(text: pa.Array, shared=shared) -> pa.Array:

@@ -200,6 +200,29 @@ def test_decontamination(spark, shard):
     assert clean == {d for d, _ in docs} - set(leaks)
 
 
+@pytest.mark.parametrize("step", [4, 5, 6])
+def test_decontamination_of_close_edits(spark, step):
+    rnd = random.Random(step)
+    word = lambda: "".join(rnd.choice(["sel", "tor", "vim", "pag", "lun", "é"]) for _ in range(4))
+    items = [(i, " ".join(word() for _ in range(rnd.randint(8, 59)))) for i in range(40)]
+    docs = []
+    for i, t in items:
+        p = [word() if k % step == i % step else x for k, x in enumerate(t.split())]
+        docs.append((i, " ".join([word() for _ in range(rnd.randint(0, 90))] + p + [word() for _ in range(rnd.randint(0, 90))])))
+        docs += [(1000 + 10 * i + k, f"{word()} {t}") for k in range(i % 3)]          # whole copies beside it
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(d, d if d < 1000 else (d - 1000) // 10) for d, _ in docs}
+
+
+def test_reach_bounds_the_alignment():
+    rnd = np.random.default_rng(3)
+    for _ in range(300):
+        a, b = (rnd.integers(0, 9, rnd.integers(1, n)).astype(np.uint64) for n in (15, 40))
+        assert decontaminate.reach(np.unique(a), b) >= decontaminate.smith_waterman(a, b)[0]
+
+
 def test_smith_waterman_against_plain_form():
     rnd = np.random.default_rng(2)
 
