@@ -2,7 +2,11 @@
 
 Each page becomes its text lines (one per block element) with the place they stand in:
 page furniture (navigation, header, footer, aside, form, or a class, id or role that
-says so), a declared article (article, main, role=main, articleBody), or the plain body. Pages of a host
+says so), a declared article (article, main, role=main, articleBody), or the plain body. A class or
+id says so as a whole name only ('ad', 'sidebar-left', 'cookie-notice'; not 'has-sidebar' or
+'search-results', which say nothing). A class or form that holds most of the text of a page without a
+declared article is not furniture, nor is an article or main for its class, but for articles
+inside furniture or another article (comments, teasers). Pages of a host
 are ordered by URL path; a page's partner is the neighbour with the longer common
 path prefix. The two pages' lines are aligned by their longest common subsequence, and
 what they share is template and deleted.
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from skyvane.llm._tables import begin, read
 from skyvane.session import scratch_path
 
-BODY, ARTICLE, CHROME = 0, 1, 2
+BODY, ARTICLE, CHROME, NAMED = 0, 1, 2, 3
 BROADCAST_ROWS = 100_000
 
 _TOKEN = re.compile(
@@ -46,8 +50,11 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "textarea", "title",
-        "select", "button", "audio", "video", "map", "xmp", "noembed", "noframes"}
+_RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "textarea", "title",
+        "select", "button", "audio", "video", "map", "xmp", "noembed", "noframes",
+        "annotation", "annotation-xml"}
+#: elements of _RAW whose content is no markup: an unclosed one ends with the page
+_OPAQUE = {"script", "style", "noscript", "iframe", "textarea", "title", "xmp", "noembed", "noframes"}
 _FURNITURE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head"}
 _BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
           "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
@@ -62,12 +69,30 @@ _WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising
           "share", "sharing", "social", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination", "pager",
           "menu", "nav", "navbar", "navigation", "footer", "popup", "modal", "overlay", "widget", "toolbar", "search",
           "contentinfo", "complementary", "masthead", "topbar", "skip", "copyright", "disclaimer"}
+#: what else may stand in the name of such a box
+_PLAIN = {"left", "right", "top", "bottom", "first", "last", "main", "primary", "secondary", "site", "page", "global", "post", "entry",
+          "article", "blog", "box", "block", "bar", "area", "wrap", "wrapper", "container", "section", "inner", "outer", "body", "list",
+          "item", "items", "link", "links", "posts", "articles", "stories", "button", "buttons", "icon", "icons", "form", "slot", "unit",
+          "text", "title", "message", "header", "head", "content"}
 _PAGE_HEADER = {"header", "head"}
 
 
-def _marker(tag: str, attrs: str, in_article: bool) -> int | None:
-    """Does this element mark furniture or a declared article? None: it says nothing."""
-    words: set[str] = set()
+def _names_furniture(name: str) -> bool:
+    """Is this whole class, id or role the name of page furniture ('sidebar-left', not 'has-sidebar')?"""
+    parts = [x for x in re.split(r"[^a-z0-9]+", name) if x and not x.isdigit()]
+    return any(x in _WORDS for x in parts) and all(x in _WORDS or x in _PLAIN for x in parts) \
+        and not (parts[0] in ("content", "body", "text") and len(parts) > 1)
+
+
+def _names_header(name: str) -> bool:
+    parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
+    return any(x in _PAGE_HEADER for x in parts) and all(x in _PLAIN for x in parts)
+
+
+def _marker(tag: str, attrs: str, in_article: bool, in_chrome: bool) -> int | None:
+    """Does this element mark furniture or a declared article? None: it says nothing. NAMED: furniture
+    unless it holds most of the text."""
+    names: list[str] = []
     if attrs and "=" in attrs or "hidden" in attrs:
         for name, *value in _ATTR.findall(attrs):
             v, name = "".join(value).lower(), name.lower()
@@ -76,21 +101,59 @@ def _marker(tag: str, attrs: str, in_article: bool) -> int | None:
             if name == "role" and v == "main" or name == "itemprop" and v == "articlebody":
                 return ARTICLE
             if name in ("class", "id", "role"):
-                words.update(re.split(r"[^a-z0-9]+", v))
-    if words & _WORDS:
-        return CHROME
-    if tag in _FURNITURE and not (tag == "header" and in_article) or not in_article and words & _PAGE_HEADER:
-        return CHROME
-    return ARTICLE if tag in ("article", "main") else None
+                names += v.split()
+    if tag == "main":
+        return ARTICLE
+    if any(map(_names_furniture, names)) and (tag != "article" or in_article or in_chrome):
+        return NAMED if tag not in _FURNITURE or tag == "form" else CHROME
+    if tag in _FURNITURE and not (tag == "header" and in_article):
+        return NAMED if tag == "form" else CHROME
+    if tag == "article":
+        return ARTICLE
+    return NAMED if not in_article and any(map(_names_header, names)) else None
 
 
 def page_lines(source: str | None) -> tuple[list[str], list[int]]:
     """The text blocks of a page in order, and where each stands."""
+    unmarked: set[int] = set()
+    while True:
+        lines, kinds, held = _lines(source or "", unmarked)
+        half = sum(map(len, lines)) / 2
+        most = [k for k, n in held.items() if n > half]
+        if not most or ARTICLE in kinds or sum(len(x) for x, k in zip(lines, kinds) if k != CHROME) > half:
+            return lines, kinds
+        unmarked.add(min(most))
+
+
+def _skip(source: str, tag: str, at: int, broken: dict[str, bool]) -> int:
+    """Where the element that was opened before ``at`` ends; an unclosed one is empty unless it is opaque.
+    ``broken``: tags that don't balance in the rest of the page, and whether any end is left; they are not counted again."""
+    if tag in _OPAQUE:
+        close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
+        return close.end() if close else len(source)
+    if broken.get(tag) is False:
+        return at
+    depth, first = 1, None
+    for m in re.compile(rf"<(/?){tag}(?![\w:-])[^>]*>?", re.I).finditer(source, at):
+        if m[1]:
+            depth, first = depth - 1, first or m.end()
+            if not depth or tag in broken:
+                return m.end()
+        elif tag in ("button", "select"):           # these don't nest: the next one ends an unclosed one
+            return at
+        elif not m[0].endswith("/>"):
+            depth += 1
+    broken[tag] = first is not None
+    return first or at
+
+
+def _lines(source: str, unmarked: set[int]) -> tuple[list[str], list[int], dict[int, int]]:
+    """Lines, kinds and how much text each box marked by its name holds; boxes in ``unmarked`` (by place) are not marked."""
     lines: list[str] = []
     kinds: list[int] = []
-    if not source:
-        return lines, kinds
-    stack: list[tuple[str, int]] = []           # open boxes and the kind inside them
+    held: dict[int, int] = {}
+    broken: dict[str, bool] = {}
+    stack: list[tuple[str, int, int]] = []      # open boxes, the kind inside them, their place if marked by name
     kind, text, at, n = BODY, [], 0, len(source)
 
     def block() -> None:
@@ -99,6 +162,9 @@ def page_lines(source: str | None) -> tuple[list[str], list[int]]:
             if line:
                 lines.append(line)
                 kinds.append(kind)
+                for box in stack if held else ():
+                    if box[2] >= 0:
+                        held[box[2]] += len(line)
             text.clear()
 
     while at < n:
@@ -117,8 +183,7 @@ def page_lines(source: str | None) -> tuple[list[str], list[int]]:
             text.append(" ")
             continue
         if not end and tag in _RAW and not attrs.endswith("/"):
-            close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
-            at = close.end() if close else n
+            at = _skip(source, tag, at, broken)
             continue
         if tag in _BLOCK:
             block()
@@ -137,17 +202,22 @@ def page_lines(source: str | None) -> tuple[list[str], list[int]]:
                 continue
             if tag in ("p", "li") and stack and stack[-1][0] == tag:
                 stack.pop()
-            now = _marker(tag, attrs, any(k == ARTICLE for _, k in stack))
+            now, place = _marker(tag, attrs, any(b[1] == ARTICLE for b in stack), bool(stack) and stack[-1][1] == CHROME), -1
+            if now is not None and tag == "span":
+                block()
+            if now == NAMED:
+                now = None if at in unmarked else CHROME
+                if now == CHROME:
+                    place = at
+                    held[at] = 0
             if now is None:
                 now = stack[-1][1] if stack else BODY
-            elif tag == "span":
-                block()
-            stack.append((tag, now))
+            stack.append((tag, now, place))
         if now != kind:
             block()
             kind = now
     block()
-    return lines, kinds
+    return lines, kinds, held
 
 
 def lcs(a: list, b: list) -> list[int]:

@@ -154,6 +154,23 @@ def test_page_lines(body, want):
     assert text_of(PAGE % body) == want
 
 
+@pytest.mark.parametrize("body,want", [
+    ('<div class="content has-sidebar"><p>A long text.</p></div>', ["A long text."]),
+    ('<div id="search-results"><p>Found it.</p></div>', ["Found it."]),
+    ('<div class="side-by-side"><p>Two.</p></div><div class="alert-story"><p>News.</p></div>', ["Two.", "News."]),
+    ('<article class="post share-enabled"><p>Post.</p></article>', ["Post."]),
+    ('<article class="notice"><p>Post.</p><section id=comments><article class=comment-body>no</article></section></article>', ["Post."]),
+    ('<main class="with-sidebar sidebar"><p>Main.</p><div class="sidebar-left">no</div></main>', ["Main."]),
+    ('<div class=widget><p>' + "Most of the text. " * 20 + "</p><div class=ad>Buy</div></div>", [("Most of the text. " * 20).strip()]),
+    ('<form id=aspnetForm><p>' + "Most of the text. " * 20 + "</p></form>", [("Most of the text. " * 20).strip()]),
+    ("<article><p>It is <math><mi>x</mi><annotation>x^2</annotation></math> here</p></article>", ["It is x here"]),
+    ("<article><p>a<button>Go<p>b<svg><p>c<select><option>d<object><p>e</article>", ["aGo", "b", "cd", "e"]),
+    ("<article><p>a<svg><svg>x</svg>y</svg>b<button>Go</button>c</article>", ["abc"]),
+])
+def test_furniture_is_named_by_whole_names(body, want):
+    assert text_of("<header>Site name</header><nav>Menu</nav>%s<div class='cookie-notice'>We use cookies</div>" % body) == want
+
+
 def test_lcs_against_plain_form():
     rnd = random.Random(1)
     for _ in range(300):
