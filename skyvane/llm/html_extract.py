@@ -12,10 +12,11 @@ path prefix. The two pages' lines are aligned by their longest common subsequenc
 what they share is template and deleted.
 
 Alignment alone can't tell a template from two pages that carry the same article
-(copies are common), so two rules bound it: lines of a declared article that holds most of the
-text are kept, and a page whose every body line is shared with its partner is a
-copy of it and keeps them. Furniture never counts as text: its slots are the template even
-where their words rotate from page to page.
+(copies are common), so a page of which too much is shared counts as a copy: shared lines of a
+declared article that holds most of the text go only while they are at most half of it, and a page
+without one whose every body line is shared keeps them. Text outside a declared article stays if the
+partner lacks it; a page without a partner has no evidence but its tags and keeps the article alone.
+Furniture never counts as text: its slots are the template even where their words rotate from page to page.
 
 Scale: a host may hold a third of all pages, so hosts are not groups. Line hashes
 (not texts) are range-partitioned by (host, path) and compared while they stream in order; the
@@ -270,12 +271,14 @@ def kept_lines(kinds: np.ndarray, sizes: np.ndarray, shared: list[int] | None) -
     """Which lines are the main text, given the shared ones (None: no partner)."""
     text = kinds != CHROME
     article = kinds == ARTICLE
-    if article.any() and 2 * sizes[article].sum() >= sizes[text].sum():
-        return article
+    declared = article.any() and 2 * sizes[article].sum() >= sizes[text].sum()
     if shared is None:
-        return text
+        return article if declared else text
     left = text.copy()
-    left[[i for i in shared if kinds[i] == BODY]] = False
+    left[shared] = False
+    if declared and 2 * sizes[left & article].sum() < sizes[article].sum():        # a copy of the partner's article
+        left |= article
+    left &= text
     return left if left.any() else text
 
 

@@ -206,6 +206,21 @@ def test_extract_by_differencing(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_differencing_inside_declared_articles(spark):
+    """Template lines inside an article go, what stands outside it and is not shared stays, copies keep their text."""
+    page = "<nav>Menu</nav><h1>Title %s</h1><p>Our shop</p><%s><p>Share this</p><p>%s</p><p>Subscribe now</p></%s><div class=ad>Buy %s</div>"
+    rows = [(k, f"http://h.org/{k:02d}", page % (k, tag, f"Long story of number {k} " * 4, tag, k))
+            for k, tag in enumerate(["article", "main"] * 10)]
+    rows += [(100 + k, f"http://copy.org/{k}", page % (k, "article", "The same story told again " * 4, "article", k)) for k in range(2)]
+    rows += [(200, "http://alone.org/", page % (0, "article", "Only story there is " * 4, "article", 0))]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(20):
+        assert got[k] == f"Title {k}\n" + (f"Long story of number {k} " * 4).strip()
+    for k in range(2):
+        assert got[100 + k] == f"Title {k}\nShare this\n" + ("The same story told again " * 4).strip() + "\nSubscribe now"
+    assert got[200] == "Share this\n" + ("Only story there is " * 4).strip() + "\nSubscribe now"
+
+
 def test_pipeline_stages_against_operators(spark):
     """Each stage keeps what its operator's verdicts keep, in the columns it got."""
     from skyvane.llm import decontaminate, exact_dedup, near_dedup
