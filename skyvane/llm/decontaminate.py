@@ -1,6 +1,7 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased runs of letters and digits. Every three-word gram of an item is a
+Words are lower-cased runs of letters and digits; Unicode punctuation, symbols and spaces part them, and each
+character of a script without spaces (Chinese, Japanese, Thai, Lao, Khmer, Myanmar) is a word. Every three-word gram of an item is a
 seed, whatever its frequency: which grams an edit leaves whole can't be told from
 document counts (an edit lowers the counts of the grams it breaks). The stretch around the seeds
 that a document meets is aligned with the item if it can reach the threshold at all:
@@ -15,14 +16,16 @@ The benchmark's grams are sent to the tasks in shards of about ``SHARD_WORDS`` w
 a larger benchmark takes several passes over the documents instead of a larger broadcast. Seeds met
 are expanded to their items for ``HITS`` at a time.
 
-Defined cases: null and empty texts are clean; items of fewer than ``MIN_WORDS`` words (null
-and empty ones too) can't identify a copy and are not searched for; equal items are
+Defined cases: null and empty texts are clean; items of fewer than ``MIN_WORDS`` words have too few grams
+for edited copies and are found as whole items only, word for word; items of fewer than ``GRAM`` words
+(null and empty ones too) can't identify a copy and are not searched for; equal items are
 all reported; repeated and null document ids stay separate rows of the search (one
 result row each); empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
@@ -44,14 +47,65 @@ HITS = 1_000_000
 _BITS = U64((1 << 22) - 1)
 
 
+def _classes() -> np.ndarray:
+    """By code point under 0x20000 (further ones are Chinese): 0 part of a word, 1 separator, 2 a word of its own."""
+    out = np.zeros(0x20001, np.uint8)
+    out[0x20000] = 2
+    for c in range(0xA0, 0x20000):
+        if unicodedata.category(chr(c))[0] in "PSZ" or c in (0x200B, 0x2060, 0xFEFF):
+            out[c] = 1
+    for a, b in ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0x3000), (0x3005, 0x3008), (0x3031, 0x3036),
+                 (0x3040, 0x3130), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0),
+                 (0x1B000, 0x1B170)):
+        part = out[a:b]
+        part[part == 0] = 2
+    return out
+
+
+_CLASS = _classes()
+
+
+def segment(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets in lower case, Unicode separators made spaces and characters that are words set apart by spaces."""
+    data = fold_case(data)
+    lead = np.flatnonzero(data >= 0xC2)
+    if not len(lead):
+        return data, off
+    x = data[lead].astype(np.int64)
+    size = 2 + (x >= 0xE0) + (x >= 0xF0)
+    ok = lead + size <= len(data)
+    lead, x, size = lead[ok], x[ok], size[ok]
+    code = x & (0x7F >> size)
+    for j in range(1, 4):
+        m = size > j
+        code[m] = code[m] << 6 | data[lead[m] + j] & 0x3F
+    kind = _CLASS[np.minimum(code, 0x20000)]
+    for j in range(4):
+        data[lead[(kind == 1) & (size > j)] + j] = 32
+    own = np.flatnonzero(kind == 2)
+    if not len(own):
+        return data, off
+    # a space before and after; one that falls on a document's border may lie on either side of it
+    cuts = np.union1d(lead[own], lead[own] + size[own])
+    return np.insert(data, cuts, np.uint8(32)), off + np.searchsorted(cuts, off, "left")
+
+
 class Items:
     """Benchmark items as word hashes, and their grams."""
 
     def __init__(self, ids: list, texts: list) -> None:
         col = pa.array(texts, pa.string())
         data, off = buffers(col)
-        w = Words(fold_case(data), off, NON_WORD)
-        keep = [i for i in range(len(ids)) if w.first[i + 1] - w.first[i] >= MIN_WORDS]
+        w = Words(*segment(data, off), NON_WORD)
+        n = np.diff(w.first)
+        keep = np.flatnonzero(n >= MIN_WORDS).tolist()
+        self.short = {}                                # words of a short item: hashes of whole items (sorted) and their ids
+        for k in range(GRAM, MIN_WORDS):
+            few = np.flatnonzero(n == k)
+            if len(few):
+                whole = np.array([ngram_hash(w.hash[w.first[i]:w.first[i] + k], k)[0] for i in few], U64)
+                o = np.argsort(whole, kind="stable")
+                self.short[k] = (whole[o], [ids[i] for i in few[o]])
         self.ids = [ids[i] for i in keep]
         self.words = [w.hash[w.first[i]:w.first[i + 1]] for i in keep]
         grams = [ngram_hash(x, GRAM) for x in self.words]
@@ -67,7 +121,7 @@ class Seeds:
         o = np.argsort(items.gram, kind="stable")
         self.gram, self.item, self.place = items.gram[o], items.item[o], items.place[o]
         self.bits = bit_table(self.gram)
-        self.ids, self.words = items.ids, items.words
+        self.ids, self.words, self.short = items.ids, items.words, items.short
         self.length = np.array([len(x) for x in items.words], np.int64)
         self.sorted = [np.unique(x) for x in items.words]
 
@@ -121,10 +175,11 @@ def reach(item: np.ndarray, text: np.ndarray) -> int:
 
 def find(data: np.ndarray, off: np.ndarray, seeds: Seeds) -> list[tuple]:
     """(document, item id, score, matched words, seeds met, first word, end word) of contaminated documents."""
-    w = Words(fold_case(data), off, NON_WORD)
+    w = Words(*segment(data, off), NON_WORD)
+    rows = _whole(w, seeds)
     g = ngram_hash(w.hash, GRAM)
     if not len(g) or not len(seeds.gram):
-        return []
+        return rows
     at = np.flatnonzero(seeds.bits[(g & _BITS).astype(np.int64)])
     lo, hi = np.searchsorted(seeds.gram, g[at], "left"), np.searchsorted(seeds.gram, g[at], "right")
     n = hi - lo
@@ -132,7 +187,6 @@ def find(data: np.ndarray, off: np.ndarray, seeds: Seeds) -> list[tuple]:
     doc = np.searchsorted(w.first, at, "right") - 1
     inside = at + GRAM <= w.first[doc + 1]
     at, lo, n, doc = at[inside], lo[inside], n[inside], doc[inside]
-    rows: list[tuple] = []
     a = 0
     while a < len(at):                                 # whole documents, about HITS at a time
         total = np.cumsum(n[a:])
@@ -145,6 +199,23 @@ def find(data: np.ndarray, off: np.ndarray, seeds: Seeds) -> list[tuple]:
     return rows
 
 
+def _whole(w: Words, seeds: Seeds) -> list[tuple]:
+    """Rows of the short items that stand word for word in a document: the first place of each."""
+    rows = []
+    for k, (whole, ids) in seeds.short.items():
+        g = ngram_hash(w.hash, k)
+        at = np.flatnonzero(np.isin(g, whole))
+        doc = np.searchsorted(w.first, at, "right") - 1
+        inside = at + k <= w.first[doc + 1]
+        at, doc = at[inside], doc[inside]
+        _, first = np.unique(np.stack([doc.astype(U64), g[at]]), axis=1, return_index=True)
+        for a, d in zip(at[first].tolist(), doc[first].tolist()):
+            lo, hi = np.searchsorted(whole, g[a], "left"), np.searchsorted(whole, g[a], "right")
+            f = a - int(w.first[d])
+            rows += [(d, ids[i], 1.0, k, k - GRAM + 1, f, f + k) for i in range(lo, hi)]
+    return rows
+
+
 def _align(w: Words, seeds: Seeds, at: np.ndarray, lo: np.ndarray, n: np.ndarray, doc: np.ndarray) -> list[tuple]:
     """Aligned rows of the met grams: places ``at`` of documents ``doc`` and their ``n`` seeds from ``lo``."""
     seed = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -186,7 +257,7 @@ def seed_shards(benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> list[Se
         part = part.sort_values(["item_id", "text"], kind="stable")
         items = Items(part["item_id"].astype(object).where(part["item_id"].notna(), None).tolist(),
                       [t if isinstance(t, str) else None for t in part["text"]])
-        if items.ids:
+        if items.ids or items.short:
             out.append(Seeds(items))
     return out
 

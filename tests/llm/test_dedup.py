@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skyvane.llm import _tables, decontaminate, near_dedup, substring_dedup
@@ -216,6 +217,30 @@ def test_decontamination_of_close_edits(spark, step):
     assert got == {(d, d if d < 1000 else (d - 1000) // 10) for d, _ in docs}
 
 
+def test_decontamination_of_short_items_and_scripts(spark):
+    chinese = "中国的首都是哪一座城市，它有多少人口？"
+    thai = "เมืองหลวงของประเทศไทยคือเมืองอะไร"
+    quoted = "Who wrote \u201cthe old man and the sea\u201d\u00a0and when was it printed first?"
+    items = [(1, "Who is Zorvex Quill?"), (2, "zorvex"), (3, chinese), (4, thai), (5, quoted), (6, "who is zorvex quill"), (7, "?!"), (8, "首都在哪")]
+    docs = [(10, "They asked: who is “Zorvex Quill”, and left."), (11, "Who is Zorvex A. Quill?"), (12, "答案：" + chinese + "谢谢"),
+            (13, "คำถาม " + thai), (14, "who wrote the old man and the sea and when was it printed first"), (15, "quill who is"),
+            (16, chinese[:8] + "很" + chinese[9:]), (17, "首都在哪里"), (18, "首都"), (19, "在哪"), (20, None), (21, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = decontaminate.contaminated(table, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [
+        (10, 1), (10, 6), (12, 3), (13, 4), (14, 5), (16, 3), (17, 8)]
+    assert {r.doc_id for r in decontaminate.clean(table, bench).collect()} == {11, 15, 18, 19, 20, 21}
+
+
+def test_segment_sets_characters_apart():
+    texts = ["a漢字b\u00a0c", "字", "", "x—y", "ÀÉ “q”", "\U00020000z", "漢", "漢a"]
+    data, off = decontaminate.segment(*buffers(pa.array(texts)))
+    w = Words(data, off, decontaminate.NON_WORD, keep_spans=True)
+    words = [[bytes(data[w.start[i]:w.end[i]]).decode() for i in range(w.first[d], w.first[d + 1])] for d in range(len(texts))]
+    assert words == [["a", "漢", "字", "b", "c"], ["字"], [], ["x", "y"], ["àé", "q"], ["\U00020000", "z"], ["漢"], ["漢", "a"]]
+
+
 def test_reach_bounds_the_alignment():
     rnd = np.random.default_rng(3)
     for _ in range(300):
