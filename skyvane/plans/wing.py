@@ -10,7 +10,9 @@ library's schema.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import feeds as FE
@@ -68,11 +70,13 @@ UPDATED = {"accelerometer": ["accel_x", "accel_y", "accel_z"], "flutter": ["flut
            "flap": ["flap_angle"], "slat": ["slat_actual"], "spoiler": ["spoiler_lag"], "spar": ["spar_bending"]}
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One wing message (JSON text ``value``) per event."""
+def messages(spark: SparkSession, sf_dir: str, value_of: Callable[[str, int], Column] | None = None,
+             more: dict[str, Column] | None = None) -> DataFrame:
+    """One wing message (JSON text ``value``) per event. ``value_of`` gives a sensor's payload values by
+    position, as expressions over the event's ``ts`` and ``value`` and the columns ``more`` derives from these."""
     e = T.table(T.prepare(spark), sf_dir, "events")
     r = e.select("event_id", "ts", "value", T.epoch_seconds(F.col("ts")).alias("timestamp"), T.phase_of(F.col("ts")).alias("phase"),
-                 F.coalesce(F.expr("try_cast(get_json_object(props, '$.k') AS DOUBLE)"), F.lit(0.0)).alias("wk"))
+                 F.coalesce(F.expr("try_cast(get_json_object(props, '$.k') AS DOUBLE)"), F.lit(0.0)).alias("wk"), *[c.alias(name) for name, c in (more or {}).items()])
     base = F.floor(F.col("value") * 8) / F.lit(8.0)
     faulty = F.col("ts") >= F.lit(S.FIRMWARE_SWITCH).cast("timestamp_ntz")
 
@@ -81,18 +85,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   (F.floor("value") / F.lit(128.0)).alias("prediction"),
                                   (F.floor("value") / F.lit(128.0) > 1.0).alias("is_anomaly"), F.col("phase")))
 
-    def payload(keys):
+    def payload(sensor, keys):
         extra = [F.lit("OK").alias("status"), F.col("phase")]
-        return F.struct(*[(base * (j + 1) + F.col("wk")).alias(key) for j, key in enumerate(keys)], *extra)
+        value = value_of or (lambda _, j: base * (j + 1) + F.col("wk"))
+        return F.struct(*[value(sensor, j).alias(key) for j, key in enumerate(keys)], *extra)
 
     text = None
     for i, (sensor, healthy, broken) in enumerate(PAYLOADS):
         name = F.lit(sensor)
         if sensor == "pressure":
             name = F.when(F.col("event_id") % 20 == i, F.lit("wing_surface_pressure")).otherwise(name)
-        one = envelope(name, payload(healthy))
+        one = envelope(name, payload(sensor, healthy))
         if broken:
-            one = F.when(faulty, envelope(name, payload(broken))).otherwise(one)
+            one = F.when(faulty, envelope(name, payload(sensor, broken))).otherwise(one)
         cond = F.col("event_id") % 10 == i
         text = F.when(cond, one) if text is None else text.when(cond, one)
     gyro = envelope(F.lit("gyro"), F.struct(base.alias("rate_dps")))
@@ -104,7 +109,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SENSOR = ("CASE WHEN event_id % 50 = 48 THEN 'gyro' "
            + " ".join(f"WHEN event_id % 10 = {i} THEN '{s}'" for i, s in enumerate(NAMES)) + " END")
 WING_CTE = f"""w AS (
-  SELECT event_id, ts, epoch_us(ts) / 1e6 AS "timestamp", {_SENSOR} AS sensor, {O.phase_sql()} AS phase,
+  SELECT event_id, ts, value, epoch_us(ts) / 1e6 AS "timestamp", {_SENSOR} AS sensor, {O.phase_sql()} AS phase,
          floor(value * 8) / 8.0 AS b, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0) AS k,
          floor(value) / 128.0 AS prediction, floor(value) / 128.0 > 1.0 AS is_anomaly
   FROM events WHERE event_id % 50 <> 49)"""

@@ -165,8 +165,35 @@ WING_SENSOR_NAMES = {
     "surface_pressure": "pressure",
 }
 
-# Healthy ranges per (sensor, phase, feature) -> (lo, hi).
+# Healthy ranges per (sensor, phase, feature) -> (lo, hi). A single
+# documented value is a range of that value; "about" values of the spar in cruise take the sixth part that
+# its bending range states.
 WING_PHASE_LIMITS = [
+    ("flap", "takeoff", "flap_angle", 15.0, 15.0),
+    ("flap", "takeoff", "flap_pressure", 2700.0, 3450.0),
+    ("flap", "takeoff", "flap_motor", 1.5, 2.5),
+    ("flap", "cruise", "flap_angle", 0.0, 0.0),
+    ("flap", "cruise", "flap_pressure", 0.0, 0.0),
+    ("flap", "cruise", "flap_motor", 0.0, 0.0),
+    ("flap", "landing", "flap_angle", 30.0, 30.0),
+    ("flap", "landing", "flap_pressure", 3000.0, 3450.0),
+    ("flap", "landing", "flap_motor", 2.0, 3.0),
+    ("slat", "takeoff", "slat_cmd", 12.5, 12.5),
+    ("slat", "takeoff", "slat_motor", 0.2, 4.5),
+    ("slat", "cruise", "slat_cmd", 0.0, 0.0),
+    ("slat", "cruise", "slat_motor", 0.0, 0.0),
+    ("slat", "landing", "slat_cmd", 6.0, 10.0),
+    ("slat", "landing", "slat_motor", 0.3, 4.5),
+    ("spoiler", "takeoff", "spoiler_cmd", 0.0, 0.0),
+    ("spoiler", "takeoff", "spoiler_actual", 0.0, 0.0),
+    ("spoiler", "takeoff", "spoiler_motor", 0.0, 0.0),
+    ("spoiler", "takeoff", "spoiler_lag", 0.0, 0.0),
+    ("spoiler", "cruise", "spoiler_cmd", 0.0, 3.0),
+    ("spoiler", "cruise", "spoiler_motor", 0.0, 0.8),
+    ("spoiler", "cruise", "spoiler_lag", 15.0, 45.0),
+    ("spoiler", "landing", "spoiler_cmd", 30.0, 60.0),
+    ("spoiler", "landing", "spoiler_motor", 1.5, 4.5),
+    ("spoiler", "landing", "spoiler_lag", 20.0, 150.0),
     ("pressure", "takeoff", "pressure", 160.0, 1100.0),
     ("pressure", "takeoff", "pressure_gradient", 1.4, 2.6),
     ("pressure", "takeoff", "asymmetry", 0.0, 0.20),
@@ -179,16 +206,74 @@ WING_PHASE_LIMITS = [
     ("fueltemp", "takeoff", "fuel_temp", 9.0, 12.0),
     ("fueltemp", "cruise", "fuel_temp", -20.0, -5.0),
     ("fueltemp", "landing", "fuel_temp", -4.0, 2.0),
+    ("spar", "takeoff", "spar_bending", 8000.0, 53000.0),
+    ("spar", "takeoff", "spar_shear", 4000.0, 24000.0),
+    ("spar", "takeoff", "spar_axial", 6000.0, 41000.0),
+    ("spar", "cruise", "spar_bending", 10000.0, 14000.0),
+    ("spar", "cruise", "spar_shear", 5000.0, 7000.0),
+    ("spar", "cruise", "spar_axial", 6667.0, 9333.0),
+    ("spar", "landing", "spar_bending", 35000.0, 62000.0),
+    ("spar", "landing", "spar_shear", 18000.0, 28000.0),
+    ("spar", "landing", "spar_axial", -25000.0, 50000.0),
     ("wingtip_strain", "takeoff", "strain", 350.0, 450.0),
+    ("wingtip_strain", "takeoff", "strain_temp", 15.0, 35.0),
+    ("wingtip_strain", "takeoff", "snr", 22.0, 28.0),
     ("wingtip_strain", "cruise", "strain", 80.0, 120.0),
+    ("wingtip_strain", "cruise", "strain_temp", -30.0, -10.0),
+    ("wingtip_strain", "cruise", "snr", 28.0, 35.0),
     ("wingtip_strain", "landing", "strain", 310.0, 390.0),
+    ("wingtip_strain", "landing", "strain_temp", -10.0, 25.0),
+    ("wingtip_strain", "landing", "snr", 20.0, 27.0),
+    ("wingtip_node", "takeoff", "node_accel", 0.6, 2.5),
     ("wingtip_node", "takeoff", "node_deflection", 15.0, 55.0),
+    ("wingtip_node", "takeoff", "node_strain", 0.0, 400.0),
+    ("wingtip_node", "cruise", "node_accel", 0.18, 0.85),
     ("wingtip_node", "cruise", "node_deflection", 38.0, 90.0),
+    ("wingtip_node", "cruise", "node_strain", 125.0, 325.0),
+    ("wingtip_node", "landing", "node_accel", 0.6, 2.0),
     ("wingtip_node", "landing", "node_deflection", 15.0, 78.0),
-    ("spar", "takeoff", "spar_bending", 8000.0, 53000.0),
-    ("spar", "landing", "spar_bending", 35000.0, 62000.0),
+    ("wingtip_node", "landing", "node_strain", 0.0, 380.0),
 ]
 
+# Failure rules of the wing feed, one per row: (rule, sensor, condition, consecutive readings it must hold).
+# The condition is a SQL expression over the sensor's channels; ``prev_x`` and ``prev2_x`` are the
+# channel's one and two readings before, ``std5_x`` and ``swing5_x`` its sample deviation and its
+# max - min over the latest five readings. Numbers are fixed values, except
+# tolerances of "near" (a tenth, or a half of the 0.04 A), the 0.1 degree of a changing command and the three
+# readings that stand for "multiple".
+WING_RULES = [
+    ("flap_frozen", "flap", "abs(flap_angle - prev_flap_angle) < 0.01", 3),
+    ("flap_pressure_flat", "flap", "abs(flap_pressure - 80) <= 8", 3),
+    ("flap_current_collapsed", "flap", "abs(flap_motor - 0.04) <= 0.02", 3),
+    ("slat_current_low", "slat", "slat_motor < 0.15 AND slat_cmd > 1", 1),
+    ("slat_frozen", "slat", "abs(slat_actual - prev_slat_actual) < 0.05 AND abs(slat_cmd - prev_slat_cmd) > 0.1", 3),
+    ("spoiler_frozen", "spoiler", "abs(spoiler_actual - prev_spoiler_actual) < 0.05 AND spoiler_cmd > 5", 3),
+    ("spoiler_constant_error", "spoiler", "abs(spoiler_error) > 0.5 AND abs((spoiler_cmd - spoiler_error) "
+     "- (prev_spoiler_cmd - prev_spoiler_error)) < 0.05", 3),
+    ("spoiler_no_current", "spoiler", "spoiler_motor = 0 AND spoiler_cmd > 5", 1),
+    ("spoiler_lag_high", "spoiler", "spoiler_lag > 800", 3),
+    ("pressure_pinned", "pressure", "pressure >= 0.99 * CASE phase WHEN 'takeoff' THEN 1100 WHEN 'cruise' THEN 1150 "
+     "WHEN 'landing' THEN 1200 END", 3),
+    ("pressure_asymmetry", "pressure", "asymmetry >= CASE phase WHEN 'takeoff' THEN 0.2D WHEN 'cruise' THEN 0.08D "
+     "WHEN 'landing' THEN 0.12D END", 3),
+    ("pressure_gradient_swing", "pressure", "pressure_gradient < -4.2 AND (prev_pressure_gradient > 4.2 OR "
+     "prev2_pressure_gradient > 4.2)", 1),
+    ("spar_overload", "spar", "phase = 'cruise' AND spar_bending > 65000", 1),
+    ("spar_ratio", "spar", "spar_bending <> 0 AND abs(spar_shear - 0.5D * spar_bending) > 0.2D * abs(spar_bending)", 1),
+    ("spar_axial_swing", "spar", "swing5_spar_axial > 15000", 1),
+    ("strain_snr_low", "wingtip_strain", "snr < 19", 4),
+    ("strain_noisy", "wingtip_strain", "std5_strain > 35", 1),
+    ("strain_implausible", "wingtip_strain", "(phase = 'landing' AND strain <= 0) OR (phase = 'cruise' AND strain >= 480)", 1),
+    ("node_impossible", "wingtip_node", "node_deflection >= 87 AND node_accel < 0.5", 1),
+    ("node_strain_high", "wingtip_node", "phase = 'cruise' AND node_strain > 370", 1),
+    ("node_jump", "wingtip_node", "abs(node_deflection - prev_node_deflection) > 4.5", 1),
+]
+
+# Accepted command lag of the spoiler by phase (ms), the stall time and the limits of its test.
+SPOILER_LAG_LIMITS = {"cruise": 100.0, "landing": 200.0}
+SPOILER_LAG_DEFAULT = 100.0
+SPOILER_STALL_SECONDS = 2.0
+
 # Fuel-temperature gradient limit per phase (deg C / min).
 FUEL_GRADIENT_LIMITS = {"takeoff": 0.8, "cruise": 0.3, "landing": 0.6}
 
