@@ -51,10 +51,11 @@ def with_bucket(df: DataFrame, grain: str = "hour", time_col: str = "ts",
     ``split_above=None`` splits every key (used by tests). The hot-key list
     comes from one partial aggregate, written as a small table.
     """
-    fine = F.date_trunc(grain, F.col(time_col))
+    whole = whole_bucket(df.schema[time_col].dataType)
+    # rows without a time sort first, so they stand in the first bucket
+    fine = F.coalesce(F.date_trunc(grain, F.col(time_col)), whole)
     if split_above is None:
         return df.withColumn(BUCKET, fine)
-    whole = whole_bucket(df.schema[time_col].dataType)
     spark = df.sparkSession
     path = scratch_path(spark, "hot-keys")
     (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

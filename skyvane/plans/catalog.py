@@ -429,6 +429,7 @@ def hysteresis_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sequential folds: model (STA2-STA5) and STA1, STA6-STA8
 # --------------------------------------------------------------------------
 from ..operators import chunked as CH  # noqa: E402
+from ..operators import ewma as EW  # noqa: E402
 from ..operators import fold as FD  # noqa: E402
 from ..operators import model as M  # noqa: E402
 
@@ -557,8 +558,8 @@ _SEQ2 = ("SELECT *, row_number() OVER (PARTITION BY asset_id, sensor ORDER BY ts
     "SELECT event_id, round(m, 6) AS ewma FROM fold WHERE rn > 0"))
 def ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA1: plain EWMA (α = 0.2) of each sensor's value, seeded by the first value."""
-    fold = FD.ewma_fold("value", 0.2, passthrough=("event_id",))
-    out = CH.chunked_fold(T.readings(spark, sf_dir), SEQ_KEYS, SEQ_ORDER, fold, fold_chunk())
+    r = T.readings(spark, sf_dir).select("event_id", "asset_id", "sensor", "ts", "value")
+    out = EW.ewma(W.with_bucket(r), "value", 0.2)
     return out.select("event_id", r6("ewma").alias("ewma"))
 
 
@@ -603,9 +604,8 @@ def hot_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
           f"ELSE {_d(0.2)} * s.value + {_d(1 - 0.2)} * f.m END"},
     "SELECT event_id, round(m, 6) AS ewma FROM fold WHERE rn > 0"))
 def hot_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STA1 over split keys: speculative chunks, resolved in rounds."""
-    out = CH.chunked_fold(T.readings(spark, sf_dir), list(HOT), SEQ_ORDER, FD.ewma_fold("value", 0.2, passthrough=("event_id",)),
-                          split_above=HOT_ROWS, chunk_rows=HOT_CHUNK)
+    """STA1 over split keys: blocks of values with the block before as halo."""
+    out = EW.ewma(_hot_seq(spark, sf_dir), "value", 0.2, keys=HOT)
     return out.select("event_id", r6("ewma").alias("ewma"))
 
 
@@ -1145,3 +1145,70 @@ def stream_monitoring_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = P.latest_versions(spark, paths["out"], ["timestamp", "sensor", "phase"])
     return out.select(fmt("timestamp").alias("timestamp"), "sensor", "phase", "value", "k",
                       r6("score").alias("score"), "is_anomaly")
+
+
+# --------------------------------------------------------------------------
+# Timelines (JON6 with long intervals, AGG8 silence)
+# --------------------------------------------------------------------------
+from ..operators import timeline as TL  # noqa: E402
+
+# Campaigns relative to the first day of the data: years before it, ten days, a gap, and one without an end.
+_CAMPAIGNS = [("shakedown", -800, 3), ("trial", 3, 13), ("service", 17, 30), ("later", 400, None)]
+
+
+def _campaign_sql() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{n}' AS campaign, d0 + INTERVAL ({a}) DAY AS s, " + ("TIMESTAMP '9999-01-01'" if b is None else f"d0 + INTERVAL {b} DAY")
+        + " AS e FROM d" for n, a, b in _CAMPAIGNS)
+    return f"d AS (SELECT CAST(min(ts) AS DATE) AS d0 FROM readings), c AS ({rows})"
+
+
+@register("campaign_asof_tag", O.with_readings(
+    "SELECT r.event_id, c.campaign FROM readings r LEFT JOIN c ON r.ts >= c.s AND r.ts < c.e", _campaign_sql()))
+def campaign_asof_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON6 with intervals of years: one row per interval in the shuffle, by the last start before each reading."""
+    r = T.readings(spark, sf_dir).select("event_id", "ts")
+    days = r.agg(F.to_date(F.min("ts")).cast("timestamp_ntz").alias("d0"))
+    spans = F.array(*[F.struct(F.lit(n).alias("campaign"), F.lit(a).alias("a"), F.lit(b).cast("int").alias("b")) for n, a, b in _CAMPAIGNS])
+    iv = days.select("d0", F.inline(spans)).select(
+        "campaign", (F.col("d0") + F.make_dt_interval("a")).alias("start"), (F.col("d0") + F.make_dt_interval("b")).alias("end"))
+    return TL.asof_tag(r, iv).select("event_id", "campaign")
+
+
+_TICK = 6 * 3600
+
+
+def _silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of six-hour ticks in which a known asset's sensor sent nothing."""
+    r = T.readings(spark, sf_dir).select("asset_id", "sensor", TL.tick_of(F.col("timestamp"), _TICK).alias("tick"))
+    span = r.agg(F.min("tick").alias("a"), F.max("tick").alias("b")).first()
+    sensors = F.array(*[F.lit(s) for s in S.EVENT_SENSORS])
+    expected = r.select("asset_id").filter("asset_id is not null").distinct().select("asset_id", F.explode(sensors).alias("sensor"))
+    if span["a"] is None:
+        return TL.silences(r, expected, 0, -1, ("asset_id", "sensor"))
+    return TL.silences(r, expected, span["a"], span["b"], ("asset_id", "sensor"))
+
+
+_SILENCE_CTES = f"""t AS (SELECT DISTINCT asset_id, sensor, CAST(floor("timestamp" / {_TICK}) AS BIGINT) AS tick FROM readings),
+b AS (SELECT min(tick) AS a, max(tick) AS z FROM t),
+x AS (SELECT asset_id, s.sensor FROM (SELECT DISTINCT asset_id FROM t WHERE asset_id IS NOT NULL),
+      (SELECT unnest([{", ".join(f"'{s}'" for s in S.EVENT_SENSORS)}]) AS sensor) s),
+g AS (SELECT x.asset_id, x.sensor, u.tick FROM x, (SELECT unnest(range(a, z + 1)) AS tick FROM b) u
+      ANTI JOIN t ON t.asset_id = x.asset_id AND t.sensor = x.sensor AND t.tick = u.tick)"""
+
+
+@register("silent_stretches", O.with_readings("""
+SELECT asset_id, sensor, min(tick) AS from_tick, max(tick) AS to_tick, count(*) AS n_missing
+FROM (SELECT *, tick - row_number() OVER (PARTITION BY asset_id, sensor ORDER BY tick) AS island FROM g) GROUP BY asset_id, sensor, island""",
+                                              _SILENCE_CTES))
+def silent_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG8: silence of every expected sensor of every asset, also of those that never reported."""
+    return _silence(spark, sf_dir)
+
+
+@register("silent_ticks", O.with_readings("""
+SELECT tick, asset_id, count(*) AS n_missing, array_to_string(list_sort(list(sensor)), ',') AS missing FROM g GROUP BY tick, asset_id""",
+                                          _SILENCE_CTES))
+def silent_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG8 per tick: the sensors of an asset that are missing, with ticks in which it sent nothing at all."""
+    return TL.missing_per_tick(_silence(spark, sf_dir), ("asset_id", "sensor"), ("asset_id",))

@@ -17,6 +17,9 @@ _RUNTIME_CONF = {
     # A payload may carry the same key twice after renaming; the later entry
     # wins, like assignment into a Python dict.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Spark 4.1 takes a union of equally partitioned children for partitioned like them, also where adaptive
+    # execution has coalesced the children differently; a window above it then sees parts of its groups.
+    "spark.sql.unionOutputPartitioning": "false",
     # Folds are vectorised across the keys of a batch; operators on long texts lower this for themselves.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
