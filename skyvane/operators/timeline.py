@@ -60,7 +60,11 @@ def silences(ticks: DataFrame, expected: DataFrame, first: Column | int, last: C
     seen = seen.filter((F.col("tick") >= first) & (F.col("tick") <= last))
     border = expected.select(*keys).distinct().select(*keys, F.explode(F.array(
         (F.lit(first) if isinstance(first, int) else first) - 1, (F.lit(last) if isinstance(last, int) else last) + 1)).alias("tick"))
-    rows = seen.unionByName(border).withColumn("tick", F.col("tick").cast("long"))
+    return between(seen.unionByName(border).withColumn("tick", F.col("tick").cast("long")), keys, split_above)
+
+
+def between(rows: DataFrame, keys: Sequence[str], split_above: int | None = W.SPLIT_ABOVE) -> DataFrame:
+    """The stretches of ticks missing between each sequence's rows (keys, ``tick``)."""
     rows = W.with_bucket(rows.withColumn("_at", F.timestamp_seconds("tick")), "day", "_at", split_above, keys)
     out = W.bounded(rows, 1, lambda w: {"_before": F.lag("tick", 1).over(w)}, keys, ("tick",))
     return out.filter(F.col("tick") - F.col("_before") > 1).select(

@@ -10,7 +10,7 @@ library's schema.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,8 +71,8 @@ UPDATED = {"accelerometer": ["accel_x", "accel_y", "accel_z"], "flutter": ["flut
 
 
 def messages(spark: SparkSession, sf_dir: str, value_of: Callable[[str, int], Column] | None = None,
-             more: dict[str, Column] | None = None) -> DataFrame:
-    """One wing message (JSON text ``value``) per event. ``value_of`` gives a sensor's payload values by
+             more: dict[str, Column] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """One wing message (JSON text ``value``, and the columns ``keep``) per event. ``value_of`` gives a sensor's payload values by
     position, as expressions over the event's ``ts`` and ``value`` and the columns ``more`` derives from these."""
     e = T.table(T.prepare(spark), sf_dir, "events")
     r = e.select("event_id", "ts", "value", T.epoch_seconds(F.col("ts")).alias("timestamp"), T.phase_of(F.col("ts")).alias("phase"),
@@ -103,7 +103,7 @@ def messages(spark: SparkSession, sf_dir: str, value_of: Callable[[str, int], Co
     gyro = envelope(F.lit("gyro"), F.struct(base.alias("rate_dps")))
     whole = F.when(F.col("event_id") % 50 == 48, gyro).otherwise(text)
     line = F.when(F.col("event_id") % 50 == 49, F.substring(whole, 1, 40)).otherwise(whole)
-    return r.select(line.alias("value"))
+    return r.select(line.alias("value"), *keep)
 
 
 _SENSOR = ("CASE WHEN event_id % 50 = 48 THEN 'gyro' "
@@ -173,13 +173,22 @@ def wing_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.training_row(_tel(spark, sf_dir), FE.WING).withColumn("timestamp", fmt("timestamp"))
 
 
-def _run_feed(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    """The whole job over the messages as a stream; returns the sink folder."""
-    paths = P.stream_paths(spark, kind)
-    messages(spark, sf_dir).write.text(paths["input"])
-    P.run_available(P.start_feed(spark, FS.telemetry_stream(spark, "text", paths["input"]), paths["out"], FE.WING,
-                                 trigger={"availableNow": True}))
-    return paths["out"]
+_RUNS: dict[tuple[str, str], str] = {}
+
+
+def _run_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The sink folder of the whole job over the messages as a stream. The job runs once per application
+    and input; the queries below read its different sinks."""
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _RUNS:
+        T.prepare(spark)
+        paths = P.stream_paths(spark, "wing")
+        messages(spark, sf_dir).write.text(paths["input"])
+        P.run_available(P.start_feed(spark, FS.telemetry_stream(spark, "text", paths["input"]), paths["out"], FE.WING,
+                                     trigger={"availableNow": True}))
+        _RUNS[run] = paths["out"]
+    T.prepare(spark)
+    return _RUNS[run]
 
 
 @register("wing_stream_training_set", f"""WITH {WING_CTE}
@@ -188,7 +197,7 @@ FROM w WHERE time_bucket(INTERVAL '1 second', ts) + INTERVAL 1 SECOND <= (SELECT
 GROUP BY 1, time_bucket(INTERVAL '1 second', ts)""")
 def wing_stream_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK4 on the wing feed: closed one-second windows of the running job."""
-    return spark.read.parquet(f"{_run_feed(spark, sf_dir, 'wing-training')}/training").select(
+    return spark.read.parquet(f"{_run_feed(spark, sf_dir)}/training").select(
         fmt("timestamp").alias("timestamp"), *EXPECTED, "prediction")
 
 
@@ -199,22 +208,22 @@ def _case(values: dict[str, str], default: str) -> str:
 
 
 _SLOTS = [f"f{i}" for i in range(5)]
-_SEQ = "SELECT *, row_number() OVER (PARTITION BY sensor, phase ORDER BY ts, event_id) AS rn FROM (SELECT event_id, ts, " \
-    '"timestamp", sensor, phase, 1 AS kind, ' + _case({s: O.dbl(v) for s, v in THRESHOLDS.items()}, "CAST(1.0 AS DOUBLE)") + " AS threshold, " + ", ".join(
+_SEQ = "SELECT *, row_number() OVER (PARTITION BY sensor, phase ORDER BY ts, kind, event_id) AS rn FROM ({rows})"
+_READING_ROWS = 'SELECT event_id, ts, "timestamp", sensor, phase, 1 AS kind, ' + _case({s: O.dbl(v) for s, v in THRESHOLDS.items()}, "CAST(1.0 AS DOUBLE)") + " AS threshold, " + ", ".join(
         _case({s: f"b * {o[i] + 1} + k" for s, o in MODEL_ORDER.items() if i < len(o)}, "CAST(NULL AS DOUBLE)") + f" AS x_f{i}, "
         + _case({s: O.dbl(MODEL_WEIGHTS[s, o[i]]) for s, o in MODEL_ORDER.items() if i < len(o) and (s, o[i]) in MODEL_WEIGHTS},
-                "CAST(1.0 AS DOUBLE)") + f" AS w_f{i}" for i in range(5)) + " FROM w)"
+                "CAST(1.0 AS DOUBLE)") + f" AS w_f{i}" for i in range(5)) + " FROM w"
 
 
-def _scored_sql(select: str) -> str:
-    return _model_sql(_SEQ, [WING_CTE], _SLOTS, lambda f: f"s.w_{f}", ["sensor", "phase"], {"timestamp": "DOUBLE"}, select)
+def _scored_sql(select: str, rows: str = _READING_ROWS) -> str:
+    return _model_sql(_SEQ.format(rows=rows), [WING_CTE], _SLOTS, lambda f: f"s.w_{f}", ["sensor", "phase"], {"timestamp": "DOUBLE"}, select)
 
 
 @register("wing_scored", _scored_sql(
     'SELECT round("timestamp", 6) AS "timestamp", sensor, phase, round(score, 6) AS score, anomaly AS is_anomaly FROM fold WHERE rn > 0'))
 def wing_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STA2-STA4 + SNK1: scored messages of the running job, read back from the JSON sink."""
-    text = spark.read.text(f"{_run_feed(spark, sf_dir, 'wing-scored')}/scored/scored_messages")
+    text = spark.read.text(f"{_run_feed(spark, sf_dir)}/scored/scored_messages")
     m = text.select(F.from_json("value", "timestamp double, sensor string, value string, prediction double, "
                                 "is_anomaly boolean, phase string").alias("m")).select("m.*")
     return m.select(r6("timestamp").alias("timestamp"), "sensor", "phase", r6("prediction").alias("score"), "is_anomaly")
@@ -226,7 +235,7 @@ def wing_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM fold f JOIN seq s ON s.sensor = f.sensor AND s.phase = f.phase AND s.rn = f.rn WHERE f.rn > 0 AND f.anomaly"""))
 def wing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK2 + PRJ15: alert messages of the running job with the payload they quote."""
-    text = spark.read.text(f"{_run_feed(spark, sf_dir, 'wing-alerts')}/scored/alert_messages")
+    text = spark.read.text(f"{_run_feed(spark, sf_dir)}/scored/alert_messages")
     m = text.select(F.from_json("value", "timestamp double, sensor string, prediction double, value string, message string")
                     .alias("m")).select("m.*").withColumn("p", F.from_json("value", "map<string,string>"))
     first = None
@@ -244,7 +253,7 @@ def wing_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wing_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK3 + PRJ12-PRJ14 + FIL3 + FIL5 + SRC2: model-update messages of the running job, the latest version of
     each window, read back as the update source reads them; the unknown sensor has none."""
-    out = _run_feed(spark, sf_dir, "wing-updates")
+    out = _run_feed(spark, sf_dir)
     text = spark.read.text(f"{out}/updates")
     u = text.select(F.from_json("value", S.UPDATE_MESSAGE).alias("u"), "batch").select("u.*", "batch")
     cols = ["timestamp", "sensor", "phase", "score", "is_anomaly", "features"]

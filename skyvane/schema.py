@@ -44,6 +44,7 @@ UPDATE_MESSAGE = T.StructType([
     T.StructField("phase", T.StringType()),
     T.StructField("features", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("asset_id", T.LongType()),
+    T.StructField("version", T.LongType()),
 ])
 
 PHASES = ("takeoff", "cruise", "landing")

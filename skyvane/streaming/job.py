@@ -42,6 +42,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                    help="wing feed: read model-update messages back, from a folder or, with a kafka source, a topic")
     p.add_argument("--sink", default="text", choices=["text", "kafka"], help="where messages go")
     p.add_argument("--sink-option", action="append", default=[], help="sink option key=value")
+    p.add_argument("--topic", action="append", default=[], metavar="WHAT=NAME",
+                   help="topic of scored, alerts or updates messages with a kafka sink "
+                   "(default: sensor-data, alerts, model-updates)")
     p.add_argument("--exact-order-delay", default=None,
                    help="e.g. '1 minute': score in event order, buffered to the watermark")
     return p.parse_args(argv)
@@ -63,7 +66,9 @@ def main(argv: list[str] | None = None) -> None:
             updates = (update_stream(spark, "kafka", **{**options, "subscribe": args.feedback}) if args.source == "kafka"
                        else update_stream(spark, "text", args.feedback))
             updates = with_effective_ts(learnable(updates), "5 seconds")
+        # a model that is fed back must blend each window once: send windows when they are closed
         queries = start_feed(spark, records, args.out.rstrip("/"), WING, updates=updates, fmt=args.sink,
+                             topics=dict(t.split("=", 1) for t in args.topic), update_mode="append" if args.feedback else "update",
                              **dict(o.split("=", 1) for o in args.sink_option), **common)
     if args.available_now:
         for q in queries:

@@ -1,9 +1,11 @@
 """Structured Streaming jobs (STR1-STR12, SNK1-SNK6).
 
-One decode plan serves every query. Each query has its own checkpoint under
-the shared checkpoint folder; sinks written from ``foreachBatch`` are keyed
-by the batch id, so a replayed batch overwrites instead of duplicating.
-Nothing is collected to the driver.
+Messages are read and decoded once, into a table whose file log commits each
+micro-batch as a whole (:func:`decoded_log`); every other query reads that table, so none ever
+sees half a batch and each can fail and be restarted alone. Each query has its own
+checkpoint under the shared checkpoint folder; files written from ``foreachBatch``
+are keyed by the batch id, so a replayed batch overwrites instead of duplicating (a replay to
+Kafka sends its messages again). Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -89,16 +91,21 @@ def write_messages(df: DataFrame, target: str, fmt: str = "text", **options: str
         out.write.mode("overwrite").text(target)
 
 
+#: Topics of the original bus; other names can be given to :func:`start_feed`.
+TOPICS = {"scored": "sensor-data", "alerts": "alerts", "updates": "model-updates"}
+
+
 def update_batch_writer(target: str, allowed: DataFrame, sensors: DataFrame,
                         features: Sequence[str] = S.EVENT_FEATURES,
-                        fmt: str = "text", **options: str) -> Callable[[DataFrame, int], None]:
+                        fmt: str = "text", topic: str = TOPICS["updates"], **options: str) -> Callable[[DataFrame, int], None]:
     """SNK3 (+STR6, PRJ12-14, FIL3, FIL5): per micro-batch, build update
     messages from all window rows of sensors that have a model and write them
-    as JSON."""
+    as JSON, to a folder below ``target`` or to ``topic``. In update mode a window is sent
+    again whenever it changes; ``version`` (the batch) tells the latest."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         msgs = L.update_messages(L.known_sensors(batch, sensors), allowed, features)
-        dest = f"{target}/batch={epoch_id}" if fmt != "kafka" else target
-        write_messages(msgs, dest, fmt, **options)
+        msgs = msgs.withColumn("version", F.lit(epoch_id).cast("long"))
+        write_messages(msgs, topic if fmt == "kafka" else f"{target}/batch={epoch_id}", fmt, **options)
     return run
 
 
@@ -115,11 +122,14 @@ def alert_rows(scored: DataFrame) -> DataFrame:
         F.concat(F.lit("Anomaly detected in "), F.col("sensor")).alias("message"))
 
 
-def fan_out_writer(base: str, fmt: str = "text", **options: str) -> Callable[[DataFrame, int], None]:
+def fan_out_writer(base: str, fmt: str = "text", topics: dict[str, str] | None = None,
+                   **options: str) -> Callable[[DataFrame, int], None]:
     """SNK1 + SNK2 in one ``foreachBatch``: the scored batch is written once;
     the alerts are read back from that written table (durable, so the model
     never runs twice and a lost executor only re-reads files). Rows that carry
-    their payload also go out as JSON messages (a bus with ``fmt="kafka"``)."""
+    their payload also go out as JSON messages (to the topics with ``fmt="kafka"``)."""
+    topics = {**TOPICS, **(topics or {})}
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         scored_path = f"{base}/scored/batch={epoch_id}"
         batch.write.mode("overwrite").parquet(scored_path)
@@ -130,8 +140,9 @@ def fan_out_writer(base: str, fmt: str = "text", **options: str) -> Callable[[Da
         alerts.write.mode("overwrite").parquet(f"{base}/alerts/batch={epoch_id}")
         if "payload" in scored.columns:
             readings = scored.filter(F.col("kind") == M.READING)
-            for topic, rows in (("scored_messages", scored_messages(readings)), ("alert_messages", alert_rows(readings))):
-                write_messages(rows, topic if fmt == "kafka" else f"{base}/{topic}/batch={epoch_id}", fmt, **options)
+            for what, folder, rows in (("scored", "scored_messages", scored_messages(readings)),
+                                       ("alerts", "alert_messages", alert_rows(readings))):
+                write_messages(rows, topics[what] if fmt == "kafka" else f"{base}/{folder}/batch={epoch_id}", fmt, **options)
     return run
 
 
@@ -222,25 +233,53 @@ def scored_feed(tel: DataFrame, feed: FE.Feed, updates: DataFrame | None = None,
     return MS.score_stream_sharded(rows, feed.slots, shards=shards)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create ``path`` on whatever store it names (a stream cannot read a folder that is not there yet)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+
+
+def decoded_log(decoded_rows: DataFrame, base: str, trigger: dict | None) -> tuple[StreamingQuery, DataFrame, DataFrame]:
+    """STR9: read and decode the source once. The file sink's log commits a micro-batch's files together, and its
+    readers go by that log: a batch that failed half-way is not seen, and its replay is seen once.
+
+    Returns the started query and, as streams over its table, (telemetry, dead letters). With an ``availableNow``
+    trigger the decode is awaited first, so the readers find everything.
+    """
+    spark = decoded_rows.sparkSession
+    path = f"{base}/decoded"
+    make_folder(spark, path)
+    rows = decoded_rows.withColumn("dead", ~D.valid_envelope(decoded_rows))
+    query = start_parquet(rows, path, f"{base}/ckpt/decode", "decode", "append", trigger, ("dead",))
+    if trigger and trigger.get("availableNow"):
+        run_available([query])
+    table = spark.readStream.schema(rows.schema).parquet(path)
+    return query, table.filter(~F.col("dead")).drop("json_str", "dead"), table.filter("dead").select("json_str")
+
+
 def start_feed(spark: SparkSession, records: DataFrame, base: str, feed: FE.Feed,
                trigger: dict | None = None, monitoring: str = "5 seconds", training: str = "1 second",
                watermark: str = "2 seconds", updates: DataFrame | None = None, model_shards: int = 8,
-               order_delay: str | None = None, fmt: str = "text", **options: str) -> list[StreamingQuery]:
-    """The whole job on a feed's messages: monitoring rows and model updates, the training set, scored
-    and alert messages, dead letters. ``updates``: the stream of model-update messages to feed back
-    (:func:`with_effective_ts` of :func:`skyvane.sources.files.update_stream`)."""
-    tel, dead = FE.telemetry(records, feed)
+               order_delay: str | None = None, fmt: str = "text", topics: dict[str, str] | None = None,
+               update_mode: str = "update", **options: str) -> list[StreamingQuery]:
+    """The whole job on a feed's messages: one decode (STR9), then monitoring rows and model updates, the training set,
+    scored and alert messages, dead letters. ``updates``: the stream of model-update messages to feed back
+    (:func:`with_effective_ts` of :func:`skyvane.sources.files.update_stream`). ``update_mode="append"``
+    sends each window once, when it is closed, so a model fed by them blends it once."""
+    decode, tel, dead = decoded_log(FE.decode(records, feed), base, trigger)
+    topics = {**TOPICS, **(topics or {})}
     allowed = spark.createDataFrame([(s, f) for s, fs in sorted(feed.update_features.items()) for f in fs],
                                     "sensor string, feature string")
     sensors = spark.createDataFrame([(s,) for s in sorted(feed.thresholds)], "sensor string")
     mon = monitoring_rows(FE.monitoring_input(tel, feed), monitoring, watermark, features=feed.monitoring)
     train = FE.training_row(tel.withWatermark("event_time", watermark), feed, training).withColumn("date", F.to_date("timestamp"))
     return [
-        _writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger).foreachBatch(
-            update_batch_writer(f"{base}/updates", allowed, sensors, feed.monitoring, fmt, **options)).start(),
+        decode,
+        _writer(mon, "model_updates", f"{base}/ckpt/updates", update_mode, trigger).foreachBatch(
+            update_batch_writer(f"{base}/updates", allowed, sensors, feed.monitoring, fmt, topics["updates"], **options)).start(),
         start_parquet(train, f"{base}/training", f"{base}/ckpt/training", "training", "append", trigger, ("date",)),
         _writer(scored_feed(tel, feed, updates, model_shards, order_delay), "scoring", f"{base}/ckpt/scoring", "append", trigger)
-        .foreachBatch(fan_out_writer(f"{base}/scored", fmt, **options)).start(),
+        .foreachBatch(fan_out_writer(f"{base}/scored", fmt, topics, **options)).start(),
         start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters", "append", trigger),
     ]
 
@@ -250,23 +289,94 @@ def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
                    training: str = "1 second", watermark: str = "2 seconds",
                    model_shards: int = 8,
                    order_delay: str | None = None) -> list[StreamingQuery]:
-    """The whole job on the derived feed's messages (STR9; :func:`start_feed` serves any
-    other feed): monitoring rows (update mode -> model-update messages), the training set
+    """The whole job on the derived feed's messages (:func:`start_feed` serves any other feed): one decode (STR9),
+    monitoring rows (update mode -> model-update messages), the training set
     (append -> parquet by date), scored readings with alerts, and dead letters.
     Every query has its own checkpoint; returns the started queries (wait with
     ``spark.streams.awaitAnyTermination()`` or :func:`run_available`)."""
-    tel, dead = decoded(records)
-    qs = []
+    decode, tel, dead = decoded_log(D.decode_stream(records), base, trigger)
     mon = monitoring_rows(tel, monitoring, watermark)
-    qs.append(_writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger)
-              .foreachBatch(update_batch_writer(f"{base}/updates", S.update_feature_table(spark),
-                                                S.sensor_table(spark))).start())
-    qs.append(start_parquet(training_rows(tel, training, watermark), f"{base}/training",
-                            f"{base}/ckpt/training", "training", "append", trigger, ("date",)))
-    qs.append(_writer(scored_stream(tel, shards=model_shards, order_delay=order_delay),
-                      "scoring", f"{base}/ckpt/scoring",
-                      "append", trigger)
-              .foreachBatch(fan_out_writer(f"{base}/scored")).start())
-    qs.append(start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters",
-                            "append", trigger))
-    return qs
+    return [
+        decode,
+        _writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger)
+        .foreachBatch(update_batch_writer(f"{base}/updates", S.update_feature_table(spark), S.sensor_table(spark))).start(),
+        start_parquet(training_rows(tel, training, watermark), f"{base}/training",
+                      f"{base}/ckpt/training", "training", "append", trigger, ("date",)),
+        _writer(scored_stream(tel, shards=model_shards, order_delay=order_delay), "scoring", f"{base}/ckpt/scoring", "append", trigger)
+        .foreachBatch(fan_out_writer(f"{base}/scored")).start(),
+        start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters", "append", trigger),
+    ]
+
+
+# --------------------------------------------------------------------------
+# Side outputs that need one number or one row per sensor between batches. They
+# are kept as a table with one version per batch: a replayed batch reads the version before it
+# and writes its own again.
+# --------------------------------------------------------------------------
+def _version(spark: SparkSession, path: str, epoch_id: int, schema: str) -> DataFrame:
+    """The state before batch ``epoch_id``: empty before the first one."""
+    if epoch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch={epoch_id - 1}")
+
+
+def late_rows_writer(base: str, duration: str, watermark: str, time_col: str = "event_time") -> Callable[[DataFrame, int], None]:
+    """STR10: keep the rows that the windows of ``duration`` drop as late.
+
+    The rule is Spark's own: a row is late if its window ends at or before the watermark, which is the latest time
+    of all earlier batches (in whole milliseconds) less ``watermark``. Late rows go to ``late``;
+    the latest time is one row per batch in ``clock``.
+    """
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        clock = f"{base}/clock"
+        before = _version(spark, clock, epoch_id, "latest_ms long").agg(F.max("latest_ms").alias("latest_ms"))
+        seen = batch.agg(F.max(F.unix_millis(time_col)).alias("latest_ms"))
+        before.unionByName(seen).agg(F.max("latest_ms").alias("latest_ms")).write.mode("overwrite").parquet(f"{clock}/batch={epoch_id}")
+        passed = F.timestamp_millis("latest_ms") - F.expr(f"INTERVAL {watermark}")
+        ends = batch.withColumn("_end", F.window(time_col, duration)["end"])
+        late = ends.join(F.broadcast(before), F.col("_end") <= passed)      # one row
+        late.drop("latest_ms", "_end").write.mode("overwrite").parquet(f"{base}/late/batch={epoch_id}")
+    return run
+
+
+def silence_writer(base: str, expected: DataFrame, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """AGG8 on a stream: input are the closed ticks of :func:`closed_ticks`. ``silent/batch=N`` gets
+    the stretches without a tick that batch N's ticks end, ``open/batch=N`` those that still last at its latest tick;
+    expected sequences that never reported are open from the first tick on. State: one row per sequence, its
+    last tick, and the first and last tick of the feed."""
+    from ..operators import timeline as TL
+    keys = list(keys)
+    types = {f.name: f.dataType.simpleString() for f in expected.schema.fields}
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", tick long, first_tick long, last_tick long"
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        ticks_path = f"{base}/ticks/batch={epoch_id}"
+        batch.select(*keys, F.col("tick").cast("long").alias("tick")).distinct().write.mode("overwrite").parquet(ticks_path)
+        new = spark.read.parquet(ticks_path)
+        old = _version(spark, f"{base}/state", epoch_id, schema)
+        span = old.agg(F.min("first_tick").alias("a"), F.max("last_tick").alias("b")).unionByName(
+            new.agg(F.min("tick").alias("a"), F.max("tick").alias("b"))).agg(F.min("a"), F.max("b")).first()      # two numbers
+        first, last = (0, -1) if span[0] is None else (span[0], span[1])
+        wanted = expected.select(*keys).distinct()
+        known = old.select(*keys, "tick").filter("tick is not null").join(wanted, keys, "left_semi")
+        new = new.join(wanted, keys, "left_semi")
+        before = wanted.join(known, keys, "left").select(*keys, F.coalesce("tick", F.lit(first) - 1).cast("long").alias("tick"))
+        TL.between(before.unionByName(new), keys).write.mode("overwrite").parquet(f"{base}/silent/batch={epoch_id}")
+        reached = known.unionByName(new).groupBy(*keys).agg(F.max("tick").alias("tick"))
+        state = wanted.join(reached, keys, "left").select(
+            *keys, "tick", F.lit(first if last >= first else None).cast("long").alias("first_tick"),
+            F.lit(last if last >= first else None).cast("long").alias("last_tick"))
+        state.write.mode("overwrite").parquet(f"{base}/state/batch={epoch_id}")
+        state = spark.read.parquet(f"{base}/state/batch={epoch_id}")
+        at = F.coalesce(F.col("tick"), F.col("first_tick") - 1)
+        state.filter(at < F.col("last_tick")).select(
+            *keys, (at + 1).alias("from_tick"), F.col("last_tick").alias("to_tick"), (F.col("last_tick") - at).alias("n_missing")).write.mode("overwrite").parquet(f"{base}/open/batch={epoch_id}")
+    return run
+
+
+def closed_ticks(tel: DataFrame, duration: str, seconds: int, watermark: str, keys: Sequence[str]) -> DataFrame:
+    """keys and ``tick`` of every tick that the watermark has passed and in which the sequence reported."""
+    w = tel.withWatermark("event_time", watermark).groupBy(F.window("event_time", duration).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    return w.select(*keys, F.floor(F.unix_seconds("w.start") / seconds).alias("tick"), "n")

@@ -133,7 +133,7 @@ def test_full_pipeline_runs_all_queries(spark):
     _write_lines(f"{base}/in", "zz-bad.txt", ["{not json"], time.time())
     records = FS.telemetry_stream(spark, "text", f"{base}/in")
     qs = P.start_pipeline(spark, records, f"{base}/out", trigger={"availableNow": True})
-    assert len(qs) == 4
+    assert len(qs) == 5
     P.run_available(qs)
     assert spark.read.text(f"{base}/out/updates").count() > 0
     assert spark.read.parquet(f"{base}/out/training").select("date").distinct().count() > 1
