@@ -11,11 +11,13 @@ are ordered by URL path; a page's partner is the neighbour with the longer commo
 path prefix. The two pages' lines are aligned by their longest common subsequence, and
 what they share is template and deleted.
 
-Alignment alone can't tell a template from two pages that carry the same article
-(copies are common), so a page of which too much is shared counts as a copy: shared lines of a
-declared article that holds most of the text go only while they are at most half of it, and a page
-without one whose every body line is shared keeps them. Text outside a declared article stays if the
-partner lacks it; a page without a partner has no evidence but its tags and keeps the article alone.
+A neighbour is no evidence against a line of a declared article: two articles may share a sentence. There the
+alignment only names candidates, and one goes if the host shows it to be template: it stands in the same
+half of the article on most of the host's pages, three at least. Spark counts that per (host, line),
+and the line then goes from every page of the host that has it, whatever its neighbours are. A page that would lose more
+than half of its article this way is one of many copies and keeps it. Outside an
+article what the neighbours share goes, unless that is every line; text outside a declared article stays
+if the partner lacks it, and a page without a partner has no evidence but its tags and keeps the article alone.
 Furniture never counts as text: its slots are the template even where their words rotate from page to page.
 
 Scale: a host may hold a third of all pages, so hosts are not groups. Line hashes
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyvane.llm._tables import begin, read
-from skyvane.session import scratch_path
+from skyvane.session import materialize, scratch_path
 
 BODY, ARTICLE, CHROME, NAMED = 0, 1, 2, 3
 BROADCAST_ROWS = 100_000
@@ -267,19 +269,25 @@ def lcs(a: list, b: list) -> list[int]:
     return sorted(out)
 
 
-def kept_lines(kinds: np.ndarray, sizes: np.ndarray, shared: list[int] | None) -> np.ndarray:
-    """Which lines are the main text, given the shared ones (None: no partner)."""
+def kept_lines(kinds: np.ndarray, sizes: np.ndarray, shared: list[int] | None, template: np.ndarray | None = None) -> np.ndarray:
+    """Which lines are the main text, given the lines shared with the partner (None: no partner) and
+    the article lines that the host shows to be template."""
     text = kinds != CHROME
     article = kinds == ARTICLE
-    declared = article.any() and 2 * sizes[article].sum() >= sizes[text].sum()
     if shared is None:
-        return article if declared else text
-    left = text.copy()
-    left[shared] = False
-    if declared and 2 * sizes[left & article].sum() < sizes[article].sum():        # a copy of the partner's article
-        left |= article
-    left &= text
-    return left if left.any() else text
+        declared = article.any() and 2 * sizes[article].sum() >= sizes[text].sum()
+        left = article if declared else text
+    else:
+        left = text.copy()
+        left[shared] = False
+        left = left | article
+        left = left if left.any() else text
+    if template is not None and len(template):
+        rest = left.copy()
+        rest[template] = False
+        if 2 * sizes[rest & article].sum() >= sizes[article].sum():         # else one of many copies
+            left = rest
+    return left
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -308,8 +316,9 @@ def _places(kept: np.ndarray) -> bytes:
     return np.flatnonzero(kept).astype("<i4").tobytes()
 
 
-def _differenced(page: tuple, before: tuple | None, after: tuple | None) -> bytes | None:
-    """The places of the lines that stay, as packed 32-bit numbers; None if the partner changes nothing."""
+def _differenced(page: tuple, before: tuple | None, after: tuple | None) -> tuple[bytes | None, bytes | None]:
+    """The places of the lines that stay, as packed 32-bit numbers (None if the partner changes nothing), and the keys of
+    the article lines that the partner has too."""
     _, host, path, kinds, sizes, keys = page
 
     def common(other: tuple | None) -> int:
@@ -319,17 +328,18 @@ def _differenced(page: tuple, before: tuple | None, after: tuple | None) -> byte
         return next((i for i in range(n) if path[i] != other[2][i]), n)
 
     x, y = common(before), common(after)
-    k, s = np.frombuffer(kinds, np.uint8), np.frombuffer(sizes, "<i4")
-    shared = None
-    if max(x, y) >= 0:
-        other = before if x >= y else after
-        shared = lcs(np.frombuffer(keys, "<i8").tolist(), np.frombuffer(other[5], "<i8").tolist())
+    if max(x, y) < 0:
+        return None, None
+    k, s, own = np.frombuffer(kinds, np.uint8), np.frombuffer(sizes, "<i4"), np.frombuffer(keys, "<i8")
+    other = before if x >= y else after
+    shared = np.array(lcs(own.tolist(), np.frombuffer(other[5], "<i8").tolist()), np.int64)
     kept = _places(kept_lines(k, s, shared))
-    return None if kept == _places(kept_lines(k, s, None)) else kept
+    both = np.unique(own[shared[k[shared] == ARTICLE]])
+    return None if kept == _places(kept_lines(k, s, None)) else kept, both.tobytes() if len(both) else None
 
 
 _ROW = ["rid", "host", "path", "kinds", "sizes", "keys"]
-_DECIDED = "rid long, kept binary, first boolean, host string, path string, kinds binary, sizes binary, keys binary"
+_DECIDED = "rid long, kept binary, both binary, first boolean, host string, path string, kinds binary, sizes binary, keys binary"
 
 
 def _rows(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -339,7 +349,7 @@ def _rows(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def _emit(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows))
-    kinds = [pa.int64(), pa.binary(), pa.bool_(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                       names=[c.split()[0] for c in _DECIDED.split(", ")])
 
@@ -356,11 +366,11 @@ def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nxt = next(rows, None) if after is not None else None
         outer = number == 0 or after is None
         inner = number == 1 or after is not None and nxt is None
-        kept = None if outer else _differenced(page, before, after)
+        kept, both = (None, None) if outer else _differenced(page, before, after)
         if outer or inner:
-            out.append((page[0], kept, outer, *page[1:]))
-        elif kept is not None:
-            out.append((page[0], kept, None, None, None, None, None, None))
+            out.append((page[0], kept, both, outer, *page[1:]))
+        elif kept is not None or both is not None:
+            out.append((page[0], kept, both, None, page[1], None, None, None, None))
         if len(out) >= 512:
             yield _emit(out)
             out = []
@@ -377,12 +387,46 @@ def _finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = []
     for i, row in enumerate(seq):
         if row[6]:
-            kept = _differenced(row[:6], seq[i - 1][:6] if i else None, seq[i + 1][:6] if i + 1 < len(seq) else None)
-            if kept is not None:
-                out.append((row[0], kept))
+            kept, both = _differenced(row[:6], seq[i - 1][:6] if i else None, seq[i + 1][:6] if i + 1 < len(seq) else None)
+            if kept is not None or both is not None:
+                out.append((row[0], kept, both, row[1]))
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int64()), pa.array([k for _, k in out], pa.binary())],
-                                         names=["rid", "kept"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
+            zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.string()))], names=["rid", "kept", "both", "host"])
+
+
+_LINE = "rid long, host string, key long, tail boolean, place int"
+
+
+def _article_lines(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key, half of the article and place of every article line of (rid, host, kinds, keys)."""
+    for b in it:
+        rows, at, tail, keys = [], [], [], []
+        for i, (kinds, own) in enumerate(zip(b.column("kinds").to_pylist(), b.column("keys").to_pylist())):
+            places = np.flatnonzero(np.frombuffer(kinds, np.uint8) == ARTICLE)
+            rows.append(np.full(len(places), i))
+            at.append(places)
+            tail.append(2 * np.arange(len(places)) >= len(places))
+            keys.append(np.frombuffer(own, "<i8")[places])
+        if rows:
+            of = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rid").take(of), b.column("host").take(of), pa.array(np.concatenate(keys)), pa.array(np.concatenate(tail)),
+                 pa.array(np.concatenate(at), pa.int32())], names=[c.split()[0] for c in _LINE.split(", ")])
+
+
+def template_lines(table: DataFrame, decided: DataFrame) -> DataFrame:
+    """(rid, template): the places of each page's article lines that the host shows to be template. ``table``:
+    rid, host, kinds, keys of all pages; ``decided``: host and ``both``, the candidates' keys."""
+    split = F.arrow_udf(lambda col: pa.array([np.frombuffer(x, "<i8") for x in col.to_pylist()], pa.list_(pa.int64())), "array<long>")
+    candidates = decided.filter("both is not null").select("host", F.explode(split("both")).alias("key")).distinct()
+    lines = materialize(table.select("rid", "host", "kinds", "keys").mapInArrow(_article_lines, _LINE).join(candidates, ["host", "key"]),
+                        "shared-lines")
+    hosts = table.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    # a page counts once for a line and half
+    held = lines.groupBy("host", "key", "tail", "rid").agg(F.lit(1).alias("one")).groupBy("host", "key", "tail").agg(F.count(F.lit(1)).alias("n"))
+    shown = held.filter("n >= 3").join(hosts, "host").filter(2 * F.col("n") > F.col("pages")).select("host", "key").distinct()
+    return lines.join(shown, ["host", "key"], "left_semi").groupBy("rid").agg(F.collect_set("place").alias("template"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -400,23 +444,35 @@ def extract(pages: DataFrame) -> DataFrame:
      .mapInArrow(_compare, _DECIDED).write.option("compression", "zstd").parquet(compared))
     decided = spark.read.parquet(compared)
     ends = decided.filter("first is not null").select(*_ROW, "first")                      # four rows a range at most
-    finished = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(_finish, "rid long, kept binary")
-    changed = decided.filter("kept is not null").select("rid", "kept").unionByName(finished)
-
-    def choose(lines: pa.Array, kinds: pa.Array, sizes: pa.Array, places: pa.Array) -> pa.Array:
+    finished = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(_finish, "rid long, kept binary, both binary, host string")
+    found = materialize(decided.select("rid", "kept", "both", "host").filter("kept is not null or both is not null")
+                        .unionByName(finished), "page-changes")
+    changed = found.filter("kept is not null").select("rid", "kept")
+    if found.filter("both is not null").limit(1).count():
+        changed = materialize(changed.join(template_lines(table, found), "rid", "full"), "page-lines-left")
+    else:
+        changed = changed.withColumn("template", F.lit(None).cast("array<int>"))
+
+    def choose(lines: pa.Array, kinds: pa.Array, sizes: pa.Array, places: pa.Array, template: pa.Array) -> pa.Array:
         out = []
-        for text, k, s, p in zip(*[x.to_pylist() for x in (lines, kinds, sizes, places)]):
+        for text, k, s, p, t in zip(*[x.to_pylist() for x in (lines, kinds, sizes, places, template)]):
             split = text.split("\n") if text else []
-            stay = np.frombuffer(p, "<i4") if p is not None else np.flatnonzero(
-                kept_lines(np.frombuffer(k, np.uint8), np.frombuffer(s, "<i4"), None))
-            out.append("\n".join([split[i] for i in stay.tolist()]))
+            k, s = np.frombuffer(k, np.uint8), np.frombuffer(s, "<i4")
+            t = None if t is None else np.array(t, np.int64)
+            if p is None:
+                stay = kept_lines(k, s, None, t)
+            else:
+                gone = np.ones(len(k), bool)
+                gone[np.frombuffer(p, "<i4")] = False
+                stay = kept_lines(k, s, np.flatnonzero(gone & (k != CHROME)), t)
+            out.append("\n".join([split[i] for i in np.flatnonzero(stay).tolist()]))
         return pa.array(out, pa.string())
 
     # Few pages change on sites that declare their article; then the texts need not be moved. The size is counted.
     if changed.count() <= BROADCAST_ROWS:
         changed = F.broadcast(changed)
     joined = table.select("rid", "page_id", "url", "lines", "kinds", "sizes").join(changed, "rid", "left")
-    return joined.select("page_id", "url", F.arrow_udf(choose, "string")("lines", "kinds", "sizes", "kept").alias("text")
+    return joined.select("page_id", "url", F.arrow_udf(choose, "string")("lines", "kinds", "sizes", "kept", "template").alias("text")
                          ).withColumn("n_chars", F.char_length("text").cast("long"))
 
 

@@ -257,3 +257,74 @@ def test_exact_stage_repeated_rows(spark):
     rows = [(1, "a b"), (1, "a b"), (None, "c"), (None, "c"), (2, "a  b"), (1, "other")]
     got = corpus_pipeline.exact_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "c"), (1, "a b"), (1, "other")]
+
+
+def brute_extract(rows):
+    """Texts by the stated rule, over all pages at once."""
+    K, pages = html_extract, []
+    for i, (page_id, url, source) in enumerate(rows):
+        lines, kinds = K.page_lines(source)
+        pages.append((*K.split_url(url), i, page_id, lines, list(kinds)))
+    pages.sort(key=lambda p: p[:3])
+    shared, cand = {}, set()
+    for at, p in enumerate(pages):
+        sides = [pages[q] for q in (at - 1, at + 1) if 0 <= q < len(pages) and pages[q][0] == p[0]]
+        if not sides:
+            continue
+        common = lambda o: next((i for i, (x, y) in enumerate(zip(p[1], o[1])) if x != y), min(len(p[1]), len(o[1])))
+        other = max(sides, key=common) if len(sides) < 2 or common(sides[0]) != common(sides[1]) else sides[0]
+        same = K.lcs(p[4], other[4])
+        shared[p[2]] = [i for i in same if p[5][i] not in (K.ARTICLE, K.CHROME)]
+        cand |= {(p[0], p[4][i]) for i in same if p[5][i] == K.ARTICLE}
+    seen = {}
+    for host, _, i, _, lines, kinds in pages:
+        art = [x for x, k in zip(lines, kinds) if k == K.ARTICLE]
+        for n, x in enumerate(art):
+            seen.setdefault((host, x, 2 * n >= len(art)), set()).add(i)
+    size = {}
+    for p in pages:
+        size[p[0]] = size.get(p[0], 0) + 1
+    template = {(h, x) for (h, x, _), who in seen.items() if (h, x) in cand and len(who) >= 3 and 2 * len(who) > size[h]}
+    out = []
+    for host, _, i, page_id, lines, kinds in pages:
+        text = [n for n, k in enumerate(kinds) if k != K.CHROME]
+        art = [n for n, k in enumerate(kinds) if k == K.ARTICLE]
+        length = lambda ns: sum(len(lines[n]) for n in ns)
+        if i in shared:
+            left = [n for n in text if n not in shared[i]] or text
+        else:
+            left = art if art and 2 * length(art) >= length(text) else text
+        rest = [n for n in left if not (kinds[n] == K.ARTICLE and (host, lines[n]) in template)]
+        if 2 * length([n for n in rest if n in art]) >= length(art):
+            left = rest
+        out.append((page_id, "\n".join(lines[n] for n in left)))
+    return sorted(out)
+
+
+def test_extract_equals_the_rule(spark):
+    """Random sites with template lines, copies, shared sentences and pages without an article."""
+    import random
+    rnd = random.Random(12)
+    word = lambda: rnd.choice(["sun", "rain", "wind", "snow", "fog"])
+    rows = []
+    for h in range(12):
+        top, tail = f"Join us on h{h}", f"Share h{h}"
+        for k in range(rnd.choice([1, 2, 3, 9, 25])):
+            story = [f"Story {h} {k} {' '.join(word() for _ in range(6))}."] + [" ".join(word() for _ in range(2)) for _ in range(rnd.randint(0, 4))]
+            if rnd.random() < 0.2:
+                story = ["The copied story of the whole host, told again and again."]
+            body = ([top] if rnd.random() < 0.8 else []) + story + ([tail] if rnd.random() < 0.4 else [])
+            tag = rnd.choice(["article", "article", "main", "div"])
+            rows.append((len(rows), f"http://h{h}.org/{rnd.choice('ab')}/{k}", "<nav>Menu</nav><p>Banner</p><%s>%s</%s><footer>x</footer>" % (
+                tag, "".join(f"<p>{x}</p>" for x in body), tag)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    assert sorted((r.page_id, r.text) for r in html_extract.extract(df).collect()) == brute_extract(rows)
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_article_lines_of_the_tables_are_treated_alike(spark, sf):
+    """A line stays in the articles of a host or goes from all of them (copies aside)."""
+    pages = spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    got = sorted((r.page_id, r.text) for r in html_extract.extract(pages).collect())
+    assert got == brute_extract(rows)
