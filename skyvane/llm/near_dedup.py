@@ -19,7 +19,8 @@ No bucket is expanded into all its pairs:
 
 So each pair of one bucket is either compared or already in one component: components are
 those of all links between candidates. A pair at similarity 0.75 shares no bucket with
-probability (1 - 0.75^3)^32 = 2e-8; the estimate's cut-off lies 4 standard deviations below 0.75.
+probability (1 - 0.75^3)^32 = 2e-8; the estimate's cut-off is the one that loses such a pair
+with at most the same probability (:func:`cut_off`).
 
 Defined cases: null and word-free texts have the empty set and link with nothing; a text of fewer
 than five words is one shingle; equal ids stay separate rows (``kept`` compares the id with the
@@ -29,11 +30,12 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyvane.llm._tables import begin, numbered, read, small
@@ -42,8 +44,22 @@ from skyvane.session import materialize
 
 SHINGLE = 5
 HASHES, BANDS, ROWS, BITS = 128, 32, 3, 4
-PASS = 0.58               # estimated similarity that sends a pair to confirmation
 LINK_NUM, LINK_DEN = 75, 100
+
+
+def cut_off(similarity: float, loss: float) -> float:
+    """The estimated similarity that a pair of this similarity misses with probability ``loss`` at most: its equal
+    minima are binomial, by similarity and by chance agreement of the kept bits."""
+    chance = 2.0 ** -BITS
+    p = similarity + (1 - similarity) * chance
+    below, equal = 0.0, 0
+    while below + (term := math.comb(HASHES, equal) * p ** equal * (1 - p) ** (HASHES - equal)) <= loss:
+        below, equal = below + term, equal + 1
+    return (equal / HASHES - chance) / (1 - chance)
+
+
+#: Estimated similarity that sends a pair to confirmation.
+PASS = cut_off(LINK_NUM / LINK_DEN, (1 - (LINK_NUM / LINK_DEN) ** ROWS) ** BANDS) - 1e-9
 STARS = 3
 BLOCK = 2048
 MEMBERS = 256
@@ -105,11 +121,16 @@ def _sig_rows(col: pa.Array) -> np.ndarray:
     return np.frombuffer(data.tobytes(), U64).reshape(-1, HASHES * BITS // 64)
 
 
+def text_print(text: str) -> Column:
+    """A hash of the text by which, with its id, a row is found again without being shingled."""
+    return F.xxhash64(F.col(text).cast("string")).alias("print")
+
+
 def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n, h1, h2, bands, sig): one row per document."""
+    """(doc_id, print, n, h1, h2, bands, sig): one row per document; ``print`` is a hash of its text."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            data, off = buffers(b.column(1))
+            data, off = buffers(b.column(2))
             n, h1, h2, bands, sigs = [], [], [], [], []
             for lo, hi in doc_groups(off):
                 for s in shingle_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]):
@@ -121,12 +142,12 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
                     bands.append(band_keys(m).tobytes() if len(s) else b"")
                     sigs.append(pack_bits(m) if len(s) else b"")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                  pa.array(bands, pa.binary()), pa.array(sigs, pa.binary())],
-                names=["doc_id", "n", "h1", "h2", "bands", "sig"])
+                names=["doc_id", "print", "n", "h1", "h2", "bands", "sig"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, h1 long, h2 long, bands binary, sig binary")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_print(text), F.col(text).cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, print long, n long, h1 long, h2 long, bands binary, sig binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -158,23 +179,18 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def linked(x: pa.Array, y: pa.Array) -> pa.Array:
         out = []
         for p, q in zip(x, y):
-            p, q = (np.frombuffer(v.as_buffer(), np.uint8).reshape(-1, 6) for v in (p, q))
-            both = len(np.intersect1d(_six(p), _six(q), assume_unique=True))
+            p, q = (np.frombuffer(v.as_buffer(), "<u8") for v in (p, q))
+            both = len(np.intersect1d(p, q, assume_unique=True))
             out.append(LINK_DEN * both >= LINK_NUM * (len(p) + len(q) - both))
         return pa.array(out, pa.bool_())
 
     return materialize(left.join(right, "b").filter(F.arrow_udf(linked, "boolean")("sa", "sb")).select("a", "b"), "confirmed")
 
 
-def _six(rows: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(rows), 8), np.uint8)
-    wide[:, :6] = rows
-    return wide.view("<u8").ravel()
-
-
 def _full_sets(docs: DataFrame, need: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(node, shingles): the full set (48-bit hashes, sorted) of each needed class, from its keeper's whole text. Rows
-    of the same id with another set are told apart by the set's key."""
+    """(node, shingles): the full set (sorted hashes) of each needed class, from its keeper's whole text. Rows of the
+    same id, null ids among them, are told apart by the text's hash, so a row meets at most its own class
+    (and, should two hashes be equal, is told apart by the set's key)."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             data, off = buffers(b.column(0))
@@ -183,13 +199,13 @@ def _full_sets(docs: DataFrame, need: DataFrame, text: str, doc_id: str) -> Data
             for lo, hi in doc_groups(off):
                 for i, s in enumerate(shingle_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]), lo):
                     if set_key(s) == (h1[i], h2[i]):
-                        out.append((node[i], (s & U64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
+                        out.append((node[i], s.astype("<u8").tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())],
                                                  names=["node", "shingles"])
 
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("first_id"), F.col(text).cast("string").alias("text"))
-    found = rows.join(small(need), "first_id").select("text", "h1", "h2", "node").mapInArrow(run, "node long, shingles binary")
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("first_id"), text_print(text), F.col(text).cast("string").alias("text"))
+    found = rows.join(small(need), ["first_id", "print"]).select("text", "h1", "h2", "node").mapInArrow(run, "node long, shingles binary")
     return materialize(found, "shingle-sets").dropDuplicates(["node"])
 
 
@@ -271,7 +287,7 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, part, asking, node, comp, raw in zip(*cols, b.column("shingles")):
             if (place, part) != now:
                 now, nodes, comps, sets, block = (place, part), [], [], [], None
-            s = _six(np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 6))
+            s = np.frombuffer(raw.as_buffer(), "<u8")
             if not asking:
                 nodes.append(node)
                 comps.append(comp)
@@ -290,7 +306,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     begin(docs.sparkSession)
     rows = numbered(signatures(docs, text, doc_id), "near-signatures")
     # Equal sets: one class, carried by its row of smallest id.
-    first = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("first_id"), F.col("rid").alias("node"), "bands", "sig"))
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("first_id"), F.col("rid").alias("node"), "print", "bands", "sig"))
     classes = materialize(rows.filter("n > 0").groupBy("h1", "h2", "n").agg(first.alias("f")).select("h1", "h2", "n", "f.*"),
                           "near-classes")
     keys = F.arrow_udf(lambda col: pa.array([np.frombuffer(x, "<i8") for x in col.to_pylist()], pa.list_(pa.int64())),
@@ -309,7 +325,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     best = star.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("est", "b")), False), 1, STARS).alias("best"))
     pairs = best.select("a", F.explode("best").alias("p")).select("a", F.col("p.b").alias("b"))
 
-    need = materialize(buckets.select("node").distinct().join(classes.select("node", "first_id", "h1", "h2"), "node"), "needed")
+    need = materialize(buckets.select("node").distinct().join(classes.select("node", "first_id", "print", "h1", "h2"), "node"), "needed")
     sets = _full_sets(docs, need, text, doc_id)
     links = _confirm(pairs, sets)
     comps = components(links)

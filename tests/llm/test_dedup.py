@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import defaultdict
@@ -273,3 +274,31 @@ def test_awkward_and_empty(spark):
     assert decontaminate.contaminated(awkward_docs(spark), bench.limit(0)).count() == 0
     docs = awkward_docs(spark)
     assert near_dedup.near_duplicates(docs).count() == substring_dedup.deduplicate(docs).count() == len(awkward_texts())
+
+
+def test_near_null_ids_meet_their_own_class_only(spark, monkeypatch):
+    """Rows without an id join one row each, whatever their number."""
+    rng = np.random.default_rng(3)
+    base = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 40)) for _ in range(150)]
+    texts = base + [t + " end" for t in base] + base[:50]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(7, t) for t in base], "doc_id long, text string")
+    joined = []
+    real = near_dedup.materialize
+
+    def spy(df, kind):
+        out = real(df, kind)
+        if kind == "shingle-sets":
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialize", spy)
+    got = near_dedup.near_duplicates(docs).collect()
+    assert joined and joined[0] <= len(texts) + len(base)
+    assert all(r.component_id == 7 for r in got)
+
+
+def test_near_cut_off_loses_no_more_than_the_bands():
+    p = 0.75 + 0.25 / 16
+    least = next(k for k in range(129) if (k / 128 - 1 / 16) / (15 / 16) >= near_dedup.PASS)
+    lost = sum(math.comb(128, k) * p ** k * (1 - p) ** (128 - k) for k in range(least))
+    assert lost <= (1 - 0.75 ** 3) ** 32 < lost + math.comb(128, least) * p ** least * (1 - p) ** (128 - least)
