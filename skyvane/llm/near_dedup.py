@@ -303,6 +303,24 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
+    rows, named = _classified(docs, text, doc_id)
+    lowest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
+    final = named.join(lowest, "comp").select("h1", "h2", "n", "component_id")
+    out = rows.select("doc_id", "h1", "h2", "n").join(final, ["h1", "h2", "n"], "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("component_id") != NO_ID, F.col("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(first_id, print) of one document of each component: the smallest id (:data:`NO_ID` for a null one), then the
+    smallest text hash. Texts without words belong to no component."""
+    _, named = _classified(docs, text, doc_id)
+    return named.groupBy("comp").agg(F.min(F.struct("first_id", "print")).alias("r")).select("r.*")
+
+
+def _classified(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """(a signature row per document, every class of equal sets with its component)."""
     begin(docs.sparkSession)
     rows = numbered(signatures(docs, text, doc_id), "near-signatures")
     # Equal sets: one class, carried by its row of smallest id.
@@ -360,14 +378,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
                          .mapInArrow(_count, "a long, b long"), "near-links")
     comps = components(links.unionByName(links2))
 
-    named = classes.select("node", "h1", "h2", "n", "first_id").join(comps, "node", "left").withColumn(
+    return rows, classes.select("node", "h1", "h2", "n", "first_id", "print").join(comps, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
-    lowest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    final = named.join(lowest, "comp").select("h1", "h2", "n", "component_id")
-    out = rows.select("doc_id", "h1", "h2", "n").join(final, ["h1", "h2", "n"], "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("component_id") != NO_ID, F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -328,3 +328,29 @@ def test_article_lines_of_the_tables_are_treated_alike(spark, sf):
     rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
     got = sorted((r.page_id, r.text) for r in html_extract.extract(pages).collect())
     assert got == brute_extract(rows)
+
+
+CLASHING = "doc_id long, text string, lang string, id string, sha string, print string, _id string, _sha string, id_ string, rid int"
+
+
+def test_pipeline_stages_keep_clashing_columns(spark):
+    """Columns named like internal ones come back as they were; null and repeated ids have verdicts of their own."""
+    near = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty %s"
+    texts = [(1, "a b"), (1, "a b"), (None, "c"), (None, "c"), (2, "a  b"), (1, "other"), (None, near % "x"), (None, near % "y"),
+             (None, "quite another text that stands alone here"), (3, None), (4, " "), (5, near % "z"), (5, "a third one of the same id here"),
+             (None, None)]
+    rows = [(d, t, "en", f"i{k}", f"s{k}", f"p{k}", f"k{k}", f"h{k}", f"u{k}", k) for k, (d, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, CLASHING).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    exact = stages["exact dedup"](spark, docs, SF)
+    assert exact.columns == docs.columns
+    kept = [tuple(r) for r in exact.collect()]
+    assert all(r in rows for r in kept)
+    assert sorted((r[0] or 0, r[1] or "") for r in kept) == sorted(
+        {(1, "a b"), (0, "c"), (1, "other"), (0, near % "x"), (0, near % "y"), (0, "quite another text that stands alone here"),
+         (3, ""), (4, " "), (5, near % "z"), (5, "a third one of the same id here")})
+    out = [tuple(r) for r in stages["near dedup"](spark, exact, SF).collect()]
+    assert all(r in rows for r in out)
+    assert sorted((r[0] or 0, r[1] or "") for r in out) == sorted(
+        [(1, "a b"), (0, "c"), (1, "other"), (0, "quite another text that stands alone here"), (3, ""), (4, " "), (5, near % "z"),
+         (5, "a third one of the same id here")])
