@@ -1,20 +1,23 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits; Unicode punctuation, symbols and spaces part them, and each
-character of a script without spaces (Chinese, Japanese, Thai, Lao, Khmer, Myanmar) is a word. Every three-word gram of an item is a
-seed, whatever its frequency: which grams an edit leaves whole can't be told from
-document counts (an edit lowers the counts of the grams it breaks). The stretch around the seeds
+character of a script without spaces (Chinese, Japanese, Thai, Lao, Khmer, Myanmar) is a word. The seeds of an item
+are its rare three-word grams: those that at most ``RARE_ITEMS`` different items hold. A phrase that many items share
+("which of the following") says nothing about which of them a text copies, and each of its
+places would bring all of them; it is a seed only for an item without any rare gram, which takes its rarest ones, ties
+together. So a text's work grows with its own length, not with the number of items. Document counts
+play no part: an edit lowers the counts of the grams it breaks, so by them the grams of a
+hot group of edited copies are the common ones and the broken grams the rare ones. The stretch around the seeds
 that a document meets is aligned with the item if it can reach the threshold at all:
 a word that the item lacks costs at least one point and any other wins at most
 ``MATCH``, so the best sum of a run of words bounds the alignment, and nothing is lost there.
 Local alignment of words (match 2, mismatch -1, gap -1) finds paraphrased and edited copies. A
 document is contaminated if the score reaches ``THRESHOLD`` of the item's own, or
-that of ``LONG_MATCH`` matched words for long items. A copy that has no three
-consecutive words of its item left is not met.
+that of ``LONG_MATCH`` matched words for long items. A copy that has no rare gram of its item left is not met.
 
-The benchmark's grams are sent to the tasks in shards of about ``SHARD_WORDS`` words;
-a larger benchmark takes several passes over the documents instead of a larger broadcast. Seeds met
-are expanded to their items for ``HITS`` at a time.
+The benchmark's seeds are sent to the tasks in shards of about ``SHARD_WORDS`` words;
+a larger benchmark takes several passes over the documents, each written before the next shard is read, instead of
+a larger broadcast. Seeds met are expanded to their items for ``HITS`` at a time. Equal items are searched for once.
 
 Defined cases: null and empty texts are clean; items of fewer than ``MIN_WORDS`` words have too few grams
 for edited copies and are found as whole items only, word for word; items of fewer than ``GRAM`` words
@@ -27,7 +30,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,14 @@ from pyspark.sql import functions as F
 
 from skyvane.llm._tables import begin, read
 from skyvane.llm._text import NON_WORD, U64, Words, buffers, doc_groups, fold_case, ngram_hash
+from skyvane.session import materialize
 
 GRAM = 3
 MIN_WORDS = 8
 THRESHOLD = 0.5
 LONG_MATCH = 20
 MATCH, MISMATCH, GAP = 2, -1, -1
+RARE_ITEMS = 32
 SHARD_WORDS = 2_000_000
 HITS = 1_000_000
 _BITS = U64((1 << 22) - 1)
@@ -106,8 +110,15 @@ class Items:
                 whole = np.array([ngram_hash(w.hash[w.first[i]:w.first[i] + k], k)[0] for i in few], U64)
                 o = np.argsort(whole, kind="stable")
                 self.short[k] = (whole[o], [ids[i] for i in few[o]])
-        self.ids = [ids[i] for i in keep]
-        self.words = [w.hash[w.first[i]:w.first[i + 1]] for i in keep]
+        same: dict[bytes, int] = {}                    # equal items are one, with all their ids
+        self.ids, self.words = [], []
+        for i in keep:
+            words = w.hash[w.first[i]:w.first[i + 1]]
+            k = same.setdefault(words.tobytes(), len(self.words))
+            if k == len(self.words):
+                self.words.append(words)
+                self.ids.append([])
+            self.ids[k].append(ids[i])
         grams = [ngram_hash(x, GRAM) for x in self.words]
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]).astype(np.int64)
         self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
@@ -115,17 +126,34 @@ class Items:
 
 
 class Seeds:
-    """Lookup of the items' grams: a bit table first, then the sorted grams."""
+    """Lookup of the items' seeds: a bit table first, then the sorted grams."""
 
     def __init__(self, items: Items) -> None:
-        o = np.argsort(items.gram, kind="stable")
-        self.gram, self.item, self.place = items.gram[o], items.item[o], items.place[o]
+        o = np.lexsort((items.item, items.gram))
+        gram, item, place = items.gram[o], items.item[o], items.place[o]
+        keep = rare_grams(gram, item)
+        self.gram, self.item, self.place = gram[keep], item[keep], place[keep]
         self.bits = bit_table(self.gram)
         self.ids, self.words, self.short = items.ids, items.words, items.short
         self.length = np.array([len(x) for x in items.words], np.int64)
         self.sorted = [np.unique(x) for x in items.words]
 
 
+def rare_grams(gram: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which of the (gram, item) rows, in this order, are seeds."""
+    if not len(gram):
+        return np.zeros(0, bool)
+    first = np.ones(len(gram), bool)
+    first[1:] = gram[1:] != gram[:-1]
+    other = first.copy()
+    other[1:] |= item[1:] != item[:-1]
+    number = np.cumsum(first) - 1
+    holders = np.bincount(number, weights=other)[number]             # different items that hold the row's gram
+    least = np.full(int(item.max()) + 1, np.inf)
+    np.minimum.at(least, item, np.floor(np.log2(holders)))
+    return (holders <= RARE_ITEMS) | (np.floor(np.log2(holders)) <= least[item]) & (least[item] >= np.log2(RARE_ITEMS))
+
+
 def bit_table(grams: np.ndarray) -> np.ndarray:
     table = np.zeros(1 << 22, bool)
     table[(grams & _BITS).astype(np.int64)] = True
@@ -240,26 +268,25 @@ def _align(w: Words, seeds: Seeds, at: np.ndarray, lo: np.ndarray, n: np.ndarray
         if score >= least:
             f = x - int(w.first[d])
             met = len(set(place[a:b].tolist()))
-            row = (d, seeds.ids[i], score / (MATCH * m), hits, met, f + start, f + end)
-            if (d, i) not in best or row[2] > best[d, i][2]:
+            row = (score / (MATCH * m), hits, met, f + start, f + end)
+            if (d, i) not in best or row[0] > best[d, i][0]:
                 best[d, i] = row
-    return [best[k] for k in sorted(best)]
+    return [(d, name, *best[d, i]) for d, i in sorted(best) for name in seeds.ids[i]]
 
 
-def seed_shards(benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> list[Seeds]:
-    """The seed tables, one per shard of the benchmark."""
+def seed_shards(benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> Iterator[Seeds]:
+    """The seed tables, one per shard of the benchmark; each is built when it is asked for. Equal items share a
+    shard."""
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     words = rows.agg(F.sum(F.octet_length("text") / 4)).first()[0] or 0       # four bytes a word at least, nearly always
     shards = max(1, int(-(-words // shard_words)))
-    out = []
     for k in range(shards):
-        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).toPandas()
+        part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k).toPandas()
         part = part.sort_values(["item_id", "text"], kind="stable")
         items = Items(part["item_id"].astype(object).where(part["item_id"].notna(), None).tolist(),
                       [t if isinstance(t, str) else None for t in part["text"]])
         if items.ids or items.short:
-            out.append(Seeds(items))
-    return out
+            yield Seeds(items)
 
 
 HIT = ("doc_id long, item_id long, score double, matched_words int, seeds int, "
@@ -290,17 +317,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD
 
         return rows.mapInArrow(run, HIT)
 
-    found = [search(s) for s in seed_shards(benchmark, shard_words)]
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], HIT)
+    found = None
+    for seeds in seed_shards(benchmark, shard_words):
+        found = search(seeds) if found is None else materialize(found, "hits").unionByName(search(seeds))
+    return spark.createDataFrame([], HIT) if found is None else found
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The documents without those that hold a copy of an item, all columns kept."""
     spark = begin(docs.sparkSession)
-    for seeds in seed_shards(benchmark, shard_words):
+
+    def drop(docs: DataFrame, seeds: Seeds) -> DataFrame:
         shared = spark.sparkContext.broadcast(seeds)
 
-        def flag(text: pa.Array, shared=shared) -> pa.Array:
+        def flag(text: pa.Array) -> pa.Array:
             data, off = buffers(text)
             out = np.zeros(len(text), bool)
             for lo, hi in doc_groups(off):
@@ -308,7 +338,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, shard_words: int = SHARD_WORDS)
                     out[lo + hit[0]] = True
             return pa.array(out)
 
-        docs = docs.filter(~F.arrow_udf(lambda text, f=flag: f(text), "boolean")(F.col("text").cast("string")))
+        return docs.filter(~F.arrow_udf(flag, "boolean")(F.col("text").cast("string")))
+
+    passes = 0
+    for seeds in seed_shards(benchmark, shard_words):
+        docs = drop(materialize(docs, "clean-so-far") if passes else docs, seeds)
+        passes += 1
     return docs
 
 

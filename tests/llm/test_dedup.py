@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 
 from skyvane.llm import _tables, decontaminate, near_dedup, substring_dedup
-from skyvane.llm._text import Words, buffers
+from skyvane.llm._text import Words, buffers, ngram_hash
 
 from .fixtures import awkward_docs, awkward_texts, empty_docs
 
@@ -302,3 +302,56 @@ def test_near_cut_off_loses_no_more_than_the_bands():
     least = next(k for k in range(129) if (k / 128 - 1 / 16) / (15 / 16) >= near_dedup.PASS)
     lost = sum(math.comb(128, k) * p ** k * (1 - p) ** (128 - k) for k in range(least))
     assert lost <= (1 - 0.75 ** 3) ** 32 < lost + math.comb(128, least) * p ** least * (1 - p) ** (128 - least)
+
+
+def _seeds(texts):
+    return decontaminate.Seeds(decontaminate.Items(list(range(len(texts))), texts))
+
+
+def test_common_phrases_are_no_seeds():
+    """Work on a text that repeats a phrase does not grow with the items that begin with it; their copies are still found."""
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(3))
+    phrase = "which of the following is"
+    aligned = []
+    for n in (100, 1600):
+        items = [f"{phrase} {' '.join(word() for _ in range(12))}" for _ in range(n)]
+        seeds = _seeds(items)
+        assert len(seeds.gram) < 14 * n
+        text = " ".join([phrase] * 4000)
+        copy = items[7].split()
+        copy[9] = "changed"
+        data, off = buffers(pa.array([text, " ".join(copy), f"well {items[n - 1]} said"]))
+        met = np.isin(ngram_hash(Words(*decontaminate.segment(*buffers(pa.array([text]))), decontaminate.NON_WORD).hash, 3), seeds.gram)
+        aligned.append(int(met.sum()))
+        assert {(r[0], r[1]) for r in decontaminate.find(data, off, seeds)} == {(1, 7), (2, n - 1)}
+    assert aligned == [0, 0]
+
+
+def test_items_without_a_rare_gram_keep_their_rarest():
+    """Every ordering of a few words: all grams are common, each item is still found."""
+    words = ["ale", "bun", "cod", "dip"]
+    import itertools
+    items = [" ".join(p) for p in itertools.islice(itertools.product(words, repeat=8), 0, 40000, 13)]
+    seeds = _seeds(items)
+    assert set(seeds.item.tolist()) == set(range(len(items)))
+    for i in (0, 500, len(items) - 1):
+        data, off = buffers(pa.array(["so: " + items[i]]))
+        assert i in {r[1] for r in decontaminate.find(data, off, seeds)}
+
+
+def test_rare_grams_against_plain_form():
+    rnd = np.random.default_rng(7)
+    for _ in range(50):
+        rows = sorted(zip(rnd.integers(0, 12, 400).tolist(), rnd.integers(0, 120, 400).tolist()))
+        gram, item = np.array([g for g, _ in rows], np.uint64), np.array([i for _, i in rows])
+        holders = {g: len({i for h, i in rows if h == g}) for g, _ in rows}
+        kept = decontaminate.rare_grams(gram, item)
+        for k, (g, i) in enumerate(rows):
+            own = [holders[h] for h, j in rows if j == i]
+            if holders[g] <= decontaminate.RARE_ITEMS:
+                assert kept[k]
+            elif min(own) < 32:
+                assert not kept[k]
+            else:
+                assert kept[k] == (math.floor(math.log2(holders[g])) <= math.floor(math.log2(min(own))))
