@@ -144,9 +144,11 @@ def by_rate(df: DataFrame, hot: DataFrame, keys: Sequence[str], time_col: str, c
 
 def chunked_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold,
                  chunk: Column | None = None, prefix: int = 256, split_above: int = SPLIT_ABOVE,
-                 chunk_rows: int = CHUNK_ROWS, rounds: list[int] | None = None) -> DataFrame:
+                 chunk_rows: int = CHUNK_ROWS, rounds: list[int] | None = None,
+                 init_cols: dict[str, str] | None = None) -> DataFrame:
     """Exactly :func:`sorted_fold` (same rows, same outputs), but parallel over
-    (key, chunk) for keys with more than ``split_above`` rows.
+    (key, chunk) for keys with more than ``split_above`` rows. ``init_cols`` (state field -> column, named
+    ``_init_<field>``) gives each key's state before its first row.
 
     ``chunk`` is a timestamp bucket that is non-decreasing in ``order`` within
     a key; by default the key's time span (``order[0]``) in equal parts of about
@@ -160,7 +162,7 @@ def chunked_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_from"), F.max(at).alias("_to"))
         .filter(F.col("_rows") > split_above), "chunked-hot")
     if hot.limit(1).count() == 0:
-        return sorted_fold(df, keys, order, fold)
+        return sorted_fold(df, keys, order, fold, init_cols=init_cols)
     pending = by_rate(df, hot, keys, order[0], chunk_rows)
     if chunk is not None:
         fine = F.unix_micros(chunk.cast("timestamp"))
@@ -168,7 +170,7 @@ def chunked_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
         pending = _null_safe(pending.drop(CHUNK), many.withColumn("_hot", F.lit(True)), keys).withColumn(
             CHUNK, F.when(F.col("_hot"), fine).otherwise(F.lit(0).cast("long"))).drop("_hot")
     done: list[DataFrame] = []
-    init: dict[str, str] | None = None
+    init = init_cols
     while True:
         exact, rest = _round(pending, keys, order, fold, prefix, init)
         done.append(exact)
@@ -236,5 +238,6 @@ def _round(pending: DataFrame, keys: Sequence[str], order: Sequence[str], fold:
     exact = kept.select(*out_cols, *[F.when(F.col("_hit"), F.col(f"_c_{o}")).otherwise(F.col(o)).alias(o) for o in outs])
     if opened.limit(1).count() == 0:
         return exact, None
+    carry = [c for c in carry if not c.startswith("_init_")]
     rest = _null_safe(spec.select(*_dedupe([*ckeys, *carry])), opened, keys, "inner").filter(F.col(CHUNK) >= F.col("_open"))
     return exact, materialize(rest.drop("_open"), "chunked-open")

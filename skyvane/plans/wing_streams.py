@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from .. import feeds as FE
 from .. import schema as S
 from ..operators import lookups as L
+from ..operators import model as M
 from ..session import scratch_path
 from ..sources import files as FS
 from ..sources import telemetry as T
+from ..streaming import ordered_scores as OS
 from ..streaming import pipeline as P
-from .catalog import r6, register
+from ..streaming import versions as V
+from . import oracle as O
+from .catalog import _model_out, _model_sql, r6, register
 from .wing import (MODEL_ORDER, NAMES, _READING_ROWS, _case, _run_feed, _scored_sql, UPDATED, EXPECTED, WING_CTE, messages)
 
 # --------------------------------------------------------------------------
@@ -65,7 +69,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, kind: str, parts: int, part, sta
     """Let the messages arrive part by part; ``start(records, base)`` runs the stream over what is new."""
     base = scratch_path(spark, kind)
     messages(spark, sf_dir, more={"part": part}, keep=["part"]).write.partitionBy("part").text(f"{base}/parts")
-    P.make_folder(spark, f"{base}/in")
+    V.make_folder(spark, f"{base}/in")
     for i in range(parts):
         some = spark.read.schema("value string, part int").text(f"{base}/parts").filter(F.col("part") == i)
         some.select("value").write.mode("append").text(f"{base}/in")
@@ -128,3 +132,61 @@ def wing_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = still.agg(F.max("batch").alias("batch"))
     silent = spark.read.parquet(f"{base}/out/silent").drop("batch")
     return silent.unionByName(still.join(F.broadcast(last), "batch", "left_semi").drop("batch"))
+
+
+# --------------------------------------------------------------------------
+# Scores in event order, whatever order messages arrive in and however much one key holds.
+# --------------------------------------------------------------------------
+def _keep(base: str):
+    """A sink that keeps the scored rows of each batch."""
+    def sink(scored: DataFrame, epoch_id: int) -> None:
+        scored.write.mode("overwrite").parquet(f"{base}/scored/batch={epoch_id}")
+    return sink
+
+
+@register("wing_ordered_scores", _scored_sql(
+    'SELECT round("timestamp", 6) AS "timestamp", sensor, phase, round(score, 6) AS score, anomaly AS is_anomaly FROM fold WHERE rn > 0'))
+def wing_ordered_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA2-STA4 + STR11: messages that arrive in three parts, a fifth of them a part late, scored in event order."""
+    T.prepare(spark)
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 15), F.lit(1)).cast("int") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    seen = {}
+
+    def start(records, base):
+        rows = P.feed_rows(FE.telemetry(records, FE.WING)[0], FE.WING)
+        seen["writer"] = OS.ordered_score_writer(f"{base}/model", FE.WING.slots, "30 days", _keep(f"{base}/out"))
+        seen["schema"] = rows.schema
+        return (rows.writeStream.queryName("ordered_scores").option("checkpointLocation", f"{base}/ckpt")
+                .foreachBatch(seen["writer"]).trigger(availableNow=True).start())
+
+    base = _arrivals(spark, sf_dir, "wing-ordered", 3, part, start)
+    OS.finish(seen["writer"], seen["schema"], spark, OS.next_batch(spark, f"{base}/model"))
+    out = spark.read.parquet(f"{base}/out/scored")
+    return out.select(r6("timestamp").alias("timestamp"), "sensor", "phase", r6("score").alias("score"), "is_anomaly")
+
+
+# Four of five readings belong to one sensor, so three keys hold most rows.
+_HOT_SENSOR = "CASE WHEN event_id % 5 < 4 THEN 'view' ELSE sensor END"
+HOT_ROWS, HOT_CHUNK = 400, 400
+
+
+@register("hot_stream_scored", _model_sql(
+    "SELECT *, row_number() OVER (PARTITION BY sensor, phase ORDER BY ts, event_id) AS rn FROM ("
+    f"SELECT {_HOT_SENSOR} AS sensor, phase, ts, 1 AS kind, event_id, {O.threshold_case('(' + _HOT_SENSOR + ')')} AS threshold, "
+    "value AS x_value, k AS x_k FROM readings)", keys=["sensor", "phase"]))
+def hot_stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR11 with a hot key: readings stream in; the keys that hold most rows of a batch are folded in parts."""
+    T.prepare(spark)
+    r = T.readings(spark, sf_dir).withColumn("asset_id", F.lit(None).cast("long")).withColumn("sensor", F.expr(_HOT_SENSOR))
+    base = scratch_path(spark, "hot-stream")
+    rows = M.model_input(r).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.withColumn("part", (F.dayofmonth("ts") > 15).cast("int")).write.partitionBy("part").parquet(f"{base}/parts")
+    V.make_folder(spark, f"{base}/in")
+    writer = OS.ordered_score_writer(f"{base}/model", S.EVENT_FEATURES, "1 day", _keep(f"{base}/out"),
+                                     split_above=HOT_ROWS, chunk_rows=HOT_CHUNK)
+    for i in range(2):
+        spark.read.parquet(f"{base}/parts/part={i}").write.mode("append").parquet(f"{base}/in")
+        P.run_available([spark.readStream.schema(rows.schema).parquet(f"{base}/in").writeStream.queryName("hot_scores")
+                         .option("checkpointLocation", f"{base}/ckpt").foreachBatch(writer).trigger(availableNow=True).start()])
+    OS.finish(writer, rows.schema, spark, OS.next_batch(spark, f"{base}/model"))
+    return _model_out(spark.read.parquet(f"{base}/out/scored"))

@@ -25,6 +25,8 @@ from ..operators import lookups as L
 from ..operators import model as M
 from ..session import prepare, scratch_path
 from . import model_state as MS
+from . import ordered_scores as OS
+from . import versions as V
 
 
 def decoded(records: DataFrame, key_map: dict[str, str] | None = None,
@@ -221,22 +223,18 @@ def latest_versions(spark: SparkSession, base: str, keys: Sequence[str]) -> Data
     return latest.select("r.*")
 
 
-def scored_feed(tel: DataFrame, feed: FE.Feed, updates: DataFrame | None = None, shards: int = 8,
-                order_delay: str | None = None) -> DataFrame:
-    """The model over a feed's telemetry: readings and, from ``updates`` (messages with
+def scored_feed(tel: DataFrame, feed: FE.Feed, updates: DataFrame | None = None, shards: int = 8) -> DataFrame:
+    """The model over a feed's telemetry as keyed state, in arrival order: readings and, from ``updates`` (messages with
     ``effective_ts``), the feedback blend. Scored rows keep their time and payload."""
+    return MS.score_stream_sharded(feed_rows(tel, feed, updates), feed.slots, shards=shards)
+
+
+def feed_rows(tel: DataFrame, feed: FE.Feed, updates: DataFrame | None = None) -> DataFrame:
+    """The rows that the model folds: readings and, if given, update messages."""
     rows = FE.model_rows(tel, feed, extra=("timestamp", "payload"))
     if updates is not None:
         rows = rows.unionByName(FE.update_rows(updates, feed), allowMissingColumns=True)
-    if order_delay:
-        return MS.score_stream_ordered(rows, order_delay, feed.slots, shards=shards)
-    return MS.score_stream_sharded(rows, feed.slots, shards=shards)
-
-
-def make_folder(spark: SparkSession, path: str) -> None:
-    """Create ``path`` on whatever store it names (a stream cannot read a folder that is not there yet)."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+    return rows
 
 
 def decoded_log(decoded_rows: DataFrame, base: str, trigger: dict | None) -> tuple[StreamingQuery, DataFrame, DataFrame]:
@@ -248,7 +246,7 @@ def decoded_log(decoded_rows: DataFrame, base: str, trigger: dict | None) -> tup
     """
     spark = decoded_rows.sparkSession
     path = f"{base}/decoded"
-    make_folder(spark, path)
+    V.make_folder(spark, path)
     rows = decoded_rows.withColumn("dead", ~D.valid_envelope(decoded_rows))
     query = start_parquet(rows, path, f"{base}/ckpt/decode", "decode", "append", trigger, ("dead",))
     if trigger and trigger.get("availableNow"):
@@ -265,7 +263,8 @@ def start_feed(spark: SparkSession, records: DataFrame, base: str, feed: FE.Feed
     """The whole job on a feed's messages: one decode (STR9), then monitoring rows and model updates, the training set,
     scored and alert messages, dead letters. ``updates``: the stream of model-update messages to feed back
     (:func:`with_effective_ts` of :func:`skyvane.sources.files.update_stream`). ``update_mode="append"``
-    sends each window once, when it is closed, so a model fed by them blends it once."""
+    sends each window once, when it is closed, so a model fed by them blends it once. With ``order_delay`` readings are
+    scored in event order (:func:`skyvane.streaming.ordered_scores.ordered_score_writer`), else in arrival order."""
     decode, tel, dead = decoded_log(FE.decode(records, feed), base, trigger)
     topics = {**TOPICS, **(topics or {})}
     allowed = spark.createDataFrame([(s, f) for s, fs in sorted(feed.update_features.items()) for f in fs],
@@ -273,13 +272,18 @@ def start_feed(spark: SparkSession, records: DataFrame, base: str, feed: FE.Feed
     sensors = spark.createDataFrame([(s,) for s in sorted(feed.thresholds)], "sensor string")
     mon = monitoring_rows(FE.monitoring_input(tel, feed), monitoring, watermark, features=feed.monitoring)
     train = FE.training_row(tel.withWatermark("event_time", watermark), feed, training).withColumn("date", F.to_date("timestamp"))
+    sink = fan_out_writer(f"{base}/scored", fmt, topics, **options)
+    if order_delay:
+        # event order, and sensors whose rows are more than one task's work
+        scoring, score_sink = feed_rows(tel, feed, updates), OS.ordered_score_writer(f"{base}/model", feed.slots, order_delay, sink)
+    else:
+        scoring, score_sink = scored_feed(tel, feed, updates, model_shards), sink
     return [
         decode,
         _writer(mon, "model_updates", f"{base}/ckpt/updates", update_mode, trigger).foreachBatch(
             update_batch_writer(f"{base}/updates", allowed, sensors, feed.monitoring, fmt, topics["updates"], **options)).start(),
         start_parquet(train, f"{base}/training", f"{base}/ckpt/training", "training", "append", trigger, ("date",)),
-        _writer(scored_feed(tel, feed, updates, model_shards, order_delay), "scoring", f"{base}/ckpt/scoring", "append", trigger)
-        .foreachBatch(fan_out_writer(f"{base}/scored", fmt, topics, **options)).start(),
+        _writer(scoring, "scoring", f"{base}/ckpt/scoring", "append", trigger).foreachBatch(score_sink).start(),
         start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters", "append", trigger),
     ]
 
@@ -309,17 +313,9 @@ def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
 
 
 # --------------------------------------------------------------------------
-# Side outputs that need one number or one row per sensor between batches. They
-# are kept as a table with one version per batch: a replayed batch reads the version before it
-# and writes its own again.
+# Side outputs that need one number or one row per sensor between batches
+# (:mod:`skyvane.streaming.versions`).
 # --------------------------------------------------------------------------
-def _version(spark: SparkSession, path: str, epoch_id: int, schema: str) -> DataFrame:
-    """The state before batch ``epoch_id``: empty before the first one."""
-    if epoch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/batch={epoch_id - 1}")
-
-
 def late_rows_writer(base: str, duration: str, watermark: str, time_col: str = "event_time") -> Callable[[DataFrame, int], None]:
     """STR10: keep the rows that the windows of ``duration`` drop as late.
 
@@ -330,9 +326,10 @@ def late_rows_writer(base: str, duration: str, watermark: str, time_col: str = "
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         clock = f"{base}/clock"
-        before = _version(spark, clock, epoch_id, "latest_ms long").agg(F.max("latest_ms").alias("latest_ms"))
+        before = V.before(spark, clock, epoch_id, "latest_ms long").agg(F.max("latest_ms").alias("latest_ms"))
         seen = batch.agg(F.max(F.unix_millis(time_col)).alias("latest_ms"))
         before.unionByName(seen).agg(F.max("latest_ms").alias("latest_ms")).write.mode("overwrite").parquet(f"{clock}/batch={epoch_id}")
+        V.forget(spark, clock, epoch_id)
         passed = F.timestamp_millis("latest_ms") - F.expr(f"INTERVAL {watermark}")
         ends = batch.withColumn("_end", F.window(time_col, duration)["end"])
         late = ends.join(F.broadcast(before), F.col("_end") <= passed)      # one row
@@ -355,7 +352,7 @@ def silence_writer(base: str, expected: DataFrame, keys: Sequence[str]) -> Calla
         ticks_path = f"{base}/ticks/batch={epoch_id}"
         batch.select(*keys, F.col("tick").cast("long").alias("tick")).distinct().write.mode("overwrite").parquet(ticks_path)
         new = spark.read.parquet(ticks_path)
-        old = _version(spark, f"{base}/state", epoch_id, schema)
+        old = V.before(spark, f"{base}/state", epoch_id, schema)
         span = old.agg(F.min("first_tick").alias("a"), F.max("last_tick").alias("b")).unionByName(
             new.agg(F.min("tick").alias("a"), F.max("tick").alias("b"))).agg(F.min("a"), F.max("b")).first()      # two numbers
         first, last = (0, -1) if span[0] is None else (span[0], span[1])
@@ -370,6 +367,7 @@ def silence_writer(base: str, expected: DataFrame, keys: Sequence[str]) -> Calla
             F.lit(last if last >= first else None).cast("long").alias("last_tick"))
         state.write.mode("overwrite").parquet(f"{base}/state/batch={epoch_id}")
         state = spark.read.parquet(f"{base}/state/batch={epoch_id}")
+        V.forget(spark, f"{base}/state", epoch_id)
         at = F.coalesce(F.col("tick"), F.col("first_tick") - 1)
         state.filter(at < F.col("last_tick")).select(
             *keys, (at + 1).alias("from_tick"), F.col("last_tick").alias("to_tick"), (F.col("last_tick") - at).alias("n_missing")).write.mode("overwrite").parquet(f"{base}/open/batch={epoch_id}")

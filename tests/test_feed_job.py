@@ -13,7 +13,9 @@ from skyvane import schema as S
 from skyvane.plans import wing
 from skyvane.session import scratch_path
 from skyvane.sources import files as FS
+from skyvane.streaming import ordered_scores as OS
 from skyvane.streaming import pipeline as P
+from skyvane.streaming import versions as V
 
 SF = "/root/testdata/sf0.001"
 NOW = {"availableNow": True}
@@ -43,7 +45,7 @@ def test_failed_sink_replays_cleanly(spark, lines):
     """A sink that fails half-way through its batch is started again: the source is not read again, and
     its result is that of a run without failure. A decode that fails leaves nothing to read."""
     base = scratch_path(spark, "test-replay")
-    P.make_folder(spark, f"{base}/in")
+    V.make_folder(spark, f"{base}/in")
     spark.read.text(f"{lines}/in").write.mode("append").text(f"{base}/in")
     query, tel, _ = P.decoded_log(FE.decode(FS.telemetry_stream(spark, "text", f"{base}/in"), FE.WING), base, NOW)
     decoded = spark.read.parquet(f"{base}/decoded").count()
@@ -110,7 +112,7 @@ def at(seconds):
 def test_late_rows_are_those_that_windows_drop(spark):
     """Every row is either in a window of the stream or among the late rows."""
     base = scratch_path(spark, "test-late")
-    P.make_folder(spark, f"{base}/in")
+    V.make_folder(spark, f"{base}/in")
     parts = [[0.0, 1.0, 2.5, 30.0], [29.2, 28.0, 27.9999, 27.0, 26.5, 60.0], [57.9, 58.0, 58.5, 59.0, 3.0, None], [200.0]]
     n = 0
     for rows in parts:
