@@ -9,7 +9,7 @@ from .. import feeds as FE
 from .. import schema as S
 from ..operators import lookups as L
 from ..operators import model as M
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files as FS
 from ..sources import telemetry as T
 from ..streaming import ordered_scores as OS
@@ -190,3 +190,34 @@ def hot_stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .option("checkpointLocation", f"{base}/ckpt").foreachBatch(writer).trigger(availableNow=True).start()])
     OS.finish(writer, rows.schema, spark, OS.next_batch(spark, f"{base}/model"))
     return _model_out(spark.read.parquet(f"{base}/out/scored"))
+
+
+# --------------------------------------------------------------------------
+# Logs: one JSON array per sensor, read by byte ranges; ten feeds merged; PRJ26 beside.
+# --------------------------------------------------------------------------
+_LOG_SQL = f"""WITH {WING_CTE}
+SELECT sensor, false AS is_faulty, round("timestamp", 6) AS "timestamp", phase,
+       {_case({s: "b + k" for s in NAMES}, "NULL")} AS first_value FROM w WHERE sensor <> 'gyro'"""
+
+
+@register("wing_array_logs", _LOG_SQL)
+def wing_array_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3: the payloads logged as one JSON array per sensor and read back, an array by several tasks."""
+    base = scratch_path(T.prepare(spark), "wing-logs")
+    tel, _ = FE.telemetry(messages(spark, sf_dir), FE.WING)
+    FS.write_sensor_arrays(tel.filter(F.col("sensor").isin(NAMES)).select("sensor", "timestamp", F.col("payload").alias("value")), base)
+    logs = FS.read_sensor_logs(spark, base, indent=4, pattern=r"/sensor=(\w+?)(_faulty)?/", of="file_path")
+    m = F.from_json("value", "map<string,string>")
+    return logs.select("sensor", "is_faulty", r6("timestamp").alias("timestamp"), F.try_element_at(m, F.lit("phase")).alias("phase"),
+                       F.map_values(m)[0].cast("double").alias("first_value"))
+
+
+@register("wing_merged_feeds", f"""WITH {WING_CTE}
+SELECT sensor, round("timestamp", 6) AS "timestamp", {", ".join(f"{_v} AS {f}" for f, _v in (
+    (f, f"CASE WHEN sensor = '{at[0]}' THEN b * {at[1] + 1} + k END") for f, at in EXPECTED.items()))} FROM w WHERE sensor <> 'gyro'""")
+def wing_merged_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET1: ten tables, one per sensor with its own columns, merged into one feed."""
+    tel = materialize(FE.telemetry(messages(spark, sf_dir), FE.WING)[0], "wing-feeds")
+    feeds = [tel.filter(F.col("sensor") == s).select("sensor", r6("timestamp").alias("timestamp"), *[f for f, at in EXPECTED.items() if at[0] == s])
+             for s in NAMES]
+    return FS.merge_feeds(*feeds)

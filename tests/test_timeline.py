@@ -108,3 +108,44 @@ def test_missing_per_tick(spark):
     silent = spark.createDataFrame([(1, "a", 0, 2, 3), (1, "b", 2, 2, 1)], "asset_id long, sensor string, from_tick long, to_tick long, n_missing long")
     got = sorted(tuple(r) for r in TL.missing_per_tick(silent, ("asset_id", "sensor"), ("asset_id",)).collect())
     assert got == [(0, 1, 1, "a"), (1, 1, 1, "a"), (2, 1, 2, "a,b")]
+
+
+def test_array_logs_are_split_by_bytes(spark, tmp_path):
+    """One file is read by several tasks; entries are whole wherever a block ends, and nothing in a text ends an entry."""
+    import json
+
+    from skyvane.sources import files as FS
+    rnd = random.Random(6)
+    nasty = ["},\n    {", "a\n    },", "[", "]", "\"", "\\", "é🤦", "\n]", "}\n    },\n    {"]
+    entries = [{"timestamp": i / 8, "value": {"k": i, "s": rnd.choice(nasty), "in": {"deep": {"er": rnd.choice(nasty)}}, "l": [1, {"x": 2}]}}
+               for i in range(3000)]
+    (tmp_path / "flap.json").write_text(json.dumps(entries, indent=4))
+    (tmp_path / "slat_faulty.json").write_text(json.dumps(entries[:1], indent=4))
+    (tmp_path / "spar.json").write_text("[]")
+    (tmp_path / "node.json").write_text(json.dumps(entries[1:3], indent=4, ensure_ascii=False) + "\n")
+    (tmp_path / "none.json").write_text("")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("20000", "7777", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            df = FS.read_sensor_logs(spark, str(tmp_path), indent=4)
+            if size != "128m":
+                assert df.rdd.getNumPartitions() > 20
+            got = sorted((r["sensor"], r["is_faulty"], r["timestamp"], r["value"]) for r in df.collect())
+            want = [("flap", False, e) for e in entries] + [("slat", True, entries[0])] + [("node", False, e) for e in entries[1:3]]
+            assert sorted((s, f, t) for s, f, t, _ in got) == sorted((s, f, e["timestamp"]) for s, f, e in want)
+            assert all(json.loads(v) == entries[int(t * 8)]["value"] for _, _, t, v in got)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_array_logs_round_trip(spark, tmp_path):
+    from skyvane.sources import files as FS
+    rows = [("flap", 2.0, '{"a":1}'), ("flap", 1.5, '{"a":{"b":"},"}}'), ("slat", 1.0, "{}"), ("slat", None, "{}"), ("slat", 3.0, None)]
+    FS.write_sensor_arrays(spark.createDataFrame(rows, "sensor string, timestamp double, value string"), str(tmp_path / "logs"))
+    for indent in (4, None):
+        df = FS.read_sensor_logs(spark, str(tmp_path / "logs"), indent=indent, pattern=r"/sensor=(\w+?)(_faulty)?/", of="file_path")
+        assert sorted(tuple(r) for r in df.collect()) == [("flap", False, 1.5, '{"a":{"b":"},"}}'), ("flap", False, 2.0, '{"a":1}'),
+                                                          ("slat", False, 1.0, "{}")]
