@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, read
+from skyvane.llm._tables import begin, read, small
 from skyvane.session import materialize, scratch_path
 
 BODY, ARTICLE, CHROME, NAMED = 0, 1, 2, 3
@@ -419,14 +419,16 @@ def template_lines(table: DataFrame, decided: DataFrame) -> DataFrame:
     """(rid, template): the places of each page's article lines that the host shows to be template. ``table``:
     rid, host, kinds, keys of all pages; ``decided``: host and ``both``, the candidates' keys."""
     split = F.arrow_udf(lambda col: pa.array([np.frombuffer(x, "<i8") for x in col.to_pylist()], pa.list_(pa.int64())), "array<long>")
-    candidates = decided.filter("both is not null").select("host", F.explode(split("both")).alias("key")).distinct()
+    candidates = small(materialize(decided.filter("both is not null").select("host", F.explode(split("both")).alias("key")).distinct(),
+                                   "line-candidates"))
     lines = materialize(table.select("rid", "host", "kinds", "keys").mapInArrow(_article_lines, _LINE).join(candidates, ["host", "key"]),
                         "shared-lines")
     hosts = table.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     # a page counts once for a line and half
     held = lines.groupBy("host", "key", "tail", "rid").agg(F.lit(1).alias("one")).groupBy("host", "key", "tail").agg(F.count(F.lit(1)).alias("n"))
-    shown = held.filter("n >= 3").join(hosts, "host").filter(2 * F.col("n") > F.col("pages")).select("host", "key").distinct()
-    return lines.join(shown, ["host", "key"], "left_semi").groupBy("rid").agg(F.collect_set("place").alias("template"))
+    shown = materialize(held.filter("n >= 3").join(hosts, "host").filter(2 * F.col("n") > F.col("pages")).select("host", "key").distinct(),
+                        "template-lines")
+    return lines.join(small(shown), ["host", "key"], "left_semi").groupBy("rid").agg(F.collect_set("place").alias("template"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
