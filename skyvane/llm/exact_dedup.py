@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, numbered, read
+from skyvane.llm._tables import begin, numbered, read, small
 from skyvane.session import materialize
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -243,57 +243,98 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 class DigestIndex:
-    """The index over time: insert or delete batches of documents; state is two
-    Spark-written tables (live digests and packed filters), replaced by each change."""
+    """The index over time: insert or delete batches of documents.
+
+    State is three Spark-written tables, replaced by each change: ``members`` (digest, doc_id, copies), the live documents
+    themselves; ``live`` (digest, keep, copies), one row per live digest with its smallest live id; and the packed
+    cuckoo filter of each bucket. A digest enters its bucket's filter when its first document comes and leaves it
+    with its last one, so only buckets with such a digest are opened. The bucket count follows the
+    live digests: when there are twice as many as the buckets are meant for, they are
+    dealt anew from the stored digests. Deleting a document that is not in the index changes nothing.
+    """
 
     FILTERS = "bucket int, packed binary"
-    LIVE = "bucket int, digest binary, keep long, keep_row long, copies long"
+    MEMBERS = "digest binary, doc_id long, copies long"
+    LIVE = "digest binary, keep long, copies long"
 
-    def __init__(self, spark: SparkSession, n_buckets: int = 64) -> None:
-        self.spark, self.n_buckets = begin(spark), n_buckets
+    def __init__(self, spark: SparkSession, n_buckets: int = 8, bucket_digests: int = BUCKET_DIGESTS) -> None:
+        self.spark, self.n_buckets, self.bucket_digests = begin(spark), n_buckets, bucket_digests
+        self.members = spark.createDataFrame([], self.MEMBERS)
         self.live = spark.createDataFrame([], self.LIVE)
         self.filters = spark.createDataFrame([], self.FILTERS)
 
-    def _changes(self, docs: DataFrame, sign: int) -> DataFrame:
-        folded = numbered(digests(docs), "index-batch").mapInArrow(
-            _fold, "digest binary, keep long, keep_row long, copies long")
-        return folded.withColumn("bucket", _bucket_of(self.n_buckets)).withColumn("copies", F.col("copies") * sign)
-
-    def _apply(self, changes: DataFrame) -> None:
-        def run(key, live, filters, new):
+    def _change(self, docs: DataFrame, sign: int) -> "DigestIndex":
+        moved = digests(docs).groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n")).select(
+            F.unhex("text_sha256").alias("digest"), "doc_id", (F.col("n") * sign).alias("copies"))
+        members = materialize(self.members.unionByName(moved).groupBy("digest", "doc_id").agg(
+            F.sum("copies").alias("copies")).filter("copies > 0"), "index-members")
+        live = materialize(members.groupBy("digest").agg(
+            F.min("doc_id").alias("keep"), F.sum("copies").alias("copies")), "index-live")
+        n = live.count()
+        if n > 2 * self.n_buckets * self.bucket_digests:
+            while self.n_buckets * self.bucket_digests < n:
+                self.n_buckets *= 2
+            changes, filters = live.select("digest", F.lit(1).alias("part")), self.spark.createDataFrame([], self.FILTERS)
+        else:
+            born = live.join(self.live, "digest", "left_anti").select("digest", F.lit(1).alias("part"))
+            gone = self.live.join(live, "digest", "left_anti").select("digest", F.lit(2).alias("part"))
+            changes, filters = born.unionByName(gone), self.filters
+        changes = materialize(changes.withColumn("bucket", _bucket_of(self.n_buckets)), "index-changes")
+        touched = small(materialize(changes.select("bucket").distinct(), "index-touched"))
+        stored = self.live.select("digest", F.lit(0).alias("part")).withColumn("bucket", _bucket_of(self.n_buckets)).join(
+            touched, "bucket", "left_semi")
+        if filters is not self.filters:
+            stored = stored.limit(0)                            # dealt anew: nothing is stored yet
+        rows = stored.unionByName(changes).unionByName(
+            filters.join(touched, "bucket", "left_semi").withColumn("part", F.lit(3)), allowMissingColumns=True)
+
+        def run(key, group):
             import pandas as pd
-            x = Bucket(zip(live["digest"], live["keep"], live["keep_row"], live["copies"]),
-                       filters["packed"].iloc[0] if len(filters) else None)
-            for k, d, r, n in zip(new["digest"], new["keep"], new["keep_row"], new["copies"]):
-                x.add(bytes(k), d, r, n) if n > 0 else x.remove(bytes(k), -n)
-            return pd.DataFrame([(key[0], k, *v, None) for k, v in x.keys.items()]
-                                + [(key[0], None, None, None, None, x.filter.pack())],
-                                columns=["bucket", "digest", "keep", "keep_row", "copies", "packed"]
-                                ).astype({"keep": "Int64", "keep_row": "Int64", "copies": "Int64"})
-
-        old = self.live.withColumn("part", F.lit(0)).unionByName(
-            self.filters.withColumn("part", F.lit(1)), allowMissingColumns=True).unionByName(
-            changes.withColumn("part", F.lit(2)), allowMissingColumns=True)
-
-        def grouped(key, rows):
-            return run(key, rows[rows["part"] == 0], rows[rows["part"] == 1], rows[rows["part"] == 2])
-
-        out = materialize(old.groupBy("bucket").applyInPandas(grouped, self.LIVE + ", packed binary"), "digest-index")
-        self.live = out.filter("digest is not null").drop("packed")
-        self.filters = out.filter("packed is not null").select("bucket", "packed")
+            of = {p: group[group["part"] == p] for p in range(4)}
+            packed = of[3]["packed"].iloc[0] if len(of[3]) else None
+            keys = {bytes(k): None for k in of[0]["digest"]}
+            f = CuckooFilter.unpack(packed) if packed is not None else CuckooFilter(2 * len(of[1]) + 64)
+            for k in map(bytes, of[2]["digest"]):
+                f.delete(k)
+                keys.pop(k, None)
+            for k in map(bytes, of[1]["digest"]):
+                f.insert(k, keys)
+                keys[k] = None
+            return pd.DataFrame([(key[0], f.pack())], columns=["bucket", "packed"])
+
+        changed = rows.groupBy("bucket").applyInPandas(run, self.FILTERS)
+        self.filters = materialize(filters.join(touched, "bucket", "left_anti").unionByName(changed), "index-filters")
+        self.members, self.live = members, live
+        return self
 
     def insert(self, docs: DataFrame) -> "DigestIndex":
-        self._apply(self._changes(docs, 1))
-        return self
+        return self._change(docs, 1)
 
     def delete(self, docs: DataFrame) -> "DigestIndex":
-        self._apply(self._changes(docs, -1))
-        return self
+        return self._change(docs, -1)
 
     def duplicates(self, docs: DataFrame) -> DataFrame:
-        """Documents whose text is live: doc_id and the live keeper."""
-        return digests(docs).withColumn("digest", F.unhex("text_sha256")).join(
-            self.live, "digest").select("doc_id", F.col("keep").alias("keep_id"))
+        """Documents whose text is live: doc_id and the smallest live id of that text. The filters let only
+        possible hits through to the comparison with the stored digests."""
+        def hits(key, group):
+            import pandas as pd
+            packed = group[group["part"] == 1]["packed"]
+            asked = group[group["part"] == 0]
+            if not len(packed) or not len(asked):
+                return pd.DataFrame({"digest": []})
+            f = CuckooFilter.unpack(packed.iloc[0])
+            return pd.DataFrame({"digest": [k for k in asked["digest"] if bytes(k) in f]})
+
+        # equal questions of a batch are asked once, so a bucket is asked by distinct texts and ids only
+        asked = digests(docs).select(F.unhex("text_sha256").alias("digest"), "doc_id").groupBy("digest", "doc_id").agg(
+            F.count(F.lit(1)).alias("times"))
+        asked = materialize(asked, "index-asked")
+        one = asked.select("digest").distinct().withColumn("bucket", _bucket_of(self.n_buckets)).withColumn("part", F.lit(0))
+        both = one.unionByName(self.filters.withColumn("part", F.lit(1)), allowMissingColumns=True)
+        found = both.groupBy("bucket").applyInPandas(hits, "digest binary")
+        known = found.join(self.live, "digest").select("digest", F.col("keep").alias("keep_id"))
+        each = asked.join(known, "digest").select("doc_id", "keep_id", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("_i"))
+        return each.drop("_i")
 
 
 def sha256_hex(text: str) -> str:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from skyvane.llm._tables import begin, read
 from skyvane.llm._text import buffers
 from skyvane.llm._tokens import default_path, token_groups
-from skyvane.session import scratch_path
+from skyvane.session import materialize, scratch_path
 
 WIDTHS = (4, 8, 12, 16)
 RANK = 512
@@ -269,13 +269,21 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def lookup(spark: SparkSession, path: str, places: DataFrame, place: str = "place") -> DataFrame:
-    """place, token: random access to global token places (null outside the corpus)."""
+def lookup(spark: SparkSession, path: str, places: DataFrame, place: str = "place", stretch: int = SEGMENT_IDS) -> DataFrame:
+    """place, token: random access to global token places (null outside the corpus). A place finds its segment by
+    the stretch of ``stretch`` places it lies in, an equi-join; only segments that hold a wanted place are
+    read from there on, and each is opened once for all its places."""
     begin(spark)
-    dirs = directory(spark, path)
-    wanted = places.select(F.col(place).cast("long").alias("place"))
-    at = wanted.join(dirs, (F.col("place") >= F.col("start")) & (F.col("place") < F.col("start") + F.col("n_ids")), "left")
-    files = spark.read.parquet(path).select("range", "segment", "data")
+    dirs = directory(spark, path).filter("n_ids > 0").withColumn("end", F.col("start") + F.col("n_ids"))
+    dirs = dirs.select("range", "segment", "start", "end", F.explode(F.sequence(
+        F.floor(F.col("start") / stretch), F.floor((F.col("end") - 1) / stretch))).alias("stretch"))
+    wanted = places.select(F.col(place).cast("long").alias("place")).withColumn("stretch", F.floor(F.col("place") / stretch))
+    at = wanted.join(dirs, (wanted["stretch"] == dirs["stretch"]) & (F.col("place") >= F.col("start")) & (F.col("place") < F.col("end")),
+                     "left").select("place", "range", "segment", "start")
+    at = materialize(at, "token-places")
+    hit = at.filter("range is not null")
+    files = spark.read.parquet(path).select("range", "segment", "data").join(
+        hit.select("range", "segment").distinct(), ["range", "segment"], "left_semi")
 
     def run(key, left, right):
         import pandas as pd
@@ -284,9 +292,8 @@ def lookup(spark: SparkSession, path: str, places: DataFrame, place: str = "plac
         token = Segment(right["data"].iloc[0]).tokens((left["place"] - left["start"]).to_numpy()) if len(right) else None
         return pd.DataFrame({"place": left["place"], "token": token})
 
-    hit = at.filter("range is not null").groupBy("range", "segment").cogroup(
-        files.groupBy("range", "segment")).applyInPandas(run, "place long, token long")
-    return hit.unionByName(at.filter("range is null").select("place", F.lit(None).cast("long").alias("token")))
+    found = hit.groupBy("range", "segment").cogroup(files.groupBy("range", "segment")).applyInPandas(run, "place long, token long")
+    return found.unionByName(at.filter("range is null").select("place", F.lit(None).cast("long").alias("token")))
 
 
 def op6_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

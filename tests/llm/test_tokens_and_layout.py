@@ -182,3 +182,42 @@ def test_empty_tables(spark):
     token_codes.write(e, base + "/t")
     assert token_codes.documents(spark, base + "/t").count() == 0
     assert packing.pack(e, base + "/p").count() == 0
+
+
+def test_digest_index_names_live_keepers(spark):
+    """After the keeper goes the next smallest live id is named; unknown deletions and repeated rows count as they should."""
+    def table(*rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    def named(*rows):
+        return sorted((r.doc_id or -1, r.keep_id) for r in index.duplicates(table(*rows)).collect())
+
+    index = exact_dedup.DigestIndex(spark, 2, 4)
+    index.insert(table((1, "a b"), (5, "a  b"), (3, "a b"), (3, "a b"), (9, "c"), (None, "c"), (None, "d"), (7, None)))
+    assert named((100, "a\tb"), (101, "c"), (102, "x"), (103, ""), (100, "a b")) == [(100, 1), (100, 1), (101, 9), (103, 7)]
+    index.delete(table((1, "a b"), (8, "a b"), (9, "c"), (2, "never there")))
+    assert named((100, "a b"), (101, "c"), (104, "d")) == [(100, 3), (101, None), (104, None)]
+    index.delete(table((3, "a b"), (5, "a b")))
+    assert named((100, "a b")) == [(100, 3)]
+    index.delete(table((3, "a b"), (None, "c"), (None, "c")))
+    assert named((100, "a b"), (101, "c"), (104, "d")) == [(104, None)]
+    # buckets follow the live digests, and the filters go on knowing all of them
+    index.insert(table(*[(i, f"text {i}") for i in range(200)]))
+    assert index.n_buckets == 64 and index.filters.count() <= 64
+    assert len(named(*[(1000 + i, f"text {i}") for i in range(0, 200, 7)])) == 29
+    index.delete(table(*[(i, f"text {i}") for i in range(100)]))
+    assert len(named(*[(1000 + i, f"text {i}") for i in range(200)])) == 100
+
+
+def test_lookup_opens_wanted_segments_only(spark, docs, monkeypatch):
+    path = tempfile.mkdtemp(prefix="codes-")
+    token_codes.write(docs, path + "/t", segment_ids=500)
+    want = np.concatenate([np.append(np.array(i, np.int64), 1) for _, i in sorted(ids_by_doc().items())])
+    places = [0, 499, 500, 501, len(want) - 1, len(want), -1, None, 7, 7]
+    df = spark.createDataFrame([(p,) for p in places], "place long")
+    for stretch in (64, 500, 1 << 18):
+        got = sorted((r.place is None, r.place or 0, r.token) for r in token_codes.lookup(spark, path + "/t", df, stretch=stretch).collect())
+        assert [g[:2] for g in got] == sorted((p is None, p or 0) for p in places)
+        assert all(t == (int(want[p]) if not null and 0 <= p < len(want) else None) for null, p, t in got)
+    plan = token_codes.lookup(spark, path + "/t", df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "NestedLoop" not in plan
