@@ -64,6 +64,16 @@ def numeric_features(m: Column) -> Column:
     return F.map_filter(as_num, lambda k, v: v.isNotNull())
 
 
+def feature_rows(decoded: DataFrame, *keep: str) -> DataFrame:
+    """PRJ7 as rows: one (``feature``, ``fvalue``) per numeric entry, beside the columns ``keep``.
+
+    The map comes out of a one-element generator first. The filter that an explode implies (the map is
+    not empty) would otherwise repeat the whole map expression, parse included, below the generator.
+    """
+    one = decoded.select(*keep, F.explode(F.array("features")).alias("_features"))
+    return one.select(*keep, F.explode("_features").alias("feature", "fvalue"))
+
+
 def rename_keys(m: Column, key_map: dict[str, str]) -> Column:
     """PRJ6: raw keys -> clean names from a literal map; unknown keys pass through."""
     lookup = S.as_map_literal(key_map)

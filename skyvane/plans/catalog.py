@@ -77,7 +77,7 @@ def payload_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ4 + PRJ6 + PRJ7 + PRJ8: the edge feature map (renamed, numeric only),
     one row per (reading, feature)."""
     dec = D.decode_stream(T.envelope_records(spark, sf_dir))
-    return dec.select("event_id", F.explode("features").alias("feature", "fvalue"))
+    return D.feature_rows(dec, "event_id")
 
 
 @register("flatten_features", O.with_readings("""

@@ -16,8 +16,8 @@ from ..streaming import ordered_scores as OS
 from ..streaming import pipeline as P
 from ..streaming import versions as V
 from . import oracle as O
-from .catalog import _model_out, _model_sql, r6, register
-from .wing import (MODEL_ORDER, NAMES, _READING_ROWS, _case, _run_feed, _scored_sql, UPDATED, EXPECTED, WING_CTE, messages)
+from .catalog import _model_out, _model_sql, fmt, r6, register
+from .wing import (MODEL_ORDER, NAMES, _MONITOR_SQL, _READING_ROWS, _case, _run_feed, _scored_sql, UPDATED, EXPECTED, WING_CTE, messages)
 
 # --------------------------------------------------------------------------
 # Feedback: the updates that the job sent are read back into the model.
@@ -221,3 +221,22 @@ def wing_merged_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     feeds = [tel.filter(F.col("sensor") == s).select("sensor", r6("timestamp").alias("timestamp"), *[f for f, at in EXPECTED.items() if at[0] == s])
              for s in NAMES]
     return FS.merge_feeds(*feeds)
+
+
+@register("wing_continuous_monitoring", f"WITH {WING_CTE} {_MONITOR_SQL}")
+def wing_continuous_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR4 + STR5: monitoring rows under a processing-time trigger in update mode, stopped once all input is
+    through; the latest version of each window."""
+    out = _run_feed(spark, sf_dir)
+    base = scratch_path(spark, "wing-continuous")
+    decoded = spark.read.parquet(f"{out}/decoded")
+    tel = spark.readStream.schema(decoded.schema).parquet(f"{out}/decoded").filter(~F.col("dead"))
+    rows = P.monitoring_rows(FE.monitoring_input(tel, FE.WING), features=FE.WING.monitoring)
+    q = (rows.writeStream.queryName("continuous").outputMode("update").trigger(processingTime="1 second")
+         .option("checkpointLocation", f"{base}/ckpt").foreachBatch(P.upsert_writer(f"{base}/out")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    latest = P.latest_versions(spark, f"{base}/out", ("timestamp", "sensor", "phase"))
+    return latest.withColumn("timestamp", fmt("timestamp"))

@@ -45,6 +45,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--topic", action="append", default=[], metavar="WHAT=NAME",
                    help="topic of scored, alerts or updates messages with a kafka sink "
                    "(default: sensor-data, alerts, model-updates)")
+    p.add_argument("--console", action="store_true", help="also print monitoring rows (wing feed)")
     p.add_argument("--exact-order-delay", default=None,
                    help="e.g. '1 minute': score in event order, buffered to the watermark")
     return p.parse_args(argv)
@@ -68,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
             updates = with_effective_ts(learnable(updates), "5 seconds")
         # a model that is fed back must blend each window once: send windows when they are closed
         queries = start_feed(spark, records, args.out.rstrip("/"), WING, updates=updates, fmt=args.sink,
-                             topics=dict(t.split("=", 1) for t in args.topic), update_mode="append" if args.feedback else "update",
+                             topics=dict(t.split("=", 1) for t in args.topic), update_mode="append" if args.feedback else "update", console=args.console,
                              **dict(o.split("=", 1) for o in args.sink_option), **common)
     if args.available_now:
         for q in queries:

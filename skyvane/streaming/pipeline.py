@@ -259,11 +259,11 @@ def start_feed(spark: SparkSession, records: DataFrame, base: str, feed: FE.Feed
                trigger: dict | None = None, monitoring: str = "5 seconds", training: str = "1 second",
                watermark: str = "2 seconds", updates: DataFrame | None = None, model_shards: int = 8,
                order_delay: str | None = None, fmt: str = "text", topics: dict[str, str] | None = None,
-               update_mode: str = "update", **options: str) -> list[StreamingQuery]:
+               update_mode: str = "update", console: bool = False, **options: str) -> list[StreamingQuery]:
     """The whole job on a feed's messages: one decode (STR9), then monitoring rows and model updates, the training set,
     scored and alert messages, dead letters. ``updates``: the stream of model-update messages to feed back
     (:func:`with_effective_ts` of :func:`skyvane.sources.files.update_stream`). ``update_mode="append"``
-    sends each window once, when it is closed, so a model fed by them blends it once. With ``order_delay`` readings are
+    sends each window once, when it is closed (``console`` prints them too, SNK5), so a model fed by them blends it once. With ``order_delay`` readings are
     scored in event order (:func:`skyvane.streaming.ordered_scores.ordered_score_writer`), else in arrival order."""
     decode, tel, dead = decoded_log(FE.decode(records, feed), base, trigger)
     topics = {**TOPICS, **(topics or {})}
@@ -278,8 +278,9 @@ def start_feed(spark: SparkSession, records: DataFrame, base: str, feed: FE.Feed
         scoring, score_sink = feed_rows(tel, feed, updates), OS.ordered_score_writer(f"{base}/model", feed.slots, order_delay, sink)
     else:
         scoring, score_sink = scored_feed(tel, feed, updates, model_shards), sink
+    debug = [start_console(mon, f"{base}/ckpt/console", "monitoring_console", trigger=trigger)] if console else []
     return [
-        decode,
+        decode, *debug,
         _writer(mon, "model_updates", f"{base}/ckpt/updates", update_mode, trigger).foreachBatch(
             update_batch_writer(f"{base}/updates", allowed, sensors, feed.monitoring, fmt, topics["updates"], **options)).start(),
         start_parquet(train, f"{base}/training", f"{base}/ckpt/training", "training", "append", trigger, ("date",)),

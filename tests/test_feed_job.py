@@ -94,6 +94,25 @@ def test_job_topic_options():
     assert dict(t.split("=", 1) for t in args.topic) == {"updates": "m.u"}
 
 
+def test_job_with_console_feedback_and_event_order(spark, lines):
+    """The job as a process: prints monitoring rows, feeds updates back, scores in event order."""
+    import os
+    import subprocess
+    import sys
+    base = scratch_path(spark, "test-job-flags")
+    P.run_available(P.start_feed(spark, FS.telemetry_stream(spark, "text", f"{lines}/in"), f"{base}/first", FE.WING, trigger=NOW, update_mode="append"))
+    spark.read.text(f"{base}/first/updates").select("value").write.text(f"{base}/sent")
+    out = subprocess.run(
+        [sys.executable, "-m", "skyvane.streaming.job", "--source", "text", "--path", f"{lines}/in", "--out", f"{base}/out", "--available-now",
+         "--shuffle-partitions", "4", "--console", "--feedback", f"{base}/sent", "--exact-order-delay", "1 hour"],
+        capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=900)
+    assert out.returncode == 0, out.stderr[-3000:]
+    assert "Batch: 0" in out.stdout and "node_deflection" in out.stdout
+    scored = spark.read.parquet(f"{base}/out/scored/scored")
+    n = spark.read.parquet(f"{base}/out/decoded").filter("not dead").count()
+    assert 0.9 * n < scored.filter("kind = 1").count() <= n and scored.filter("kind = 0").count() > 0
+
+
 def test_closed_windows_are_sent_once(spark, lines):
     base = scratch_path(spark, "test-closed")
     P.run_available(P.start_feed(spark, FS.telemetry_stream(spark, "text", f"{lines}/in"), base, FE.WING, trigger=NOW, update_mode="append"))

@@ -64,3 +64,10 @@ def test_sequential_fold_shuffles_once_on_its_keys(spark):
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     full = [s for s in shuffles if s.startswith("asset_id") and "_bucket" not in s]
     assert len(full) == 1
+
+
+def test_payload_features_parse_each_message_twice_only(spark):
+    """One parse of the envelope, one of the payload; the map of features is built once."""
+    from skyvane.plans import REGISTRY
+    plan = REGISTRY["payload_features"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2 and plan.count("map_filter") == 1
