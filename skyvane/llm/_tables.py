@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyvane.session import materialize, prepare
@@ -35,6 +35,16 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def of_least_hash(df: DataFrame, key: Column, n: int, total: int) -> DataFrame:
+    """Rows of ``df`` among which are the ``n`` of least ``xxhash64(key)``, about as many: a bound on the hash from
+    the counted ``total``, so that a sorted limit gets a few rows of each task and not ``n`` of each."""
+    if total <= 2 * n:
+        return df
+    share = (1.2 * n + 1000) / total
+    few = df.filter(F.xxhash64(key) <= F.lit(min((1 << 63) - 1, int(share * 2.0 ** 64) - (1 << 63))))
+    return few if few.count() >= n else df
+
+
 def numbered(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` once with a unique row number ``rid`` and read it back, so the
     numbers stay the same whoever is lost later."""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, read, small
+from skyvane.llm._tables import begin, of_least_hash, read, small
 from skyvane.llm._text import SPACE, U64, Words, buffers, doc_groups, mix
 from skyvane.session import materialize
 
@@ -208,7 +208,8 @@ def train(rows: DataFrame, sample: int = SAMPLE, alpha: float = 1.0) -> Model:
     p, q = seen[1] + alpha, seen[0] + alpha
     ratio = np.log(p / (docs[1] + 2 * alpha)) - np.log(q / (docs[0] + 2 * alpha))
     ratio[seen.sum(0) == 0] = 0.0
-    got = (rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(sample)
+    few = of_least_hash(rows, F.col("doc_id"), sample, int(docs.sum()))
+    got = (few.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(sample)
            .select("cells", "label", "h").toPandas().sort_values(["h", "label"], kind="stable"))
     y = np.where(got["label"].to_numpy() == 1, 1.0, -1.0)
     cells = [np.frombuffer(x, "<i4") for x in got["cells"]]

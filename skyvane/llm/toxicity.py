@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyvane.llm._tables import begin, read, small
+from skyvane.llm._tables import begin, of_least_hash, read, small
 from skyvane.llm._text import NON_WORD, U64, blocks, buffers, doc_groups, fold_case, hash_at, mix, prefix_sums, spans
 from skyvane.llm.quality import fold_of
 from skyvane.session import materialize
@@ -307,7 +307,8 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
         F.count("*").alias("n")).collect()}
     p0, n0 = none.get(1, 0), none.get(0, 0)
     empty = (p0 + base) / (p0 + n0 + 1)
-    got = (vec.filter(F.length("terms") > 0).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    few = of_least_hash(vec.filter(F.length("terms") > 0), F.col("doc_id"), sample, pos + neg - p0 - n0)
+    got = (few.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
            .groupBy("terms", "weights").agg(F.min("doc_id").alias("doc_id"), F.sum("label").alias("pos"),
                                             F.sum(1 - F.col("label")).alias("neg")).toPandas())
     got = got.sort_values(["terms", "weights"], kind="stable")

@@ -354,3 +354,18 @@ def test_pipeline_stages_keep_clashing_columns(spark):
     assert sorted((r[0] or 0, r[1] or "") for r in out) == sorted(
         [(1, "a b"), (0, "c"), (1, "other"), (0, "quite another text that stands alone here"), (3, ""), (4, " "), (5, near % "z"),
          (5, "a third one of the same id here")])
+
+
+def test_rows_of_least_hash(spark):
+    """The bound keeps the rows that a sorted limit takes, also with repeated and null ids; it is not used for few rows."""
+    from pyspark.sql import functions as F
+    from skyvane.llm import _tables
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 != 1, F.col("id")).alias("doc_id"))
+    total = df.count()
+    top = lambda d, n: sorted(str(r[0]) for r in d.orderBy(F.xxhash64("doc_id")).limit(n).collect())
+    for n in (10, 1000, 19_000, 30_000):
+        few = _tables.of_least_hash(df, F.col("doc_id"), n, total)
+        assert top(few, n) == top(df, n)
+    unique = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    assert 500 <= _tables.of_least_hash(unique, F.col("doc_id"), 500, 40_000).count() < 4000
+    assert _tables.of_least_hash(unique, F.col("doc_id"), 30_000, 40_000).count() == 40_000
