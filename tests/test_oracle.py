@@ -41,7 +41,7 @@ def test_python_backed_queries_run_from_another_directory(tmp_path):
         "from pyspark.sql import SparkSession\n"
         "spark = SparkSession.builder.master('local[2]').getOrCreate()\n"
         "import __spark_entry__ as E\n"
-        "print(E.queries()['ewma'](spark, '/root/testdata/sf0.001').count())\n" % repo)
+        "print(E.queries()['smoothed_slew'](spark, '/root/testdata/sf0.001').count())\n" % repo)
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
                          cwd=str(tmp_path), timeout=600)
     assert out.returncode == 0, out.stderr[-3000:]
