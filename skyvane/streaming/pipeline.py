@@ -301,14 +301,19 @@ def start_pipeline(spark: SparkSession, records: DataFrame, base: str,
     ``spark.streams.awaitAnyTermination()`` or :func:`run_available`)."""
     decode, tel, dead = decoded_log(D.decode_stream(records), base, trigger)
     mon = monitoring_rows(tel, monitoring, watermark)
+    sink = fan_out_writer(f"{base}/scored")
+    if order_delay:
+        scoring = M.model_input(tel.withColumn("ts", F.col("event_time")))
+        score_sink = OS.ordered_score_writer(f"{base}/model", S.EVENT_FEATURES, order_delay, sink)
+    else:
+        scoring, score_sink = scored_stream(tel, shards=model_shards), sink
     return [
         decode,
         _writer(mon, "model_updates", f"{base}/ckpt/updates", "update", trigger)
         .foreachBatch(update_batch_writer(f"{base}/updates", S.update_feature_table(spark), S.sensor_table(spark))).start(),
         start_parquet(training_rows(tel, training, watermark), f"{base}/training",
                       f"{base}/ckpt/training", "training", "append", trigger, ("date",)),
-        _writer(scored_stream(tel, shards=model_shards, order_delay=order_delay), "scoring", f"{base}/ckpt/scoring", "append", trigger)
-        .foreachBatch(fan_out_writer(f"{base}/scored")).start(),
+        _writer(scoring, "scoring", f"{base}/ckpt/scoring", "append", trigger).foreachBatch(score_sink).start(),
         start_parquet(dead, f"{base}/dead_letters", f"{base}/ckpt/dead", "dead_letters", "append", trigger),
     ]
 

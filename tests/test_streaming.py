@@ -237,7 +237,7 @@ def test_streaming_job_with_exact_order(spark):
     out = subprocess.run(
         [sys.executable, "-m", "skyvane.streaming.job", "--source", "text", "--path", f"{base}/in",
          "--out", f"{base}/out", "--available-now", "--shuffle-partitions", "4",
-         "--exact-order-delay", "1 hour"],
+         "--exact-order-delay", "1 hour", "--feed", "events"],
         capture_output=True, text=True, cwd=repo, timeout=900)
     assert out.returncode == 0, out.stderr[-3000:]
     scored = spark.read.parquet(f"{base}/out/scored/scored")
