@@ -9,6 +9,9 @@ UTF-8 sequence, so byte runs equal character runs.
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 import numpy as np
 import pyarrow as pa
 
@@ -58,8 +61,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def lean_memory() -> None:
+    """Once per worker: freed blocks of a megabyte or more go back to the system at once. Workers outlive their
+    tasks, and what the C library and Arrow keep for reuse adds up over a pipeline's stages."""
+    if sys.__dict__.get("_lean_memory"):
+        return
+    sys.__dict__["_lean_memory"] = True
+    pa.set_memory_pool(pa.system_memory_pool())
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:                            # glibc: M_MMAP_THRESHOLD, M_TRIM_THRESHOLD
+        mallopt(-3, 1 << 20)
+        mallopt(-1, 1 << 20)
+
+
 def buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
+    lean_memory()
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks() if col.num_chunks != 1 else col.chunk(0)
     if col.null_count:
