@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from skyvane import schema as S
@@ -107,3 +109,42 @@ def test_ewma_alpha_one_is_last_value(spark):
     out = FD.sorted_fold(df, ["asset_id", "sensor"], ["ts", "event_id"],
                          FD.ewma_fold("value", 1.0, passthrough=("event_id",)))
     assert [r["ewma"] for r in out.orderBy("event_id").collect()] == vals
+
+
+def _random_rows(n: int, seed: int, features: int):
+    rng = np.random.default_rng(seed)
+    xs = {f"x_f{i}": np.where(rng.random(n) < 0.3, np.nan, 10 + rng.normal(0, 4, n)) for i in range(features)}
+    xs["x_f0"][n // 2:n // 2 + 3] = [np.inf, -np.inf, 0.0]
+    ws = {f"w_f{i}": rng.choice([1.0, 2.5], n) for i in range(features)}
+    return {"kind": rng.choice([M.READING, M.READING, M.UPDATE], n).astype(float), "threshold": rng.choice([0.3, 1.5], n), **xs, **ws}
+
+
+@pytest.mark.parametrize("weights", [None, {"f0": 2.0, "f2": 3.0}])
+def test_plain_float_walk_equals_array_step_bit_for_bit(weights):
+    """Few keys are walked in plain floats: same outputs, same states, and far fewer numpy calls than rows."""
+    fold = M.model_step(["f0", "f1", "f2"], weights)
+    xs = _random_rows(400, 3, 3)
+    pdf = pd.DataFrame({"key": np.repeat([1, 2], [300, 100]), **xs})
+    calls = []
+    counted = FD.Fold(fold.inputs, fold.state, fold.outputs, lambda st, x: calls.append(1) or fold.step(st, x), (), fold.rows)
+    stepped = FD.Fold(fold.inputs, fold.state, fold.outputs, fold.step)
+    want, end, _ = FD.fold_frame(pdf, ["key"], stepped)
+    got, last, _ = FD.fold_frame(pdf, ["key"], counted)
+    assert not calls
+    for a, b in ((want, got), (end, last)):
+        assert list(a) == list(b)
+        for c in a:
+            assert np.array_equal(a[c], b[c], equal_nan=True), c
+
+
+def test_walk_takes_over_when_few_keys_are_left():
+    fold = M.model_step(["f0"], None)
+    sizes = [200, 7] + [3] * 60
+    pdf = pd.DataFrame({"key": np.repeat(np.arange(len(sizes)), sizes), **_random_rows(sum(sizes), 4, 1)})
+    calls = []
+    counted = FD.Fold(fold.inputs, fold.state, fold.outputs, lambda st, x: calls.append(1) or fold.step(st, x), (), fold.rows)
+    got, last, _ = FD.fold_frame(pdf, ["key"], counted)
+    want, end, _ = FD.fold_frame(pdf, ["key"], FD.Fold(fold.inputs, fold.state, fold.outputs, fold.step))
+    assert len(calls) == 3
+    assert all(np.array_equal(want[c], got[c], equal_nan=True) for c in want)
+    assert all(np.array_equal(end[c], last[c], equal_nan=True) for c in end)
