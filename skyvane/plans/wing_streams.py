@@ -68,7 +68,7 @@ def wing_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _arrivals(spark: SparkSession, sf_dir: str, kind: str, parts: int, part, start) -> str:
     """Let the messages arrive part by part; ``start(records, base)`` runs the stream over what is new."""
     base = scratch_path(spark, kind)
-    messages(spark, sf_dir, more={"part": part}, keep=["part"]).write.partitionBy("part").text(f"{base}/parts")
+    messages(spark, sf_dir, more={"part": part}, keep=["part"], spread=True).write.partitionBy("part").text(f"{base}/parts")
     V.make_folder(spark, f"{base}/in")
     for i in range(parts):
         some = spark.read.schema("value string, part int").text(f"{base}/parts").filter(F.col("part") == i)

@@ -177,3 +177,20 @@ def test_silence_across_batches(spark):
                    ("never", 5, 20, 16)]
     assert result([[], every[:2], [], every[2:4], every[4:]], replay=(1, 3)) == one
     assert result([[]]) == []
+
+
+def test_messages_are_spread_and_decoded_in_compiled_methods(spark):
+    """A table of one row group is shared out before its messages are built; the decode's stage is no method that
+    HotSpot leaves interpreted."""
+    base = scratch_path(spark, "test-spread")
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), 1, "view", float(i % 90), '{"k": 3}') for i in range(300)] + [(None, None, None, None, None, None)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(
+        f"{base}/events.parquet")
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    plain, spread = wing.messages(spark, base), wing.messages(spark, base, spread=True)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    assert "REPARTITION_BY_COL" in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    FE.telemetry(spread, FE.WING)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

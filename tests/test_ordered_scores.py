@@ -99,3 +99,41 @@ def test_versions_keep_what_a_replay_needs(spark):
         V.forget(spark, base, i)
     assert V.before(spark, base, 3, "id long").count() == 2 and V.before(spark, base, 0, "id long").count() == 0
     assert spark.read.parquet(base).select("batch").distinct().count() == 2
+
+
+def test_a_batch_is_computed_once(spark):
+    """The clock, the late rows, the waiting rows and the fold read what the batch wrote, not the batch again."""
+    acc = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp")
+    def decoded(ts):
+        acc.add(1)
+        return ts
+
+    data, base, out = rows(400), scratch_path(spark, "test-ordered-once"), []
+    writer = OS.ordered_score_writer(base, S.EVENT_FEATURES, "1 hour", lambda s, e: out.append(s.count()))
+    writer(spark.createDataFrame(data, ROWS).withColumn("ts", decoded("ts")), 0)
+    assert acc.value == 400
+    n = spark.read.parquet(f"{base}/waiting/batch=0").count()
+    assert 0 < n < 400 and out == [400 - n]
+
+
+def test_states_are_kept_once_a_stretch(spark):
+    """The state after a row is only stored where a key's walk ends, and is the key's last one."""
+    data = [(None, "view", "cruise", T0 + dt.timedelta(seconds=i), 1, i, 0.6, 10.0 + i % 7, None) for i in range(300)]
+    base = scratch_path(spark, "test-ordered-after")
+    writer = OS.ordered_score_writer(base, S.EVENT_FEATURES, "0 seconds", lambda s, e: None)
+    writer(spark.createDataFrame(data, ROWS), 0)
+    folded = spark.read.parquet(f"{base}/folded/batch=0")
+    assert folded.count() == 300 and folded.filter("_after_hp IS NOT NULL").count() == 1
+    last = folded.orderBy(F.desc("event_id")).first()
+    state = spark.read.parquet(f"{base}/state/batch=0").collect()
+    assert [(r["_init_hp"], r["_init_m_value"], r["_init_p_value"], r["_init_m_k"]) for r in state] == [(1.0, last["mean_value"], 10.0 + 299 % 7, None)]
+
+
+def test_rows_without_a_time_wait(spark):
+    data = rows(100)
+    data[7] = (*data[7][:3], None, *data[7][4:])
+    got, late, base = result(spark, [data[:50], data[50:]], "1 minute")
+    assert late == 0 and got == batch_fold(spark, data[:7] + data[8:])
+    assert spark.read.parquet(f"{base}/waiting/batch=2").count() == 1
