@@ -45,6 +45,18 @@ def test_classifiers(spark, docs, module):
         assert len({r.score for r in got if r.doc_id == d}) <= len({t or "" for i, t in ROWS if i == d})
 
 
+def test_margin_does_not_depend_on_the_batch():
+    rnd = np.random.default_rng(1)
+    model = quality.Model(rnd.normal(size=quality.DIM), 1.0, 0.0)
+    row = rnd.integers(0, quality.DIM, 57)
+    alone = model.margin(np.array([0, 57]), row)
+    before = [rnd.integers(0, quality.DIM, n) for n in (1000, 0, 31)]
+    cells = np.concatenate([*before, row, row])
+    got = model.margin(np.concatenate([[0], np.cumsum([1000, 0, 31, 57, 57])]), cells)
+    assert got[1] == 0 and got[3] == got[4] == alone[0]
+    assert model.margin(np.array([0]), row[:0]).shape == (0,)
+
+
 def test_token_codes(spark, docs):
     path = tempfile.mkdtemp(prefix="ids-") + "/t"
     token_codes.write(docs, path)
